@@ -1,0 +1,8 @@
+from wardmill.catalog.base import REGISTRY, Entry
+
+
+def registry() -> dict[str, Entry]:
+    """All registered queries, loading the modules that define them."""
+    from wardmill.catalog import relational, temporal  # noqa: F401
+
+    return REGISTRY

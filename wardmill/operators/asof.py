@@ -42,7 +42,7 @@ def asof_many(left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup])
     """All lookups of ``left`` at its own ``ts``; a left row without a match keeps nulls."""
     types = {k: left.schema[k].dataType for k in keys}
     lines = left.select(
-        *[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(keys)],
+        *[F.col(k).alias(f"_wm_g{i}") for i, k in enumerate(keys)],
         _time(F.col(ts)).alias("_wm_ts"),
         F.lit(1).alias("_wm_side"),
         F.struct(*left.columns).alias("_wm_left"),
@@ -58,7 +58,7 @@ def asof_many(left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup])
             ties.append(F.col(t.lstrip("-")).alias(name))
             order.append(f"-{name}" if desc else name)
         part = src.filter(F.col(lk.ts).isNotNull()).select(
-            *[F.col(c).cast(types[k]).alias(f"_wm_k{i}") for i, (c, k) in enumerate(zip(lk.keys, keys))],
+            *[F.col(c).cast(types[k]).alias(f"_wm_g{i}") for i, (c, k) in enumerate(zip(lk.keys, keys))],
             _time(F.col(lk.ts)).alias("_wm_ts"),
             F.lit(2 if lk.strict else 0).alias("_wm_side"),
             *ties,
@@ -66,7 +66,7 @@ def asof_many(left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup])
         )
         lines = lines.unionByName(part, allowMissingColumns=True)
         steps[f"_wm_s{n}"] = last_known(F.col(f"_wm_r{n}"))
-    knames = [f"_wm_k{i}" for i in range(len(keys))]
+    knames = [f"_wm_g{i}" for i in range(len(keys))]
     scanned = Ordered(lines, knames, order).scan(**steps).frame()
     outs = [F.col("_wm_left.*")]
     for n, lk in enumerate(lookups):
@@ -171,7 +171,7 @@ def count_within(
     """
     names = list(counts)
     zero = [F.lit(0).alias(f"_wm_n{i}") for i in range(len(names))]
-    mark = [F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(keys)]
+    mark = [F.col(k).alias(f"_wm_g{i}") for i, k in enumerate(keys)]
     ident = F.struct(*ids).alias("_wm_id")
     events = right.filter(F.col(right_ts).isNotNull()).select(
         *mark,
@@ -184,7 +184,7 @@ def count_within(
         *mark, F.coalesce(_time(F.col(hi)), _time(F.lit(now))).alias("_wm_ts"), F.lit(2).alias("_wm_side"), *zero, ident
     )
     lines = events.unionByName(start, allowMissingColumns=True).unionByName(stop, allowMissingColumns=True)
-    knames = [f"_wm_k{i}" for i in range(len(keys))]
+    knames = [f"_wm_g{i}" for i in range(len(keys))]
     scanned = (
         Ordered(lines, knames, ["_wm_ts", "_wm_side"])
         .scan(**{f"_wm_c{i}": running_sum(F.col(f"_wm_n{i}")) for i in range(len(names))})
