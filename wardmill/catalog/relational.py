@@ -578,7 +578,7 @@ def order_facilities(t: Tables):
         "CASE WHEN r_regionkey <> 1 THEN 'near ' || r_name END AS facility",
     )
     o = t.orders.selectExpr("o_orderkey", "o_custkey AS visit_id", "o_orderkey % 6 AS location_id")
-    return enrich.resolve_facility(o, visits, locs).select(
+    return enrich.resolve_facility(o, visits, locs, locs).select(
         "o_orderkey", "visit_location", "encounter_location", "facility"
     )
 

@@ -22,8 +22,9 @@ class Answer:
     """How one output column is taken from the observations of a key.
 
     kind: ``latest`` / ``earliest`` row's value, ``max``, ``min``, ``sum``,
-    ``count``, ``list`` (distinct values joined) or ``any`` (1 if a row matches,
-    null if the question was never asked).
+    ``count``, ``list`` (distinct values joined), ``only`` (the value if there is
+    just one distinct) or ``any`` (1 if a row matches, null if the question was
+    never asked).
     """
 
     where: Column
@@ -38,6 +39,9 @@ def answer_column(a: Answer) -> Column:
     if a.kind in ("latest", "earliest"):
         pick = F.max_by if a.kind == "latest" else F.min_by
         return pick(v, F.when(a.where & v.isNotNull(), F.struct(*a.order)))
+    if a.kind == "only":
+        given = F.when(a.where, v)
+        return F.when(F.min(given) == F.max(given), F.min(given))
     if a.kind == "list":
         return text_list(F.when(a.where, v), a.sep)
     if a.kind == "any":

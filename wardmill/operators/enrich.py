@@ -85,22 +85,22 @@ def enrich(
 def resolve_facility(
     df: DataFrame,
     visits: DataFrame,
-    locations: DataFrame,
+    names: DataFrame,
+    facilities: DataFrame,
     visit: str = "visit_id",
     location: str = "location_id",
     unknown: str = "Unknown Location",
 ) -> DataFrame:
     """Visit location, encounter location and the facility they resolve to.
 
-    ``locations`` has location_id, location_name and facility (its nearest
-    ancestor tagged as a visit location).
+    ``names`` has location_id and location_name; ``facilities`` also has facility,
+    the nearest ancestor tagged as a visit location.
     """
     v = visits.select(F.col("visit_id").alias("_wm_v"), F.col("location_id").alias("_wm_vl"))
-    names = locations.select("location_id", "location_name", "facility")
     out = df.join(v, F.col(visit) == F.col("_wm_v"), "left").drop("_wm_v")
     out = decode(out, names, "_wm_vl", "location_id", {"visit_location": "location_name"})
     out = decode(
-        out, names, location, "location_id", {"encounter_location": "location_name", "_wm_fac": "facility"}
+        out, facilities, location, "location_id", {"encounter_location": "location_name", "_wm_fac": "facility"}
     )
     return out.withColumn(
         "facility", F.coalesce(F.col("visit_location"), F.col("_wm_fac"), F.lit(unknown))
