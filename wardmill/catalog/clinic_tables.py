@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardmill.catalog.base import read_table
 from wardmill.plans.extract.clinic import IDENTIFIER_TYPES, REGISTRATION, UNKNOWN_LOCATION
 
 OBS_PER_ENCOUNTER = 14
@@ -244,12 +245,15 @@ class DriverSite:
 
     def __init__(self, spark: SparkSession, folder: str, dictionary: Dictionary):
         self.spark, self.folder, self.dictionary = spark, folder, dictionary
+        self._read: dict[str, DataFrame] = {}
 
     def exists(self, table: str) -> bool:
         return table in TABLES
 
     def read(self, table: str) -> DataFrame:
-        text = self.dictionary.text(table, True)
-        used = set(re.findall(r"\{(\w+)\}", text))
-        frames = {t: self.spark.read.parquet(f"{self.folder}/{t}.parquet") for t in used}
-        return self.spark.sql(text, **frames)
+        if table not in self._read:
+            text = self.dictionary.text(table, True)
+            used = set(re.findall(r"\{(\w+)\}", text))
+            frames = {t: read_table(self.spark, self.folder, t) for t in used}
+            self._read[table] = self.spark.sql(text, **frames)
+        return self._read[table]

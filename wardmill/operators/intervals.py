@@ -134,11 +134,9 @@ def clip_days(start: Column, end: Column, lo: Column, hi: Column, now: Column) -
 
 def months_touched(df: DataFrame, start: str, end: str, first, last, month: str = "month_start") -> DataFrame:
     """One row per interval and calendar month it touches within [first, last]."""
-    lo = F.greatest(F.trunc(F.col(start), "MM"), F.trunc(F.lit(first).cast("date"), "MM"))
-    hi = F.least(
-        F.coalesce(F.trunc(F.col(end), "MM"), F.trunc(F.lit(last).cast("date"), "MM")),
-        F.trunc(F.lit(last).cast("date"), "MM"),
-    )
+    first, last = (c if isinstance(c, Column) else F.lit(c).cast("date") for c in (first, last))
+    lo = F.greatest(F.trunc(F.col(start), "MM"), F.trunc(first, "MM"))
+    hi = F.least(F.coalesce(F.trunc(F.col(end), "MM"), F.trunc(last, "MM")), F.trunc(last, "MM"))
     months = F.when(lo <= hi, F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH")))
     return df.withColumn(month, F.explode(months))
 

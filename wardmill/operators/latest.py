@@ -93,22 +93,34 @@ def month_latest(
 
 def top_k_columns(
     df: DataFrame, keys: list[str], value: str, order: list[str], k: int = 3, prefix: str | None = None,
-    extra: list[str] | None = None,
+    extra: list[str] | None = None, first_null_stops: bool = False,
 ) -> DataFrame:
     """First ``k`` distinct values per key in ``order``, spread into columns 1..k.
 
     ``extra`` columns of the row that won each place come along as ``<extra>_i``.
+    With ``first_null_stops`` a key whose very first row has no value gets no
+    values at all, as when each next value is searched by ``<> first``.
     """
     prefix = prefix or value
     extra = extra or []
-    best = top1(df.filter(F.col(value).isNotNull()), [*keys, value], order)
-    placed = top_n(best, keys, order, k, "_wm_place")
-    aggs = []
+    src = df if first_null_stops else df.filter(F.col(value).isNotNull())
+    best = top1(src, [*keys, value], order)
+    placed = top_n(best, keys, order, k + 1 if first_null_stops else k, "_wm_place")
+    row = F.struct("_wm_place", F.col(value).alias("_wm_value"), *extra)
+    # at most k + 1 rows per key are collected
+    got = placed.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_wm_rows"))
+    if first_null_stops:
+        none = F.slice("_wm_rows", 1, 0)
+        present = F.filter("_wm_rows", lambda r: r["_wm_value"].isNotNull())
+        got = got.withColumn(
+            "_wm_rows", F.when(F.col("_wm_rows")[0]["_wm_value"].isNull(), none).otherwise(present)
+        )
+    cols = []
     for i in range(1, k + 1):
-        here = F.col("_wm_place") == i
-        aggs.append(F.max(F.when(here, F.col(value))).alias(f"{prefix}_{i}"))
-        aggs += [F.max(F.when(here, F.col(e))).alias(f"{e}_{i}") for e in extra]
-    return placed.groupBy(*keys).agg(*aggs)
+        r = F.get("_wm_rows", F.lit(i - 1))
+        cols.append(r["_wm_value"].alias(f"{prefix}_{i}"))
+        cols += [r[e].alias(f"{e}_{i}") for e in extra]
+    return got.select(*keys, *cols)
 
 
 def argmax_sources(

@@ -101,15 +101,16 @@ def run(c: Clinic, job: FormJob) -> DataFrame:
         "encounter_id", "patient_id", "visit_id", "encounter_type", "location_id", "form_id",
         "encounter_datetime", "date_created", "creator",
     )
+    if job.index_order:
+        # on the bare encounters, before any lookup widens the plan
+        e = index_pair(e, ["patient_id"], list(job.index_order))
     e = base(c, e, need)
     if job.answers:
         e = c.with_answers(e, job.answers)
     if job.patient_answers:
         mine = c.live("obs").join(e.select("encounter_id"), "encounter_id", "left_semi")
         e = c.with_answers(e, job.patient_answers, "patient_id", mine, "person_id")
-    if job.index_order:
-        e = index_pair(e, ["patient_id"], list(job.index_order))
-    else:
+    if not job.index_order:
         e = e.withColumns({i: F.lit(None).cast("int") for i in ("index_asc", "index_desc") if i in need})
     e = e.withColumns(
         {
