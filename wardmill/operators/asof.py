@@ -38,8 +38,21 @@ def _time(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
-def asof_many(left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup]) -> DataFrame:
-    """All lookups of ``left`` at its own ``ts``; a left row without a match keeps nulls."""
+def _sizes(df: DataFrame, columns: list[str], ts: str, types: dict, keys: list[str]) -> DataFrame:
+    return df.select(
+        *[F.col(c).cast(types[k]).alias(f"_wm_g{i}") for i, (c, k) in enumerate(zip(columns, keys))],
+        _time(F.col(ts)).alias("_wm_ts"),
+    )
+
+
+def asof_many(
+    left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup], left_sizes: DataFrame | None = None
+) -> DataFrame:
+    """All lookups of ``left`` at its own ``ts``; a left row without a match keeps nulls.
+
+    ``left_sizes`` is a cheaper frame with the columns ``keys`` and ``ts`` on which
+    the rows per key are counted when ``left`` is the end of a long plan.
+    """
     types = {k: left.schema[k].dataType for k in keys}
     lines = left.select(
         *[F.col(k).alias(f"_wm_g{i}") for i, k in enumerate(keys)],
@@ -67,7 +80,10 @@ def asof_many(left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup])
         lines = lines.unionByName(part, allowMissingColumns=True)
         steps[f"_wm_s{n}"] = last_known(F.col(f"_wm_r{n}"))
     knames = [f"_wm_g{i}" for i in range(len(keys))]
-    scanned = Ordered(lines, knames, order).scan(**steps).frame()
+    sizes = _sizes(left if left_sizes is None else left_sizes, keys, ts, types, keys)
+    for lk in lookups:
+        sizes = sizes.unionByName(_sizes(lk.right, lk.keys, lk.ts, types, keys))
+    scanned = Ordered(lines, knames, order, sizes=sizes).scan(**steps).frame()
     outs = [F.col("_wm_left.*")]
     for n, lk in enumerate(lookups):
         outs += [F.col(f"_wm_s{n}.{o}").alias(o) for o in lk.columns]
@@ -85,10 +101,11 @@ def asof_latest(
     strict: bool = False,
     where: Column | None = None,
     right_keys: list[str] | None = None,
+    left_sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Last right row with ``right_ts <= left_ts`` (``<`` when strict)."""
     lk = Lookup(right, right_keys or keys, right_ts, columns, tie or [], strict, where)
-    return asof_many(left, keys, left_ts, [lk])
+    return asof_many(left, keys, left_ts, [lk], left_sizes)
 
 
 def latest_at_or_after(

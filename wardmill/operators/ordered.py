@@ -2,11 +2,11 @@
 
 Ordinals, previous/next values, run numbers and as-of lookups all need the rows
 of a key in order.  A plain ``Window.partitionBy(key)`` puts a key in one task,
-so a key that holds a third of the table would stop the job.  ``Ordered`` looks
-for such keys first and cuts each of them into ranges of the leading order
-column; the window then runs per (key, range) and one small row per range
-carries the state over to the next range.  Keys below the limit keep a single
-range and pay nothing but the key count.
+so a key that holds a third of the table would stop the job.  ``Ordered`` counts
+the rows per key first (a partial aggregate over the key column alone).  If no
+key is large the plan is the plain window.  Otherwise each large key is cut into
+ranges of the leading order column; the window then runs per (key, range) and
+one small row per range carries the state over to the next range.
 
 The list of large keys is bounded by ``most_keys`` and the number of ranges by
 rows / ``min_rows``, so both are safe to broadcast.  A key outside the list has
@@ -134,16 +134,27 @@ class Ordered:
     order: list[str]
     bounded: bool = False
     """True when a key is known to be small (lines of one order): no key count is made."""
-    _ready: bool = field(default=False, repr=False)
+    sizes: DataFrame | None = None
+    """A cheaper frame with the same keys and leading order column to count the keys on.
 
-    def _prepared(self) -> DataFrame:
-        if self._ready:
-            return self.df
+    A wrong count costs balance, never rows."""
+    _split: bool | None = field(default=None, repr=False)
+
+    def _prepared(self) -> tuple[DataFrame, bool]:
+        if self._split is not None:
+            return self.df, self._split
         lead = split_order(self.order)[0][0]
-        pos = None if self.bounded else position(self.df, lead)
+        src = self.df if self.sizes is None else self.sizes
+        pos = None if self.bounded else position(src, lead)
+        plain = self.df.withColumn(_RANGE, F.lit(None).cast("long"))
         if pos is None:
-            return self.df.withColumn(_RANGE, F.lit(None).cast("long"))
-        big = large_keys(self.df, self.keys, pos)
+            return plain, False
+        found = large_keys(src, self.keys, pos)
+        rows = found.collect()  # at most ``most_keys`` rows
+        if not rows:
+            return plain, False
+        pos = position(self.df, lead)
+        big = self.df.sparkSession.createDataFrame(rows, found.schema)
         big = F.broadcast(
             big.select(
                 *[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(self.keys)],
@@ -157,16 +168,17 @@ class Ordered:
             cond = cond & F.col(k).eqNullSafe(F.col(f"_wm_k{i}"))
         bucket = F.floor((pos - F.col("_wm_lo")) / F.col("_wm_width"))
         rng = F.when(F.col("_wm_big"), F.coalesce(bucket, F.lit(-1)).cast("long"))
-        return (
+        ranged = (
             self.df.join(big, cond, "left")
             .withColumn(_RANGE, rng)
             .drop("_wm_big", "_wm_lo", "_wm_width", *[f"_wm_k{i}" for i in range(len(self.keys))])
         )
+        return ranged, True
 
     def scan(self, **steps: Step) -> "Ordered":
-        df = self._prepared()
+        df, split = self._prepared()
         lead_desc = split_order(self.order)[0][1]
-        local_all = Window.partitionBy(*self.keys, _RANGE)
+        local_all = Window.partitionBy(*self.keys, *([_RANGE] if split else []))
         local = local_all.orderBy(*order_columns(self.order))
         upto = local.rowsBetween(Window.unboundedPreceding, 0)
         before = local.rowsBetween(Window.unboundedPreceding, -1)
@@ -203,9 +215,13 @@ class Ordered:
                 raise ValueError(s.kind)
             local_cols.append(c.alias(name))
         df = df.select("*", *local_cols)
-        if self.bounded or position(self.df, split_order(self.order)[0][0]) is None:
-            out = df.select(*self._kept(), *[F.col(f"_wm_o{i}").alias(n) for i, n in enumerate(steps)])
-            return Ordered(out, self.keys, self.order, self.bounded, True)
+        if not split:
+            cast = {"ordinal": "int", "ordinal_desc": "int"}
+            outs = []
+            for i, (n, s) in enumerate(steps.items()):
+                c = F.col(f"_wm_o{i}")
+                outs.append((c.cast(cast[s.kind]) if s.kind in cast else c).alias(n))
+            return Ordered(df.select(*self._kept(), *outs), self.keys, self.order, _split=False)
 
         # one row per range of a large key, with the state the range hands on
         aggs = [F.count(F.lit(1)).alias("_wm_rows")]
@@ -270,8 +286,7 @@ class Ordered:
             else:
                 v = F.greatest(o, c)
             outs.append(v.alias(name))
-        out = df.select(*self._kept(), *outs)
-        return Ordered(out, self.keys, self.order, self.bounded, True)
+        return Ordered(df.select(*self._kept(), *outs), self.keys, self.order, _split=True)
 
     def _kept(self) -> list[Column]:
         cols = [c for c in self.df.columns if c != _RANGE]
@@ -287,13 +302,14 @@ def index_pair(
     order: list[str],
     names: tuple[str, str] = ("index_asc", "index_desc"),
     bounded: bool = False,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Ordinal from the start and from the end of each key.
 
     ``order`` should end in a unique column: the reference joins some ordinals
     back by date only, which leaves ties arbitrary, and that is not reproduced.
     """
-    o = Ordered(df, keys, order, bounded)
+    o = Ordered(df, keys, order, bounded, sizes)
     return o.scan(**{names[0]: ordinal(), names[1]: ordinal_desc()}).frame()
 
 
@@ -312,9 +328,8 @@ def _runs(df: DataFrame, keys: list[str], order: list[str], value: str, name: st
         F.col("_wm_prev").isNull() | ~F.col("_wm_prev.v").eqNullSafe(F.col(value)), 1
     ).otherwise(0)
     o = o.scan(**{name: running_sum(changed)})
-    return Ordered(
-        o.df.drop("_wm_prev").withColumn(name, F.col(name).cast("int")), o.keys, o.order, o.bounded, True
-    )
+    out = o.df.drop("_wm_prev").withColumn(name, F.col(name).cast("int"))
+    return Ordered(out, o.keys, o.order, _split=o._split)
 
 
 def run_start(

@@ -78,6 +78,7 @@ def all_admissions(adt: DataFrame, visits: DataFrame, encounters: DataFrame, exi
                 f"{prefix}_disposition": "disposition",
             },
             ["encounter_id"],
+            left_sizes=adt.select("emr_id", F.col("encounter_datetime").alias(at)),
         )
     return stays.withColumn("end_datetime", F.coalesce("end_datetime", "_stop")).drop("_stop")
 
