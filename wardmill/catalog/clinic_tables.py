@@ -156,6 +156,15 @@ TABLES: dict[str, str] = {
         SELECT 'S' || (user_id * 40 + day(ts)) AS login_id, user_id % 10 AS user_id, 'user' || user_id % 10 AS username,
           CASE event_type WHEN 'signup' THEN 'LOGIN_SUCCEEDED' WHEN 'click' THEN 'LOGOUT_SUCCEEDED' WHEN 'view' THEN 'LOGIN_EXPIRED' ELSE 'LOGIN_FAILED' END AS event_type,
           ts AS event_datetime, '10.0.0.' || user_id AS ip_address FROM {events}""",
+    "medication_dispense": """
+        SELECT o_orderkey AS medication_dispense_id, o_custkey AS patient_id, o_orderkey + 1 AS encounter_id, o_orderdate + INTERVAL '1' DAY AS date_handed_over, o_orderdate AS date_created, o_orderkey % 10 AS creator,
+          o_orderkey % 10 AS dispenser, 101 + o_orderkey % 10 AS location_id, o_orderkey % 6 AS drug_id, CAST(o_orderkey % 5 AS DOUBLE) AS dose, 1000 + o_orderkey % {NC} AS dose_units, CAST(1 + o_orderkey % 3 AS INTEGER) AS frequency,
+          CAST(o_orderkey % 80 AS DOUBLE) AS quantity, 1000 + o_orderkey * 3 % {NC} AS quantity_units, o_orderkey AS drug_order_id, 'use ' || o_orderkey % 5 AS dosing_instructions, 1000 + o_orderkey * 7 % {NC} AS status FROM {orders}""",
+    "drug_code": "SELECT * FROM (VALUES (0, 'K10'), (0, 'K11'), (1, 'K20'), (3, 'K30')) AS t(drug_id, code)",
+    "concept_numeric": "SELECT concept_id, 'mg' AS units FROM (VALUES {CODES}) AS t(concept_id, source, code) WHERE concept_id % 2 = 0",
+    "user_role": "SELECT s_suppkey AS user_id, CASE q WHEN 0 THEN 'Application Role: clerk ' || s_suppkey % 3 WHEN 1 THEN 'Privilege Level: full' ELSE 'System Role' END AS role FROM (SELECT s_suppkey, {EXPAND 3} AS q FROM {supplier})",
+    "user_property": "SELECT s_suppkey AS user_id, 'authentication.secondaryType' AS property, CASE s_suppkey % 4 WHEN 0 THEN 'secret' WHEN 1 THEN 'totp' WHEN 2 THEN '' ELSE 'sms' END AS property_value FROM {supplier} WHERE s_suppkey % 5 <> 4",
+    "migration_data_warnings": "SELECT event_id AS id, user_id AS patient_id, event_type AS warning_type, 'value ' || event_id % 7 AS warning_details, CAST(ts AS DATE) AS encounter_date, event_id % 5 = 0 AS flag_for_review FROM {events}",
     "encounter_type": "SELECT * FROM (VALUES {TYPES}) AS t(encounter_type_id, name, uuid)",
     "report_mapping": "SELECT * FROM (VALUES {CODES}) AS t(concept_id, source, code)",
     "concept_name": "SELECT * FROM (VALUES {NAMES}) AS t(concept_id, name, locale, locale_preferred, concept_name_type, voided)",

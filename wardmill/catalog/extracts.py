@@ -52,7 +52,7 @@ PEOPLE = """pn AS (SELECT * FROM (SELECT *, given_name || ' ' || family_name AS
     ORDER BY preferred DESC, date_created DESC, person_name_id DESC) AS r FROM c_person_name WHERE NOT voided) WHERE r = 1)"""
 UNKNOWN = f"(SELECT name FROM c_location WHERE uuid = '{UNKNOWN_LOCATION}')"
 ADDRESS = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY preferred DESC, date_created DESC, person_address_id DESC) AS r
-  FROM c_person_address WHERE NOT voided) WHERE r = 1)"""
+  FROM c_person_address) WHERE r = 1)"""
 
 
 def identifier(kind: str) -> str:
@@ -113,7 +113,7 @@ def lookups(d: Dictionary) -> dict[str, tuple[tuple[str, ...], str]]:
         "date_entered": ((), "e.date_created"),
         "provider": (("prov",), "prov.person_name"),
         "loc_registered": (("reg",), "reg.name"),
-        "unknown_patient": (("unk",), "unk.value"),
+        "unknown_patient": (("unk",), "CAST(unk.person_id AS VARCHAR)"),
         "gender": (("p",), "p.gender"),
         "birthdate": (("p",), "p.birthdate"),
         "age_at_encounter": (("p",), years("p.birthdate", "e.encounter_datetime")),

@@ -423,7 +423,7 @@ def shipments_inside_order_windows(t: Tables):
         F.when(F.col("o_orderstatus") != "O", F.expr("o_orderdate + INTERVAL 45 DAY")).alias("until"),
     )
     pairs = intervals.join_containing(
-        daily, span, ["o_custkey"], "l_shipdate", "o_orderdate", "until", "2002-01-01", {"o_orderkey": "o_orderkey"}
+        daily, span, ["o_custkey"], "l_shipdate", "o_orderdate", "until", {"o_orderkey": "o_orderkey"}
     )
     return pairs.groupBy("o_orderkey").agg(F.sum("n").alias("shipments"))
 
@@ -435,13 +435,14 @@ def shipments_inside_order_windows(t: Tables):
     SELECT o.o_orderkey, p.o_orderkey AS enclosing_key FROM orders o
     LEFT JOIN LATERAL (
       SELECT p.o_orderkey FROM orders p WHERE p.o_custkey = o.o_custkey AND p.o_orderstatus = 'F'
-        AND o.o_orderdate BETWEEN p.o_orderdate AND p.o_orderdate + INTERVAL 120 DAY
+        AND p.o_orderdate <= o.o_orderdate AND (p.o_orderkey % 10 = 0 OR o.o_orderdate <= p.o_orderdate + INTERVAL 120 DAY)
       ORDER BY p.o_orderdate DESC, p.o_orderkey DESC LIMIT 1) p ON TRUE
     """,
 )
 def enclosing_order_of_order(t: Tables):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    span = o.filter("o_orderstatus = 'F'").withColumn("until", F.expr("o_orderdate + INTERVAL 120 DAY"))
+    until = F.when(F.col("o_orderkey") % 10 != 0, F.expr("o_orderdate + INTERVAL 120 DAY"))
+    span = o.filter("o_orderstatus = 'F'").withColumn("until", until)
     return intervals.join_containing(
         o,
         span,
@@ -449,10 +450,10 @@ def enclosing_order_of_order(t: Tables):
         "o_orderdate",
         "o_orderdate",
         "until",
-        "2002-01-01",
-        {"enclosing_key": "o_orderkey", "since": "o_orderdate"},
+        {"enclosing_key": "o_orderkey"},
+        ["o_orderkey"],
+        True,
         ["o_orderkey"],
-        ["-since", "-enclosing_key"],
         "left",
     ).select("o_orderkey", "enclosing_key")
 
@@ -477,7 +478,6 @@ def overlapping_order_pairs(t: Tables):
             ["o_custkey"],
             ("s", "e"),
             ("s", "e"),
-            "2002-01-01",
             {"second_key": "o_orderkey"},
         )
         .filter("first_key < second_key")

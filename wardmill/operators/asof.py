@@ -61,27 +61,41 @@ def asof_many(
         F.struct(*left.columns).alias("_wm_left"),
     )
     order = ["_wm_ts", "_wm_side"]
-    steps = {}
+    # lookups into the same source at the same time column share one row per source row
+    groups: dict[tuple, list[int]] = {}
     for n, lk in enumerate(lookups):
-        src = lk.right if lk.where is None else lk.right.filter(lk.where)
+        groups.setdefault((id(lk.right), tuple(lk.keys), lk.ts, tuple(lk.tie), lk.strict), []).append(n)
+    for g, members in enumerate(groups.values()):
+        lk = lookups[members[0]]
         ties = []
         for j, t in enumerate(lk.tie):
-            desc = t.startswith("-")
-            name = f"_wm_t{n}_{j}"
+            name = f"_wm_t{g}_{j}"
             ties.append(F.col(t.lstrip("-")).alias(name))
-            order.append(f"-{name}" if desc else name)
-        part = src.filter(F.col(lk.ts).isNotNull()).select(
+            order.append(f"-{name}" if t.startswith("-") else name)
+        src = lk.right.filter(F.col(lk.ts).isNotNull())
+        wheres = [lookups[n].where for n in members]
+        if all(w is not None for w in wheres):
+            any_of = wheres[0]
+            for w in wheres[1:]:
+                any_of = any_of | w
+            src = src.filter(any_of)
+        payloads = []
+        for n, w in zip(members, wheres):
+            row = F.struct(*[F.col(c).alias(o) for o, c in lookups[n].columns.items()])
+            payloads.append((row if w is None else F.when(w, row)).alias(f"_wm_r{n}"))
+        part = src.select(
             *[F.col(c).cast(types[k]).alias(f"_wm_g{i}") for i, (c, k) in enumerate(zip(lk.keys, keys))],
             _time(F.col(lk.ts)).alias("_wm_ts"),
             F.lit(2 if lk.strict else 0).alias("_wm_side"),
             *ties,
-            F.struct(*[F.col(c).alias(o) for o, c in lk.columns.items()]).alias(f"_wm_r{n}"),
+            *payloads,
         )
         lines = lines.unionByName(part, allowMissingColumns=True)
-        steps[f"_wm_s{n}"] = last_known(F.col(f"_wm_r{n}"))
+    steps = {f"_wm_s{n}": last_known(F.col(f"_wm_r{n}")) for n in range(len(lookups))}
     knames = [f"_wm_g{i}" for i in range(len(keys))]
     sizes = _sizes(left if left_sizes is None else left_sizes, keys, ts, types, keys)
-    for lk in lookups:
+    for members in groups.values():
+        lk = lookups[members[0]]
         sizes = sizes.unionByName(_sizes(lk.right, lk.keys, lk.ts, types, keys))
     scanned = Ordered(lines, knames, order, sizes=sizes).scan(**steps).frame()
     outs = [F.col("_wm_left.*")]

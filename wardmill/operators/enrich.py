@@ -117,13 +117,13 @@ def surrogate_key(partition, column: Column, only_numeric: bool = False) -> Colu
     return F.when(p.rlike("^[0-9]+$"), joined).otherwise(column.cast("string")) if only_numeric else joined
 
 
-def modifiers(obs: DataFrame, encounters: DataFrame, key: str = "encounter_id") -> DataFrame:
+def modifiers(obs: DataFrame, encounters: DataFrame, key: str = "encounter_id", sep: str = ",") -> DataFrame:
     """Other users, and the dates, that entered observations after the encounter's creator."""
     enc = encounters.select(key, F.col("creator").alias("_wm_creator"))
     other = obs.join(enc, key).filter(F.col("creator") != F.col("_wm_creator"))
     return other.groupBy(key).agg(
-        text_list(F.col("creator_name"), ",").alias("users_modified"),
-        text_list(F.to_date("date_created"), ",").alias("dates_modified"),
+        text_list(F.col("creator_name"), sep).alias("users_modified"),
+        text_list(F.to_date("date_created"), sep).alias("dates_modified"),
     )
 
 

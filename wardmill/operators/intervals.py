@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.operators.asof import asof_latest
 from wardmill.operators.latest import top1
 from wardmill.operators.ordered import Ordered, following, max_before
 
@@ -19,11 +20,15 @@ def cell(ts: Column, days: int) -> Column:
     return F.floor(F.datediff(ts.cast("date"), epoch) / F.lit(days)).cast("int")
 
 
-def _cells(start: Column, end: Column, horizon, days: int) -> Column:
-    last = F.coalesce(end, F.lit(horizon).cast("timestamp_ntz"))
-    return F.when(
-        start.cast("date") <= last.cast("date"), F.sequence(cell(start, days), cell(last, days))
-    )
+def _cells(start: Column, end: Column, days: int) -> Column:
+    return F.when(start.cast("date") <= end.cast("date"), F.sequence(cell(start, days), cell(end, days)))
+
+
+def _keyed(n: int) -> Column:
+    cond = F.lit(True)
+    for i in range(n):
+        cond = cond & (F.col(f"_wm_a{i}") == F.col(f"_wm_b{i}"))
+    return cond
 
 
 def join_containing(
@@ -33,37 +38,58 @@ def join_containing(
     ts: str,
     start: str,
     end: str,
-    horizon,
     columns: dict[str, str],
     ids: list[str] | None = None,
-    keep: list[str] | None = None,
+    latest_only: bool = False,
+    tie: list[str] | None = None,
     how: str = "inner",
-    end_open: bool = False,
     days: int = 30,
 ) -> DataFrame:
-    """Intervals that contain the event; both ends inclusive unless ``end_open``.
+    """Intervals that contain the event, both ends inclusive; a null end is open.
 
-    A null end is open up to ``horizon``, which must not lie before any event.
-    With ``ids`` (unique per event) and ``keep`` (an order over the interval's
-    columns) one interval per event is kept.
+    Closed intervals meet events cell by cell.  Open ones need no cells: they
+    contain every event from their start on.  ``latest_only`` keeps, per event
+    (unique by ``ids``), the interval that starts last, ties by ``tie``; open
+    intervals then contribute one candidate each through an as-of lookup.  A
+    left join also needs ``ids``.
     """
-    iv = intervals.filter(F.col(start).isNotNull()).select(
-        *[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(keys)],
+    tie = tie or []
+    started = intervals.filter(F.col(start).isNotNull())
+    at = F.col(ts).cast("timestamp_ntz")
+    outs = {**columns, "_wm_from": start, **{f"_wm_tie{i}": t for i, t in enumerate(tie)}}
+    need = list(dict.fromkeys([*keys, *(ids or []), ts])) if (latest_only or how == "left") else events.columns
+    ev = events.select(*need)
+
+    closed = started.filter(F.col(end).isNotNull()).select(
+        *[F.col(k).alias(f"_wm_b{i}") for i, k in enumerate(keys)],
         F.col(start).cast("timestamp_ntz").alias("_wm_s"),
         F.col(end).cast("timestamp_ntz").alias("_wm_e"),
-        *[F.col(c).alias(f"_wm_{o}") for o, c in columns.items()],
-    )
-    iv = iv.withColumn("_wm_cell", F.explode(_cells(F.col("_wm_s"), F.col("_wm_e"), horizon, days)))
-    at = F.col(ts).cast("timestamp_ntz")
-    cond = (cell(F.col(ts), days) == F.col("_wm_cell")) & (at >= F.col("_wm_s"))
-    upper = (at < F.col("_wm_e")) if end_open else (at <= F.col("_wm_e"))
-    cond = cond & (F.col("_wm_e").isNull() | upper)
-    for i, k in enumerate(keys):
-        cond = cond & (F.col(k) == F.col(f"_wm_k{i}"))
-    pairs = events.join(iv, cond, how).select(
-        *events.columns, *[F.col(f"_wm_{o}").alias(o) for o in columns]
+        *[F.col(c).alias(f"_wm_{o}") for o, c in outs.items()],
     )
-    return top1(pairs, ids, keep) if keep else pairs
+    closed = closed.withColumn("_wm_cell", F.explode(_cells(F.col("_wm_s"), F.col("_wm_e"), days)))
+    marked = ev.withColumns({f"_wm_a{i}": F.col(k) for i, k in enumerate(keys)})
+    inside = (cell(F.col(ts), days) == F.col("_wm_cell")) & (at >= F.col("_wm_s")) & (at <= F.col("_wm_e"))
+    pick = [F.col(f"_wm_{o}").alias(o) for o in outs]
+    hits = marked.join(closed, _keyed(len(keys)) & inside).select(*need, *pick)
+
+    still = started.filter(F.col(end).isNull())
+    if latest_only:
+        got = asof_latest(ev, still, keys, ts, start, outs, tie)
+        got = got.filter(F.col("_wm_from").isNotNull())
+    else:
+        opened = still.select(
+            *[F.col(k).alias(f"_wm_b{i}") for i, k in enumerate(keys)],
+            F.col(start).cast("timestamp_ntz").alias("_wm_s"),
+            *[F.col(c).alias(f"_wm_{o}") for o, c in outs.items()],
+        )
+        got = marked.join(opened, _keyed(len(keys)) & (at >= F.col("_wm_s"))).select(*need, *pick)
+    hits = hits.unionByName(got)
+    if latest_only:
+        hits = top1(hits, ids, ["-_wm_from", *[f"-_wm_tie{i}" for i in range(len(tie))]])
+    hits = hits.drop("_wm_from", *[f"_wm_tie{i}" for i in range(len(tie))])
+    if not (latest_only or how == "left"):
+        return hits
+    return events.join(hits.select(*ids, *columns), ids, how)
 
 
 def join_overlap(
@@ -72,33 +98,40 @@ def join_overlap(
     keys: list[str],
     a_span: tuple[str, str],
     b_span: tuple[str, str],
-    horizon,
     columns: dict[str, str],
     days: int = 30,
 ) -> DataFrame:
     """Pairs of intervals of the same key that share at least one instant.
 
-    A pair that shares several cells is produced only in the cell where the
-    later of the two starts.
+    Closed intervals meet cell by cell, and a pair that shares several cells is
+    produced only in the cell where the later of the two starts.  Pairs with an
+    open interval are joined on the key alone: the open side reaches everything
+    that ends after its start.
     """
     (s1, e1), (s2, e2) = a_span, b_span
-    left = a.filter(F.col(s1).isNotNull()).withColumn(
-        "_wm_cell", F.explode(_cells(F.col(s1), F.col(e1), horizon, days))
-    )
+    left = a.filter(F.col(s1).isNotNull()).withColumns({f"_wm_a{i}": F.col(k) for i, k in enumerate(keys)})
     right = b.filter(F.col(s2).isNotNull()).select(
-        *[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(keys)],
+        *[F.col(k).alias(f"_wm_b{i}") for i, k in enumerate(keys)],
         F.col(s2).alias("_wm_s"),
         F.col(e2).alias("_wm_e"),
         *[F.col(c).alias(f"_wm_{o}") for o, c in columns.items()],
-        F.explode(_cells(F.col(s2), F.col(e2), horizon, days)).alias("_wm_cell2"),
     )
-    cond = F.col("_wm_cell") == F.col("_wm_cell2")
-    for i, k in enumerate(keys):
-        cond = cond & (F.col(k) == F.col(f"_wm_k{i}"))
-    cond = cond & (F.col("_wm_e").isNull() | (F.col(s1) <= F.col("_wm_e")))
-    cond = cond & (F.col(e1).isNull() | (F.col("_wm_s") <= F.col(e1)))
-    cond = cond & (F.col("_wm_cell") == F.greatest(cell(F.col(s1), days), cell(F.col("_wm_s"), days)))
-    return left.join(right, cond).select(*a.columns, *[F.col(f"_wm_{o}").alias(o) for o in columns])
+    meet = _keyed(len(keys))
+    meet = meet & (F.col("_wm_e").isNull() | (F.col(s1) <= F.col("_wm_e")))
+    meet = meet & (F.col(e1).isNull() | (F.col("_wm_s") <= F.col(e1)))
+    outs = [*a.columns, *[F.col(f"_wm_{o}").alias(o) for o in columns]]
+
+    left_shut, left_open = left.filter(F.col(e1).isNotNull()), left.filter(F.col(e1).isNull())
+    right_shut, right_open = right.filter("_wm_e is not null"), right.filter("_wm_e is null")
+    lc = left_shut.withColumn("_wm_c1", F.explode(_cells(F.col(s1), F.col(e1), days)))
+    rc = right_shut.withColumn("_wm_c2", F.explode(_cells(F.col("_wm_s"), F.col("_wm_e"), days)))
+    once = F.col("_wm_c1") == F.greatest(cell(F.col(s1), days), cell(F.col("_wm_s"), days))
+    return (
+        lc.join(rc, (F.col("_wm_c1") == F.col("_wm_c2")) & once & meet)
+        .select(*outs)
+        .unionByName(left_open.join(right, meet).select(*outs))
+        .unionByName(left_shut.join(right_open, meet).select(*outs))
+    )
 
 
 def overlap_flag(

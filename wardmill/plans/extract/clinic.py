@@ -216,8 +216,8 @@ class Clinic:
     def with_identifier(self, df: DataFrame, name: str = "emr_id", kind: str = "emr", key: str = "patient_id") -> DataFrame:
         return enrich.decode(df, self.identifiers(kind), key, "patient_id", {name: "identifier"})
 
-    def names(self) -> DataFrame:
-        n = self.live("person_name")
+    def names(self, voided_too: bool = False) -> DataFrame:
+        n = self.table("person_name") if voided_too else self.live("person_name")
         return top1(n, ["person_id"], ["-preferred", "-date_created", "-person_name_id"])
 
     def person_names(self) -> DataFrame:
@@ -246,6 +246,17 @@ class Clinic:
     def with_attribute(self, df: DataFrame, name: str, attribute: str, column: str = "name", key: str = "patient_id") -> DataFrame:
         return enrich.decode(df, self.attributes(attribute, column), key, "person_id", {name: "value"})
 
+    def with_unknown_flag(self, df: DataFrame, name: str = "unknown_patient", key: str = "patient_id") -> DataFrame:
+        """The person's id if they are registered as unknown, else null."""
+        a = self.attributes("Unknown patient").select("person_id", F.col("person_id").cast("string").alias("_id"))
+        return enrich.decode(df, a, key, "person_id", {name: "_id"})
+
+    def with_health_center(self, df: DataFrame, name: str = "health_center", key: str = "patient_id") -> DataFrame:
+        """Name of the location whose id is the person's health center attribute."""
+        a = self.attributes(HEALTH_CENTER_ATTRIBUTE, "uuid")
+        places = self.table("location").select(F.col("location_id").cast("string").alias("_lid"), "name")
+        return enrich.decode(df, enrich.decode(a, places, "value", "_lid", {"_hc": "name"}), key, "person_id", {name: "_hc"})
+
     def test_patients(self) -> DataFrame:
         return self.attributes("Test Patient").filter("value = 'true'")
 
@@ -255,8 +266,9 @@ class Clinic:
     def with_person(self, df: DataFrame, columns: dict[str, str], key: str = "patient_id") -> DataFrame:
         return enrich.decode(df, self.live("person"), key, "person_id", columns)
 
-    def addresses(self) -> DataFrame:
-        a = self.live("person_address")
+    def addresses(self, voided_too: bool = True) -> DataFrame:
+        """Preferred, else newest address.  The extracts do not leave voided addresses out."""
+        a = self.table("person_address") if voided_too else self.live("person_address")
         return top1(a, ["person_id"], ["-preferred", "-date_created", "-person_address_id"])
 
     def with_address(self, df: DataFrame, columns: dict[str, str], key: str = "patient_id") -> DataFrame:
@@ -319,6 +331,60 @@ class Clinic:
     def key(self, column: str, guard: bool = False) -> Column:
         return enrich.surrogate_key(self.partition, F.col(column), guard).alias(column)
 
+    # ---- programs and orders --------------------------------------------
+
+    def program_ids(self, uuid: str, by: str = "uuid") -> Column:
+        ids = self.metadata_ids("program", "program_id", by, [uuid])
+        return F.col("program_id").isin(ids) if ids else F.lit(False)
+
+    def enrolments(self, program: str, by: str = "uuid") -> DataFrame:
+        return self.live("patient_program").filter(self.program_ids(program, by))
+
+    def first_enrolment(self, program: str, by: str = "uuid") -> DataFrame:
+        e = self.enrolments(program, by).withColumn("_end", F.coalesce("date_completed", F.lit("9999-12-31").cast("timestamp_ntz")))
+        return top1(e, ["patient_id"], ["date_enrolled", "_end", "patient_program_id"])
+
+    def last_enrolment(self, program: str, by: str = "uuid") -> DataFrame:
+        e = self.enrolments(program, by).withColumn("_end", F.coalesce("date_completed", F.lit("9999-12-31").cast("timestamp_ntz")))
+        return top1(e, ["patient_id"], ["-date_enrolled", "-_end", "-patient_program_id"])
+
+    def states(self) -> DataFrame:
+        """Live program states with the concept they stand for and their workflow."""
+        s = self.live("patient_state")
+        return enrich.decode(
+            s,
+            self.table("program_workflow_state"),
+            "state",
+            "program_workflow_state_id",
+            {"state_concept_id": "concept_id", "program_workflow_id": "program_workflow_id", "state_uuid": "uuid"},
+        )
+
+    def enrolment_at(self, df: DataFrame, program: str, ids: list[str], name: str, at: str = "encounter_datetime") -> DataFrame:
+        """Enrolment of the program whose days contain the row's day; the latest one if several."""
+        from wardmill.operators.intervals import join_containing
+
+        span = self.enrolments(program).select(
+            "patient_id",
+            F.to_date("date_enrolled").alias("_from"),
+            F.to_date("date_completed").alias("_to"),
+            "patient_program_id",
+        )
+        day = df.select(*ids, "patient_id", F.to_date(at).alias("_day"))
+        hit = join_containing(
+            day, span, ["patient_id"], "_day", "_from", "_to", {name: "patient_program_id"}, ids, True,
+            ["patient_program_id"], days=180,
+        )
+        return df.join(hit.select(*ids, name), ids, "left")
+
+    def order_start(self, *reasons: str) -> DataFrame:
+        """Earliest scheduled, else activated, date of the patient's orders for a reason."""
+        o = self.live("orders").filter(self.is_code("order_reason", *reasons))
+        return o.groupBy("patient_id").agg(F.min(F.coalesce("scheduled_date", "date_activated")).alias("order_start"))
+
+    def latest_obs(self, *codes: str) -> DataFrame:
+        """Newest live observation of the questions per person."""
+        return top1(self.obs(*codes), ["person_id"], ["-obs_datetime", "-obs_id"])
+
     # ---- answers --------------------------------------------------------
 
     def obs(self, *codes: str) -> DataFrame:

@@ -68,7 +68,7 @@ def base(c: Clinic, e: DataFrame, need: set[str]) -> DataFrame:
     if "loc_registered" in need:
         e = c.with_registration_place(e)
     if "unknown_patient" in need:
-        e = c.with_attribute(e, "unknown_patient", "Unknown patient")
+        e = c.with_unknown_flag(e)
     if need & {"gender", "birthdate", "age_at_encounter"}:
         e = c.with_person(e, {"gender": "gender", "birthdate": "birthdate"})
     if need & {"visit_date", "visit_start"}:
