@@ -124,7 +124,7 @@ TABLES: dict[str, str] = {
           CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL '30' DAY END AS auto_expire_date,
           CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate + INTERVAL '5' DAY END AS scheduled_date, o_orderdate AS date_created,
           o_orderkey % 10 AS creator, o_orderkey % 10 AS orderer, o_orderkey % 47 = 0 AS voided FROM {orders}""",
-    "order_type": "SELECT * FROM (VALUES (1, '52a447d3-a64a-11e3-9aeb-50e549534c5e', 'Test Order'), (2, '131168f4-15f5-102d-96e4-000c29c2a5d7', 'Drug Order')) AS t(order_type_id, uuid, name)",
+    "order_type": "SELECT * FROM (VALUES (1, '{OT1}', 'Test Order'), (2, '{OT2}', 'Drug Order')) AS t(order_type_id, uuid, name)",
     "drug_order": """
         SELECT o_orderkey AS order_id, o_orderkey % 6 AS drug_inventory_id, CAST(o_orderkey % 5 + 1 AS DOUBLE) AS dose, 1000 + o_orderkey % {NC} AS dose_units,
           CAST(o_orderkey % 90 AS DOUBLE) AS quantity, 1000 + o_orderkey * 3 % {NC} AS quantity_units, 1000 + o_orderkey * 7 % {NC} AS route,
@@ -161,6 +161,8 @@ TABLES: dict[str, str] = {
           o_orderkey % 10 AS dispenser, 101 + o_orderkey % 10 AS location_id, o_orderkey % 6 AS drug_id, CAST(o_orderkey % 5 AS DOUBLE) AS dose, 1000 + o_orderkey % {NC} AS dose_units, CAST(1 + o_orderkey % 3 AS INTEGER) AS frequency,
           CAST(o_orderkey % 80 AS DOUBLE) AS quantity, 1000 + o_orderkey * 3 % {NC} AS quantity_units, o_orderkey AS drug_order_id, 'use ' || o_orderkey % 5 AS dosing_instructions, 1000 + o_orderkey * 7 % {NC} AS status FROM {orders}""",
     "drug_code": "SELECT * FROM (VALUES (0, 'K10'), (0, 'K11'), (1, 'K20'), (3, 'K30')) AS t(drug_id, code)",
+    "concept": "SELECT DISTINCT concept_id, CASE WHEN concept_id % 2 = 0 THEN 'Test' ELSE 'Misc' END AS class FROM (VALUES {CODES}) AS t(concept_id, source, code)",
+    "encounter_role": "SELECT * FROM (VALUES (1, 'c458d78e-8374-4767-ad58-9f8fe276e01c'), (2, '6e630e03-5182-4cb3-9a82-a5b1a85c09a7')) AS t(encounter_role_id, uuid)",
     "concept_numeric": "SELECT concept_id, 'mg' AS units FROM (VALUES {CODES}) AS t(concept_id, source, code) WHERE concept_id % 2 = 0",
     "user_role": "SELECT s_suppkey AS user_id, CASE q WHEN 0 THEN 'Application Role: clerk ' || s_suppkey % 3 WHEN 1 THEN 'Privilege Level: full' ELSE 'System Role' END AS role FROM (SELECT s_suppkey, {EXPAND 3} AS q FROM {supplier})",
     "user_property": "SELECT s_suppkey AS user_id, 'authentication.secondaryType' AS property, CASE s_suppkey % 4 WHEN 0 THEN 'secret' WHEN 1 THEN 'totp' WHEN 2 THEN '' ELSE 'sms' END AS property_value FROM {supplier} WHERE s_suppkey % 5 <> 4",
@@ -184,16 +186,21 @@ class Dictionary:
         programs: list[str] | None = None,
         states: int = 6,
         sets: list[tuple[str, str]] | None = None,
+        state_codes: list[tuple[str, str]] | None = None,
+        order_types: tuple[str, str] | None = None,
     ):
         q = list(dict.fromkeys(questions)) or ["none"]
-        a = [c for c in dict.fromkeys([*answers, "1065", "1066", "other answer"]) if c not in q]
+        self.state_codes = state_codes or []
+        self.order_types = order_types or ("52a447d3-a64a-11e3-9aeb-50e549534c5e", "131168f4-15f5-102d-96e4-000c29c2a5d7")
+        given = [*answers, *[c for c, _ in self.state_codes], "1065", "1066", "other answer"]
+        a = [c for c in dict.fromkeys(given) if c not in q]
         self.codes = q + a
         self.nq, self.nc = len(q), len(q) + len(a)
         self.na = len(a)
         self.types = list(dict.fromkeys(types))
         self.by = by
         self.programs = programs or ["program-1", "program-2"]
-        self.states = states
+        self.states = len(self.state_codes) or states
         self.sets = sets or []
 
     def fill(self) -> dict[str, str]:
@@ -217,6 +224,10 @@ class Dictionary:
         states = [
             f"({i}, {1 + i % len(self.programs)}, {1000 + i % self.nc}, 'state-{i}')" for i in range(1, self.states + 1)
         ]
+        if self.state_codes:
+            states = [
+                f"({i}, {1 + i % len(self.programs)}, {ids[c]}, '{u}')" for i, (c, u) in enumerate(self.state_codes, 1)
+            ]
         return {
             "{NOBS}": str(OBS_PER_ENCOUNTER),
             "{NTYPES}": str(n_types),
@@ -225,6 +236,8 @@ class Dictionary:
             "{ANSWER}": f"1000 + {self.nq} + CAST(floor(h / 13) AS BIGINT) % {self.na}",
             "{NP}": str(len(progs)),
             "{NS}": str(self.states),
+            "{OT1}": self.order_types[0],
+            "{OT2}": self.order_types[1],
             "{TYPES}": ", ".join(types),
             "{CODES}": ", ".join(f"({i}, {quote(c.split(':')[0] if ':' in c else 'LOCAL')}, {quote(c.split(':', 1)[-1])})" for c, i in ids.items()),
             "{NAMES}": ", ".join(names),
