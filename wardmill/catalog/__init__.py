@@ -3,6 +3,6 @@ from wardmill.catalog.base import REGISTRY, Entry
 
 def registry() -> dict[str, Entry]:
     """All registered queries, loading the modules that define them."""
-    from wardmill.catalog import derived, extracts, programs, records, relational, temporal  # noqa: F401
+    from wardmill.catalog import derived, extracts, maternal, programs, records, relational, temporal  # noqa: F401
 
     return REGISTRY

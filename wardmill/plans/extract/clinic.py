@@ -359,8 +359,14 @@ class Clinic:
             {"state_concept_id": "concept_id", "program_workflow_id": "program_workflow_id", "state_uuid": "uuid"},
         )
 
-    def enrolment_at(self, df: DataFrame, program: str, ids: list[str], name: str, at: str = "encounter_datetime") -> DataFrame:
-        """Enrolment of the program whose days contain the row's day; the latest one if several."""
+    def enrolment_at(
+        self, df: DataFrame, program: str, ids: list[str], name: str, at: str = "encounter_datetime", events: DataFrame | None = None
+    ) -> DataFrame:
+        """Enrolment of the program whose days contain the row's day; the latest one if several.
+
+        ``events`` is a short plan with the same ``ids``, patient and time, used for
+        the lookup when ``df`` is the end of a long one.
+        """
         from wardmill.operators.intervals import join_containing
 
         span = self.enrolments(program).select(
@@ -369,7 +375,7 @@ class Clinic:
             F.to_date("date_completed").alias("_to"),
             "patient_program_id",
         )
-        day = df.select(*ids, "patient_id", F.to_date(at).alias("_day"))
+        day = (df if events is None else events).select(*ids, "patient_id", F.to_date(at).alias("_day"))
         hit = join_containing(
             day, span, ["patient_id"], "_day", "_from", "_to", {name: "patient_program_id"}, ids, True,
             ["patient_program_id"], days=180,

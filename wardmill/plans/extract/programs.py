@@ -313,6 +313,12 @@ def hiv_regimens(c: Clinic) -> DataFrame:
             every.select(*cols, "previous_order_id").join(prior, "previous_order_id").withColumnRenamed("_reason", "order_reason"),
         ]
     )
+    category = waterfall([(c.is_code("order_reason", k), F.lit(v)) for k, v in REGIMEN_REASONS.items()])
+    art = o.withColumn("drug_category", category).filter("drug_category = 'ART'").select("patient_id", "order_id", "encounter_id")
+    first = c.with_answers(latest.top1(art, ["patient_id"], ["order_id"]), {"_line": coded("CIEL:166073")}).select("patient_id", "_line")
+    last = latest.top1(art, ["patient_id"], ["-order_id"]).select("order_id", F.lit(True).alias("_last"))
+    o = c.with_answers(o.withColumn("drug_category", category), {"art_treatment_line": coded("CIEL:166073")})
+    o = o.join(first, "patient_id", "left").join(last, "order_id", "left")
     expired = F.col("date_stopped").isNull() & (F.col("order_action") == "NEW") & F.col("auto_expire_date").isNotNull()
     o = o.withColumns({"_expired": expired, "end_date": F.when(expired, F.col("auto_expire_date")).otherwise(F.col("date_stopped"))})
     after = c.live("orders").filter(F.col("order_action").isin("DISCONTINUE", "REVISE"))
@@ -337,18 +343,9 @@ def hiv_regimens(c: Clinic) -> DataFrame:
         {"drug_id": "drug_inventory_id", "drug_name": "drug_name", "dose": "dose", "dose_units": "_du", "prescribed_quantity": "quantity",
          "quantity_units": "_qu", "route": "_ro", "frequency": "_fr", "duration": "duration", "duration_units": "_un"},
     )
-    o = c.with_answers(o, {"art_treatment_line": coded("CIEL:166073")})
     o = c.with_identifier(c.with_concept_name(o, "concept_id", "drug_short_name", "en"))
-    category = waterfall([(c.is_code("order_reason", k), F.lit(v)) for k, v in REGIMEN_REASONS.items()])
-    o = o.withColumn("drug_category", category)
     start = c.order_start("CIEL:138405")
     o = enrich.decode(o, start, "patient_id", "patient_id", {"_art": "order_start"})
-    narrow = o.select("patient_id", "drug_category", "order_id", "art_treatment_line")
-    first = latest.top1(narrow.filter("drug_category = 'ART'"), ["patient_id"], ["order_id"]).select(
-        "patient_id", F.col("art_treatment_line").alias("_line")
-    )
-    last = latest.top1(narrow.filter("drug_category = 'ART'"), ["patient_id"], ["-order_id"]).select("order_id", F.lit(True).alias("_last"))
-    o = o.join(first, "patient_id", "left").join(last, "order_id", "left")
     return o.select(
         "order_id", "previous_order_id", "emr_id", "order_action", c.key("encounter_id"), "encounter_datetime", "visit_location",
         "date_entered", "user_entered", "drug_category", "art_treatment_line", "drug_id", "drug_short_name", "drug_name", "dose",
@@ -651,7 +648,9 @@ def pmtct_visits(c: Clinic) -> DataFrame:
         contact = c.obs("13265", "FIRST NAME", "LAST NAME", "TELEPHONE NUMBER OF CONTACT").select("encounter_id").distinct()
         e = enrich.decode(e, s, "raw_encounter_id", "encounter_id", {"_on": "_on", "_present": "_present"})
         e = e.join(contact.select(F.col("encounter_id").alias("_c")), F.col("raw_encounter_id") == F.col("_c"), "left")
-        e = c.enrolment_at(e.withColumnRenamed("patient_id", "_pk").withColumn("patient_id", F.col("raw_patient_id")), HIV, ["raw_encounter_id"], "_program")
+        bare = c.encounters([PMTCT_INITIAL, PMTCT_FOLLOWUP])
+        bare = bare.select(F.col("encounter_id").alias("raw_encounter_id"), "patient_id", "encounter_datetime")
+        e = c.enrolment_at(e, HIV, ["raw_encounter_id"], "_program", events=bare)
         return e.withColumns(
             {
                 "tb_screening_date": F.to_date(F.when(F.col("_present") == 1, F.col("_on"))),
