@@ -91,3 +91,9 @@ def test_descending_split(spark, rows, force_skew):
 def test_window_always_has_a_key(spark, rows):
     plan = _split(rows)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_run_pair_counts_from_both_ends(spark, force_skew):
+    df = spark.createDataFrame([("k", t, v) for t, v in enumerate("AABBAC")], "k string, t int, v string")
+    got = [(r.t, r.up, r.down) for r in O.run_pair(df, ["k"], ["t"], "v", ("up", "down")).orderBy("t").collect()]
+    assert got == [(0, 1, 4), (1, 1, 4), (2, 2, 3), (3, 2, 3), (4, 3, 2), (5, 4, 1)]

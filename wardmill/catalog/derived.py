@@ -319,7 +319,7 @@ SELECT m.emr_id, m.date_enrolled, m.date_completed, m.reporting_date, hs.status_
   bd.bp_diastolic AS latest_bp_diastolic, CAST(bd.encounter_datetime AS DATE) AS latest_bp_diastolic_date, bs.bp_systolic AS latest_bp_systolic, CAST(bs.encounter_datetime AS DATE) AS latest_bp_systolic_date,
   h.obs_datetime IS NOT NULL AS htn_diagnosis, CAST(h.obs_datetime AS DATE) AS latest_htn_diagnosis_date
 FROM m LEFT JOIN st ON st.emr_id = m.emr_id
-{_pick("v", "hiv_visit", "x.visit_date <= m.reporting_date", "x.visit_date DESC, x.next_visit_date IS NULL, x.encounter_id DESC", "x.visit_date, x.next_visit_date")}
+{_pick("v", "hiv_visit", "x.visit_date <= m.reporting_date", "x.visit_date DESC, x.encounter_id DESC", "x.visit_date, x.next_visit_date")}
 {_pick("v2", "hiv_visit", "x.visit_date < v.visit_date", "x.visit_date DESC", "x.visit_date")}
 {_pick("tr", "hiv_visit", "x.visit_date <= m.reporting_date AND x.referral_transfer_in = 'Transfer'", "x.visit_date DESC, x.encounter_id DESC", "x.visit_date, x.referral_transfer_location_in")}
 {_pick("rn", "hiv_visit", "x.visit_date <= m.reporting_date AND x.reason_not_on_arv IS NOT NULL", "x.visit_date DESC, x.encounter_id DESC", "x.visit_date, x.reason_not_on_arv")}

@@ -81,7 +81,7 @@ extract(
     w AS (SELECT encounter_id, {SLOTS} FROM (SELECT encounter_id, obs_id, row_number() OVER (PARTITION BY encounter_id ORDER BY date_created DESC, obs_id DESC) AS r FROM c_obs WHERE NOT voided AND concept_id = {{{M.PREGNANCY_GROUP}}}) x LEFT JOIN g ON g.obs_group_id = x.obs_id WHERE r <= 10 GROUP BY 1)
     SELECT o.obs_id AS pregnancy_id, {K}o.encounter_id AS encounter_id, {K}(SELECT p.patient_program_id FROM c_patient_program p WHERE NOT p.voided AND p.program_id = 1 AND p.patient_id = e.patient_id AND CAST(p.date_enrolled AS DATE) <= CAST(e.encounter_datetime AS DATE) AND (CAST(p.date_completed AS DATE) >= CAST(e.encounter_datetime AS DATE) OR p.date_completed IS NULL)
         ORDER BY CAST(p.date_enrolled AS DATE) DESC, p.patient_program_id DESC LIMIT 1) AS mch_program_id, emr.identifier AS emr_id, CAST(e.encounter_datetime AS DATE) AS encounter_date, e.date_created AS date_entered, cu.username AS user_entered, {FAC} AS facility, {K}e.visit_id AS visit_id, vl.name AS visit_location, oa.* EXCLUDE (encounter_id),
-      round((CAST(e.encounter_datetime AS DATE) - oa.last_period_date) / 7, 0) AS calculated_gestational_age, w.* EXCLUDE (encounter_id)
+      round((CAST(e.encounter_datetime AS DATE) - oa.last_period_date) / 7, 0) + 0 AS calculated_gestational_age, w.* EXCLUDE (encounter_id)
     FROM c_obs o JOIN c_encounter e ON e.encounter_id = o.encounter_id {V} {EMR} {U} LEFT JOIN oa ON oa.encounter_id = o.encounter_id LEFT JOIN w ON w.encounter_id = o.encounter_id
     WHERE NOT o.voided AND o.concept_id = {{Type of HUM visit}} AND o.value_coded = {{ANC VISIT}} AND o.encounter_id IN (SELECT max(encounter_id) FROM c_encounter WHERE NOT voided AND encounter_type = 1 GROUP BY patient_id)""",
     M.mch_pregnancy,

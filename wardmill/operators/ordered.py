@@ -314,14 +314,25 @@ def index_pair(
 
 
 def run_index(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str = "run_index"
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str = "run_index", sizes: DataFrame | None = None
 ) -> DataFrame:
     """Run number per key: grows by one whenever ``value`` differs from the row before."""
-    return _runs(df, keys, order, value, name).frame()
+    return _runs(df, keys, order, value, name, sizes).frame()
 
 
-def _runs(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> Ordered:
-    o = Ordered(df, keys, order).scan(
+def run_pair(
+    df: DataFrame, keys: list[str], order: list[str], value: str, names: tuple[str, str], sizes: DataFrame | None = None
+) -> DataFrame:
+    """Run number from the start and from the end of each key; keys must not be null."""
+    up = run_index(df, keys, order, value, names[0], sizes)
+    last = up.groupBy(*keys).agg(F.max(names[0]).alias("_wm_last"))
+    return up.join(last, keys, "left").withColumn(names[1], F.col("_wm_last") - F.col(names[0]) + 1).drop("_wm_last")
+
+
+def _runs(
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, sizes: DataFrame | None = None
+) -> Ordered:
+    o = Ordered(df, keys, order, sizes=sizes).scan(
         _wm_prev=previous(F.struct(F.col(value).alias("v"))),
     )
     changed = F.when(

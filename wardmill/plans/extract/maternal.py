@@ -398,15 +398,16 @@ def ovc_program_encounters(c: Clinic, types: tuple[str, ...] = ("OVC Intake", "O
     e = e.join(hit, "encounter_id", "left")
     e = enrich.decode(e, pp, "patient_program_id", "patient_program_id", own)
     known = e.filter("hiv_status is not null and patient_program_id is not null").select("encounter_id", "patient_program_id", "encounter_date", "hiv_status")
-    up = ordered.run_index(known, ["patient_program_id"], ["encounter_date", "encounter_id"], "hiv_status", "index_asc_hiv_status")
-    down = ordered.run_index(known, ["patient_program_id"], ["-encounter_date", "-encounter_id"], "hiv_status", "index_desc_hiv_status")
-    e = e.join(up.select("encounter_id", "index_asc_hiv_status"), "encounter_id", "left")
-    e = e.join(down.select("encounter_id", "index_desc_hiv_status"), "encounter_id", "left")
+    runs = ordered.run_pair(
+        known, ["patient_program_id"], ["encounter_date", "encounter_id"], "hiv_status", ("index_asc_hiv_status", "index_desc_hiv_status")
+    )
+    e = e.join(runs.select("encounter_id", "index_asc_hiv_status", "index_desc_hiv_status"), "encounter_id", "left")
     s = c.states().join(pp.select("patient_program_id", "patient_id"), "patient_program_id")
     s = s.select("patient_id", "patient_program_id", "patient_state_id", "state", "state_concept_id", "start_date", "end_date")
-    order = ["start_date", "patient_state_id"]
-    s = ordered.run_index(s, ["patient_program_id"], order, "state", "index_asc_program_status")
-    s = ordered.run_index(s, ["patient_program_id"], [f"-{x}" for x in order], "state", "index_desc_program_status")
+    s = ordered.run_pair(
+        s, ["patient_program_id"], ["start_date", "patient_state_id"], "state", ("index_asc_program_status", "index_desc_program_status"),
+        sizes=c.live("patient_state"),
+    )
     s = c.with_concept_name(s, "state_concept_id", "program_status", "en")
     s = enrich.decode(s, pp, "patient_program_id", "patient_program_id", {k: v for k, v in own.items() if k != "program_outcome"})
     s = s.withColumnsRenamed({"start_date": "program_status_start_date", "end_date": "program_status_end_date"})
