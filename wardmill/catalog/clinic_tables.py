@@ -102,19 +102,19 @@ TABLES: dict[str, str] = {
         SELECT e * 32 + q AS obs_id, o_custkey AS person_id, e AS encounter_id, 1000 + h % {NQ} AS concept_id,
           CASE WHEN q % 4 <> 3 THEN e * 32 + 20 + q % 4 END AS obs_group_id, CASE WHEN q % 2 = 0 THEN e END AS order_id,
           d + q * INTERVAL '7' MINUTE AS obs_datetime, {ANSWER} AS value_coded, CAST(h % 400 AS DOUBLE) / 2 AS value_numeric,
-          CASE WHEN h % 3 = 0 THEN CAST(101 + h % 12 AS STRING) ELSE 'text ' || h % 90 END AS value_text,
+          CASE h % 3 WHEN 0 THEN CAST(101 + h % 12 AS STRING) WHEN 1 THEN 'ORD-' || (e + h % 7) ELSE 'text ' || h % 90 END AS value_text,
           d + (h % 50) * INTERVAL '1' DAY AS value_datetime, CAST(h % 6 AS BIGINT) AS value_drug, CASE WHEN h % 4 = 0 THEN 'note ' || h % 9 END AS comments,
           (e + h) % 10 AS creator, d + (h % 70) * INTERVAL '1' HOUR AS date_created, h % 21 = 0 AS voided
         FROM (SELECT o_orderkey + 1 AS e, o_custkey, o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS d, q,
                 (o_orderkey * 7919 + q * 104729 + o_custkey * 31) % 1000003 AS h
               FROM (SELECT o_orderkey, o_custkey, o_orderdate, {EXPAND {NOBS}} AS q FROM {orders}))
         UNION ALL
-        SELECT e * 32 + 20 + q, o_custkey, e, 1000 + (e * 13 + q * 5) % {NQ}, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), d, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE),
+        SELECT e * 32 + 20 + q, o_custkey, e, 1000 + (e * 7919 + q * 104729 + o_custkey * 31) % 1000003 % {NQ}, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), d, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE),
           CAST(NULL AS STRING), CAST(NULL AS TIMESTAMP_NTZ), CAST(NULL AS BIGINT), CAST(NULL AS STRING), e % 10, d, FALSE
         FROM (SELECT o_orderkey + 1 AS e, o_custkey, o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS d, q
               FROM (SELECT o_orderkey, o_custkey, o_orderdate, {EXPAND 3} AS q FROM {orders}))""",
     "orders": """
-        SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 4 = 1 THEN o_orderkey - 1 END AS previous_order_id, o_custkey AS patient_id, o_orderkey + 1 AS encounter_id,
+        SELECT o_orderkey AS order_id, CASE o_orderkey % 4 WHEN 1 THEN o_orderkey - 2 WHEN 2 THEN o_orderkey - 3 END AS previous_order_id, o_custkey AS patient_id, o_orderkey + 1 AS encounter_id,
           1000 + o_orderkey * 11 % {NC} AS concept_id, CAST(1 + o_orderkey % 2 AS INTEGER) AS order_type_id, 1000 + o_orderkey * 5 % {NC} AS order_reason,
           'ORD-' || o_orderkey AS order_number, 'LAB-' || o_orderkey % 1000 AS accession_number,
           CASE o_orderkey % 4 WHEN 1 THEN 'REVISE' WHEN 2 THEN 'DISCONTINUE' ELSE 'NEW' END AS order_action,
@@ -213,7 +213,7 @@ class Dictionary:
         n_types = len(types) + 1
         names = []
         for c, i in ids.items():
-            word = {"1065": "Yes", "1066": "No"}.get(c, f"word {c}")
+            word = {"1065": "Yes", "1066": "No", "5622": "Other"}.get(c, f"word {c}")
             names.append(f"({i}, {quote(word)}, 'en', TRUE, 'FULLY_SPECIFIED', FALSE)")
             names.append(f"({i}, {quote('short ' + c)}, 'en', FALSE, 'SHORT', FALSE)")
             if i % 3:

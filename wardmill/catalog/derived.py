@@ -43,7 +43,7 @@ W: dict[str, str] = {
         FROM {orders} WHERE o_orderkey % 4 <> 0""",
     "all_diagnosis": f"""
         SELECT CASE q % 2 WHEN 0 THEN 'C' ELSE 'O' END || o_orderkey AS encounter_id, 'B' || (o_orderkey * 8 + q) AS obs_id, (o_orderkey + q) % 5 <> 0 AS coded,
-          CASE WHEN (o_orderkey * 5 + q) % 11 <> 0 THEN 'maladie ' || (o_orderkey + q * q) % 4 END AS diagnosis_coded_fr, CASE (o_orderkey + q) % 6 WHEN 0 THEN 'ARTERIAL HYPERTENSION' ELSE 'text ' || q END AS diagnosis_entered,
+          CASE WHEN (o_orderkey * 5 + q) % 11 <> 0 THEN 'maladie ' || (o_orderkey + CAST(floor(q / 2) AS BIGINT)) % 4 END AS diagnosis_coded_fr, CASE (o_orderkey + q) % 6 WHEN 0 THEN 'ARTERIAL HYPERTENSION' ELSE 'text ' || q END AS diagnosis_entered,
           CASE (o_orderkey + q) % 3 WHEN 0 THEN 'Primaire' WHEN 1 THEN 'Secondaire' END AS dx_order, (o_orderkey + q) % 4 <> 1 AS oncology, {P} AS patient_primary_id,
           o_orderdate + q * INTERVAL '5' HOUR AS obs_datetime, o_orderdate + q * INTERVAL '1' DAY AS date_created
         FROM (SELECT o_orderkey, o_custkey, o_orderdate, {{EXPAND 6}} AS q FROM {{orders}})""",
@@ -84,7 +84,7 @@ W: dict[str, str] = {
     "hiv_viral_load": f"""
         SELECT {P} AS emr_id, 'L' || o_orderkey AS hiv_vl_id, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) END AS vl_sample_taken_date, o_orderdate + INTERVAL '1' DAY AS date_entered,
           CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate + INTERVAL '9' DAY AS DATE) END AS vl_result_date, o_orderdate - INTERVAL '1' DAY AS order_date, 'status ' || o_orderkey % 4 AS status,
-          CASE o_orderkey % 3 WHEN 0 THEN 'Detected' WHEN 1 THEN 'Not detected' END AS vl_coded_results, CAST(o_orderkey % 5000 AS INTEGER) AS viral_load
+          CASE o_orderkey % 9 WHEN 0 THEN 'Detected' WHEN 3 THEN 'Not detected' END AS vl_coded_results, CAST(o_orderkey % 5000 AS INTEGER) AS viral_load
         FROM {{orders}} WHERE o_orderkey % 3 = 0""",
     "tb_screening": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 9) * INTERVAL '1' HOUR AS tb_screening_date, CAST(o_orderkey % 2 AS STRING) AS tb_screening_result FROM {{orders}} WHERE o_orderkey % 4 = 1",
     "tb_lab_results": f"""
@@ -121,7 +121,7 @@ W: dict[str, str] = {
           'stage ' || o_orderkey % 4 AS cancer_stage, 'intent ' || o_orderkey % 2 AS treatment_intent FROM {{orders}} WHERE o_orderkey % 2 = 0""",
     "all_medication_dispensing": f"""
         SELECT 'S' || o_orderkey AS dispensing_id, {P} AS emr_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS encounter_datetime, 'prov' || o_orderkey % 4 AS encounter_provider, 'ward' || o_orderkey % 6 AS encounter_location,
-          'facility' || o_orderkey % 4 AS facility, CASE o_orderkey % 5 WHEN 0 THEN 'Tamoxifen, 10mg, tablet' WHEN 1 THEN 'Tamoxifen, 20mg tablet' ELSE 'drug ' || o_orderkey % 7 END AS drug_name, CAST(o_orderkey % 7 AS INTEGER) AS drug_openboxes_code,
+          'facility' || o_orderkey % 4 AS facility, CASE o_orderkey % 5 WHEN 0 THEN 'Tamoxifen, 10mg, tablet' WHEN 1 THEN 'Tamoxifen, 20mg tablet' ELSE 'drug ' || o_orderkey % 7 END AS drug_name, CAST(o_orderkey % 7 AS INTEGER) AS drug_product_code,
           CAST(o_orderkey % 60 AS INTEGER) AS quantity_dispensed, {SITE} AS site FROM {{orders}}""",
     "ncd_patient_table_staging": f"""
         SELECT {P} AS emr_id, max(CAST(DATE '1940-01-01' + CAST(o_custkey AS INTEGER) AS DATE)) AS birthdate, max(CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END) AS sex, 'dept' || max(o_custkey % 9) AS department, 'com' || max(o_custkey % 8) AS commune,
@@ -594,7 +594,7 @@ def derive_outpatient_chemo_summary(w):
     "derive_dispensed_medication_summary",
     "D15 R27",
     "all_medication_dispensing",
-    """SELECT site, facility, CAST(encounter_datetime AS DATE) AS date, drug_name, drug_openboxes_code, CAST(sum(quantity_dispensed) AS BIGINT) AS daily_quantity
+    """SELECT site, facility, CAST(encounter_datetime AS DATE) AS date, drug_name, drug_product_code, CAST(sum(quantity_dispensed) AS BIGINT) AS daily_quantity
     FROM w_all_medication_dispensing GROUP BY ALL""",
 )
 def derive_dispensed_medication_summary(w):

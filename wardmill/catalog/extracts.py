@@ -25,6 +25,7 @@ def dictionary(job: FormJob, extra_questions=(), extra_answers=()) -> Dictionary
     qs = [*job.answers.values(), *job.patient_answers.values()]
     refs = [m for s in job.finish_sql.values() for m in re.findall(r"\{([^}]+)\}", s)]
     asked = [q.code for q in qs]
+    asked += [m for s in job.finish_sql.values() for m in re.findall(r"concept_id = \{([^}]+)\}", s)]
     given = [a for q in qs for a in tup(q.answer)]
     sets = [q.answer for q in qs if q.kind == "member"]
     given += [c for c in refs if c not in asked]

@@ -403,7 +403,7 @@ extract(
     "new_medication_dispensing",
     "X62 R58",
     NM,
-    f"""SELECT emr.identifier AS emr_id, e.date_created AS date_entered, u.username AS user_entered, d.name AS drug_name, dc.code AS drug_openboxes_code, e.dose AS quantity_per_dose, dn.name AS dose_unit, fn.name AS frequency, e.quantity AS quantity_dispensed, e.dosing_instructions AS prescription
+    f"""SELECT emr.identifier AS emr_id, e.date_created AS date_entered, u.username AS user_entered, d.name AS drug_name, dc.code AS drug_product_code, e.dose AS quantity_per_dose, dn.name AS dose_unit, fn.name AS frequency, e.quantity AS quantity_dispensed, e.dosing_instructions AS prescription
     FROM c_medication_dispense e {EMR} LEFT JOIN c_users u ON u.user_id = e.creator LEFT JOIN c_drug d ON d.drug_id = e.drug_id LEFT JOIN (SELECT drug_id, min(code) AS code FROM c_drug_code GROUP BY 1) dc ON dc.drug_id = e.drug_id LEFT JOIN nm dn ON dn.concept_id = e.dose_units
     LEFT JOIN c_order_frequency f ON f.order_frequency_id = e.frequency LEFT JOIN nm fn ON fn.concept_id = f.concept_id""",
     X.new_medication_dispensing,

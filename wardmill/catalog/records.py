@@ -260,7 +260,7 @@ extract(
       FROM c_medication_dispense m LEFT JOIN c_encounter e ON e.encounter_id = m.encounter_id LEFT JOIN c_order_frequency f ON f.order_frequency_id = m.frequency LEFT JOIN nm fn ON fn.concept_id = f.concept_id LEFT JOIN nm dn ON dn.concept_id = m.dose_units LEFT JOIN nm qn ON qn.concept_id = m.quantity_units
       LEFT JOIN (SELECT p.provider_id, pn.person_name FROM c_provider p LEFT JOIN pn ON pn.person_id = p.person_id) w ON w.provider_id = m.dispenser WHERE m.status = {{1267}})
     SELECT {K}did AS dispensing_id, form, {K}e.patient_id AS patient_id, emr.identifier AS emr_id, {K}e.encounter_id AS encounter_id, e.encounter_datetime, el.location_name AS encounter_location, {FAC} AS facility, {K}e.visit_id AS visit_id, vl.name AS visit_location, ent AS datetime_entered,
-      cu.person_name AS user_entered, e.prov AS encounter_provider, d.name AS drug_name, dc.code AS drug_openboxes_code, CAST(trunc(dur) AS INTEGER) AS duration, duu AS duration_unit, dose AS quantity_per_dose, du AS dose_unit, freq AS frequency, CAST(trunc(qty) AS INTEGER) AS quantity_dispensed, qu AS quantity_unit,
+      cu.person_name AS user_entered, e.prov AS encounter_provider, d.name AS drug_name, dc.code AS drug_product_code, CAST(trunc(dur) AS INTEGER) AS duration, duu AS duration_unit, dose AS quantity_per_dose, du AS dose_unit, freq AS frequency, CAST(trunc(qty) AS INTEGER) AS quantity_dispensed, qu AS quantity_unit,
       {K}oid AS order_id, ins AS instructions, CAST(NULL AS INTEGER) AS index_asc, CAST(NULL AS INTEGER) AS index_desc
     FROM x e {V} {EMR} {U} LEFT JOIN c_drug d ON d.drug_id = e.drug LEFT JOIN {DRUG_CODE} dc ON dc.drug_id = e.drug""",
     R.all_medication_dispensing,

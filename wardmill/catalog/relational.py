@@ -84,11 +84,11 @@ def customers_with_urgent_orders(t: Tables):
 @query(
     "parts_never_returned",
     "R22",
-    "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')",
+    "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 48)",
 )
 def parts_never_returned(t: Tables):
     return enrich.not_in(
-        t.part.select("p_partkey"), "p_partkey", t.lineitem.filter("l_returnflag = 'R'"), "l_partkey"
+        t.part.select("p_partkey"), "p_partkey", t.lineitem.filter("l_returnflag = 'R' AND l_quantity > 48"), "l_partkey"
     )
 
 

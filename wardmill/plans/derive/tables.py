@@ -253,5 +253,5 @@ def outpatient_chemo_summary(
 
 def dispensed_medication_summary(dispensing: DataFrame) -> DataFrame:
     return dispensing.groupBy(
-        "site", "facility", F.to_date("encounter_datetime").alias("date"), "drug_name", "drug_openboxes_code"
+        "site", "facility", F.to_date("encounter_datetime").alias("date"), "drug_name", "drug_product_code"
     ).agg(F.sum("quantity_dispensed").alias("daily_quantity"))

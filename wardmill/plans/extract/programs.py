@@ -1133,10 +1133,10 @@ def new_medication_dispensing(c: Clinic) -> DataFrame:
     m = enrich.decode(m, c.table("order_frequency"), "frequency", "order_frequency_id", {"_fc": "concept_id"})
     m = c.with_concept_name(c.with_concept_name(m, "_fc", "_freq", "en"), "dose_units", "_du", "en")
     m = enrich.decode(m, c.table("drug"), "drug_id", "drug_id", {"drug_name": "name"})
-    m = enrich.decode(m, drug_codes(c), "drug_id", "drug_id", {"drug_openboxes_code": "code"})
+    m = enrich.decode(m, drug_codes(c), "drug_id", "drug_id", {"drug_product_code": "code"})
     m = c.with_identifier(enrich.decode(m, c.table("users"), "creator", "user_id", {"user_entered": "username"}))
     return m.select(
-        "emr_id", F.col("date_created").alias("date_entered"), "user_entered", "drug_name", "drug_openboxes_code", F.col("dose").alias("quantity_per_dose"),
+        "emr_id", F.col("date_created").alias("date_entered"), "user_entered", "drug_name", "drug_product_code", F.col("dose").alias("quantity_per_dose"),
         F.col("_du").alias("dose_unit"), F.col("_freq").alias("frequency"), F.col("quantity").alias("quantity_dispensed"),
         F.col("dosing_instructions").alias("prescription"),
     )

@@ -635,12 +635,12 @@ def all_medication_dispensing(c: Clinic) -> DataFrame:
     d = union_rows(parts)
     d = c.with_identifier(c.with_facility(c.with_user(d)))
     d = enrich.decode(d, c.table("drug"), "drug_id", "drug_id", {"drug_name": "name"})
-    d = enrich.decode(d, drug_codes(c), "drug_id", "drug_id", {"drug_openboxes_code": "code"})
+    d = enrich.decode(d, drug_codes(c), "drug_id", "drug_id", {"drug_product_code": "code"})
     null = F.lit(None).cast("int")
     return d.select(
         c.key("dispensing_id"), "form", c.key("patient_id"), "emr_id", c.key("encounter_id"), "encounter_datetime",
         "encounter_location", "facility", c.key("visit_id"), "visit_location", "datetime_entered", "user_entered",
-        "encounter_provider", "drug_name", "drug_openboxes_code", F.col("duration").cast("int").alias("duration"),
+        "encounter_provider", "drug_name", "drug_product_code", F.col("duration").cast("int").alias("duration"),
         "duration_unit", "quantity_per_dose", "dose_unit", "frequency",
         F.col("quantity_dispensed").cast("int").alias("quantity_dispensed"), "quantity_unit", c.key("order_id"),
         "instructions", null.alias("index_asc"), null.alias("index_desc"),
