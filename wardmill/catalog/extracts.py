@@ -171,7 +171,8 @@ def answer_sql(name: str, q: Q, ids: dict[str, int], d: Dictionary) -> str:
         lo, hi = (f"{f}(o.value_coded) FILTER (WHERE {where})" for f in ("min", "max"))
         a, b = (ids[x] for x in q.answer)
         return f"CASE WHEN {lo} = {hi} THEN CASE {lo} WHEN {a} THEN TRUE WHEN {b} THEN FALSE END END"
-    pick = f"last({value} ORDER BY o.date_created, o.obs_id) FILTER (WHERE {where} AND {value} IS NOT NULL)"
+    known = "" if q.kind == "comment" else f" AND {value} IS NOT NULL"
+    pick = f"last({value} ORDER BY o.date_created, o.obs_id) FILTER (WHERE {where}{known})"
     if q.kind == "yn":
         return f"CASE {pick} WHEN {ids['1065']} THEN TRUE WHEN {ids['1066']} THEN FALSE END"
     return pick

@@ -349,7 +349,7 @@ MB = Dictionary(BQ, ["5622", "a1", "a2"], [X.DELIVERY, "t-2"])
 
 
 def _com(code: str) -> str:
-    return f"last(o.comments ORDER BY o.date_created, o.obs_id) FILTER (o.concept_id = {{{code}}} AND o.value_coded = {{5622}} AND o.comments IS NOT NULL)"
+    return f"last(o.comments ORDER BY o.date_created, o.obs_id) FILTER (o.concept_id = {{{code}}} AND o.value_coded = {{5622}})"
 
 
 extract(

@@ -294,7 +294,7 @@ extract(
     "chemo_session_regimens",
     "X15",
     DC,
-    f"""SELECT emr.identifier AS emr_id, {K}o.obs_id AS obs_id, {K}o.encounter_id AS encounter_id, e.encounter_datetime, nm.name AS chemo_regimen_name, CASE WHEN nm.name = 'Other' THEN o.comments END AS other_regimen
+    f"""SELECT emr.identifier AS emr_id, {K}o.obs_id AS obs_id, {K}o.encounter_id AS encounter_id, e.encounter_datetime, nm.name AS chemo_regimen_name, CASE WHEN nm.name = 'Other' THEN (SELECT last(x.comments ORDER BY x.date_created, x.obs_id) FROM c_obs x WHERE NOT x.voided AND x.encounter_id = o.encounter_id AND x.concept_id = {{10506}} AND x.value_coded = {{5622}}) END AS other_regimen
     FROM c_obs o JOIN c_encounter e ON e.encounter_id = o.encounter_id AND NOT e.voided AND e.encounter_type = 1 LEFT JOIN nm ON nm.concept_id = o.value_coded LEFT JOIN {identifier("emr")} emr ON emr.patient_id = o.person_id WHERE NOT o.voided AND o.concept_id = {{10506}}""",
     R.chemo_session_regimens,
 )

@@ -411,7 +411,9 @@ class Clinic:
             o = enrich.decode(o, places, "value_text", "_lid", {"_place": "name"})
         out = eav.pivot(o, key, {n: self._answer(q) for n, q in spec.items()})
         for n, q in spec.items():
-            if q.kind == "yn":
+            if q.kind == "comment":
+                out = out.withColumn(n, F.col(n)["c"])
+            elif q.kind == "yn":
                 out = out.withColumn(n, self.yes_no(n))
             elif q.kind == "either":
                 yes, no = (self.is_code(n, a) for a in q.answer)
@@ -453,7 +455,8 @@ class Clinic:
             case "coded":
                 return _latest(given, v("_name"))
             case "comment":
-                return _latest(given, v("comments"))
+                # the newest answer's comment, also when it has none
+                return _latest(given, F.struct(v("comments").alias("c")))
             case "place":
                 return _latest(given, v("_place"))
             case "obs":
