@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardmill.llm import exact_dedup, packing
+from wardmill.llm import exact_dedup, line_templates, mixing, packing, personal_data, quality_rules
 from wardmill.llm.common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,85 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op6_packing"] = op6_packing
+
+
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.spans(read_documents(spark, folder))
+
+
+QUERIES["op7_personal_data"] = op7_personal_data
+
+
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(read_documents(spark, folder))
+
+
+QUERIES["op8_mixing"] = op8_mixing
+
+
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(read_documents(spark, folder)).drop("row_id")
+
+
+QUERIES["op3_quality_rules"] = op3_quality_rules
+SQL["op3_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+windows AS (SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice WHERE n > 1) GROUP BY doc_id),
+base AS (
+  SELECT w.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN covered ON covered.doc_id = w.doc_id),
+lines AS (
+  SELECT doc_id, coalesce('=' || source, '') AS host, t, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line
+  FROM (SELECT doc_id, source, t, unnest(ls) AS l FROM w)),
+hosts AS (SELECT host, count(DISTINCT t) AS n FROM lines GROUP BY host),
+frequent AS (
+  SELECT f.host, f.line FROM (SELECT host, line, count(DISTINCT t) AS n FROM lines GROUP BY host, line) f
+  JOIN hosts ON hosts.host = f.host WHERE f.n > 20 AND f.n > 0.002 * hosts.n),
+gone AS (
+  SELECT doc_id, count(*) AS n, sum(len(string_split(lines.line, ' '))) AS words
+  FROM lines JOIN frequent ON frequent.host = lines.host AND frequent.line = lines.line GROUP BY doc_id)
+SELECT base.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * (n_words - coalesce(words, 0)) >= n_words AS kept,
+       coalesce(gone.n, 0) AS n_lines_removed, CAST(n_words - coalesce(words, 0) AS BIGINT) AS n_words_left
+FROM base LEFT JOIN gone ON gone.doc_id = base.doc_id
+"""
+
+
+def op10_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    left = line_templates.without_templates(read_documents(spark, folder))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+QUERIES["op10_line_templates"] = op10_line_templates
+SQL["op10_line_templates"] = r"""
+WITH d AS (SELECT doc_id, text IS NULL AS none, coalesce(text, '') AS t FROM documents),
+raw AS (SELECT doc_id, t, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS place FROM d),
+masked AS (
+  SELECT doc_id, t, place, line,
+         trim(regexp_replace(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS m
+  FROM raw),
+l AS (SELECT *, string_split(m, ' ') AS w FROM masked WHERE len(string_split(m, ' ')) >= 4),
+p AS (SELECT *, struct_pack(n := len(w), lead := array_to_string(w[1:3], ' ')) AS leaf FROM l),
+near AS (SELECT p.* FROM p JOIN (SELECT leaf FROM p GROUP BY leaf HAVING count(DISTINCT t) >= 10) s ON s.leaf = p.leaf),
+seen AS (SELECT leaf, m, w, count(DISTINCT t) AS docs FROM near GROUP BY leaf, m, w),
+tokens AS (SELECT leaf, m, docs, unnest(w) AS token, unnest(range(1, len(w) + 1)) AS i FROM seen),
+fixed AS (SELECT leaf, i, token FROM tokens GROUP BY leaf, i, token HAVING sum(docs) >= 10),
+marked AS (
+  SELECT tokens.leaf, m, tokens.i, CASE WHEN fixed.i IS NOT NULL AND tokens.token <> '<*>' THEN tokens.token ELSE '<*>' END AS shown
+  FROM tokens LEFT JOIN fixed ON fixed.leaf = tokens.leaf AND fixed.i = tokens.i AND fixed.token = tokens.token),
+templates AS (
+  SELECT leaf, m, list(shown ORDER BY i) AS template FROM marked GROUP BY leaf, m HAVING avg(CASE WHEN shown <> '<*>' THEN 1.0 ELSE 0.0 END) >= 0.6),
+named AS (SELECT near.*, template FROM near JOIN templates ON templates.leaf = near.leaf AND templates.m = near.m),
+recurring AS (SELECT leaf, template FROM named GROUP BY leaf, template HAVING count(DISTINCT t) >= 10),
+gone AS (SELECT DISTINCT doc_id, place FROM named JOIN recurring ON recurring.leaf = named.leaf AND recurring.template = named.template),
+kept AS (
+  SELECT raw.doc_id, string_agg(line, chr(10) ORDER BY raw.place) FILTER (gone.place IS NULL) AS t, count(gone.place) AS n_dropped, count(*) AS n
+  FROM raw LEFT JOIN gone ON gone.doc_id = raw.doc_id AND gone.place = raw.place GROUP BY raw.doc_id)
+SELECT d.doc_id, CASE WHEN none THEN 0 ELSE n END AS n_lines, n_dropped, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d JOIN kept ON kept.doc_id = d.doc_id
+"""
