@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import exact_dedup, line_templates, mixing, packing, personal_data, quality_rules
+from wardmill.llm import exact_dedup, line_templates, mixing, ordinal_quality, packing, personal_data, quality_rules
 from wardmill.llm.common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,12 @@ kept AS (
 SELECT d.doc_id, CASE WHEN none THEN 0 ELSE n END AS n_lines, n_dropped, sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM d JOIN kept ON kept.doc_id = d.doc_id
 """
+
+
+def op1_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder)
+    model = ordinal_quality.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return ordinal_quality.scored(docs, model)
+
+
+QUERIES["op1_ordinal_quality"] = op1_ordinal_quality
