@@ -19,30 +19,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose ids a worker remembers; the memory is emptied when full.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
+#: New words are encoded together, with a sign between them that is a token of its own and in no other word.
+TOGETHER, BETWEEN = 256, "\x01"
 
 
 class Encoder:
     """Token ids of whole texts as little-endian bytes.
 
     The vocabulary's rules drop white space and never join across it, so a text's ids are those of its words in
-    turn; a word's ids are remembered.
+    turn; a word's ids are remembered, over the tasks of a worker.
     """
 
+    held: dict[str, Encoder] = {}
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         self.words: dict[bytes, bytes] = {}
 
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        if path not in cls.held:
+            cls.held[path] = cls(path)
+        return cls.held[path]
+
+    def learn(self, words: list[bytes]) -> None:
+        alone = [w for w in words if BETWEEN.encode() in w or len(self.between) != 1]
+        for w in alone:
+            self.words[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        rest = [w for w in words if w not in self.words] if alone else words
+        parts = [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
+        joined = [f" {BETWEEN} ".join([w.decode() for w in p]) for p in parts]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.between[0]), len(ids)).tolist()
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(part, ends, strict=True):
+                self.words[w] = raw[4 * at : 4 * end]
+                at = end + 1
+
     def __call__(self, text: bytes) -> bytes:
         words = text.split()
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        missing = list(set(words).difference(self.words))
-        if missing:
-            for w, e in zip(missing, self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False), strict=True):
-                self.words[w] = np.array(e.ids, "<u4").tobytes()
+        if missing := set(words).difference(self.words):
+            self.learn(list(missing))
         return b"".join(map(self.words.__getitem__, words))
 
 
@@ -64,7 +88,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, long
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = Encoder.of(path)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
             row, start, length, total, data, held = [], [], [], [], [], 0
