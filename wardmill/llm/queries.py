@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import exact_dedup, line_templates, mixing, ordinal_quality, packing, personal_data, quality_rules
+from wardmill.llm import exact_dedup, line_templates, mixing, ngram_join, ordinal_quality, packing, personal_data, quality_rules
 from wardmill.llm.common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,11 @@ def op1_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op1_ordinal_quality"] = op1_ordinal_quality
+
+
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.near_components(read_documents(spark, folder))
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+QUERIES["op9_ngram_join"] = op9_ngram_join
