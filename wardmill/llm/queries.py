@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import exact_dedup, line_templates, mixing, ngram_join, ordinal_quality, packing, personal_data, quality_rules
+from wardmill.llm import exact_dedup, line_templates, mixing, ngram_join, ordinal_quality, packing, personal_data, quality_rules, suffix_dedup
 from wardmill.llm.common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,11 @@ def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op9_ngram_join"] = op9_ngram_join
+
+
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = suffix_dedup.without_repeats(read_documents(spark, folder))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES["op2_suffix_dedup"] = op2_suffix_dedup
