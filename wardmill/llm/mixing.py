@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import SPACE, written
+from wardmill.llm.common import SPACE, with_row_ids, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -125,3 +125,21 @@ def taken_words(docs: DataFrame) -> DataFrame:
     stream, pieces = mix(docs)
     sums = pieces.groupBy("row").agg(F.sum("words").alias("taken"))
     return stream.join(sums, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix as documents: a row for each whole pass, and one with the first words where the last pass ends inside.
+
+    Columns as before; the cut text has single spaces, and n_chars, where there is one, follows it.
+    """
+    rows, _ = with_row_ids(docs)
+    taken = taken_words(rows.select(F.col("row_id").alias("doc_id"), "text", "source")).where("taken > 0")
+    taken = taken.select(F.col("doc_id").alias("row_id"), F.floor(F.col("taken") / F.col("size")).alias("_whole"), (F.col("taken") % F.col("size")).alias("_first"))
+    copies = F.concat(F.array_repeat(F.lit(0), F.col("_whole").cast("int")), F.when(F.col("_first") > 0, F.array("_first")).otherwise(F.array().cast("array<long>")))
+    each = rows.join(written(taken, "taken"), "row_id").withColumn("_cut", F.explode(copies))
+    words = F.array_remove(F.split("text", SPACE), "")
+    text = F.when(F.col("_cut") == 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("_cut").cast("int")), " "))
+    each = each.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        each = each.withColumn("n_chars", F.when(F.col("_cut") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return each.select(*docs.columns)

@@ -185,11 +185,11 @@ def anchored(rows: DataFrame) -> DataFrame:
     return rows.select("row_id", "text").mapInArrow(work, ROW)
 
 
-def first_surroundings(found: DataFrame) -> DataFrame:
+def first_surroundings(found: DataFrame, most: int = HELD) -> DataFrame:
     """Spans that repeat another surrounding in full, and requests for the text of anchors with several surroundings.
 
     Rows come sorted by anchor and surrounding, so a pass with one group's tail in hand sees each group whole. The
-    request's ``until`` numbers the group's surroundings by HELD.
+    request's ``until`` numbers the group's surroundings in parts of ``most``.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +226,7 @@ def first_surroundings(found: DataFrame) -> DataFrame:
                     asked = asked & ~last
                 ask = new[asked]
                 if len(ask):
-                    yield records(ASK, key[ask], np.zeros(len(ask), np.uint64), row[ask], at[ask], number[asked] // HELD)
+                    yield records(ASK, key[ask], np.zeros(len(ask), np.uint64), row[ask], at[ask], number[asked] // most)
                 if total[-1] == 1:
                     i = new[-1:]
                     waiting = records(ASK, key[i], np.zeros(1, np.uint64), row[i], at[i], np.zeros(1, np.int64))
@@ -415,9 +415,9 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     return sorted_.mapInArrow(work, "row_id long, lo long, hi long, h1 long, h2 long")
 
 
-def removed_spans(rows: DataFrame) -> DataFrame:
+def removed_spans(rows: DataFrame, most: int = HELD) -> DataFrame:
     """row_id, lo, hi: byte ranges to remove; they may overlap."""
-    found = written(first_surroundings(anchored(rows)), "surroundings")
+    found = written(first_surroundings(anchored(rows), most), "surroundings")
     asked = found.where(F.col("kind") == ASK).select("key", "row_id", "at", "until")
     hot = written(asked.where("until > 0").select("key").distinct().withColumn("hot", F.lit(True)), "hot")
     asked = asked.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
@@ -431,10 +431,10 @@ def removed_spans(rows: DataFrame) -> DataFrame:
     return whole.unionByName(spans).unionByName(late)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, most: int = HELD) -> DataFrame:
     """row_id, doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans for every row of ``docs``."""
     rows, _ = with_row_ids(docs.select("doc_id", "text"))
-    lists = removed_spans(rows).groupBy("row_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    lists = removed_spans(rows, most).groupBy("row_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
