@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import exact_dedup, line_templates, mixing, ngram_join, ordinal_quality, packing, personal_data, quality_rules, suffix_dedup
+from wardmill.llm import (
+    exact_dedup,
+    line_templates,
+    mixing,
+    ngram_join,
+    ordinal_quality,
+    packing,
+    personal_data,
+    quality_rules,
+    secret_scan,
+    suffix_dedup,
+)
 from wardmill.llm.common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +151,10 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op2_suffix_dedup"] = op2_suffix_dedup
+
+
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(read_documents(spark, folder))
+
+
+QUERIES["op5_secret_scan"] = op5_secret_scan
