@@ -18,14 +18,16 @@ from pyspark.sql import functions as F
 from wardmill.llm.common import SPACE, with_row_ids, written
 
 FIELD = "<*>"
-DIGITS = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+#: A token with a digit, tried once per token and without going back.
+DIGITS = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 def parsed_lines(rows: DataFrame, depth: int, least_tokens: int) -> DataFrame:
     """row_id, content, place, leaf (two hashes), the masked line and its hash, for lines with enough tokens."""
     t = F.coalesce("text", F.lit(""))
     lines = rows.select("row_id", F.xxhash64(t).alias("content"), F.posexplode(F.split(t, "\n", -1)).alias("place", "line"))
-    masked = F.trim(F.regexp_replace(F.regexp_replace("line", DIGITS, FIELD), SPACE, " "))
+    fields = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", DIGITS, FIELD)).otherwise(F.col("line"))
+    masked = F.trim(F.regexp_replace(fields, SPACE, " "))
     lines = lines.select("row_id", "content", "place", masked.alias("masked"))
     count = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     lines = lines.withColumn("tokens", count).where(F.col("tokens") >= least_tokens)
