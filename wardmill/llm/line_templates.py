@@ -73,7 +73,7 @@ def without_templates(docs: DataFrame, **limits) -> DataFrame:
     """row_id, doc_id, text without the lines of recurring templates, n_lines, n_dropped; one row per row of docs."""
     rows, _ = with_row_ids(docs.select("doc_id", "text"))
     gone = written(dropped_lines(rows, **limits), "dropped")
-    joined = rows.join(gone, "row_id", "left")
+    joined = rows.join(gone.hint("merge"), "row_id", "left")  # grows with the rows, so it is never sent whole
     lines = F.split("text", "\n", -1)
     left = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(places, i)), '\\n')")
     return joined.select(
