@@ -129,6 +129,16 @@ def test_nearest_tagged_ancestor(spark):
     assert rows(tree.tagged_ancestor(nodes, tags), "location_id", "ancestor_id") == [(1, 1), (2, 1), (3, 3), (4, 3), (9, None)]
 
 
+def test_tagged_ancestor_is_found_however_deep(spark):
+    nodes = spark.createDataFrame([(i, i + 1 if i < 40 else None) for i in range(41)], "location_id int, parent_location int")
+    tags = spark.createDataFrame([(40,)], "location_id int")
+    assert {r.ancestor_id for r in tree.tagged_ancestor(nodes, tags).collect()} == {40}
+    ring = spark.createDataFrame([(1, 2), (2, 3), (3, 2)], "location_id int, parent_location int")
+    with pytest.raises(ValueError, match="cycle"):
+        tree.tagged_ancestor(ring, tags)
+    assert {r.ancestor_id for r in tree.tagged_ancestor(ring, spark.createDataFrame([(3,)], "location_id int")).collect()} == {3}
+
+
 def test_set_closure_depth(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 5), (5, 6)], "p int, c int")
     roots = spark.createDataFrame([(1,)], "r int")

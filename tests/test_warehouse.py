@@ -33,6 +33,33 @@ def test_site_partition_replaces_only_itself(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(partition_num" in plan
 
 
+def test_emptied_site_loses_its_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    one = spark.createDataFrame([(1,), (2,)], "id int")
+    for n in (1, 2):
+        W.write_site_partition(W.tag_site(one, "n", n), path, n)
+    W.write_site_partition(W.tag_site(one.limit(0), "n", 1), path, 1)
+    assert sorted((r.partition_num, r.id) for r in W.read_warehouse(spark, path).collect()) == [(2, 1), (2, 2)]
+    with pytest.raises(ValueError, match="another partition"):
+        W.write_site_partition(W.tag_site(one, "n", 3), path, 1)
+
+
+def test_publish_survives_a_crash_before_the_swap(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS wm_crash")
+    W.publish(spark.createDataFrame([(1,)], "id int"), "wm_crash", "pub")
+    with monkeypatch.context() as m:
+        m.setattr(W.re, "escape", lambda s: 1 / 0)  # dies after the swap, before old versions go
+        with pytest.raises(ZeroDivisionError):
+            W.publish(spark.createDataFrame([(2,)], "id int"), "wm_crash", "pub")
+    assert [r.id for r in spark.table("wm_crash.pub").collect()] == [2]
+    spark.createDataFrame([(3,)], "id int").write.saveAsTable("wm_crash.pub_v" + "0" * 32)  # died before the swap
+    assert [r.id for r in spark.table("wm_crash.pub").collect()] == [2]
+    W.publish(spark.createDataFrame([(4,)], "id int"), "wm_crash", "pub")
+    assert [r.id for r in spark.table("wm_crash.pub").collect()] == [4]
+    assert len(spark.catalog.listTables("wm_crash")) == 2
+    spark.sql("DROP DATABASE wm_crash CASCADE")
+
+
 def test_publish_swaps_by_name(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS wm_test")
     W.publish(spark.createDataFrame([(1,)], "id int"), "wm_test", "pub")
@@ -54,6 +81,8 @@ def test_jdbc_site_reads_in_slices(spark):
     o = site.options("obs")
     assert o["partitionColumn"] == "obs_id" and o["numPartitions"] == "8"
     assert "partitionColumn" not in site.options("visit")
+    with pytest.raises(ValueError, match="needs bounds"):
+        site.options("orders")
 
 
 def test_reference_file_is_read_by_contract(spark, tmp_path):

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardmill.catalog.base import read_table
 from wardmill.plans.extract.clinic import IDENTIFIER_TYPES, REGISTRATION, UNKNOWN_LOCATION
+from wardmill.sources.staging import Published
 
 OBS_PER_ENCOUNTER = 14
 
@@ -83,20 +84,20 @@ TABLES: dict[str, str] = {
     "provider": "SELECT s_suppkey AS provider_id, 10000000 + s_suppkey AS person_id, CAST(1 + s_suppkey % 3 AS INTEGER) AS provider_role_id FROM {supplier}",
     "provider_role": "SELECT * FROM (VALUES (1, 'Nurse'), (2, 'Doctor'), (3, 'Clerk')) AS t(provider_role_id, name)",
     "encounter_provider": """
-        SELECT o_orderkey * 2 + q AS encounter_provider_id, o_orderkey + 1 AS encounter_id, (o_orderkey + q * 3) % 10 AS provider_id,
+        SELECT o_orderkey * 2 + q AS encounter_provider_id, o_orderkey + 1 AS encounter_id, CASE WHEN q = 0 THEN CAST(floor(o_orderkey / 150) AS BIGINT) ELSE CAST(floor(o_custkey / 15) AS BIGINT) END AS provider_id,
           CAST(1 + q AS INTEGER) AS encounter_role_id, o_orderdate AS date_created, (o_orderkey + q) % 6 = 0 AS voided
-        FROM (SELECT o_orderkey, o_orderdate, {EXPAND 2} AS q FROM {orders})""",
+        FROM (SELECT o_orderkey, o_custkey, o_orderdate, {EXPAND 2} AS q FROM {orders})""",
     "visit": """
         SELECT o_orderkey AS visit_id, o_custkey AS patient_id, o_orderdate + (o_orderkey % 8) * INTERVAL '1' HOUR AS date_started,
           CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate + (o_orderkey % 9 + 1) * INTERVAL '1' DAY END AS date_stopped,
           o_orderdate + (o_orderkey % 8 + 1) * INTERVAL '1' HOUR AS date_created, CAST(1 + o_orderkey % 2 AS INTEGER) AS visit_type_id,
-          o_orderkey % 10 AS creator, CASE WHEN o_orderkey % 13 <> 0 THEN 101 + o_orderkey % 10 END AS location_id, o_orderkey % 37 = 0 AS voided FROM {orders}""",
+          CAST(floor(o_orderkey / 150) AS BIGINT) AS creator, CASE WHEN o_orderkey % 13 <> 0 THEN 101 + CAST(floor(o_custkey / 15) AS BIGINT) END AS location_id, o_orderkey % 37 = 0 AS voided FROM {orders}""",
     "visit_type": "SELECT * FROM (VALUES (1, 'Clinic or Hospital Visit'), (2, 'Home Visit')) AS t(visit_type_id, name)",
     "encounter": """
         SELECT o_orderkey + 1 AS encounter_id, o_custkey AS patient_id, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS visit_id,
-          CAST(1 + o_orderkey % {NTYPES} AS INTEGER) AS encounter_type, 101 + o_orderkey * 3 % 10 AS location_id, CAST(1 + o_orderkey % 3 AS INTEGER) AS form_id,
+          CAST(1 + o_orderkey % {NTYPES} AS INTEGER) AS encounter_type, 101 + CAST(floor(o_orderkey / 150) AS BIGINT) AS location_id, CAST(1 + o_orderkey % 3 AS INTEGER) AS form_id,
           o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS encounter_datetime, o_orderdate + (o_orderkey % 24 + o_orderkey % 4) * INTERVAL '1' HOUR AS date_created,
-          CASE WHEN o_orderkey % 6 = 0 THEN o_orderdate + INTERVAL '3' DAY END AS date_changed, o_orderkey * 7 % 10 AS creator, o_orderkey % 43 = 0 AS voided
+          CASE WHEN o_orderkey % 6 = 0 THEN o_orderdate + INTERVAL '3' DAY END AS date_changed, CAST(floor(o_custkey / 15) AS BIGINT) AS creator, o_orderkey % 43 = 0 AS voided
         FROM {orders}""",
     "obs": """
         SELECT e * 32 + q AS obs_id, o_custkey AS person_id, e AS encounter_id, 1000 + h % {NQ} AS concept_id,
@@ -104,13 +105,13 @@ TABLES: dict[str, str] = {
           d + q * INTERVAL '7' MINUTE AS obs_datetime, {ANSWER} AS value_coded, CAST(h % 400 AS DOUBLE) / 2 AS value_numeric,
           CASE h % 3 WHEN 0 THEN CAST(101 + h % 12 AS STRING) WHEN 1 THEN 'ORD-' || (e + h % 7) ELSE 'text ' || h % 90 END AS value_text,
           d + (h % 50) * INTERVAL '1' DAY AS value_datetime, CAST(h % 6 AS BIGINT) AS value_drug, CASE WHEN h % 4 = 0 THEN 'note ' || h % 9 END AS comments,
-          (e + h) % 10 AS creator, d + (h % 70) * INTERVAL '1' HOUR AS date_created, h % 21 = 0 AS voided
+          CAST(floor((e - 1) / 150) AS BIGINT) AS creator, d + (h % 70) * INTERVAL '1' HOUR AS date_created, h % 21 = 0 AS voided
         FROM (SELECT o_orderkey + 1 AS e, o_custkey, o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS d, q,
                 (o_orderkey * 7919 + q * 104729 + o_custkey * 31) % 1000003 AS h
               FROM (SELECT o_orderkey, o_custkey, o_orderdate, {EXPAND {NOBS}} AS q FROM {orders}))
         UNION ALL
         SELECT e * 32 + 20 + q, o_custkey, e, 1000 + (e * 7919 + q * 104729 + o_custkey * 31) % 1000003 % {NQ}, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), d, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE),
-          CAST(NULL AS STRING), CAST(NULL AS TIMESTAMP_NTZ), CAST(NULL AS BIGINT), CAST(NULL AS STRING), e % 10, d, FALSE
+          CAST(NULL AS STRING), CAST(NULL AS TIMESTAMP_NTZ), CAST(NULL AS BIGINT), CAST(NULL AS STRING), CAST(floor((e - 1) / 150) AS BIGINT), d, FALSE
         FROM (SELECT o_orderkey + 1 AS e, o_custkey, o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS d, q
               FROM (SELECT o_orderkey, o_custkey, o_orderdate, {EXPAND 3} AS q FROM {orders}))""",
     "orders": """
@@ -123,49 +124,49 @@ TABLES: dict[str, str] = {
           CASE WHEN o_orderkey % 6 = 0 THEN o_orderdate + INTERVAL '20' DAY END AS date_stopped,
           CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL '30' DAY END AS auto_expire_date,
           CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate + INTERVAL '5' DAY END AS scheduled_date, o_orderdate AS date_created,
-          o_orderkey % 10 AS creator, o_orderkey % 10 AS orderer, o_orderkey % 47 = 0 AS voided FROM {orders}""",
+          CAST(floor(o_orderkey / 150) AS BIGINT) AS creator, CAST(floor(o_custkey / 15) AS BIGINT) AS orderer, o_orderkey % 47 = 0 AS voided FROM {orders}""",
     "order_type": "SELECT * FROM (VALUES (1, '{OT1}', 'Test Order'), (2, '{OT2}', 'Drug Order')) AS t(order_type_id, uuid, name)",
     "drug_order": """
         SELECT o_orderkey AS order_id, o_orderkey % 6 AS drug_inventory_id, CAST(o_orderkey % 5 + 1 AS DOUBLE) AS dose, 1000 + o_orderkey % {NC} AS dose_units,
           CAST(o_orderkey % 90 AS DOUBLE) AS quantity, 1000 + o_orderkey * 3 % {NC} AS quantity_units, 1000 + o_orderkey * 7 % {NC} AS route,
           CAST(o_orderkey % 30 AS INTEGER) AS duration, 1000 + o_orderkey * 9 % {NC} AS duration_units, CAST(1 + o_orderkey % 3 AS BIGINT) AS frequency,
-          'take ' || o_orderkey % 4 AS dosing_instructions FROM {orders} WHERE o_orderkey % 2 = 1""",
+          'take ' || o_orderkey % 4 AS dosing_instructions FROM {orders}""",
     "order_frequency": "SELECT * FROM (VALUES (1, 1000), (2, 1001), (3, 1002)) AS t(order_frequency_id, concept_id)",
     "drug": "SELECT * FROM (VALUES (0, 'Drug A 10mg', 'drug-0', 1000), (1, 'Drug B 20mg', 'drug-1', 1001), (2, 'Drug C', 'drug-2', 1002), (3, 'Drug D', 'drug-3', 1003), (4, 'Drug E', 'drug-4', 1004), (5, 'Drug F', 'drug-5', 1005)) AS t(drug_id, name, uuid, concept_id)",
     "program": "SELECT * FROM (VALUES {PROGRAMS}) AS t(program_id, name, uuid, retired)",
     "patient_program": """
-        SELECT o_orderkey AS patient_program_id, o_custkey AS patient_id, CAST(1 + o_orderkey % {NP} AS INTEGER) AS program_id, 101 + o_orderkey % 10 AS location_id,
+        SELECT o_orderkey AS patient_program_id, o_custkey AS patient_id, CAST(1 + o_orderkey % {NP} AS INTEGER) AS program_id, 101 + CAST(floor(o_orderkey / 150) AS BIGINT) AS location_id,
           CASE WHEN o_orderkey % 3 = 0 THEN 1000 + o_orderkey % {NC} END AS outcome_concept_id, o_orderdate AS date_enrolled,
           CASE WHEN o_orderkey % 3 <> 2 THEN o_orderdate + (o_orderkey % 400) * INTERVAL '1' DAY END AS date_completed,
           o_orderdate + INTERVAL '1' DAY AS date_created, CASE WHEN o_orderkey % 5 = 0 THEN o_orderdate + INTERVAL '9' DAY END AS date_changed,
-          o_orderkey % 10 AS creator, o_orderkey % 29 = 0 AS voided FROM {orders}""",
+          CAST(floor(o_orderkey / 150) AS BIGINT) AS creator, o_orderkey % 29 = 0 AS voided FROM {orders}""",
     "program_workflow": "SELECT * FROM (VALUES {WORKFLOWS}) AS t(program_workflow_id, program_id, uuid, concept_id)",
     "program_workflow_state": "SELECT * FROM (VALUES {STATES}) AS t(program_workflow_state_id, program_workflow_id, concept_id, uuid)",
     "patient_state": """
         SELECT o_orderkey * 4 + q AS patient_state_id, o_orderkey AS patient_program_id, CAST(1 + (o_orderkey + q) % {NS} AS INTEGER) AS state,
           CAST(o_orderdate + (q * 60) * INTERVAL '1' DAY AS DATE) AS start_date,
           CASE WHEN q < 2 THEN CAST(o_orderdate + (q * 60 + 60) * INTERVAL '1' DAY AS DATE) END AS end_date, o_orderdate + INTERVAL '2' DAY AS date_created, (o_orderkey + q) % 14 = 0 AS voided
-        FROM (SELECT o_orderkey, o_orderdate, {EXPAND 3} AS q FROM {orders}) WHERE o_orderkey % 4 <> 3""",
+        FROM (SELECT o_orderkey, o_orderdate, {EXPAND 3} AS q FROM {orders})""",
     "relationship_type": "SELECT * FROM (VALUES (1, 'Parent', FALSE), (2, 'Sibling', FALSE)) AS t(relationship_type_id, a_is_to_b, retired)",
     "relationship": """
-        SELECT c_custkey AS relationship_id, c_custkey * 3 % 1000 AS person_a, c_custkey AS person_b, CAST(1 + c_custkey % 2 AS INTEGER) AS relationship,
+        SELECT c_custkey AS relationship_id, CAST(floor(c_custkey / 2) AS BIGINT) AS person_a, c_custkey AS person_b, CAST(1 + c_custkey % 2 AS INTEGER) AS relationship,
           TIMESTAMP_NTZ '1998-01-01 08:00:00' + (c_custkey % 60) * INTERVAL '1' DAY AS date_created, c_custkey % 15 = 0 AS voided FROM {customer}""",
     "dbevent_patient": """
         SELECT o_custkey AS patient_id, max(o_orderdate) AS last_updated, max(o_orderkey) % 50 = 0 AS deleted FROM {orders} GROUP BY o_custkey""",
     "authentication_event_log": """
-        SELECT 'S' || (user_id * 40 + day(ts)) AS login_id, user_id % 10 AS user_id, 'user' || user_id % 10 AS username,
+        SELECT 'S' || (user_id * 40 + day(ts)) AS login_id, CAST(floor(user_id * 2 / 3) AS BIGINT) AS user_id, 'user' || CAST(floor(user_id * 2 / 3) AS BIGINT) AS username,
           CASE event_type WHEN 'signup' THEN 'LOGIN_SUCCEEDED' WHEN 'click' THEN 'LOGOUT_SUCCEEDED' WHEN 'view' THEN 'LOGIN_EXPIRED' ELSE 'LOGIN_FAILED' END AS event_type,
           ts AS event_datetime, '10.0.0.' || user_id AS ip_address FROM {events}""",
     "medication_dispense": """
-        SELECT o_orderkey AS medication_dispense_id, o_custkey AS patient_id, o_orderkey + 1 AS encounter_id, o_orderdate + INTERVAL '1' DAY AS date_handed_over, o_orderdate AS date_created, o_orderkey % 10 AS creator,
-          o_orderkey % 10 AS dispenser, 101 + o_orderkey % 10 AS location_id, o_orderkey % 6 AS drug_id, CAST(o_orderkey % 5 AS DOUBLE) AS dose, 1000 + o_orderkey % {NC} AS dose_units, CAST(1 + o_orderkey % 3 AS INTEGER) AS frequency,
+        SELECT o_orderkey AS medication_dispense_id, o_custkey AS patient_id, o_orderkey + 1 AS encounter_id, o_orderdate + INTERVAL '1' DAY AS date_handed_over, o_orderdate AS date_created, CAST(floor(o_orderkey / 150) AS BIGINT) AS creator,
+          CAST(floor(o_custkey / 15) AS BIGINT) AS dispenser, 101 + CAST(floor(o_orderkey / 150) AS BIGINT) AS location_id, o_orderkey % 6 AS drug_id, CAST(o_orderkey % 5 AS DOUBLE) AS dose, 1000 + o_orderkey % {NC} AS dose_units, CAST(1 + o_orderkey % 3 AS INTEGER) AS frequency,
           CAST(o_orderkey % 80 AS DOUBLE) AS quantity, 1000 + o_orderkey * 3 % {NC} AS quantity_units, o_orderkey AS drug_order_id, 'use ' || o_orderkey % 5 AS dosing_instructions, 1000 + o_orderkey * 7 % {NC} AS status FROM {orders}""",
     "drug_code": "SELECT * FROM (VALUES (0, 'K10'), (0, 'K11'), (1, 'K20'), (3, 'K30')) AS t(drug_id, code)",
     "concept": "SELECT DISTINCT concept_id, CASE WHEN concept_id % 2 = 0 THEN 'Test' ELSE 'Misc' END AS class FROM (VALUES {CODES}) AS t(concept_id, source, code)",
     "encounter_role": "SELECT * FROM (VALUES (1, 'c458d78e-8374-4767-ad58-9f8fe276e01c'), (2, '6e630e03-5182-4cb3-9a82-a5b1a85c09a7')) AS t(encounter_role_id, uuid)",
     "concept_numeric": "SELECT concept_id, 'mg' AS units FROM (VALUES {CODES}) AS t(concept_id, source, code) WHERE concept_id % 2 = 0",
     "user_role": "SELECT s_suppkey AS user_id, CASE q WHEN 0 THEN 'Application Role: clerk ' || s_suppkey % 3 WHEN 1 THEN 'Privilege Level: full' ELSE 'System Role' END AS role FROM (SELECT s_suppkey, {EXPAND 3} AS q FROM {supplier})",
-    "user_property": "SELECT s_suppkey AS user_id, 'authentication.secondaryType' AS property, CASE s_suppkey % 4 WHEN 0 THEN 'secret' WHEN 1 THEN 'totp' WHEN 2 THEN '' ELSE 'sms' END AS property_value FROM {supplier} WHERE s_suppkey % 5 <> 4",
+    "user_property": "SELECT s_suppkey AS user_id, 'authentication.secondaryType' AS property, CASE WHEN s_suppkey % 5 = 4 THEN NULL WHEN s_suppkey % 4 = 0 THEN 'secret' WHEN s_suppkey % 4 = 1 THEN 'totp' WHEN s_suppkey % 4 = 2 THEN '' ELSE 'sms' END AS property_value FROM {supplier}",
     "migration_data_warnings": "SELECT event_id AS id, user_id AS patient_id, event_type AS warning_type, 'value ' || event_id % 7 AS warning_details, CAST(ts AS DATE) AS encounter_date, event_id % 5 = 0 AS flag_for_review FROM {events}",
     "encounter_type": "SELECT * FROM (VALUES {TYPES}) AS t(encounter_type_id, name, uuid)",
     "report_mapping": "SELECT * FROM (VALUES {CODES}) AS t(concept_id, source, code)",
@@ -272,6 +273,9 @@ class DriverSite:
     def exists(self, table: str) -> bool:
         return table in TABLES
 
+    def published(self, name: str, build) -> DataFrame:
+        return Published.get(self.spark, self.folder, name, build)
+
     def read(self, table: str) -> DataFrame:
         if table not in self._read:
             text = self.dictionary.text(table, True)

@@ -12,7 +12,7 @@ from wardmill.sources.warehouse import tag_site, union_sites
 
 AS_OF = "2001-08-15"
 
-P = "'P' || o_custkey % 400"
+P = "'P' || o_custkey"
 TYPES_ADT = "CASE o_orderkey % 3 WHEN 0 THEN 'Admission' WHEN 1 THEN 'Transfer' ELSE 'Exit from Inpatient Care' END"
 SITE = "CASE o_custkey % 3 WHEN 0 THEN 'hiv' WHEN 1 THEN 'north' ELSE 'south' END"
 
@@ -31,16 +31,16 @@ W: dict[str, str] = {
         FROM {{orders}}""",
     "ed_triage": f"""
         SELECT {P} AS emr_id, 'T' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 10) * INTERVAL '1' HOUR AS triage_datetime, CAST(o_orderdate AS DATE) AS date_entered,
-          'user' || o_orderkey % 5 AS user_entered, 'V' || o_custkey % 900 AS visit_id, 'D' || o_custkey AS dossier_id, 'reg' || o_custkey % 4 AS loc_registered,
+          'user' || o_orderkey % 5 AS user_entered, 'V' || o_custkey AS visit_id, 'D' || o_custkey AS dossier_id, 'reg' || o_custkey % 4 AS loc_registered,
           CAST(NULL AS STRING) AS unknown_patient, o_orderdate AS ed_visit_start_datetime, 'ward' || o_orderkey % 6 AS encounter_location, 'provider' || o_orderkey % 9 AS provider,
           'queue' || o_orderkey % 3 AS triage_queue_status, 'color' || o_orderkey % 5 AS triage_color, CAST(o_orderkey % 8 AS INTEGER) AS triage_score,
           CAST(NULL AS INTEGER) AS index_asc, CAST(NULL AS INTEGER) AS index_desc
-        FROM {{orders}} WHERE o_orderkey % 4 = 0""",
+        FROM {{orders}}""",
     "consult_encounters": """
-        SELECT 'C' || o_orderkey AS encounter_id, 'V' || o_custkey % 900 AS visit_id, o_orderdate + (o_orderkey % 15) * INTERVAL '1' HOUR AS encounter_datetime,
+        SELECT 'C' || o_orderkey AS encounter_id, 'V' || o_custkey AS visit_id, o_orderdate + (o_orderkey % 15) * INTERVAL '1' HOUR AS encounter_datetime,
           CASE o_orderkey % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS trauma,
           CASE o_orderkey % 7 WHEN 0 THEN 'Death' WHEN 1 THEN 'Discharged' WHEN 2 THEN 'Left without seeing a clinician' WHEN 3 THEN 'Admit to hospital' WHEN 4 THEN 'Transfer out of hospital' END AS disposition
-        FROM {orders} WHERE o_orderkey % 4 <> 0""",
+        FROM {orders}""",
     "all_diagnosis": f"""
         SELECT CASE q % 2 WHEN 0 THEN 'C' ELSE 'O' END || o_orderkey AS encounter_id, 'B' || (o_orderkey * 8 + q) AS obs_id, (o_orderkey + q) % 5 <> 0 AS coded,
           CASE WHEN (o_orderkey * 5 + q) % 11 <> 0 THEN 'maladie ' || (o_orderkey + CAST(floor(q / 2) AS BIGINT)) % 4 END AS diagnosis_coded_fr, CASE (o_orderkey + q) % 6 WHEN 0 THEN 'ARTERIAL HYPERTENSION' ELSE 'text ' || q END AS diagnosis_entered,
@@ -51,14 +51,14 @@ W: dict[str, str] = {
         SELECT {P} AS emr_id, CAST(o_orderkey AS INTEGER) AS hiv_program_id, CAST(o_orderdate AS DATE) AS date_enrolled,
           CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate + (o_orderkey % 500) * INTERVAL '1' DAY AS DATE) END AS date_completed,
           CASE WHEN o_orderkey % 4 <> 0 THEN 'outcome ' || o_orderkey % 3 END AS outcome, 'place' || o_orderkey % 4 AS location
-        FROM {{orders}} WHERE o_orderkey % 5 = 0""",
+        FROM {{orders}}""",
     "hiv_patient": """
         SELECT 'P' || c_custkey AS emr_id, 'H' || c_custkey AS hivemr_v1_id, 'given' || c_custkey AS given_name, 'family' || c_custkey AS family_name,
           CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, CAST(DATE '1950-01-01' + CAST(c_custkey * 13 % 18000 AS INTEGER) AS DATE) AS birthdate, CAST(c_custkey % 80 AS INTEGER) AS age,
           'addr' || c_custkey AS address, 'dept' || c_nationkey AS department, CASE WHEN c_custkey % 5 <> 0 THEN 'com' || c_custkey % 9 END AS commune, 'sec' || c_custkey % 3 AS section_communal,
           'loc' || c_custkey % 6 AS locality, 'tel' || c_custkey AS telephone_number, 'user' || c_custkey % 4 AS user_entered, 'place' || c_custkey % 4 AS latest_enrollment_location,
           c_custkey % 3 = 0 AS biometrics_collected, TIMESTAMP_NTZ '2000-01-01 00:00:00' + (c_custkey % 90) * INTERVAL '1' DAY AS latest_biometrics_collection_date, 'col' || c_custkey % 2 AS biometrics_collector
-        FROM {customer} WHERE c_custkey < 400""",
+        FROM {customer}""",
     "hiv_visit": f"""
         SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, 'M' || o_orderkey % 3 AS encounter_type, CAST(o_orderdate AS DATE) AS visit_date,
           CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate + (20 + o_orderkey % 60) * INTERVAL '1' DAY AS DATE) END AS next_visit_date, 'place' || o_orderkey % 4 AS visit_location,
@@ -75,50 +75,50 @@ W: dict[str, str] = {
           CAST(o_orderkey % 12 AS INTEGER) AS days_late_to_pickup, 'line ' || o_orderkey % 3 AS current_art_treatment_line, CASE WHEN o_orderkey % 4 <> 0 THEN 'A' || o_orderkey % 5 END AS arv_1_med,
           CASE WHEN o_orderkey % 5 = 0 THEN 'B' || o_orderkey % 3 END AS arv_2_med, CASE WHEN o_orderkey % 7 = 0 THEN 'C' || o_orderkey % 2 END AS arv_3_med,
           CASE WHEN o_orderkey % 3 = 1 THEN 'acc' || o_orderkey % 8 END AS dispensed_accompagnateur
-        FROM {{orders}} WHERE o_orderkey % 2 = 1""",
+        FROM {{orders}}""",
     "hiv_regimens": f"""
         SELECT {P} AS emr_id, CAST(o_orderkey AS INTEGER) AS order_id, CASE WHEN o_orderkey % 5 = 0 THEN 'REVISE' ELSE 'NEW' END AS order_action, CASE o_orderkey % 4 WHEN 0 THEN 'TB' WHEN 1 THEN 'PMTCT' ELSE 'ART' END AS drug_category,
           o_orderdate + (o_orderkey % 13) * INTERVAL '1' HOUR AS encounter_datetime, 'line ' || o_orderkey % 4 AS art_treatment_line, CASE o_orderkey % 9 WHEN 0 THEN 'Isoniazid' WHEN 1 THEN 'Rifapentine + Isoniazid' ELSE 'drug ' || o_orderkey % 6 END AS drug_short_name,
           o_orderdate AS start_date, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + (o_orderkey % 70) * INTERVAL '1' DAY END AS end_date
-        FROM {{orders}} WHERE o_orderkey % 3 <> 1""",
+        FROM {{orders}}""",
     "hiv_viral_load": f"""
         SELECT {P} AS emr_id, 'L' || o_orderkey AS hiv_vl_id, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) END AS vl_sample_taken_date, o_orderdate + INTERVAL '1' DAY AS date_entered,
           CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate + INTERVAL '9' DAY AS DATE) END AS vl_result_date, o_orderdate - INTERVAL '1' DAY AS order_date, 'status ' || o_orderkey % 4 AS status,
           CASE o_orderkey % 9 WHEN 0 THEN 'Detected' WHEN 3 THEN 'Not detected' END AS vl_coded_results, CAST(o_orderkey % 5000 AS INTEGER) AS viral_load
-        FROM {{orders}} WHERE o_orderkey % 3 = 0""",
-    "tb_screening": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 9) * INTERVAL '1' HOUR AS tb_screening_date, CAST(o_orderkey % 2 AS STRING) AS tb_screening_result FROM {{orders}} WHERE o_orderkey % 4 = 1",
+        FROM {{orders}}""",
+    "tb_screening": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 9) * INTERVAL '1' HOUR AS tb_screening_date, CAST(o_orderkey % 2 AS STRING) AS tb_screening_result FROM {{orders}}",
     "tb_lab_results": f"""
         SELECT {P} AS emr_id, 'R' || o_orderkey AS tb_lab_results_id, CAST(o_orderdate AS DATE) AS specimen_collection_date, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderdate + INTERVAL '4' DAY AS DATE) END AS test_result_date,
           CASE o_orderkey % 4 WHEN 0 THEN 'genxpert' WHEN 1 THEN 'smear' WHEN 2 THEN 'culture' ELSE 'skin test' END AS test_type,
           CASE o_orderkey % 5 WHEN 0 THEN 'Detected' WHEN 1 THEN '++' WHEN 2 THEN 'Scanty' WHEN 3 THEN 'Positive' ELSE '1+' END AS test_result_text
-        FROM {{orders}} WHERE o_orderkey % 2 = 0""",
+        FROM {{orders}}""",
     "pmtct_visits": f"""
         SELECT {P} AS emr_id, 'M' || o_orderkey AS encounter_id, CAST(o_orderdate AS DATE) AS visit_date, o_orderdate + INTERVAL '25' DAY AS next_visit_date, 'place' || o_orderkey % 4 AS health_facility, o_orderdate AS date_entered,
           CASE WHEN o_orderkey % 3 = 0 THEN 'pm status ' || o_orderkey % 3 END AS breastfeeding_status, o_orderdate - INTERVAL '1' DAY AS last_breastfeeding_date, {SITE} AS site
-        FROM {{orders}} WHERE o_orderkey % 6 = 3""",
-    "eid_visit": f"SELECT {P} AS emr_id, 'D' || o_orderkey AS encounter_id, CAST(o_orderdate AS DATE) AS visit_date, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate + INTERVAL '40' DAY AS DATE) END AS next_visit_date FROM {{orders}} WHERE o_orderkey % 10 = 4",
+        FROM {{orders}}""",
+    "eid_visit": f"SELECT {P} AS emr_id, 'D' || o_orderkey AS encounter_id, CAST(o_orderdate AS DATE) AS visit_date, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate + INTERVAL '40' DAY AS DATE) END AS next_visit_date FROM {{orders}}",
     "hiv_status": f"""
         SELECT {P} AS emr_id, CAST(o_orderkey AS INTEGER) AS status_id, CAST(o_orderdate AS DATE) AS start_date, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate + (o_orderkey % 200) * INTERVAL '1' DAY AS DATE) END AS end_date,
           CASE o_orderkey % 5 WHEN 0 THEN 'Patient pregnant' WHEN 1 THEN 'Not pregnant' WHEN 2 THEN 'Lost to followup' WHEN 3 THEN 'On treatment' END AS status_outcome
-        FROM {{orders}} WHERE o_orderkey % 2 = 0""",
+        FROM {{orders}}""",
     "all_vitals": f"""
         SELECT {P} AS emr_id, CAST(o_orderkey AS INTEGER) AS all_vitals_id, o_orderdate + (o_orderkey % 11) * INTERVAL '1' HOUR AS encounter_datetime, o_orderdate + INTERVAL '1' DAY AS date_entered,
           CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey % 90 + 30 AS DOUBLE) END AS weight, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey % 60 + 120 AS DOUBLE) END AS height,
           CASE WHEN o_orderkey % 3 <> 1 THEN CAST(o_orderkey % 40 + 60 AS DOUBLE) END AS bp_diastolic, CASE WHEN o_orderkey % 5 <> 1 THEN CAST(o_orderkey % 60 + 90 AS DOUBLE) END AS bp_systolic,
           'ward' || o_orderkey % 6 AS encounter_location, {SITE} AS site
-        FROM {{orders}} WHERE o_orderkey % 3 <> 2""",
+        FROM {{orders}}""",
     "all_patients": """
         SELECT 'P' || c_custkey AS emr_id, CASE WHEN c_custkey % 9 <> 0 THEN CAST(DATE '1950-06-30' + CAST(c_custkey * 17 % 18000 AS INTEGER) AS DATE) END AS dob, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender
-        FROM {customer} WHERE c_custkey < 400""",
+        FROM {customer}""",
     "chemo_session_encounter": f"""
         SELECT {P} AS emr_id, 'O' || o_orderkey AS encounter_id, 'V' || o_orderkey AS visit_id, o_orderdate AS encounter_datetime, 'prov' || o_orderkey % 4 AS provider_name, 'user' || o_orderkey % 5 AS user_entered, o_orderdate AS date_created,
           'ward' || o_orderkey % 6 AS encounter_location, CAST(o_orderkey % 8 AS INTEGER) AS cycle_number, CAST(8 AS INTEGER) AS planned_chemo_sessions, 'plan' || o_orderkey % 3 AS treatment_plan, 'c' || o_orderkey % 4 AS visit_information_comments,
           CAST(NULL AS INTEGER) AS index_asc, CAST(NULL AS INTEGER) AS index_desc
-        FROM {{orders}} WHERE o_orderkey % 3 = 0""",
+        FROM {{orders}}""",
     "chemo_session_regimens": "SELECT 'B' || (o_orderkey * 4 + q) AS obs_id, 'O' || o_orderkey AS encounter_id, 'regimen ' || (o_orderkey + q) % 5 AS chemo_regimen_name FROM (SELECT o_orderkey, {EXPAND 2} AS q FROM {orders})",
     "oncology_treatment_plan": f"""
         SELECT {P} AS emr_id, 'O' || o_orderkey AS encounter_id, 'V' || o_orderkey AS visit_id, o_orderdate AS encounter_datetime, 'prov' || o_orderkey % 4 AS encounter_provider, 'user' || o_orderkey % 5 AS user_entered, CAST(o_orderdate AS DATE) AS date_entered,
-          'stage ' || o_orderkey % 4 AS cancer_stage, 'intent ' || o_orderkey % 2 AS treatment_intent FROM {{orders}} WHERE o_orderkey % 2 = 0""",
+          'stage ' || o_orderkey % 4 AS cancer_stage, 'intent ' || o_orderkey % 2 AS treatment_intent FROM {{orders}}""",
     "all_medication_dispensing": f"""
         SELECT 'S' || o_orderkey AS dispensing_id, {P} AS emr_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS encounter_datetime, 'prov' || o_orderkey % 4 AS encounter_provider, 'ward' || o_orderkey % 6 AS encounter_location,
           'facility' || o_orderkey % 4 AS facility, CASE o_orderkey % 5 WHEN 0 THEN 'Tamoxifen, 10mg, tablet' WHEN 1 THEN 'Tamoxifen, 20mg tablet' ELSE 'drug ' || o_orderkey % 7 END AS drug_name, CAST(o_orderkey % 7 AS INTEGER) AS drug_product_code,
@@ -133,12 +133,12 @@ W: dict[str, str] = {
     "ncd_heart_failure_patient_staging": f"""
         SELECT {P} AS emr_id, max(CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END) AS sex, max(CAST(DATE '1940-01-01' + CAST(o_custkey AS INTEGER) AS DATE)) AS birthdate, CAST(min(o_orderdate) AS DATE) AS hf_diagnosis_date, max(o_orderkey) % 2 = 0 AS ncd_enrolled, max(o_orderkey) % 3 = 0 AS hf_ncd,
           TRUE AS hf_broad, CASE WHEN max(o_orderkey) % 5 = 0 THEN TRUE END AS hf_left, FALSE AS hf_isolated_right, FALSE AS hf_congestive, max(o_orderkey) % 7 = 0 AS hf_rheumatic, CAST(max(o_orderdate) AS DATE) AS last_visit_date, FALSE AS deceased, {SITE} AS site, CAST(1 + o_custkey % 3 AS INTEGER) AS partition_num
-        FROM {{orders}} WHERE o_orderkey % 3 = 0 GROUP BY {P}, {SITE}, CAST(1 + o_custkey % 3 AS INTEGER)""",
+        FROM {{orders}} GROUP BY {P}, {SITE}, CAST(1 + o_custkey % 3 AS INTEGER)""",
     "mch_patient": f"SELECT {P} AS emr_id, {SITE} AS site, CASE WHEN max(o_orderkey) % 9 <> 0 THEN date_trunc('MONTH', max(o_orderdate)) END AS latest_encounter_date FROM {{orders}} GROUP BY {P}, {SITE}",
-    "mch_visit": f"SELECT {SITE} AS site, 'place' || o_orderkey % 5 AS encounter_location, o_orderdate + INTERVAL '1' DAY AS date_entered FROM {{orders}} WHERE o_orderkey % 3 = 0",
-    "covid_visit": f"SELECT {SITE} AS site, CASE WHEN o_orderkey % 7 <> 0 THEN 'place' || o_orderkey % 3 END AS location, o_orderdate AS date_entered FROM {{orders}} WHERE o_orderkey % 4 = 1",
-    "pathology_encounters": f"SELECT {SITE} AS site, 'place' || o_orderkey % 6 AS encounter_location, o_orderdate AS order_datetime FROM {{orders}} WHERE o_orderkey % 5 = 1",
-    "all_lab_results": f"SELECT {SITE} AS site, 'place' || o_orderkey % 4 AS encounter_location, o_orderdate + INTERVAL '3' DAY AS results_entry_date FROM {{orders}} WHERE o_orderkey % 6 = 1",
+    "mch_visit": f"SELECT {SITE} AS site, 'place' || o_orderkey % 5 AS encounter_location, o_orderdate + INTERVAL '1' DAY AS date_entered FROM {{orders}}",
+    "covid_visit": f"SELECT {SITE} AS site, CASE WHEN o_orderkey % 7 <> 0 THEN 'place' || o_orderkey % 3 END AS location, o_orderdate AS date_entered FROM {{orders}}",
+    "pathology_encounters": f"SELECT {SITE} AS site, 'place' || o_orderkey % 6 AS encounter_location, o_orderdate AS order_datetime FROM {{orders}}",
+    "all_lab_results": f"SELECT {SITE} AS site, 'place' || o_orderkey % 4 AS encounter_location, o_orderdate + INTERVAL '3' DAY AS results_entry_date FROM {{orders}}",
 }
 
 

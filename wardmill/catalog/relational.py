@@ -508,7 +508,7 @@ def nearest_tagged_ancestor(t: Tables):
             t.customer.filter("c_custkey % 7 = 0").select(F.concat(F.lit("c"), "c_custkey").alias("node")),
         ]
     )
-    return tree.tagged_ancestor(nodes, tags, "node", "parent", depth=8)
+    return tree.tagged_ancestor(nodes, tags, "node", "parent")
 
 
 @query(

@@ -2,60 +2,46 @@
 
 from __future__ import annotations
 
-from math import ceil, log2
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.sources.staging import staged
+
 
 def set_closure(edges: DataFrame, parent: str, child: str, roots: DataFrame, depth: int = 4) -> DataFrame:
-    """(root, member) pairs reachable within ``depth`` steps; each level is made distinct."""
+    """(root, member) pairs reachable within ``depth`` steps; the number of steps is part of what is asked for.
+
+    One chain of joins carries a path's members along, so each level is joined once.
+    """
     e = edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c")).distinct()
-    level = (
-        roots.select(F.col(roots.columns[0]).alias("root"))
-        .join(e, F.col("root") == F.col("_p"))
-        .select("root", F.col("_c").alias("member"))
-    )
-    out = level
-    for _ in range(depth - 1):
-        level = (
-            level.join(e, F.col("member") == F.col("_p"))
-            .select("root", F.col("_c").alias("member"))
-            .distinct()
-        )
-        out = out.unionByName(level)
-    return out.distinct()
-
-
-def tagged_ancestor(
-    nodes: DataFrame,
-    tagged: DataFrame,
-    node: str = "location_id",
-    parent: str = "parent_location",
-    depth: int | None = None,
-) -> DataFrame:
-    """Nearest ancestor, the node itself included, that is in ``tagged``; null if none.
-
-    Each round doubles the distance looked at, so log2(depth) joins reach every
-    ancestor.  Without ``depth`` the number of nodes bounds it.
+    path = roots.select(F.col(roots.columns[0]).alias("root"), F.col(roots.columns[0]).alias("_0"))
+    for k in range(1, depth + 1):
+        path = path.join(e, F.col(f"_{k - 1}") == F.col("_p"), "left").withColumn(f"_{k}", F.col("_c")).drop("_p", "_c")
+    members = F.explode(F.array(*(f"_{k}" for k in range(1, depth + 1))))
+    return path.select("root", members.alias("member")).where("member IS NOT NULL").distinct()
+
+
+def tagged_ancestor(nodes: DataFrame, tagged: DataFrame, node: str = "location_id", parent: str = "parent_location") -> DataFrame:
+    """Nearest ancestor, the node itself included, that is in ``tagged``; null if none, however deep the tree.
+
+    Only nodes without an answer go up, one level and one join at a time, until none is left; each level is a
+    staged table. A cycle without a tag is an error.
     """
-    if depth is None:
-        depth = nodes.count()
-    t = tagged.select(F.col(node).alias("_wm_t")).distinct()
-    state = (
-        nodes.select(F.col(node).alias("_n"), F.col(parent).alias("_up"))
-        .join(t, F.col("_n") == F.col("_wm_t"), "left")
-        .select(
-            "_n",
-            F.col("_wm_t").alias("_found"),
-            F.when(F.col("_wm_t").isNull(), F.col("_up")).alias("_jump"),
-        )
-    )
-    for _ in range(max(1, ceil(log2(depth + 1)))):
-        far = state.select(
-            F.col("_n").alias("_fn"), F.col("_found").alias("_ff"), F.col("_jump").alias("_fj")
-        )
-        state = state.join(far, F.col("_jump") == F.col("_fn"), "left").select(
-            "_n", F.coalesce("_found", "_ff").alias("_found"), F.col("_fj").alias("_jump")
-        )
-    return state.select(F.col("_n").alias(node), F.col("_found").alias("ancestor_id"))
+    t = tagged.select(F.col(node).alias("_t")).distinct()
+    links = nodes.select(F.col(node).alias("_k"), F.col(parent).alias("_up")).join(t, F.col("_k") == F.col("_t"), "left")
+    links = staged(links.select("_k", "_up", F.col("_t").isNotNull().alias("_hit")), "links")
+    level = links.select(F.col("_k").alias("_n"), F.col("_k").alias("_at"), "_up", "_hit")
+    found = []
+    while True:
+        found.append(level.where("_hit").select("_n", F.col("_at").alias("_found")))
+        going = level.where("NOT _hit AND _up IS NOT NULL").select("_n", F.col("_up").alias("_to"))
+        level = staged(going.join(links, F.col("_to") == F.col("_k")).select("_n", F.col("_k").alias("_at"), "_up", "_hit"), "level")
+        state = level.agg(F.count("*").alias("n"), F.max(F.expr("_n = _at AND NOT _hit")).alias("cycle")).first()
+        if state["cycle"]:
+            raise ValueError(f"{node} and {parent} form a cycle")
+        if not state["n"]:
+            break
+    known = reduce(lambda a, b: a.unionByName(b), found)
+    return nodes.select(node).join(known, F.col(node) == F.col("_n"), "left").select(node, F.col("_found").alias("ancestor_id"))

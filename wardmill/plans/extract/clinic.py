@@ -188,12 +188,14 @@ class Clinic:
         return self._ids[key]
 
     def locations(self) -> DataFrame:
-        """location_id, location_name and the name of the nearest ancestor where visits take place."""
+        """location_id, location_name and the name of the nearest ancestor where visits take place, built once per site."""
         from wardmill.sources.views import locations
 
-        return locations(
-            self.table("location"), self.table("location_tag_map"), self.table("location_tag"), VISIT_LOCATION_TAG
-        )
+        def build() -> DataFrame:
+            tables = (self.table(n) for n in ("location", "location_tag_map", "location_tag"))
+            return locations(*tables, VISIT_LOCATION_TAG)
+
+        return self.site.published("locations", build)
 
     def unknown_location(self) -> str:
         row = self.table("location").filter(F.col("uuid") == UNKNOWN_LOCATION).select("name").first()

@@ -4,14 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardmill.functions.dates import trailing_months_start
+from wardmill.sources.staging import Published
 
+#: Tables too large to be read in one slice.
+LARGE = ("obs", "encounter", "orders")
 
-class ParquetSite:
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds files to read there."""
+    try:
+        spark.read.schema("x int").parquet(path)
+    except AnalysisException as x:
+        if x.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+class Site:
+    """What the jobs ask of a site besides its tables."""
+
+    def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that all jobs of the site share, built at its first use."""
+        return Published.get(self.spark, f"{type(self).__name__}-{self.name}-{self.partition}-{id(self)}", name, build)
+
+
+class ParquetSite(Site):
     """A site whose tables are Parquet files under one folder."""
 
     def __init__(self, spark: SparkSession, name: str, partition: int, folder: str):
@@ -24,16 +48,14 @@ class ParquetSite:
         return self.spark.read.parquet(self.path(table))
 
     def exists(self, table: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        return path_exists(self.spark, self.path(table))
 
 
-class JdbcSite:
+class JdbcSite(Site):
     """A site database read over JDBC in parallel slices of a numeric key.
 
-    ``bounds`` gives (column, lowest, highest, slices) per large table; a table
-    without bounds is read in one slice.
+    ``bounds`` gives (column, lowest, highest, slices) per large table, and must
+    for LARGE; another table without bounds is read in one slice.
     """
 
     def __init__(
@@ -58,6 +80,8 @@ class JdbcSite:
                 "upperBound": str(high),
                 "numPartitions": str(n),
             }
+        elif table in LARGE:
+            raise ValueError(f"{table} needs bounds: it is too large for one slice")
         return opts
 
     def read(self, table: str) -> DataFrame:
@@ -68,7 +92,7 @@ class JdbcSite:
         return self.spark.read.format("jdbc").options(**{**self.options(table), "dbtable": q}).load().first()[0] > 0
 
 
-class CatalogSite:
+class CatalogSite(Site):
     """A site whose tables live in one schema of the session catalog."""
 
     def __init__(self, spark: SparkSession, name: str, partition: int, database: str):

@@ -56,10 +56,10 @@ def current_name_address(person: DataFrame, names: DataFrame, addresses: DataFra
     )
 
 
-def locations(location: DataFrame, tag_map: DataFrame, tags: DataFrame, tag: str, depth: int = 15) -> DataFrame:
+def locations(location: DataFrame, tag_map: DataFrame, tags: DataFrame, tag: str) -> DataFrame:
     """location_id, location_name, facility: the name of the nearest tagged ancestor, itself included."""
     tagged = tag_map.join(tags.filter(F.col("name") == tag).select("location_tag_id"), "location_tag_id", "left_semi")
-    anc = tagged_ancestor(location, tagged, "location_id", "parent_location", depth)
+    anc = tagged_ancestor(location, tagged, "location_id", "parent_location")
     out = location.select("location_id", F.col("name").alias("location_name"))
     out = decode(out, anc, "location_id", "location_id", {"_anc": "ancestor_id"})
     return decode(out, location, "_anc", "location_id", {"facility": "name"}).drop("_anc")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +31,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_site_partition(df: DataFrame, path: str) -> None:
-    """Replace the partitions present in ``df`` and leave all others alone."""
+def write_site_partition(df: DataFrame, path: str, partition: int | None = None) -> None:
+    """Replace a site's partition and leave all others alone.
+
+    With ``partition`` that one is replaced even if ``df`` is empty, so a site that lost its last rows is emptied;
+    without it, the partitions present in ``df``.
+    """
+    if partition is not None:
+        other = df.filter(~F.col(PARTITION).eqNullSafe(partition)).limit(1).count()
+        if other:
+            raise ValueError(f"rows of another partition than {partition}")
+        df.drop(PARTITION).write.mode("overwrite").parquet(f"{path}/{PARTITION}={partition}")
+        return
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -40,19 +52,20 @@ def write_site_partition(df: DataFrame, path: str) -> None:
 
 
 def publish(df: DataFrame, database: str, table: str) -> None:
-    """Build a table beside the current one, then put it in place by name.
+    """Build a new version of a table, then point the name at it.
 
-    Readers see the old rows until the whole build has succeeded.
+    The name is a view, replaced in one step: readers see the old rows or the new ones, never a gap, and a job that dies
+    before the step leaves the old version in place. Versions no longer shown are dropped afterwards, those of
+    jobs that died too.
     """
     spark = df.sparkSession
-    name, staged, old = f"{database}.{table}", f"{database}.{table}_staged", f"{database}.{table}_old"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    df.write.format("parquet").saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    version = f"{table}_v{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(f"{database}.{version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{version}")
+    old = re.compile(re.escape(table) + "_v[0-9a-f]{32}")
+    for t in spark.catalog.listTables(database):
+        if old.fullmatch(t.name) and t.name != version:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{t.name}")
 
 
 def read_warehouse(spark: SparkSession, path: str, partition: int | None = None) -> DataFrame:

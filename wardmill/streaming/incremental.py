@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardmill.sources.site import path_exists
 from wardmill.sources.warehouse import PARTITION, write_site_partition
 
 LOG_SCHEMA = (
@@ -74,8 +75,8 @@ def incremental_refresh(
 ) -> None:
     """Refresh one site's partition of a warehouse table and record the watermark.
 
-    The new partition is written beside the table first: a job must not
-    overwrite the files it is still reading.
+    The new partition is written beside the table first, to ``staging`` on
+    shared storage: a job must not overwrite the files it is still reading.
     """
     log = read_log(spark, log_path)
     lo, hi = prev_watermark(log, table, partition), new_watermark(changes, partition)
@@ -83,13 +84,12 @@ def incremental_refresh(
         return
     base = spark.read.parquet(table_path).filter(F.col(PARTITION) == partition) if lo is not None else fresh
     refreshed(base, fresh, changes, lo, hi).write.mode("overwrite").parquet(staging)
-    write_site_partition(spark.read.parquet(staging), table_path)
+    write_site_partition(spark.read.parquet(staging), table_path, partition)
     log_watermark(spark, log_path, table, partition, lo, hi, completed)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+    if path_exists(spark, path):
         return spark.read.schema(LOG_SCHEMA).parquet(path)
     return spark.createDataFrame([], LOG_SCHEMA)
 
