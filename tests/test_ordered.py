@@ -97,3 +97,30 @@ def test_run_pair_counts_from_both_ends(spark, force_skew):
     df = spark.createDataFrame([("k", t, v) for t, v in enumerate("AABBAC")], "k string, t int, v string")
     got = [(r.t, r.up, r.down) for r in O.run_pair(df, ["k"], ["t"], "v", ("up", "down")).orderBy("t").collect()]
     assert got == [(0, 1, 4), (1, 1, 4), (2, 2, 3), (3, 2, 3), (4, 3, 2), (5, 4, 1)]
+
+
+@pytest.mark.parametrize("lead", ["double", "string", "date"])
+def test_odd_leads_split_equals_plain(spark, lead):
+    rnd = random.Random(11)
+    odd = {
+        "double": [None, float("nan"), float("inf"), float("-inf"), -0.5, *map(float, range(20)), *[3.0] * 20],
+        "string": [None, "", "a", "ab", "abcdefgh", "abcdefgi", "é", "z", *[f"s{i}" for i in range(12)]],
+        "date": [None, "9999-12-31", "0001-01-01", *[f"2020-01-{i:02}" for i in range(1, 20)]],
+    }[lead]
+    kind = "string" if lead == "date" else lead
+    data = [(rnd.choice(["a", "a", "a", "b", None]), i, rnd.choice(odd), rnd.choice(["x", "y", None])) for i in range(500)]
+    df = spark.createDataFrame(data, f"k string, id int, t {kind}, v string").withColumn("t", F.col("t").cast(lead)).cache()
+
+    def scanned():
+        steps = {"a": O.ordinal(), "d": O.ordinal_desc(), "p": O.previous(F.col("v")), "n": O.following(F.col("v")), "l": O.last_known(F.col("v"))}
+        return _key(O.Ordered(df, ["k"], ["t", "id"]).scan(**steps).frame())
+
+    plain = scanned()
+    spark.conf.set(O.MIN_ROWS_CONF, "20")
+    try:
+        assert scanned() == plain
+        ranged, split = O.Ordered(df, ["k"], ["t", "id"])._prepared()
+        sizes = [r["count"] for r in ranged.where("k = 'a'").groupBy(O._RANGE).count().collect()]
+        assert split and len(sizes) > 4 and max(sizes) < 200
+    finally:
+        spark.conf.unset(O.MIN_ROWS_CONF)

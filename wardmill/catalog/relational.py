@@ -694,7 +694,13 @@ def order_modifiers(t: Tables):
     return enrich.modifiers(lines, enc)
 
 
-@query("stable_row_ids", "R52")
+@query(
+    "stable_row_ids",
+    "R52",
+    """
+    SELECT event_id, user_id, ts, md5(concat_ws(chr(31), '=' || event_id, '=' || user_id, '=' || CAST(ts AS VARCHAR))) AS row_id FROM events
+    """,
+)
 def stable_row_ids(t: Tables):
     return merge.row_id(t.events.select("event_id", "user_id", "ts"), ["event_id", "user_id", "ts"])
 

@@ -75,5 +75,9 @@ def dedup_by_ref(
 
 
 def row_id(df: DataFrame, columns: list[str], name: str = "row_id") -> DataFrame:
-    """Stable 64-bit id from the identifying columns: the same row gets the same id on a retry."""
-    return df.withColumn(name, F.xxhash64(*columns))
+    """Stable 128-bit id of the identifying columns: the same row gets the same id on a retry.
+
+    Columns are told apart by a separator and nulls by a mark of their own, both outside ordinary text.
+    """
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return df.withColumn(name, F.md5(F.concat_ws(chr(31), *parts)))

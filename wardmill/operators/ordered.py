@@ -8,9 +8,10 @@ key is large the plan is the plain window.  Otherwise each large key is cut into
 ranges of the leading order column; the window then runs per (key, range) and
 one small row per range carries the state over to the next range.
 
-The list of large keys is bounded by ``most_keys`` and the number of ranges by
-rows / ``min_rows``, so both are safe to broadcast.  A key outside the list has
-at most rows / ``most_keys`` rows.
+Every key above ``min_rows`` rows is cut, at quantiles of its own leading column,
+so ranges hold about equally many rows.  Strings are placed by their first bytes.
+There are at most rows / ``min_rows`` large keys and about as many ranges; both
+are staged or joined by measured size.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardmill.sources.staging import staged
+
 MIN_ROWS_CONF = "wardmill.skew.minRows"
-MOST_KEYS_CONF = "wardmill.skew.mostKeys"
 
 _RANGE = "_wm_range"
 _RN = "_wm_rn"
@@ -62,29 +64,34 @@ def position(df: DataFrame, name: str) -> Column | None:
         return F.timestamp_diff("SECOND", epoch, col).cast("double")
     if isinstance(dtype, T.TimestampType):
         return F.unix_seconds(col).cast("double")
+    if isinstance(dtype, T.StringType):
+        head = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
     return None
 
 
-def large_keys(df: DataFrame, keys: list[str], pos: Column | None = None) -> DataFrame:
-    """Keys above the row limit, largest first, at most ``most_keys`` of them."""
-    conf = df.sparkSession.conf
-    min_rows = int(conf.get(MIN_ROWS_CONF, "2000000"))
-    most = int(conf.get(MOST_KEYS_CONF, "4096"))
-    aggs = [F.count(F.lit(1)).alias("_wm_n")]
-    if pos is not None:
-        aggs += [F.min(pos).alias("_wm_lo"), F.max(pos).alias("_wm_hi")]
-    big = (
-        df.groupBy(*keys)
-        .agg(*aggs)
-        .filter(F.col("_wm_n") > min_rows)
-        .orderBy(F.col("_wm_n").desc())
-        .limit(most)
-    )
-    if pos is None:
-        return big
-    parts = F.ceil(F.col("_wm_n") / F.lit(min_rows)) + 1
-    width = F.greatest((F.col("_wm_hi") - F.col("_wm_lo")) / parts, F.lit(1e-6))
-    return big.withColumn("_wm_width", width)
+def large_keys(src: DataFrame, keys: list[str], pos: Column) -> DataFrame | None:
+    """Keys above the row limit with cuts of ``pos`` (``_wm_cuts``) between ranges of about equal numbers of rows.
+
+    None if there are none.  Cuts are quantiles of the finite values; a range holds at most about the row limit unless
+    one value of ``pos`` has more rows than that.  There are at most rows / limit such keys.
+    """
+    min_rows = int(src.sparkSession.conf.get(MIN_ROWS_CONF, "2000000"))
+    counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wm_n")).filter(F.col("_wm_n") > min_rows)
+    most = counts.agg(F.max("_wm_n")).first()[0]
+    if most is None:
+        return None
+    big = staged(counts, "large-keys")
+    parts = -(-most // min_rows) + 1
+    named = big.select(*[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(keys)])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_wm_k{i}"))
+    finite = F.when(~F.isnan(pos) & (F.abs(pos) < float("inf")), pos)
+    shares = [i / parts for i in range(1, parts)]
+    cuts = F.array_distinct(F.percentile_approx("_wm_pos", shares, 10 * parts)).alias("_wm_cuts")
+    rows = src.select(*keys, finite.alias("_wm_pos")).join(named, cond)
+    return staged(rows.groupBy(*[f"_wm_k{i}" for i in range(len(keys))]).agg(cuts), "cuts")
 
 
 @dataclass(frozen=True)
@@ -117,6 +124,8 @@ def last_known(value: Column) -> Step:
 
 
 def running_sum(value: Column) -> Step:
+    """Sum up to and including the row; over doubles the last digits depend on the order of addition, so pass decimals or
+    whole numbers where they matter."""
     return Step("running_sum", value)
 
 
@@ -149,30 +158,18 @@ class Ordered:
         plain = self.df.withColumn(_RANGE, F.lit(None).cast("long"))
         if pos is None:
             return plain, False
-        found = large_keys(src, self.keys, pos)
-        rows = found.collect()  # at most ``most_keys`` rows
-        if not rows:
+        big = large_keys(src, self.keys, pos)
+        if big is None:
             return plain, False
         pos = position(self.df, lead)
-        big = self.df.sparkSession.createDataFrame(rows, found.schema)
-        big = F.broadcast(
-            big.select(
-                *[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(self.keys)],
-                F.lit(True).alias("_wm_big"),
-                "_wm_lo",
-                "_wm_width",
-            )
-        )
         cond = F.lit(True)
         for i, k in enumerate(self.keys):
             cond = cond & F.col(k).eqNullSafe(F.col(f"_wm_k{i}"))
-        bucket = F.floor((pos - F.col("_wm_lo")) / F.col("_wm_width"))
-        rng = F.when(F.col("_wm_big"), F.coalesce(bucket, F.lit(-1)).cast("long"))
-        ranged = (
-            self.df.join(big, cond, "left")
-            .withColumn(_RANGE, rng)
-            .drop("_wm_big", "_wm_lo", "_wm_width", *[f"_wm_k{i}" for i in range(len(self.keys))])
-        )
+        ranged = self.df.withColumn("_wm_pos", pos).join(big.withColumn("_wm_big", F.lit(True)), cond, "left")
+        # NaN and infinity sort with the largest finite values, nulls have a range of their own
+        bucket = F.expr("size(filter(coalesce(_wm_cuts, array()), c -> c < _wm_pos))")
+        rng = F.when(F.col("_wm_big"), F.when(F.col("_wm_pos").isNull(), -1).otherwise(bucket).cast("long"))
+        ranged = ranged.withColumn(_RANGE, rng).drop("_wm_pos", "_wm_big", "_wm_cuts", *[f"_wm_k{i}" for i in range(len(self.keys))])
         return ranged, True
 
     def scan(self, **steps: Step) -> "Ordered":
@@ -259,12 +256,10 @@ class Ordered:
                 carry.append(F.sum(a).over(rbefore).alias(c))
             elif s.kind == "max_before":
                 carry.append(F.max(a).over(rbefore).alias(c))
-        carried = F.broadcast(
-            ranges.select(
-                *[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(self.keys)],
-                F.col(_RANGE).alias("_wm_krange"),
-                *carry,
-            )
+        carried = ranges.select(
+            *[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(self.keys)],
+            F.col(_RANGE).alias("_wm_krange"),
+            *carry,
         )
         cond = F.col(_RANGE) == F.col("_wm_krange")
         for i, k in enumerate(self.keys):
