@@ -414,7 +414,7 @@ def shipments_inside_order_windows(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_shipdate").join(
         o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
     ).select("o_custkey", "l_shipdate")
-    # many shipments share a customer and day: count them before the range join
+    # many shipments share a customer and day: count them first; windows then take differences of running sums
     daily = lines.groupBy("o_custkey", "l_shipdate").agg(F.count(F.lit(1)).alias("n"))
     span = o.select(
         "o_orderkey",
@@ -422,10 +422,11 @@ def shipments_inside_order_windows(t: Tables):
         "o_orderdate",
         F.when(F.col("o_orderstatus") != "O", F.expr("o_orderdate + INTERVAL 45 DAY")).alias("until"),
     )
-    pairs = intervals.join_containing(
-        daily, span, ["o_custkey"], "l_shipdate", "o_orderdate", "until", {"o_orderkey": "o_orderkey"}
-    )
-    return pairs.groupBy("o_orderkey").agg(F.sum("n").alias("shipments"))
+    counted = asof.count_within(
+        span, ["o_orderkey"], daily, ["o_custkey"], "o_orderdate", "until", "l_shipdate",
+        {"shipments": F.lit(True)}, "9999-12-31 00:00:00", F.col("n"),
+    )
+    return counted.filter("shipments > 0").select("o_orderkey", "shipments")
 
 
 @query(

@@ -193,8 +193,9 @@ def count_within(
     right_ts: str,
     counts: dict[str, Column],
     now,
+    weight: Column | None = None,
 ) -> DataFrame:
-    """Right rows inside each left row's ``[lo, hi]`` that meet each predicate.
+    """Right rows inside each left row's ``[lo, hi]`` that meet each predicate, or the sum of their ``weight``.
 
     Counts are the difference of two running counts, so the work is one sort of
     left + right rows even when a key has very many of both.  ``ids`` identifies
@@ -208,7 +209,7 @@ def count_within(
         *mark,
         _time(F.col(right_ts)).alias("_wm_ts"),
         F.lit(1).alias("_wm_side"),
-        *[F.when(p, 1).otherwise(0).alias(f"_wm_n{i}") for i, p in enumerate(counts.values())],
+        *[F.when(p, F.lit(1) if weight is None else weight).otherwise(0).alias(f"_wm_n{i}") for i, p in enumerate(counts.values())],
     )
     start = left.select(*mark, _time(F.col(lo)).alias("_wm_ts"), F.lit(0).alias("_wm_side"), *zero, ident)
     stop = left.select(

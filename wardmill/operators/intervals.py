@@ -20,6 +20,11 @@ def cell(ts: Column, days: int) -> Column:
     return F.floor(F.datediff(ts.cast("date"), epoch) / F.lit(days)).cast("int")
 
 
+def closed_at(end: Column) -> Column:
+    """Whether an interval ends; ends from the year 9000 on stand for "open" and are not cut into cells."""
+    return F.coalesce(end.cast("timestamp_ntz") < F.lit("9000-01-01").cast("timestamp_ntz"), F.lit(False))
+
+
 def _cells(start: Column, end: Column, days: int) -> Column:
     return F.when(start.cast("date") <= end.cast("date"), F.sequence(cell(start, days), cell(end, days)))
 
@@ -45,7 +50,7 @@ def join_containing(
     how: str = "inner",
     days: int = 30,
 ) -> DataFrame:
-    """Intervals that contain the event, both ends inclusive; a null end is open.
+    """Intervals that contain the event, both ends inclusive; a null end, or one from the year 9000 on, is open.
 
     Closed intervals meet events cell by cell.  Open ones need no cells: they
     contain every event from their start on.  ``latest_only`` keeps, per event
@@ -60,7 +65,7 @@ def join_containing(
     need = list(dict.fromkeys([*keys, *(ids or []), ts])) if (latest_only or how == "left") else events.columns
     ev = events.select(*need)
 
-    closed = started.filter(F.col(end).isNotNull()).select(
+    closed = started.filter(closed_at(F.col(end))).select(
         *[F.col(k).alias(f"_wm_b{i}") for i, k in enumerate(keys)],
         F.col(start).cast("timestamp_ntz").alias("_wm_s"),
         F.col(end).cast("timestamp_ntz").alias("_wm_e"),
@@ -72,7 +77,7 @@ def join_containing(
     pick = [F.col(f"_wm_{o}").alias(o) for o in outs]
     hits = marked.join(closed, _keyed(len(keys)) & inside).select(*need, *pick)
 
-    still = started.filter(F.col(end).isNull())
+    still = started.filter(~closed_at(F.col(end)))
     if latest_only:
         got = asof_latest(ev, still, keys, ts, start, outs, tie)
         got = got.filter(F.col("_wm_from").isNotNull())
@@ -121,8 +126,8 @@ def join_overlap(
     meet = meet & (F.col(e1).isNull() | (F.col("_wm_s") <= F.col(e1)))
     outs = [*a.columns, *[F.col(f"_wm_{o}").alias(o) for o in columns]]
 
-    left_shut, left_open = left.filter(F.col(e1).isNotNull()), left.filter(F.col(e1).isNull())
-    right_shut, right_open = right.filter("_wm_e is not null"), right.filter("_wm_e is null")
+    left_shut, left_open = left.filter(closed_at(F.col(e1))), left.filter(~closed_at(F.col(e1)))
+    right_shut, right_open = right.filter(closed_at(F.col("_wm_e"))), right.filter(~closed_at(F.col("_wm_e")))
     lc = left_shut.withColumn("_wm_c1", F.explode(_cells(F.col(s1), F.col(e1), days)))
     rc = right_shut.withColumn("_wm_c2", F.explode(_cells(F.col("_wm_s"), F.col("_wm_e"), days)))
     once = F.col("_wm_c1") == F.greatest(cell(F.col(s1), days), cell(F.col("_wm_s"), days))

@@ -813,6 +813,21 @@ def enrolment_overlaps(c: Clinic) -> DataFrame:
     )
 
 
+def enrolments_inside(c: Clinic) -> DataFrame:
+    """Per enrolment the number of later ones of its patient and program that start strictly inside it: no pairs."""
+    from wardmill.operators.asof import count_within
+
+    pp = c.live("patient_program").join(c.table("program").select("program_id"), "program_id", "left_semi")
+    pp = pp.filter("date_enrolled is not null").select(
+        "patient_id", "program_id", "patient_program_id", F.col("date_enrolled").cast("timestamp_ntz").alias("starts"),
+        F.expr("CAST(date_enrolled AS timestamp_ntz) + INTERVAL 1 MICROSECOND").alias("lo"),
+        F.expr("CAST(date_completed AS timestamp_ntz) - INTERVAL 1 MICROSECOND").alias("hi"),
+    )
+    return count_within(
+        pp, ["patient_program_id"], pp, ["patient_id", "program_id"], "lo", "hi", "starts", {"inside": F.lit(True)}, "9999-12-31 00:00:00"
+    )
+
+
 def _rule_table(c: Clinic) -> DataFrame:
     from wardmill.sources.reference import literal_table
 
@@ -829,7 +844,7 @@ def data_quality_log_summary(c: Clinic) -> DataFrame:
     # ordered pairs of enrolments of one patient in one program, from counts instead of pairs
     per = pp.groupBy("patient_id", "program_id").agg(F.count(F.lit(1)).alias("n"))
     pairs = per.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(0)).cast("bigint").alias("total_count"))
-    found = enrolment_overlaps(c).agg(F.count(F.lit(1)).alias("number_of_cases")).withColumn("rule", F.lit(5))
+    found = enrolments_inside(c).agg(F.coalesce(F.sum("inside"), F.lit(0)).cast("bigint").alias("number_of_cases")).withColumn("rule", F.lit(5))
     five = found.join(pairs.withColumn("rule", F.lit(5)), "rule").select("rule", "number_of_cases", "total_count")
     out = union_rows([counts, five]).filter("number_of_cases > 0").join(_rule_table(c), "rule")
     return out.select(
