@@ -80,7 +80,7 @@ TABLES: dict[str, str] = {
     "users": """
         SELECT s_suppkey AS user_id, 10000000 + s_suppkey AS person_id, CASE WHEN s_suppkey % 5 <> 0 THEN 'user' || s_suppkey END AS username,
           'sys-' || s_suppkey AS system_id, s_suppkey % 8 = 0 AS retired, TIMESTAMP_NTZ '1995-01-01 08:00:00' + s_suppkey * INTERVAL '1' HOUR AS date_created,
-          CAST(0 AS BIGINT) AS creator FROM {supplier}""",
+          CAST(0 AS BIGINT) AS creator, CASE WHEN s_suppkey % 3 <> 0 THEN 'user' || s_suppkey || '@example.org' END AS email FROM {supplier}""",
     "provider": "SELECT s_suppkey AS provider_id, 10000000 + s_suppkey AS person_id, CAST(1 + s_suppkey % 3 AS INTEGER) AS provider_role_id FROM {supplier}",
     "provider_role": "SELECT * FROM (VALUES (1, 'Nurse'), (2, 'Doctor'), (3, 'Clerk')) AS t(provider_role_id, name)",
     "encounter_provider": """
@@ -130,7 +130,8 @@ TABLES: dict[str, str] = {
         SELECT o_orderkey AS order_id, o_orderkey % 6 AS drug_inventory_id, CAST(o_orderkey % 5 + 1 AS DOUBLE) AS dose, 1000 + o_orderkey % {NC} AS dose_units,
           CAST(o_orderkey % 90 AS DOUBLE) AS quantity, 1000 + o_orderkey * 3 % {NC} AS quantity_units, 1000 + o_orderkey * 7 % {NC} AS route,
           CAST(o_orderkey % 30 AS INTEGER) AS duration, 1000 + o_orderkey * 9 % {NC} AS duration_units, CAST(1 + o_orderkey % 3 AS BIGINT) AS frequency,
-          'take ' || o_orderkey % 4 AS dosing_instructions FROM {orders}""",
+          'take ' || o_orderkey % 4 AS dosing_instructions, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 4 AS INTEGER) END AS num_refills,
+          CASE WHEN o_orderkey % 11 = 0 THEN 'compound ' || o_orderkey % 9 END AS drug_non_coded FROM {orders}""",
     "order_frequency": "SELECT * FROM (VALUES (1, 1000), (2, 1001), (3, 1002)) AS t(order_frequency_id, concept_id)",
     "drug": "SELECT * FROM (VALUES (0, 'Drug A 10mg', 'drug-0', 1000), (1, 'Drug B 20mg', 'drug-1', 1001), (2, 'Drug C', 'drug-2', 1002), (3, 'Drug D', 'drug-3', 1003), (4, 'Drug E', 'drug-4', 1004), (5, 'Drug F', 'drug-5', 1005)) AS t(drug_id, name, uuid, concept_id)",
     "program": "SELECT * FROM (VALUES {PROGRAMS}) AS t(program_id, name, uuid, retired)",
@@ -167,7 +168,7 @@ TABLES: dict[str, str] = {
     "concept_numeric": "SELECT concept_id, 'mg' AS units FROM (VALUES {CODES}) AS t(concept_id, source, code) WHERE concept_id % 2 = 0",
     "user_role": "SELECT s_suppkey AS user_id, CASE q WHEN 0 THEN 'Application Role: clerk ' || s_suppkey % 3 WHEN 1 THEN 'Privilege Level: full' ELSE 'System Role' END AS role FROM (SELECT s_suppkey, {EXPAND 3} AS q FROM {supplier})",
     "user_property": "SELECT s_suppkey AS user_id, 'authentication.secondaryType' AS property, CASE WHEN s_suppkey % 5 = 4 THEN NULL WHEN s_suppkey % 4 = 0 THEN 'secret' WHEN s_suppkey % 4 = 1 THEN 'totp' WHEN s_suppkey % 4 = 2 THEN '' ELSE 'sms' END AS property_value FROM {supplier}",
-    "migration_data_warnings": "SELECT event_id AS id, user_id AS patient_id, event_type AS warning_type, 'value ' || event_id % 7 AS warning_details, CAST(ts AS DATE) AS encounter_date, event_id % 5 = 0 AS flag_for_review FROM {events}",
+    "migration_data_warnings": "SELECT event_id AS id, user_id AS patient_id, CASE WHEN event_id % 4 <> 0 THEN event_id * 3 END AS encounter_id, CASE WHEN event_id % 6 <> 1 THEN event_id * 7 END AS source_encounter_id, 'P' || user_id AS emr_id, CASE WHEN user_id % 3 = 0 THEN user_id + 5000 END AS hivemr_v1_id, 'D' || user_id % 40 AS hiv_dossier_id, event_type AS warning_type, 'value ' || event_id % 7 AS warning_details, CAST(ts AS DATE) AS encounter_date, CASE event_id % 3 WHEN 0 THEN 'weight' WHEN 1 THEN 'visit date' END AS field_name, CASE WHEN event_id % 3 <> 2 THEN 'given ' || event_id % 13 END AS field_value, event_id % 5 = 0 AS flag_for_review FROM {events}",
     "encounter_type": "SELECT * FROM (VALUES {TYPES}) AS t(encounter_type_id, name, uuid)",
     "report_mapping": "SELECT * FROM (VALUES {CODES}) AS t(concept_id, source, code)",
     "concept_name": "SELECT * FROM (VALUES {NAMES}) AS t(concept_id, name, locale, locale_preferred, concept_name_type, voided)",

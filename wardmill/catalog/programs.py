@@ -180,7 +180,7 @@ extract(
     x AS (SELECT r.*, oa.line, first_value(oa.line) OVER (PARTITION BY r.patient_id, r.cat ORDER BY r.order_id) AS l0, row_number() OVER (PARTITION BY r.patient_id, r.cat ORDER BY r.order_id DESC) AS rd FROM r LEFT JOIN oa ON oa.encounter_id = r.encounter_id)
     SELECT x.order_id, x.previous_order_id, emr.identifier AS emr_id, x.order_action, {K}x.encounter_id AS encounter_id, en.encounter_datetime, lo.name AS visit_location, en.date_created AS date_entered, coalesce(u.username, u.system_id) AS user_entered, x.cat AS drug_category, x.line AS art_treatment_line,
       d.drug_inventory_id AS drug_id, sn.name AS drug_short_name, dg.name AS drug_name, d.dose, n1.name AS dose_units, d.quantity AS prescribed_quantity, n2.name AS quantity_units, n3.name AS route, n4.name AS frequency, CAST(d.duration AS DOUBLE) AS duration, n5.name AS duration_units, x.date_activated AS start_date, x.ed AS end_date,
-      CASE WHEN x.ed IS NOT NULL THEN coalesce(af.rv, af.dc, CASE WHEN x.ex THEN 'expired' END) END AS end_reasons, CASE WHEN x.cat IN ('PMTCT', 'HIV Prophylaxis') THEN '1' ELSE '0' END AS ptme_or_prophylaxis, CASE WHEN x.cat = 'ART' AND x.rd = 1 THEN x.l0 END AS regimen_line_original, art.d AS art_start_date
+      CASE WHEN x.ed IS NOT NULL THEN coalesce(af.rv, af.dc, CASE WHEN x.ex THEN 'expired' END) END AS end_reasons, CASE WHEN x.cat IN ('PMTCT', 'HIV Prophylaxis') THEN '1' ELSE '0' END AS ptme_or_prophylaxis, CASE WHEN x.cat = 'ART' AND x.rd = 1 THEN x.l0 END AS regimen_line_original, art.d AS art_start_date, CAST(NULL AS TIMESTAMP) AS inh_completion_date
     FROM x LEFT JOIN {identifier("emr")} emr ON emr.patient_id = x.patient_id LEFT JOIN c_encounter en ON en.encounter_id = x.encounter_id LEFT JOIN hl ON hl.encounter_id = x.encounter_id LEFT JOIN c_location lo ON lo.location_id = hl.lid LEFT JOIN c_users u ON u.user_id = en.creator LEFT JOIN c_drug_order d ON d.order_id = x.order_id
     LEFT JOIN c_drug dg ON dg.drug_id = d.drug_inventory_id LEFT JOIN c_order_frequency f ON f.order_frequency_id = d.frequency LEFT JOIN nm sn ON sn.concept_id = x.concept_id LEFT JOIN nm n1 ON n1.concept_id = d.dose_units LEFT JOIN nm n2 ON n2.concept_id = d.quantity_units LEFT JOIN nm n3 ON n3.concept_id = d.route
     LEFT JOIN nm n4 ON n4.concept_id = f.concept_id LEFT JOIN nm n5 ON n5.concept_id = d.duration_units LEFT JOIN af ON af.pid = x.order_id LEFT JOIN art ON art.patient_id = x.patient_id""",
@@ -403,7 +403,8 @@ extract(
     "new_medication_dispensing",
     "X62 R58",
     NM,
-    f"""SELECT emr.identifier AS emr_id, e.date_created AS date_entered, u.username AS user_entered, d.name AS drug_name, dc.code AS drug_product_code, e.dose AS quantity_per_dose, dn.name AS dose_unit, fn.name AS frequency, e.quantity AS quantity_dispensed, e.dosing_instructions AS prescription
+    f"""SELECT emr.identifier AS emr_id, CAST(NULL AS INTEGER) AS encounter_id, CAST(NULL AS TIMESTAMP) AS encounter_datetime, CAST(NULL AS VARCHAR) AS encounter_location, CAST(NULL AS VARCHAR) AS encounter_provider, CAST(NULL AS INTEGER) AS duration, CAST(NULL AS VARCHAR) AS duration_unit,
+      e.date_created AS date_entered, u.username AS user_entered, d.name AS drug_name, dc.code AS drug_product_code, e.dose AS quantity_per_dose, dn.name AS dose_unit, fn.name AS frequency, e.quantity AS quantity_dispensed, e.dosing_instructions AS prescription
     FROM c_medication_dispense e {EMR} LEFT JOIN c_users u ON u.user_id = e.creator LEFT JOIN c_drug d ON d.drug_id = e.drug_id LEFT JOIN (SELECT drug_id, min(code) AS code FROM c_drug_code GROUP BY 1) dc ON dc.drug_id = e.drug_id LEFT JOIN nm dn ON dn.concept_id = e.dose_units
     LEFT JOIN c_order_frequency f ON f.order_frequency_id = e.frequency LEFT JOIN nm fn ON fn.concept_id = f.concept_id""",
     X.new_medication_dispensing,

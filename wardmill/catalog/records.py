@@ -276,15 +276,15 @@ extract(
     oc AS (SELECT encounter_id, {_last("value_text", "Medication comments (text)")} AS t FROM c_obs o WHERE NOT voided GROUP BY 1),
     x AS (
       SELECT h.encounter_id, h.person_id AS patient_id, e.encounter_type, e.visit_id, e.location_id, e.creator, CAST(NULL AS BIGINT) AS oid, CAST(e.date_created AS DATE) AS cd, CAST(e.encounter_datetime AS DATE) AS ad, g.dcon, g.drug, g.dose, g.du, g.ins, CAST(NULL AS VARCHAR) AS route, g.freq, g.qty,
-        CAST(NULL AS VARCHAR) AS qu, g.dur, g.duu, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS com
+        CAST(NULL AS VARCHAR) AS qu, g.dur, g.duu, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS com, CAST(NULL AS VARCHAR) AS non, CAST(NULL AS INTEGER) AS refills
       FROM c_obs h JOIN c_encounter e ON e.encounter_id = h.encounter_id AND NOT e.voided LEFT JOIN g ON g.obs_group_id = h.obs_id WHERE NOT h.voided AND h.concept_id = {{10742}}
       UNION ALL
-      SELECT o.encounter_id, o.patient_id, e.encounter_type, e.visit_id, e.location_id, e.creator, o.order_id, CAST(o.date_created AS DATE), CAST(o.date_activated AS DATE), o.concept_id, d.drug_inventory_id, d.dose, n1.name, d.dosing_instructions, n2.name, n3.name, d.quantity, n4.name, d.duration, n5.name, n6.name, oc.t
+      SELECT o.encounter_id, o.patient_id, e.encounter_type, e.visit_id, e.location_id, e.creator, o.order_id, CAST(o.date_created AS DATE), CAST(o.date_activated AS DATE), o.concept_id, d.drug_inventory_id, d.dose, n1.name, d.dosing_instructions, n2.name, n3.name, d.quantity, n4.name, d.duration, n5.name, n6.name, oc.t, d.drug_non_coded, d.num_refills
       FROM c_orders o JOIN c_drug_order d ON d.order_id = o.order_id LEFT JOIN c_encounter e ON e.encounter_id = o.encounter_id AND NOT e.voided LEFT JOIN c_order_frequency f ON f.order_frequency_id = d.frequency LEFT JOIN nm n1 ON n1.concept_id = d.dose_units LEFT JOIN nm n2 ON n2.concept_id = d.route
       LEFT JOIN nm n3 ON n3.concept_id = f.concept_id LEFT JOIN nm n4 ON n4.concept_id = d.quantity_units LEFT JOIN nm n5 ON n5.concept_id = d.duration_units LEFT JOIN nm n6 ON n6.concept_id = o.order_reason LEFT JOIN oc ON oc.encounter_id = o.encounter_id WHERE NOT o.voided)
     SELECT emr.identifier AS emr_id, et.name AS encounter_type, {K}e.encounter_id AS encounter_id, {K}e.visit_id AS visit_id, vl.name AS visit_location, {K}oid AS order_id, el.location_name AS order_location, {FAC} AS facility, cd AS order_created_date, ad AS order_date_activated, cu.person_name AS user_entered,
       prov.person_name AS prescriber, dn.name AS order_drug, d.name AS order_formulation, dc.code AS product_code, CAST(trunc(qty) AS INTEGER) AS order_quantity, qu AS order_quantity_units, CAST(trunc(dose) AS INTEGER) AS order_dose, du AS order_dose_unit, ins AS order_dosing_instructions, route AS order_route,
-      freq AS order_frequency, CAST(trunc(dur) AS INTEGER) AS order_duration, duu AS order_duration_units, reason AS order_reason, com AS order_comments
+      freq AS order_frequency, CAST(trunc(dur) AS INTEGER) AS order_duration, duu AS order_duration_units, reason AS order_reason, com AS order_comments, non AS order_formulation_non_coded, refills AS order_quantity_num_refills
     FROM x e {V} {ET} {EMR} {U} {PR} LEFT JOIN nm dn ON dn.concept_id = e.dcon LEFT JOIN c_drug d ON d.drug_id = e.drug LEFT JOIN {DRUG_CODE} dc ON dc.drug_id = e.drug""",
     R.all_medication_prescribed,
     "orders drug_order order_frequency drug drug_code",
@@ -411,8 +411,8 @@ extract(
     "X84 F18",
     D1,
     ACC
-    + """ SELECT acc.* EXCLUDE (user_id, person_id), r.name AS provider_type, CASE coalesce(nullif(up.property_value, ''), 'disabled') WHEN 'secret' THEN 'question' WHEN 'totp' THEN 'authenticator' ELSE coalesce(nullif(up.property_value, ''), 'disabled') END AS mfa_status
-    FROM acc LEFT JOIN c_provider p ON p.person_id = acc.person_id LEFT JOIN c_provider_role r ON r.provider_role_id = p.provider_role_id LEFT JOIN c_user_property up ON up.user_id = acc.user_id AND up.property = 'authentication.secondaryType'""",
+    + """ SELECT acc.* EXCLUDE (user_id, person_id), ux.email, r.name AS provider_type, CASE coalesce(nullif(up.property_value, ''), 'disabled') WHEN 'secret' THEN 'question' WHEN 'totp' THEN 'authenticator' ELSE coalesce(nullif(up.property_value, ''), 'disabled') END AS mfa_status
+    FROM acc LEFT JOIN c_users ux ON ux.user_id = acc.user_id LEFT JOIN c_provider p ON p.person_id = acc.person_id LEFT JOIN c_provider_role r ON r.provider_role_id = p.provider_role_id LEFT JOIN c_user_property up ON up.user_id = acc.user_id AND up.property = 'authentication.secondaryType'""",
     R.users,
     "authentication_event_log provider_role user_property",
 )

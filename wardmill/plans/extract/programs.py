@@ -357,6 +357,7 @@ def hiv_regimens(c: Clinic) -> DataFrame:
         ).alias("end_reasons"),
         F.when(F.col("drug_category").isin("PMTCT", "HIV Prophylaxis"), "1").otherwise("0").alias("ptme_or_prophylaxis"),
         F.when(F.col("_last"), F.col("_line")).alias("regimen_line_original"), F.to_date("_art").alias("art_start_date"),
+        F.lit(None).cast("timestamp_ntz").alias("inh_completion_date"),  # in the contract, filled by no step
     )
 
 
@@ -1126,6 +1127,13 @@ def pathology_procedures(c: Clinic, order_type: str = PATHOLOGY_ORDER) -> DataFr
     )
 
 
+#: Columns of the contract that no step of the job fills.
+UNFILLED_DISPENSING = {
+    "encounter_id": "int", "encounter_datetime": "timestamp_ntz", "encounter_location": "string", "encounter_provider": "string",
+    "duration": "int", "duration_unit": "string",
+}
+
+
 def new_medication_dispensing(c: Clinic) -> DataFrame:
     from wardmill.plans.extract.records import drug_codes
 
@@ -1136,7 +1144,8 @@ def new_medication_dispensing(c: Clinic) -> DataFrame:
     m = enrich.decode(m, drug_codes(c), "drug_id", "drug_id", {"drug_product_code": "code"})
     m = c.with_identifier(enrich.decode(m, c.table("users"), "creator", "user_id", {"user_entered": "username"}))
     return m.select(
-        "emr_id", F.col("date_created").alias("date_entered"), "user_entered", "drug_name", "drug_product_code", F.col("dose").alias("quantity_per_dose"),
+        "emr_id", *(F.lit(None).cast(t).alias(n) for n, t in UNFILLED_DISPENSING.items()), F.col("date_created").alias("date_entered"),
+        "user_entered", "drug_name", "drug_product_code", F.col("dose").alias("quantity_per_dose"),
         F.col("_du").alias("dose_unit"), F.col("_freq").alias("frequency"), F.col("quantity").alias("quantity_dispensed"),
         F.col("dosing_instructions").alias("prescription"),
     )

@@ -686,6 +686,7 @@ def all_medication_prescribed(c: Clinic) -> DataFrame:
         F.col("dose").alias("order_dose"), "order_dose_unit", F.col("dosing_instructions").alias("order_dosing_instructions"),
         "order_route", "order_frequency", F.col("quantity").alias("order_quantity"), "order_quantity_units",
         F.col("duration").cast("double").alias("order_duration"), "order_duration_units", F.col("_reason").alias("order_reason"),
+        F.col("drug_non_coded").alias("order_formulation_non_coded"), F.col("num_refills").alias("order_quantity_num_refills"),
         "order_comments", F.to_date("date_created").alias("order_created_date"), F.to_date("date_activated").alias("order_date_activated"),
     ).join(e.drop("encounter_datetime", "_created"), "encounter_id", "left")
     m = union_rows([a.drop("encounter_datetime", "_created", "_group"), b])
@@ -697,7 +698,7 @@ def all_medication_prescribed(c: Clinic) -> DataFrame:
         "emr_id", F.col("encounter_type_name").alias("encounter_type"), c.key("encounter_id", True), c.key("visit_id", True),
         "visit_location", c.key("order_id", True), F.col("encounter_location").alias("order_location"), "facility",
         "order_created_date", "order_date_activated", "user_entered", "prescriber", "order_drug", "order_formulation",
-        "product_code", F.col("order_quantity").cast("int").alias("order_quantity"), "order_quantity_units",
+        "order_formulation_non_coded", F.col("order_quantity_num_refills").cast("int").alias("order_quantity_num_refills"), "product_code", F.col("order_quantity").cast("int").alias("order_quantity"), "order_quantity_units",
         F.col("order_dose").cast("int").alias("order_dose"), "order_dose_unit", "order_dosing_instructions", "order_route",
         "order_frequency", F.col("order_duration").cast("int").alias("order_duration"), "order_duration_units",
         "order_reason", "order_comments",
@@ -928,9 +929,15 @@ def data_warnings(c: Clinic, site: str = "site", drug_order_type: int = 2) -> Da
     return out.select("emr_id", c.key("patient_id"), "warning_type", "warning_details")
 
 
+MIGRATION_WARNING_COLUMNS = (
+    "id", "patient_id", "encounter_id", "source_encounter_id", "emr_id", "hivemr_v1_id", "hiv_dossier_id", "warning_type",
+    "warning_details", "encounter_date", "field_name", "field_value", "flag_for_review",
+)
+
+
 def migration_warnings(c: Clinic, table: str = "migration_data_warnings") -> DataFrame:
-    """Warnings kept by an earlier migration, as they are."""
-    return c.table(table)
+    """Warnings kept by an earlier migration, as they are; columns in the order of the contract."""
+    return c.table(table).select(*MIGRATION_WARNING_COLUMNS)
 
 
 def migration_warning_counts(c: Clinic, table: str = "migration_data_warnings") -> DataFrame:
@@ -986,10 +993,11 @@ def users(c: Clinic) -> DataFrame:
     u = enrich.decode(_accounts(c), _roles(c), "person_id", "person_id", {"provider_type": "provider_type"})
     prop = c.table("user_property").filter("property = 'authentication.secondaryType'")
     u = enrich.decode(u, prop, "user_id", "user_id", {"_mfa": "property_value"})
+    u = enrich.decode(u, c.table("users"), "user_id", "user_id", {"email": "email"})
     mfa = F.coalesce(F.nullif(F.col("_mfa"), F.lit("")), F.lit("disabled"))
     mfa = F.when(mfa == "secret", "question").when(mfa == "totp", "authenticator").otherwise(mfa)
     return u.select(
-        "username", "first_name", "last_name", "account_enabled", "created_date", "created_by", "provider_type",
+        "username", "first_name", "last_name", "email", "account_enabled", "created_date", "created_by", "provider_type",
         "last_login_date", "num_logins_recorded", mfa.alias("mfa_status"),
     )
 
