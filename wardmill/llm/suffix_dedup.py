@@ -40,7 +40,8 @@ COMBINED = 1 << 20
 HELD = 50_000
 U = np.uint64
 ODD = U(0xD1342543DE82EF95)
-#: Kinds of rows between the passes: an anchor, a removed span, a first surrounding whose text is asked for.
+#: Kinds of rows between the passes: an anchor (``until``: bytes of its surrounding from its place on), a removed span,
+#: a first surrounding whose text is asked for.
 ANCHOR, SPAN, ASK = 0, 1, 2
 ROW = "kind int, key long, around long, row_id long, at int, until int"
 
@@ -152,7 +153,7 @@ def anchored(rows: DataFrame) -> DataFrame:
         again = np.append(False, (key[1:] == key[:-1]) & (around[1:] == around[:-1])) if len(key) else np.zeros(0, bool)
         first = ~again
         yield records(ANCHOR, key[first], around[first], row[first], at[first], n[first])
-        r, lo, hi = joined_spans(row[again], np.maximum(0, at[again] - BEFORE), np.minimum(n[again], at[again] + LENGTH))
+        r, lo, hi = joined_spans(row[again], np.maximum(0, at[again] - BEFORE), at[again] + n[again])
         # spans pass through the shuffle by a key of their own
         yield records(SPAN, mixed(r.astype(np.uint64)), np.zeros(len(r), np.uint64), r, lo, hi)
 
@@ -173,7 +174,7 @@ def anchored(rows: DataFrame) -> DataFrame:
                 end = ends[own] if len(own) else own
                 lo = np.maximum(start, at - BEFORE)
                 around = mixed(surroundings(data, lo, np.minimum(end, at + LENGTH)) ^ (at - lo).astype(np.uint64))
-                parts.append((key, around, ids[i + own], at - start, end - start))
+                parts.append((key, around, ids[i + own], at - start, np.minimum(end - at, LENGTH)))
                 held += len(at)
                 i = j
                 if held > COMBINED:
@@ -206,7 +207,7 @@ def first_surroundings(found: DataFrame, most: int = HELD) -> DataFrame:
                 continue
             same_key = np.append(last_key is not None and key[0] == last_key, key[1:] == key[:-1])
             same = same_key & np.append(last_around is not None and around[0] == last_around, around[1:] == around[:-1])
-            r, lo, hi = joined_spans(row[same], np.maximum(0, at[same] - BEFORE), np.minimum(until[same], at[same] + LENGTH))
+            r, lo, hi = joined_spans(row[same], np.maximum(0, at[same] - BEFORE), at[same].astype(np.int64) + until[same])
             if len(r):
                 yield records(SPAN, np.zeros(len(r), np.uint64), np.zeros(len(r), np.uint64), r, lo, hi)
             new = np.flatnonzero(~same)
@@ -243,9 +244,9 @@ def asked_texts(rows: DataFrame, asked: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             row, key, part, hot, place, before, after = [], [], [], [], [], [], []
-            for i in range(b.num_rows):
-                text = b.column(1)[i].as_py() or b""
-                wanted = b.column(2)[i].values
+            for i in np.flatnonzero(b.column(3).is_valid().to_numpy(zero_copy_only=False)).tolist():
+                text = b.column(2)[i].as_py() or b""
+                wanted = b.column(3)[i].values
                 k, p, h, a = (wanted.field(n).to_pylist() for n in ("key", "until", "hot", "at"))
                 key += k
                 part += p
@@ -263,8 +264,13 @@ def asked_texts(rows: DataFrame, asked: DataFrame) -> DataFrame:
             )
 
     lists = asked.groupBy("row_id").agg(F.collect_list(F.struct("key", "until", "hot", "at")).alias("wanted"))
-    texts = rows.select("row_id", F.col("text").cast("binary").alias("text")).join(lists, "row_id")
-    return texts.mapInArrow(work, "key long, part int, hot boolean, row_id long, at int, before binary, after binary")
+    return with_lists(rows, lists).mapInArrow(work, "key long, part int, hot boolean, row_id long, at int, before binary, after binary")
+
+
+def with_lists(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """row_id, doc_id, text (bytes) and the row's list; the same left side each time, so its shuffle can serve twice."""
+    texts = rows.select("row_id", "doc_id", F.col("text").cast("binary").alias("text"))
+    return texts.join(lists.hint("merge"), "row_id", "left")
 
 
 def fixed_width(values: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -421,13 +427,16 @@ def removed_spans(rows: DataFrame, most: int = HELD) -> DataFrame:
     asked = found.where(F.col("kind") == ASK).select("key", "row_id", "at", "until")
     hot = written(asked.where("until > 0").select("key").distinct().withColumn("hot", F.lit(True)), "hot")
     asked = asked.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    windows = written(repeated_windows(asked_texts(rows, asked)), "windows")
+    windows = repeated_windows(asked_texts(rows, asked))
+    whole = found.where(F.col("kind") == SPAN).select("row_id", F.col("at").cast("long").alias("lo"), F.col("until").cast("long").alias("hi"))
+    if not hot.limit(1).count():
+        return whole.unionByName(windows.select("row_id", "lo", "hi"))
+    windows = written(windows, "windows")
     spans = windows.where("h1 = 0 AND h2 = 0").select("row_id", "lo", "hi")
     # windows of anchors that several tasks shared: the earliest start of each stays
     dealt = windows.where("h1 <> 0 OR h2 <> 0")
     earliest = dealt.groupBy("h1", "h2").agg(F.min(F.struct("row_id", "lo")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     late = dealt.join(earliest, ["h1", "h2"]).where(F.struct("row_id", "lo") > F.col("first")).select("row_id", "lo", "hi")
-    whole = found.where(F.col("kind") == SPAN).select("row_id", F.col("at").cast("long").alias("lo"), F.col("until").cast("long").alias("hi"))
     return whole.unionByName(spans).unionByName(late)
 
 
@@ -460,5 +469,4 @@ def without_repeats(docs: DataFrame, most: int = HELD) -> DataFrame:
                 names=["row_id", "doc_id", "kept", "n_bytes", "n_removed", "n_spans"],
             )
 
-    texts = rows.select("row_id", "doc_id", F.col("text").cast("binary").alias("text")).join(lists, "row_id", "left")
-    return texts.mapInArrow(work, "row_id long, doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return with_lists(rows, lists).mapInArrow(work, "row_id long, doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
