@@ -24,9 +24,9 @@ W: dict[str, str] = {
           'facility' || o_orderkey % 4 AS facility, 'provider' || o_orderkey % 9 AS provider, {SITE} AS site, CAST(1 + o_custkey % 3 AS INTEGER) AS partition_num
         FROM {{orders}}""",
     "all_visits": """
-        SELECT 'V' || o_orderkey AS visit_id, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate + (o_orderkey % 40) * INTERVAL '1' DAY END AS visit_date_stopped FROM {orders}""",
+        SELECT 'V' || o_orderkey AS visit_id, o_custkey AS patient_id, o_orderdate AS visit_date_started, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate + (o_orderkey % 40) * INTERVAL '1' DAY END AS visit_date_stopped FROM {orders}""",
     "all_encounters": f"""
-        SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 30) * INTERVAL '1' HOUR AS encounter_datetime,
+        SELECT {P} AS emr_id, o_custkey AS patient_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 30) * INTERVAL '1' HOUR AS encounter_datetime,
           CASE o_orderkey % 6 WHEN 0 THEN 'Death' WHEN 1 THEN 'Discharged' WHEN 2 THEN 'Transfer out of hospital' WHEN 3 THEN 'Admit to hospital' END AS disposition
         FROM {{orders}}""",
     "ed_triage": f"""
@@ -37,7 +37,7 @@ W: dict[str, str] = {
           CAST(NULL AS INTEGER) AS index_asc, CAST(NULL AS INTEGER) AS index_desc
         FROM {{orders}}""",
     "consult_encounters": """
-        SELECT 'C' || o_orderkey AS encounter_id, 'V' || o_custkey AS visit_id, o_orderdate + (o_orderkey % 15) * INTERVAL '1' HOUR AS encounter_datetime,
+        SELECT 'P' || o_custkey AS emr_id, 'C' || o_orderkey AS encounter_id, 'V' || o_custkey AS visit_id, o_orderdate + (o_orderkey % 15) * INTERVAL '1' HOUR AS encounter_datetime,
           CASE o_orderkey % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS trauma,
           CASE o_orderkey % 7 WHEN 0 THEN 'Death' WHEN 1 THEN 'Discharged' WHEN 2 THEN 'Left without seeing a clinician' WHEN 3 THEN 'Admit to hospital' WHEN 4 THEN 'Transfer out of hospital' END AS disposition
         FROM {orders}""",
@@ -67,7 +67,7 @@ W: dict[str, str] = {
           CASE WHEN o_orderkey % 8 = 1 THEN o_orderdate - INTERVAL '3' DAY END AS last_breastfeeding_date, CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderdate AS DATE) END AS inh_start_date,
           CASE WHEN o_orderkey % 14 = 0 THEN CAST(o_orderdate + INTERVAL '90' DAY AS DATE) END AS inh_end_date, CASE WHEN o_orderkey % 11 = 0 THEN CAST(o_orderdate AS DATE) END AS rif_and_inh_start_date,
           CASE WHEN o_orderkey % 22 = 0 THEN CAST(o_orderdate + INTERVAL '60' DAY AS DATE) END AS rif_and_inh_end_date, CASE WHEN o_orderkey % 3 = 0 THEN 'chw' || o_orderkey % 5 END AS chw,
-          CAST(o_orderkey % 50 AS INTEGER) AS hiv_program_id, {SITE} AS site
+          CAST(o_custkey AS INTEGER) AS hiv_program_id, {SITE} AS site
         FROM {{orders}}""",
     "hiv_dispensing": f"""
         SELECT {P} AS emr_id, 'S' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 20) * INTERVAL '1' HOUR AS dispense_date,
@@ -93,12 +93,12 @@ W: dict[str, str] = {
           CASE o_orderkey % 5 WHEN 0 THEN 'Detected' WHEN 1 THEN '++' WHEN 2 THEN 'Scanty' WHEN 3 THEN 'Positive' ELSE '1+' END AS test_result_text
         FROM {{orders}}""",
     "pmtct_visits": f"""
-        SELECT {P} AS emr_id, 'M' || o_orderkey AS encounter_id, CAST(o_orderdate AS DATE) AS visit_date, o_orderdate + INTERVAL '25' DAY AS next_visit_date, 'place' || o_orderkey % 4 AS health_facility, o_orderdate AS date_entered,
+        SELECT {P} AS emr_id, 'M' || o_orderkey AS encounter_id, 'V' || o_orderkey AS visit_id, CAST(o_custkey AS INTEGER) AS hiv_program_id, CAST(o_orderdate AS DATE) AS visit_date, o_orderdate + INTERVAL '25' DAY AS next_visit_date, 'place' || o_orderkey % 4 AS health_facility, o_orderdate AS date_entered,
           CASE WHEN o_orderkey % 3 = 0 THEN 'pm status ' || o_orderkey % 3 END AS breastfeeding_status, o_orderdate - INTERVAL '1' DAY AS last_breastfeeding_date, {SITE} AS site
         FROM {{orders}}""",
     "eid_visit": f"SELECT {P} AS emr_id, 'D' || o_orderkey AS encounter_id, CAST(o_orderdate AS DATE) AS visit_date, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate + INTERVAL '40' DAY AS DATE) END AS next_visit_date FROM {{orders}}",
     "hiv_status": f"""
-        SELECT {P} AS emr_id, CAST(o_orderkey AS INTEGER) AS status_id, CAST(o_orderdate AS DATE) AS start_date, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate + (o_orderkey % 200) * INTERVAL '1' DAY AS DATE) END AS end_date,
+        SELECT {P} AS emr_id, CAST(o_custkey AS INTEGER) AS hiv_program_id, CAST(o_orderkey AS INTEGER) AS status_id, CAST(o_orderdate AS DATE) AS start_date, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate + (o_orderkey % 200) * INTERVAL '1' DAY AS DATE) END AS end_date,
           CASE o_orderkey % 5 WHEN 0 THEN 'Patient pregnant' WHEN 1 THEN 'Not pregnant' WHEN 2 THEN 'Lost to followup' WHEN 3 THEN 'On treatment' END AS status_outcome
         FROM {{orders}}""",
     "all_vitals": f"""
@@ -135,8 +135,8 @@ W: dict[str, str] = {
           TRUE AS hf_broad, CASE WHEN max(o_orderkey) % 5 = 0 THEN TRUE END AS hf_left, FALSE AS hf_isolated_right, FALSE AS hf_congestive, max(o_orderkey) % 7 = 0 AS hf_rheumatic, CAST(max(o_orderdate) AS DATE) AS last_visit_date, FALSE AS deceased, {SITE} AS site, CAST(1 + o_custkey % 3 AS INTEGER) AS partition_num
         FROM {{orders}} GROUP BY {P}, {SITE}, CAST(1 + o_custkey % 3 AS INTEGER)""",
     "mch_patient": f"SELECT {P} AS emr_id, {SITE} AS site, CASE WHEN max(o_orderkey) % 9 <> 0 THEN date_trunc('MONTH', max(o_orderdate)) END AS latest_encounter_date FROM {{orders}} GROUP BY {P}, {SITE}",
-    "mch_visit": f"SELECT {SITE} AS site, 'place' || o_orderkey % 5 AS encounter_location, o_orderdate + INTERVAL '1' DAY AS date_entered FROM {{orders}}",
-    "covid_visit": f"SELECT {SITE} AS site, CASE WHEN o_orderkey % 7 <> 0 THEN 'place' || o_orderkey % 3 END AS location, o_orderdate AS date_entered FROM {{orders}}",
+    "mch_visit": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, CAST(o_orderdate AS DATE) AS visit_date, 'kind ' || o_orderkey % 3 AS consultation_type, {SITE} AS site, 'place' || o_orderkey % 5 AS encounter_location, o_orderdate + INTERVAL '1' DAY AS date_entered FROM {{orders}}",
+    "covid_visit": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, {SITE} AS site, CASE WHEN o_orderkey % 7 <> 0 THEN 'place' || o_orderkey % 3 END AS location, o_orderdate AS date_entered FROM {{orders}}",
     "pathology_encounters": f"SELECT {SITE} AS site, 'place' || o_orderkey % 6 AS encounter_location, o_orderdate AS order_datetime FROM {{orders}}",
     "all_lab_results": f"SELECT {SITE} AS site, 'place' || o_orderkey % 4 AS encounter_location, o_orderdate + INTERVAL '3' DAY AS results_entry_date FROM {{orders}}",
 }
@@ -464,7 +464,12 @@ def _ordinal_sql(spec: tables.Ordinals, extra: str = "") -> str:
 
 
 def _register_ordinals() -> None:
-    available = {"hiv_regimens": "order_id", "hiv_viral_load": "hiv_vl_id", "adt_encounters": "encounter_id", "ed_triage": "encounter_id", "hiv_visit": "encounter_id", "hiv_patient_program": "hiv_program_id"}
+    available = {
+        "hiv_regimens": "order_id", "hiv_viral_load": "hiv_vl_id", "adt_encounters": "encounter_id", "ed_triage": "encounter_id",
+        "hiv_visit": "encounter_id", "hiv_patient_program": "hiv_program_id", "all_vitals": "all_vitals_id", "all_visits": "visit_id",
+        "all_encounters": "encounter_id", "consult_encounters": "encounter_id", "covid_visit": "encounter_id", "eid_visit": "encounter_id",
+        "hiv_status": "status_id", "pmtct_visits": "encounter_id", "mch_visit": "encounter_id", "chemo_session_encounter": "encounter_id",
+    }
     for table, unique in available.items():
         specs = [s for s in tables.ORDINALS if s.table == table]
         cols = ", ".join(_ordinal_sql(s) for s in specs)
