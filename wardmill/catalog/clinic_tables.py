@@ -48,6 +48,12 @@ TABLES: dict[str, str] = {
           CASE WHEN q = 1 AND c_custkey % 6 = 0 THEN TIMESTAMP_NTZ '2000-09-01 08:00:00' + (c_custkey % 50) * INTERVAL '1' DAY END AS date_changed,
           (c_custkey + q) % 17 = 0 AS voided
         FROM (SELECT c_custkey, c_nationkey, {EXPAND 2} AS q FROM {customer})""",
+    "address_hierarchy_entry": """
+        SELECT CAST(1 AS BIGINT) AS address_hierarchy_entry_id, CAST(NULL AS BIGINT) AS parent_id, 1 AS level_id, 'Country' AS name, CAST(NULL AS STRING) AS user_generated_id
+        UNION ALL SELECT CAST(10 + n_nationkey AS BIGINT), CAST(1 AS BIGINT), 2, 'Dept' || n_nationkey, CAST(NULL AS STRING) FROM {nation}
+        UNION ALL SELECT CAST(100 + n_nationkey * 2 + q AS BIGINT), CAST(10 + n_nationkey AS BIGINT), 3, 'Commune' || (n_nationkey + q), CAST(NULL AS STRING) FROM (SELECT n_nationkey, {EXPAND 2} AS q FROM {nation})
+        UNION ALL SELECT CAST(1000 + (n_nationkey * 2 + floor(q / 11)) * 11 + q % 11 AS BIGINT), CAST(100 + n_nationkey * 2 + floor(q / 11) AS BIGINT), 4, 'Section' || q % 11,
+          CASE WHEN (n_nationkey + q) % 7 <> 3 THEN 'C' || n_nationkey || '-' || q END FROM (SELECT n_nationkey, {EXPAND 22} AS q FROM {nation})""",
     "person_attribute_type": """
         SELECT * FROM (VALUES (1, 'Test Patient', 'pat-1'), (2, 'Unknown patient', 'pat-2'), (3, 'Telephone Number', '14d4f066-15f5-102d-96e4-000c29c2a5d7'),
           (4, 'First Name of Mother', 'pat-4'), (5, 'Health Center', '8d87236c-c2cc-11de-8d13-0010c6dffd0f')) AS t(person_attribute_type_id, name, uuid)""",

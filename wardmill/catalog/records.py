@@ -131,6 +131,11 @@ def _set_sql(name: str, code: str) -> str:
       UNION SELECT b.concept_id FROM c_concept_set a JOIN c_concept_set b ON b.concept_set = a.concept_id WHERE a.concept_set = {i}) END AS {name}"""
 
 
+SECTION = """(SELECT a.person_id, s4.user_generated_id AS code FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY preferred DESC, date_created DESC, person_address_id DESC) AS r FROM c_person_address) a
+      JOIN c_address_hierarchy_entry s1 ON s1.name = a.country JOIN c_address_hierarchy_entry s2 ON s2.parent_id = s1.address_hierarchy_entry_id AND s2.name = a.state_province
+      JOIN c_address_hierarchy_entry s3 ON s3.parent_id = s2.address_hierarchy_entry_id AND s3.name = a.city_village JOIN c_address_hierarchy_entry s4 ON s4.parent_id = s3.address_hierarchy_entry_id AND s4.name = a.address3 WHERE a.r = 1)"""
+
+
 def _dx_sql(where: str) -> str:
     flags = ", ".join(_set_sql(n, c) for n, c in R.DIAGNOSIS_SETS.items())
     return f""", x AS (SELECT obs_id, person_id, encounter_id, obs_datetime, concept_id = {{3064}} AS coded, CASE WHEN concept_id = {{3064}} THEN obs_group_id END AS grp, CASE WHEN concept_id = {{3064}} THEN value_coded END AS value_coded,
@@ -143,21 +148,50 @@ def _dx_sql(where: str) -> str:
       coalesce(fr.name, x.txt) AS diagnosis_entered, g.dx_order, g.certainty, x.coded, x.value_coded AS diagnosis_concept, fr.name AS diagnosis_coded_fr, en.name AS diagnosis_coded_en,
       (SELECT min(code) FROM c_report_mapping m WHERE m.source = 'ICD-10-WHO' AND m.concept_id = x.value_coded) AS icd10_code, {flags}, e.date_created,
       (hour(e.date_created) * 3600 + minute(e.date_created) * 60 + second(e.date_created)) - (hour(x.obs_datetime) * 3600 + minute(x.obs_datetime) * 60 + second(x.obs_datetime)) > 1800 AS retrospective,
-      {K}e.visit_id AS visit_id, vl.name AS visit_location, p.birthdate, p.birthdate_estimated, et.name AS encounter_type,
+      {K}e.visit_id AS visit_id, vl.name AS visit_location, p.birthdate, p.birthdate_estimated, et.name AS encounter_type, sc.code AS section_communale_cdc_id,
       CASE WHEN x.coded THEN x.value_coded IS NULL OR CAST(x.obs_datetime AS DATE) = min(CAST(x.obs_datetime AS DATE)) OVER (PARTITION BY x.person_id, x.value_coded, x.coded) END AS first_diagnosis
     FROM x LEFT JOIN c_encounter e ON e.encounter_id = x.encounter_id {V} {ET} {U} {PR} LEFT JOIN {identifier("emr")} emr ON emr.patient_id = x.person_id LEFT JOIN {identifier("dossier")} dos ON dos.patient_id = x.person_id
     LEFT JOIN {registered(DD)} reg ON reg.patient_id = x.person_id LEFT JOIN {attribute(2)} unk ON unk.person_id = x.person_id LEFT JOIN c_person p ON p.person_id = x.person_id AND NOT p.voided
-    LEFT JOIN {ADDRESS} ad ON ad.person_id = x.person_id LEFT JOIN g ON g.obs_group_id = x.grp LEFT JOIN nm en ON en.concept_id = x.value_coded LEFT JOIN nm_fr fr ON fr.concept_id = x.value_coded"""
+    LEFT JOIN {ADDRESS} ad ON ad.person_id = x.person_id LEFT JOIN g ON g.obs_group_id = x.grp LEFT JOIN nm en ON en.concept_id = x.value_coded LEFT JOIN nm_fr fr ON fr.concept_id = x.value_coded
+    LEFT JOIN {SECTION} sc ON sc.person_id = x.person_id"""
 
 
-extract("all_diagnosis", "X2 X29 R23 R38 R41 F3", DD, _dx_sql(""), R.all_diagnosis, "concept_set report_mapping", NAMES_FR)
+extract("all_diagnosis", "X2 R23 R38 R41 F3", DD, _dx_sql(""), R.all_diagnosis, "concept_set report_mapping address_hierarchy_entry", NAMES_FR)
 extract(
     "all_diagnosis_past_year",
     "X3 R56",
     DD,
     _dx_sql(f"AND obs_datetime >= TIMESTAMP '2000-08-01' AND CAST(obs_datetime AS DATE) <= DATE '{AS_OF}'"),
     R.all_diagnosis_past_year,
-    "concept_set report_mapping",
+    "concept_set report_mapping address_hierarchy_entry",
+    NAMES_FR,
+)
+DPL = Dictionary(
+    ["3064", R.NON_CODED, "7537", "1379"],
+    DXA + list(R.PLAIN_SETS.values()) + ["group set"] + [f"ICD-10-WHO:J{i}" for i in range(3)],
+    ["t-1", "t-2"],
+    sets=[(s, DXA[(i * 3 + k) % 30]) for i, s in enumerate(R.PLAIN_SETS.values()) for k in range(4)] + [(R.NOTIFIABLE_SET, "group set"), ("group set", "dx 29")],
+)
+PLAIN_FLAGS = ", ".join(f"CAST({_set_sql(n, c).rsplit(' AS ', 1)[0]} AS INTEGER) AS {n}" for n, c in R.PLAIN_SETS.items())
+extract(
+    "diagnoses",
+    "X29 R38 R41 R56 F3",
+    DPL,
+    f""", x AS (SELECT obs_id, person_id, encounter_id, obs_datetime, concept_id = {{3064}} AS coded, CASE WHEN concept_id = {{3064}} THEN obs_group_id END AS grp, CASE WHEN concept_id = {{3064}} THEN value_coded END AS value_coded,
+        CASE WHEN concept_id <> {{3064}} THEN value_text END AS txt FROM c_obs o WHERE NOT voided AND concept_id IN ({{3064}}, {{{R.NON_CODED}}}) AND CAST(obs_datetime AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'),
+    g AS (SELECT obs_group_id, last(nm.name ORDER BY date_created, obs_id) FILTER (o.concept_id = {{7537}} AND nm.name IS NOT NULL) AS dx_order, last(nm.name ORDER BY date_created, obs_id) FILTER (o.concept_id = {{1379}} AND nm.name IS NOT NULL) AS certainty
+      FROM c_obs o LEFT JOIN nm ON nm.concept_id = o.value_coded WHERE NOT voided AND obs_group_id IS NOT NULL GROUP BY 1)
+    SELECT x.person_id AS patient_id, dos.identifier AS dossier_id, emr.identifier AS patient_primary_id, reg.name AS loc_registered, CAST(unk.person_id AS VARCHAR) AS unknown_patient, p.gender, {years("p.birthdate", "e.encounter_datetime")} AS age_at_encounter,
+      ad.state_province AS department, ad.city_village AS commune, ad.address3 AS section, ad.address1 AS locality, ad.address2 AS street_landmark, x.encounter_id, el.location_name AS encounter_location, {FAC} AS facility, x.obs_id, x.obs_datetime,
+      cu.person_name AS entered_by, prov.person_name AS provider, coalesce(en.name, x.txt) AS diagnosis_entered, g.dx_order, g.certainty, CASE WHEN x.coded THEN '1' ELSE '0' END AS coded, x.value_coded AS diagnosis_concept, fr.name AS diagnosis_coded_fr,
+      (SELECT min(code) FROM c_report_mapping m WHERE m.source = 'ICD-10-WHO' AND m.concept_id = x.value_coded) AS icd10_code, {PLAIN_FLAGS}, e.date_created,
+      CAST(coalesce((hour(e.date_created) * 3600 + minute(e.date_created) * 60 + second(e.date_created)) - (hour(x.obs_datetime) * 3600 + minute(x.obs_datetime) * 60 + second(x.obs_datetime)) > 1800, FALSE) AS INTEGER) AS retrospective,
+      e.visit_id, vl.name AS visit_location, p.birthdate, p.birthdate_estimated, et.name AS encounter_type, sc.code AS section_communale_cdc_id
+    FROM x LEFT JOIN c_encounter e ON e.encounter_id = x.encounter_id {V} {ET} {U} {PR} LEFT JOIN {identifier("emr")} emr ON emr.patient_id = x.person_id LEFT JOIN {identifier("dossier")} dos ON dos.patient_id = x.person_id
+    LEFT JOIN {registered(DPL)} reg ON reg.patient_id = x.person_id LEFT JOIN {attribute(2)} unk ON unk.person_id = x.person_id LEFT JOIN c_person p ON p.person_id = x.person_id AND NOT p.voided LEFT JOIN {ADDRESS} ad ON ad.person_id = x.person_id
+    LEFT JOIN g ON g.obs_group_id = x.grp LEFT JOIN nm en ON en.concept_id = x.value_coded LEFT JOIN nm_fr fr ON fr.concept_id = x.value_coded LEFT JOIN {SECTION} sc ON sc.person_id = x.person_id""",
+    lambda c: R.diagnoses(c, "1996-01-01", "1999-12-31"),
+    "concept_set report_mapping address_hierarchy_entry",
     NAMES_FR,
 )
 

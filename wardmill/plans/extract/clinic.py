@@ -222,6 +222,21 @@ class Clinic:
         n = self.table("person_name") if voided_too else self.live("person_name")
         return top1(n, ["person_id"], ["-preferred", "-date_created", "-person_name_id"])
 
+    def section_codes(self) -> DataFrame:
+        """person_id and the code of the section of their address, found through country, department and commune."""
+        a = top1(self.table("person_address"), ["person_id"], ["-preferred", "-date_created", "-person_address_id"])
+        a = a.select("person_id", "country", "state_province", "city_village", "address3")
+        h = self.table("address_hierarchy_entry")
+        found = a.join(h.select(F.col("name").alias("country"), F.col("address_hierarchy_entry_id").alias("_at"), F.col("level_id").alias("_level")), "country")
+        for part in ("state_province", "city_village", "address3"):
+            below = h.select(
+                F.col("name").alias(part), F.col("parent_id").alias("_at"), (F.col("level_id") - 1).alias("_level"),
+                F.col("address_hierarchy_entry_id").alias("_next"), "user_generated_id",
+            )
+            found = found.join(below, [part, "_at", "_level"]).withColumns({"_at": F.col("_next"), "_level": F.col("_level") + 1}).drop("_next")
+            found = found if part == "address3" else found.drop("user_generated_id")
+        return found.groupBy("person_id").agg(F.min("user_generated_id").alias("code"))
+
     def person_names(self) -> DataFrame:
         return self.names().select(
             "person_id", F.concat("given_name", F.lit(" "), "family_name").alias("person_name")

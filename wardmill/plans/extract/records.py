@@ -11,7 +11,7 @@ from wardmill.operators.merge import union_rows
 from wardmill.operators.rules import code_flags, waterfall
 from wardmill.plans.extract.clinic import Clinic, Q, text
 from wardmill.plans.extract.forms import CHEMO
-from wardmill.sources.site import trailing_months
+from wardmill.sources.site import date_window, trailing_months
 from wardmill.streaming.incremental import delta_extract
 
 SPECIMEN_COLLECTION = "39C09928-0CAB-4DBA-8E48-39C631FA4286"
@@ -248,8 +248,8 @@ DIAGNOSIS_SETS = {
 NON_CODED = "Diagnosis or problem, non-coded"
 
 
-def _diagnosis_rows(c: Clinic, since=None) -> DataFrame:
-    o = c.window(c.obs("3064", NON_CODED), "obs_datetime")
+def _diagnosis_rows(c: Clinic, since=None, start=None, end=None) -> DataFrame:
+    o = date_window(c.window(c.obs("3064", NON_CODED), "obs_datetime"), "obs_datetime", start, end)
     if since is not None:
         o = trailing_months(o, "obs_datetime", since)
         o = o.filter(F.to_date("obs_datetime") <= F.lit(since).cast("date"))
@@ -295,39 +295,7 @@ def all_diagnosis(c: Clinic, since=None) -> DataFrame:
     first = d.filter("coded").groupBy("patient_id", "diagnosis_concept").agg(
         F.min(F.to_date("obs_datetime")).alias("_first")
     )
-    d = d.join(first, ["patient_id", "diagnosis_concept"], "left")
-    group = c.live("obs").filter("obs_group_id is not null")
-    d = c.with_answers(
-        d, {"dx_order": Q("coded", "7537"), "certainty": Q("coded", "1379")}, "obs_group_id", group, "obs_group_id"
-    )
-    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_fr", "fr")
-    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_en", "en")
-    d = enrich.decode(d, icd10(c), "diagnosis_concept", "concept_id", {"icd10_code": "code"})
-    d = set_flags(c, d, "diagnosis_concept", DIAGNOSIS_SETS)
-    e = c.table("encounter").select(
-        "encounter_id",
-        F.col("creator").alias("_creator"),
-        "visit_id",
-        "encounter_type",
-        "location_id",
-        F.col("date_created").alias("date_created"),
-        "encounter_datetime",
-    )
-    d = d.join(e, "encounter_id", "left")
-    d = c.with_facility(c.with_user(c.with_type_name(d), "_creator", "entered_by"))
-    d = c.with_unknown_flag(c.with_registration_place(c.with_provider(d)))
-    d = c.with_identifier(c.with_identifier(d, "patient_primary_id"), "dossierid", "dossier")
-    d = c.with_person(d, {"gender": "gender", "birthdate": "birthdate", "birthdate_estimated": "birthdate_estimated"})
-    d = c.with_address(
-        d,
-        {
-            "department": "state_province",
-            "commune": "city_village",
-            "section": "address3",
-            "locality": "address1",
-            "street_landmark": "address2",
-        },
-    )
+    d = _diagnosis_details(c, d.join(first, ["patient_id", "diagnosis_concept"], "left"), DIAGNOSIS_SETS)
     return d.select(
         c.key("patient_id"),
         "dossierid",
@@ -364,12 +332,71 @@ def all_diagnosis(c: Clinic, since=None) -> DataFrame:
         "birthdate",
         "birthdate_estimated",
         F.col("encounter_type_name").alias("encounter_type"),
+        "section_communale_cdc_id",
         F.when(
             F.col("coded"), F.coalesce(F.to_date("obs_datetime") == F.col("_first"), F.lit(True))
         ).alias("first_diagnosis"),
     )
 
 
+# Fixed value: the set behind the notifiable flag of the plain diagnoses table.
+NOTIFIABLE_SET = "8612"
+PLAIN_SETS = {"notifiable": NOTIFIABLE_SET, **{n: s for n, s in DIAGNOSIS_SETS.items() if n != "weekly_notifiable"}}
+
+
+def diagnoses(c: Clinic, start=None, end=None) -> DataFrame:
+    """Coded and free-text diagnoses of a date window with plain ids, English names and 1/0 marks."""
+    d = _diagnosis_details(c, _diagnosis_rows(c, None, start, end), PLAIN_SETS)
+    return d.select(
+        "patient_id", F.col("dossierid").alias("dossier_id"), "patient_primary_id", "loc_registered", "unknown_patient", "gender",
+        complete_years(F.col("birthdate"), F.col("encounter_datetime")).alias("age_at_encounter"),
+        "department", "commune", "section", "locality", "street_landmark", "encounter_id", "encounter_location", "facility",
+        "obs_id", "obs_datetime", "entered_by", "provider", F.coalesce("diagnosis_coded_en", "_text").alias("diagnosis_entered"),
+        "dx_order", "certainty", F.col("coded").cast("int").cast("string").alias("coded"), "diagnosis_concept", "diagnosis_coded_fr",
+        "icd10_code", *(F.col(n).cast("int").alias(n) for n in PLAIN_SETS), "date_created",
+        F.coalesce(entered_later_same_clock(F.col("obs_datetime"), F.col("date_created")), F.lit(0)).cast("int").alias("retrospective"),
+        "visit_id", "visit_location", "birthdate", "birthdate_estimated", F.col("encounter_type_name").alias("encounter_type"),
+        "section_communale_cdc_id",
+    )
+
+
+def _diagnosis_details(c: Clinic, d: DataFrame, sets: dict[str, str]) -> DataFrame:
+    """What group, concept, encounter and patient say about each diagnosis."""
+    group = c.live("obs").filter("obs_group_id is not null")
+    d = c.with_answers(
+        d, {"dx_order": Q("coded", "7537"), "certainty": Q("coded", "1379")}, "obs_group_id", group, "obs_group_id"
+    )
+    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_fr", "fr")
+    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_en", "en")
+    d = enrich.decode(d, icd10(c), "diagnosis_concept", "concept_id", {"icd10_code": "code"})
+    d = set_flags(c, d, "diagnosis_concept", sets)
+    e = c.table("encounter").select(
+        "encounter_id",
+        F.col("creator").alias("_creator"),
+        "visit_id",
+        "encounter_type",
+        "location_id",
+        F.col("date_created").alias("date_created"),
+        "encounter_datetime",
+    )
+    d = d.join(e, "encounter_id", "left")
+    d = c.with_facility(c.with_user(c.with_type_name(d), "_creator", "entered_by"))
+    d = c.with_unknown_flag(c.with_registration_place(c.with_provider(d)))
+    d = c.with_identifier(c.with_identifier(d, "patient_primary_id"), "dossierid", "dossier")
+    d = c.with_person(d, {"gender": "gender", "birthdate": "birthdate", "birthdate_estimated": "birthdate_estimated"})
+    d = c.with_address(
+        d,
+        {
+            "department": "state_province",
+            "commune": "city_village",
+            "section": "address3",
+            "locality": "address1",
+            "street_landmark": "address2",
+        },
+    )
+    return enrich.decode(d, c.section_codes(), "patient_id", "person_id", {"section_communale_cdc_id": "code"})
+
+
 def all_diagnosis_past_year(c: Clinic) -> DataFrame:
     return all_diagnosis(c, c.as_of)
 
