@@ -18,7 +18,11 @@ from wardmill.plans.extract.programs import (
 )
 from wardmill.plans.extract.records import HIV_FOLLOWUP_TYPE, HIV_INTAKE_TYPE, NON_CODED, icd10
 
+# A concept, a workflow and an attribute type.
 RISK = "11046"
+MATERNAL_WORKFLOW = "41a277d0-8a14-11e8-9a94-a6cf71072f73"
+TELEPHONE = "14d4f066-15f5-102d-96e4-000c29c2a5d7"
+# Answer concepts of pregnancy risk factors.
 RISKS = {
     "sexually_active_with_men": "10870",
     "sexually_active_with_women": "10872",
@@ -33,6 +37,7 @@ RISKS = {
     "other_mode_of_transmission": "5622",
     "other_risk_factor": "11406",
 }
+# Answer concepts of obstetric history.
 HISTORY = {
     "history_of_syphilis": "11050",
     "history_of_other_sti": "11047",
@@ -444,7 +449,7 @@ def _current_state(c: Clinic, enrolments: DataFrame, workflow: str, name: str) -
     return c.with_concept_name(s, "state_concept_id", name).select("patient_program_id", name)
 
 
-def mch_j9_data(c: Clinic, workflow: str = "41a277d0-8a14-11e8-9a94-a6cf71072f73") -> DataFrame:
+def mch_j9_data(c: Clinic, workflow: str = MATERNAL_WORKFLOW) -> DataFrame:
     """Maternal enrolments with the answers, counts and lists that fall inside each enrolment."""
     pp = c.enrolments(MATERNAL).select("patient_id", "patient_program_id", "date_enrolled", "date_completed")
     e = c.encounters([OBGYN]).select("encounter_id")
@@ -519,7 +524,7 @@ def mch_j9_data(c: Clinic, workflow: str = "41a277d0-8a14-11e8-9a94-a6cf71072f73
 
 
 def mch_j9_case_registration(
-    c: Clinic, workflow: str = "41a277d0-8a14-11e8-9a94-a6cf71072f73", max_months: int | None = None, parent: str = "Parent"
+    c: Clinic, workflow: str = MATERNAL_WORKFLOW, max_months: int | None = None, parent: str = "Parent"
 ) -> DataFrame:
     """Living patients with an open maternal enrolment, by their latest one."""
     open_ = c.enrolments(MATERNAL).filter("date_completed is null")
@@ -535,7 +540,7 @@ def mch_j9_case_registration(
     p = enrich.decode(p, newest("mothers group"), "patient_id", "person_id", {"j9_group": "value_text"})
     p = enrich.decode(p, newest("5596"), "patient_id", "person_id", {"_edd": "value_datetime"})
     p = enrich.decode(p, newest("5599"), "patient_id", "person_id", {"_add": "value_datetime"})
-    p = c.with_attribute(p, "telephone", "14d4f066-15f5-102d-96e4-000c29c2a5d7", "uuid")
+    p = c.with_attribute(p, "telephone", TELEPHONE, "uuid")
     p = c.with_identifier(c.with_identifier(p), "dossier_id", "dossier")
     p = enrich.decode(p, c.names(), "patient_id", "person_id", {"given_name": "given_name", "family_name": "family_name"})
     p = enrich.decode(

@@ -10,7 +10,7 @@ from wardmill.operators import enrich, latest, ordered
 from wardmill.operators.eav import any_symptom
 from wardmill.operators.merge import union_rows
 from wardmill.operators.rules import active_at, bands, least_strict, waterfall
-from wardmill.plans.extract.clinic import Clinic, Q, coded, comment, date, listed, mark, num, text, yn
+from wardmill.plans.extract.clinic import UNKNOWN_LOCATION, Clinic, Q, coded, comment, date, listed, mark, num, text, yn
 from wardmill.plans.extract.forms import MENTAL_HEALTH, ONCOLOGY_INTAKE
 from wardmill.plans.extract.records import HIV_DISPENSING_TYPE, HIV_FOLLOWUP_TYPE, HIV_INTAKE_TYPE, _order_status
 
@@ -274,6 +274,12 @@ def mh_medications(c: Clinic) -> DataFrame:
 
 # ---- HIV ------------------------------------------------------------------
 
+# Identifiers of encounter types, a workflow and an attribute type.
+PMTCT_VISIT_TYPES = ("4d77916a-0620-11e5-a6c0-1697f925ec7b", "39C09928-0CAB-4DBA-8E48-39C631FA4286")
+INFANT_WORKFLOW = "7e35b35e-5f40-4652-b2f2-b4afcb8e683a"
+TELEPHONE = "14d4f066-15f5-102d-96e4-000c29c2a5d7"
+
+# Order reasons and the categories they stand for.
 REGIMEN_REASONS = {
     "CIEL:138405": "ART",
     "CIEL:160538": "PMTCT",
@@ -286,7 +292,7 @@ REGIMEN_REASONS = {
 
 def hiv_location(c: Clinic, e: DataFrame, name: str) -> DataFrame:
     """Encounter place, or the place of the enrolment at the time when the former is unknown."""
-    unknown = c.table("location").filter("uuid = '8d6c993e-c2cc-11de-8d13-0010c6dffd0f'").select(F.col("location_id").alias("_unknown"))
+    unknown = c.table("location").filter(F.col("uuid") == UNKNOWN_LOCATION).select(F.col("location_id").alias("_unknown"))
     from wardmill.operators.intervals import join_containing
 
     lost = e.join(unknown, F.col("location_id") == F.col("_unknown"), "left_semi")
@@ -432,6 +438,7 @@ def hiv_tests(c: Clinic) -> DataFrame:
     )
 
 
+# Answer concepts of the dispensing form.
 ARV_SLOTS = {"arv_1": "3013", "arv_2": "2848", "arv_3": "13960", "tms_1": "3120", "b6": "766"}
 
 
@@ -581,6 +588,7 @@ def tb_screening(c: Clinic) -> DataFrame:
     )
 
 
+# Concepts of tuberculosis tests.
 TB_TESTS = {
     "smear": "TUBERCULOSIS SMEAR RESULT",
     "culture": "TUBERCULOSIS CULTURE RESULT",
@@ -713,7 +721,7 @@ def pmtct_labs(c: Clinic) -> DataFrame:
 
     p = c.table("patient_program").filter(c.program_ids(HIV)).select("patient_program_id", "patient_id")
     spans = _pregnant_states(c).join(p, "patient_program_id").select("patient_id", "start_date", "end_date", "patient_state_id")
-    e = c.encounters(["4d77916a-0620-11e5-a6c0-1697f925ec7b", "39C09928-0CAB-4DBA-8E48-39C631FA4286"])
+    e = c.encounters([*PMTCT_VISIT_TYPES])
     hit = join_containing(
         e.select("encounter_id", "patient_id", "encounter_datetime"), spans, ["patient_id"], "encounter_datetime", "start_date", "end_date",
         {"_state": "patient_state_id"}, ["encounter_id"], True, ["patient_state_id"], days=60,
@@ -811,14 +819,14 @@ def pmtct_infant_delivery(c: Clinic) -> DataFrame:
     )
 
 
-def eid_patient(c: Clinic, workflow_uuid: str = "7e35b35e-5f40-4652-b2f2-b4afcb8e683a", mother_types=("Parent",)) -> DataFrame:
+def eid_patient(c: Clinic, workflow_uuid: str = INFANT_WORKFLOW, mother_types=("Parent",)) -> DataFrame:
     """Infants enrolled, with programme, latest HIV test and mother."""
     p = c.without_test_patients(c.enrolments(INFANTS).select("patient_id").distinct())
     for name, kind in (("emr_id", "emr"), ("hivemr_v1_id", "hiv"), ("hiv_dossier_id", "dossier")):
         p = c.with_identifier(p, name, kind)
     p = enrich.decode(p, c.names(), "patient_id", "person_id", {"given_name": "given_name", "family_name": "family_name"})
     p = c.with_person(p, {"gender": "gender", "birthdate": "birthdate"})
-    p = c.with_health_center(c.with_attribute(p, "telephone_number", "14d4f066-15f5-102d-96e4-000c29c2a5d7", "uuid"))
+    p = c.with_health_center(c.with_attribute(p, "telephone_number", TELEPHONE, "uuid"))
     first = c.with_place(c.first_enrolment(INFANTS), "_place")
     p = enrich.decode(p, first, "patient_id", "patient_id", {"_first": "date_enrolled", "initial_enrollment_location": "_place"})
     last = c.with_concept_name(c.with_place(c.last_enrolment(INFANTS), "_place"), "outcome_concept_id", "_outcome")
@@ -927,6 +935,7 @@ def mch_patient(c: Clinic) -> DataFrame:
 
 # ---- chronic disease ------------------------------------------------------
 
+# Concepts of chronic disease categories.
 NCD_CATEGORIES = {
     "htn": "903", "diabetes": "3720", "respiratory": "6768", "epilepsy": "155", "heart_failure": "3468",
     "cerebrovascular_accident": "7314", "renal_failure": "3681", "liver_failure": "3682", "rehabilitation": "7263",
@@ -947,6 +956,7 @@ HEART_CATEGORIES = [
     (("3307",), "pericardial effusion"),
 ]
 NYHA = [(("3135",), "NYHA Class I"), (("3136",), "NYHA Class II"), (("3137",), "NYHA Class III"), (("3138",), "NYHA Class IV")]
+# Concepts of heart muscle diseases.
 CARDIOMYOPATHIES = [
     (("7940",), "Ischemic cardiomyopathy"),
     (("3129",), "Peripartum cardiomyopathy"),
