@@ -33,10 +33,12 @@ LEAST = 0.7
 #: Words a worker remembers; the memory is emptied when full.
 REMEMBERED = 300_000
 ALNUM = re.compile(r"[\W_]+")
+#: One object per bucket, shared by all words that a worker remembers.
+NUMBERS = tuple(range(BUCKETS))
 
 
 def bucket(name: str) -> int:
-    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS
+    return NUMBERS[zlib.crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS]
 
 
 class Features:
@@ -98,17 +100,19 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 20, rate:
     share = np.clip(np.array([(grades <= k).mean() for k in range(GRADES - 1)]), 1e-3, 1 - 1e-3)
     thresholds = np.log(share / (1 - share))
     thresholds[1] = max(thresholds[1], thresholds[0] + 0.1)
-    index = [np.concatenate([w, s]) for _, w, s in rows]
-    value = [np.concatenate([np.full(len(w), max(1, len(w)) ** -SCALE), np.ones(len(s))]) for _, w, s in rows]
+    of_words = np.array([len(w) for _, w, _ in rows])
+    of_shape = np.array([len(s) for _, _, s in rows])
+    scale = np.maximum(1, of_words) ** -SCALE
     squares, tsquares = np.full(BUCKETS, 1e-2), np.full(GRADES - 1, 1.0)
     order = np.random.default_rng(7)
     for _ in range(epochs):
         mixed = order.permutation(len(rows))
         for at in range(0, len(rows), batch):
             part = mixed[at : at + batch]
-            idx = np.concatenate([index[i] for i in part])
-            val = np.concatenate([value[i] for i in part])
-            own = np.repeat(np.arange(len(part)), [len(index[i]) for i in part])
+            idx = np.concatenate([x for i in part for x in rows[i][1:]])
+            sizes = np.column_stack([of_words[part], of_shape[part]]).ravel()
+            val = np.repeat(np.column_stack([scale[part], np.ones(len(part))]).ravel(), sizes)
+            own = np.repeat(np.repeat(np.arange(len(part)), 2), sizes)
             score = np.bincount(own, weights[idx] * val, len(part))
             cut = np.column_stack([np.full(len(part), -40.0), *(np.full(len(part), t) for t in thresholds), np.full(len(part), 40.0)]) - score[:, None]
             cum = 1 / (1 + np.exp(-np.clip(cut, -40, 40)))
@@ -153,8 +157,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = {}
         for b in batches:
-            for d, g, w, s in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
-                seen.setdefault((d, tuple(w)), (g, np.array(sorted(w), np.int32), np.array(s, np.int32)))
+            for i, (d, g) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+                w, s = (np.array(b.column(k)[i].values, np.int32) for k in (2, 3))
+                w.sort()
+                seen.setdefault((d, zlib.crc32(w.tobytes()), len(w)), (g, w, s))
         model = fit([seen[k] for k in sorted(seen)])
         yield pa.record_batch([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.thresholds.tolist()], pa.list_(pa.float64()))], names=["weights", "thresholds"])
 

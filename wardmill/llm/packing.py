@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose ids a worker remembers; the memory is emptied when full.
-REMEMBERED = 700_000
+REMEMBERED = 450_000
 #: New words are encoded together, with a sign between them that is a token of its own and in no other word.
 TOGETHER, BETWEEN = 256, "\x01"
 
