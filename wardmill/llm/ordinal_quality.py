@@ -29,7 +29,7 @@ SAMPLE_ROWS = 20_000
 #: A word's value is the number of a text's buckets to this negative power.
 SCALE = 0.25
 #: Documents are kept if they are clean with this probability.
-LEAST = 0.7
+LEAST = 0.8
 #: Words a worker remembers; the memory is emptied when full.
 REMEMBERED = 300_000
 ALNUM = re.compile(r"[\W_]+")
