@@ -12,6 +12,9 @@ Other columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +30,10 @@ def parsed_lines(rows: DataFrame, depth: int, least_tokens: int) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
     lines = rows.select("row_id", F.xxhash64(t).alias("content"), F.posexplode(F.split(t, "\n", -1)).alias("place", "line"))
     fields = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", DIGITS, FIELD)).otherwise(F.col("line"))
-    masked = F.trim(F.regexp_replace(fields, SPACE, " "))
+    lines = lines.select("row_id", "content", "place", fields.alias("fields"))
+    # most lines have single spaces already; looking for anything else is cheaper than replacing each space
+    other = reduce(or_, (F.contains("fields", F.lit(c)) for c in ("  ", "\t", "\x0b", "\x0c", "\r")))
+    masked = F.trim(F.when(other, F.regexp_replace("fields", SPACE, " ")).otherwise(F.col("fields")))
     lines = lines.select("row_id", "content", "place", masked.alias("masked"))
     count = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     lines = lines.withColumn("tokens", count).where(F.col("tokens") >= least_tokens)
