@@ -1,5 +1,7 @@
 """The pipeline's stages, each on its predecessor's rows."""
 
+import pytest
+
 import corpus_pipeline
 from wardmill.llm import ordinal_quality
 from wardmill.llm.common import read_documents
@@ -31,5 +33,17 @@ def test_stages(spark):
     assert sum(r["start"] == 0 for r in rows) == kept
 
 
+@pytest.mark.parametrize("labels", [[], [(0, None, 1), (1, None, None)], [(10**12, 0, 0), (None, 1, 0)]])
+def test_quality_stage_without_usable_labels(spark, tmp_path, labels):
+    """No label at all, none with a quality, or none of a document: nothing is rejected at the default limit."""
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = read_documents(spark, FOLDER)
+    left = corpus_pipeline.quality_stage(spark, docs, str(tmp_path))
+    assert sorted(map(str, left.collect())) == sorted(map(str, docs.collect()))
+    model = ordinal_quality.train(docs, spark.read.parquet(str(tmp_path / "labels.parquet")))
+    got = ordinal_quality.scored(docs, model).collect()
+    assert len(got) == docs.count() and all(r["kept"] and r["p_clean"] == 0.5 for r in got)
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

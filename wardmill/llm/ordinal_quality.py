@@ -7,7 +7,7 @@ documents and the tail probability P(grade = 2) selects them.
 The fit reads at most ``sample_rows`` labelled documents, chosen by a hash of their ids, in one task; scoring is one pass
 over all rows without a shuffle. A null or empty text has no words and is scored by the thresholds and its shape
 alone. Labels with a null quality are left out; of several labels of one document the lowest grade counts; a null toxic
-is 0. Without any labels every document has an even chance and stays. Rows are scored one by one, so repeated ids or rows
+is 0. Without any usable label every document has an even chance and stays, whatever the limit. Rows are scored one by one, so repeated ids or rows
 each give a row and a null id stays null. Other columns are kept where rows are filtered and ignored otherwise.
 """
 
@@ -82,6 +82,8 @@ class Features:
 class Model:
     weights: np.ndarray
     thresholds: np.ndarray
+    #: Whether any label was there to fit; a model without rejects nothing.
+    fitted: bool = True
 
     def score(self, words: np.ndarray, shape: np.ndarray) -> float:
         return float(self.weights[words].sum() / max(1, len(words)) ** SCALE + self.weights[shape].sum())
@@ -90,12 +92,15 @@ class Model:
         """P(grade > k) for each k below the highest grade, one column each."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -40, 40)))
 
+    def keeps(self, tails: np.ndarray, least: float) -> np.ndarray:
+        return (tails[:, 1] >= least) | (not self.fitted)
+
 
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 20, rate: float = 0.5, decay: float = 2e-5, batch: int = 64) -> Model:
     """Minimise the negative log likelihood by AdaGrad over small batches in a fixed shuffled order."""
     weights, thresholds = np.zeros(BUCKETS), np.array([-1.0, 0.0])
     if not rows:
-        return Model(weights.astype(np.float32), np.array([-40.0, 0.0]))
+        return Model(weights.astype(np.float32), np.array([-40.0, 0.0]), False)
     grades = np.array([g for g, _, _ in rows])
     share = np.clip(np.array([(grades <= k).mean() for k in range(GRADES - 1)]), 1e-3, 1 - 1e-3)
     thresholds = np.log(share / (1 - share))
@@ -162,24 +167,24 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                 w.sort()
                 seen.setdefault((d, zlib.crc32(w.tobytes()), len(w)), (g, w, s))
         model = fit([seen[k] for k in sorted(seen)])
-        yield pa.record_batch([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.thresholds.tolist()], pa.list_(pa.float64()))], names=["weights", "thresholds"])
+        yield pa.record_batch([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.thresholds.tolist()], pa.list_(pa.float64())), pa.array([model.fitted])], names=["weights", "thresholds", "fitted"])
 
     features = rows.mapInArrow(featured, "doc_id long, grade int, words array<int>, shape array<int>")
-    row = features.repartition(1).mapInArrow(fitted, "weights binary, thresholds array<double>").first()
+    row = features.repartition(1).mapInArrow(fitted, "weights binary, thresholds array<double>, fitted boolean").first()
     if row is None:
         return fit([])
-    return Model(np.frombuffer(row["weights"], np.float32), np.array(row["thresholds"]))
+    return Model(np.frombuffer(row["weights"], np.float32), np.array(row["thresholds"]), row["fitted"])
 
 
 def scored(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
-    """doc_id, expected_grade, p_good (P(grade >= 1)), p_clean (P(grade = 2)), kept (p_clean >= least)."""
+    """doc_id, expected_grade, p_good (P(grade >= 1)), p_clean (P(grade = 2)), kept (p_clean >= least, or no labels)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features()
         for b in batches:
             tails = model.tails(np.array([model.score(*make(t.as_py() or "")) for t in b.column(1)], float).reshape(-1))
             yield pa.record_batch(
-                [b.column(0), pa.array(tails.sum(1)), pa.array(tails[:, 0]), pa.array(tails[:, 1]), pa.array(tails[:, 1] >= least)],
+                [b.column(0), pa.array(tails.sum(1)), pa.array(tails[:, 0]), pa.array(tails[:, 1]), pa.array(model.keeps(tails, least))],
                 names=["doc_id", "expected_grade", "p_good", "p_clean", "kept"],
             )
 
@@ -194,6 +199,6 @@ def selected(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
         make = Features()
         for b in batches:
             tails = model.tails(np.array([model.score(*make(t.as_py() or "")) for t in b.column(place)], float).reshape(-1))
-            yield b.filter(pa.array(tails[:, 1] >= least))
+            yield b.filter(pa.array(model.keeps(tails, least)))
 
     return docs.mapInArrow(work, docs.schema)
