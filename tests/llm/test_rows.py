@@ -93,6 +93,23 @@ def test_checksums():
     assert personal_data.mod97("DE89370400440532013000") and not personal_data.mod97("DE88370400440532013000")
 
 
+@pytest.mark.parametrize(
+    ("text", "ibans"),
+    [
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89370400440532013000 2024", ["DE89370400440532013000"]),
+        ("DE89370400440532013000 COBADEFFXXX", ["DE89370400440532013000"]),
+        ("NO9386011117947 BE68539007547034 AND GB29 NWBK 6016 1331 9268 19 OK", ["NO9386011117947", "BE68539007547034", "GB29 NWBK 6016 1331 9268 19"]),
+        ("ORDER AB12 NO93 8601 1117 947 PAID", ["NO93 8601 1117 947"]),
+        ("ZZ33 1234 5678 9012 345 TODAY", ["ZZ33 1234 5678 9012 345"]),
+        ("DE88370400440532013000 2025", []),
+        ("xDE89370400440532013000 2024", []),
+    ],
+)
+def test_iban_before_other_words(text, ibans):
+    assert [text[a:b] for a, k, b in personal_data.found(text) if personal_data.KINDS[k] == "iban"] == ibans
+
+
 # queries with SQL twins, on odd rows
 def odd_tables(tmp_path, frame, rows):
     import duckdb

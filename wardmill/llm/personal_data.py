@@ -1,7 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
-Kinds in order: email, ip, card (Luhn), phone, then what the method adds: iban (mod-97) and ssn. Spans of the first
-four stand whatever their score; an added one must reach the threshold. A null or empty text has no spans; long texts
+Kinds in order: email, ip, card (Luhn), phone, then what the method adds: iban (mod-97) and ssn. An iban ends where its
+country's length says, so upper-case words and numbers after it are no part of it; of other countries every end of a
+group is tried, the longest first. Spans of the first four stand whatever their score; an added one must reach the threshold. A null or empty text has no spans; long texts
 are read whole; rows are treated one by one, so repeated ids or rows each give a row and a null id stays null. Other
 columns are ignored. An empty table gives an empty result.
 """
@@ -26,6 +27,17 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: The lengths of account numbers by country (ISO 13616).
+LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
 # Words that speak for a kind, and words that speak against any.
@@ -66,6 +78,28 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
             after = m.end()
 
 
+def iban_end(match: re.Match) -> int | None:
+    """Where the account number that starts with the match ends, if there is one."""
+    text = match[0]
+    ends = [len(text), *(m.start() for m in reversed(list(re.finditer(" ", text))))]
+    sizes = {e: e - text.count(" ", 0, e) for e in ends}
+    own = LENGTHS.get(text[:2])
+    if own is not None:
+        # the whole match is tried as well, whatever its length
+        ends = [*(e for e in ends if sizes[e] == own), len(text)]
+    return next((match.start() + e for e in ends if 15 <= sizes[e] <= 34 and mod97(text[:e].replace(" ", ""))), None)
+
+
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    at = 0
+    while m := IBAN.search(text, at):
+        end = iban_end(m)
+        if end is not None:
+            yield m.start(), end
+        # a match that is none may hold the start of one
+        at = m.start() + 1 if end is None else end
+
+
 def found(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of what patterns propose and checks confirm."""
     out = []
@@ -81,7 +115,7 @@ def found(text: str) -> list[tuple[int, int, int]]:
             out.append((m.start(), 1, m.end()))
     if "+" in text:
         out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
-    out += [(m.start(), 4, m.end()) for m in IBAN.finditer(text) if len(s := m[0].replace(" ", "")) <= 34 and mod97(s)]
+    out += [(a, 4, b) for a, b in ibans(text)]
     if "-" in text:
         out += [(m.start(), 5, m.end()) for m in SSN.finditer(text)]
     return sorted(out)
