@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the contracts, as a Java regular expression.
@@ -33,8 +33,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_row_ids(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """Columns row_id, doc_id and the rest, with row_id unique and in the order of doc_id (null last).
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The rows written in the given order, with their number in it from 1 on; equal rows are numbered arbitrarily.
+
+    A range exchange numbers its partitions in order, so a row's number is its place in its partition and the rows of
+    the partitions before; the driver gets one number per partition.
+    """
+    kept = written(df.orderBy(*order).withColumn(name, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(name, 33)
+    counts = sorted((r["part"], r["n"]) for r in kept.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
+    before, total = [], 0
+    for p, n in counts:
+        before.append((p, total + 1))
+        total += n
+    bases = df.sparkSession.createDataFrame(before, "_wm_part long, _wm_base long")
+    placed = kept.join(F.broadcast(bases), part == F.col("_wm_part"))
+    return placed.withColumn(name, F.col(name).bitwiseAND((1 << 33) - 1) + F.col("_wm_base")).drop("_wm_part", "_wm_base")
+
+
+def with_row_ids(docs: DataFrame, name: str = "row_id") -> tuple[DataFrame, bool]:
+    """The columns of docs and ``name``, unique and in the order of doc_id (null last); docs has no such column.
 
     Ids that are unique and not null serve as they are. Otherwise the rows are sorted by id and text and numbered,
     and written so that the numbers stay; the second value then is True.
@@ -42,8 +60,8 @@ def with_row_ids(docs: DataFrame) -> tuple[DataFrame, bool]:
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     odd = ids.unionByName(docs.select("doc_id").where("doc_id IS NULL")).limit(1).count()
     if not odd:
-        return docs.withColumn("row_id", F.col("doc_id")), False
+        return docs.withColumn(name, F.col("doc_id")), False
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first(), *(F.col(c).asc_nulls_first() for c in rest)]
     # a range exchange numbers its partitions in order, so the generated ids follow the sort
-    return written(docs.orderBy(*order).withColumn("row_id", F.monotonically_increasing_id()), "numbered"), True
+    return written(docs.orderBy(*order).withColumn(name, F.monotonically_increasing_id()), "numbered"), True

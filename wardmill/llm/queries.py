@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardmill.llm import (
+    centroid_clustering,
     exact_dedup,
     line_templates,
     mixing,
@@ -18,6 +19,8 @@ from wardmill.llm import (
     quality_rules,
     secret_scan,
     suffix_dedup,
+    target_resampling,
+    toxicity,
 )
 from wardmill.llm.common import read_documents
 
@@ -158,3 +161,87 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op5_secret_scan"] = op5_secret_scan
+
+
+def op11_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder).select("doc_id", "text")
+    found = target_resampling.ranked(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+QUERIES["op11_target_resampling"] = op11_target_resampling
+SQL["op11_target_resampling"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+dw AS MATERIALIZED (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM d) GROUP BY doc_id, w),
+bw AS (SELECT w, count(*) AS n FROM b GROUP BY w),
+words AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+coded AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+         lambda c, x: xor(c >> 8, crc.t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM words, crc),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN coded USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM bw JOIN coded USING (w) GROUP BY bucket),
+totals AS (SELECT CAST(coalesce((SELECT sum(n) FROM s), 0) AS DOUBLE) AS s, CAST(coalesce((SELECT sum(n) FROM t), 0) AS DOUBLE) AS t),
+gains AS (
+  SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (totals.s + 10000) / ((s.n + 1)::DOUBLE * (totals.t + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t ON t.bucket = s.bucket, totals),
+weights AS (SELECT doc_id, CAST(sum(dw.n * gain) AS BIGINT) AS weight FROM dw JOIN coded USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, len(d.w) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights ON weights.doc_id = d.doc_id),
+ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT scored.*, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranks ON ranks.doc_id = scored.doc_id
+"""
+
+
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clustering.cluster_digests(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """CTEs c1 to c<rounds> (centroids) and a<rounds + 1> (assignments), from the vectors v and first centroids c0."""
+    out = []
+    for k in range(1, rounds + 2):
+        out.append(f"""
+d{k} AS MATERIALIZED (SELECT v.id, c.k, sum((v.x - c.x) * (v.x - c.x)) AS s FROM v JOIN c{k - 1} c ON c.i = v.i GROUP BY v.id, c.k),
+a{k} AS MATERIALIZED (SELECT id, CAST(arg_min(k, (s, k)) AS INTEGER) AS cluster, CAST(min(s) AS BIGINT) AS distance FROM d{k} GROUP BY id)""")
+        if k <= rounds:
+            out.append(f"""
+c{k} AS MATERIALIZED (
+  SELECT c.k, c.i, coalesce(n.x, c.x) AS x FROM c{k - 1} c
+  LEFT JOIN (SELECT cluster, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x FROM a{k} JOIN v ON v.id = a{k}.id GROUP BY cluster, i) n
+  ON n.cluster = c.k AND n.i = c.i)""")
+    return ",".join(out)
+
+
+QUERIES["op12_centroid_clustering"] = op12_centroid_clustering
+SQL["op12_centroid_clustering"] = f"""
+WITH e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+n AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS id, list_transform(e, lambda x: CAST(floor(256 * x) AS BIGINT)) AS q FROM e),
+v AS MATERIALIZED (SELECT id, unnest(range(1, 65)) AS i, unnest(q) AS x FROM n),
+first AS (SELECT id, row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS k FROM n QUALIFY k < 40),
+c0 AS MATERIALIZED (SELECT k, i, x FROM first JOIN v ON v.id = first.id),{_rounds_sql(5)},
+named AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c5 GROUP BY k)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a6 JOIN n ON n.id = a6.id JOIN named ON named.k = a6.cluster
+"""
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of the documents with crc32(doc_id) mod 3 = 1 are held out of the fit."""
+    docs = read_documents(spark, folder).select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet").where(~held_out))
+    return toxicity.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+QUERIES["op13_toxicity"] = op13_toxicity
