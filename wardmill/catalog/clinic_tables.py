@@ -69,10 +69,10 @@ TABLES: dict[str, str] = {
     + ", ".join(f"({i}, '{k}', '{u}')" for i, (k, u) in enumerate(IDENTIFIER_TYPES.items(), 1))
     + ") AS t(patient_identifier_type_id, name, uuid)",
     "patient_identifier": """
-        SELECT c_custkey AS patient_id, 'ID' || q || '-' || c_custkey AS identifier, CAST(1 + q % 3 AS INTEGER) AS identifier_type,
+        SELECT c_custkey AS patient_id, 'ID' || q || '-' || c_custkey AS identifier, CAST(1 + q % 5 AS INTEGER) AS identifier_type,
           (c_custkey + q) % 4 = 0 AS preferred, TIMESTAMP_NTZ '1995-06-01 08:00:00' + ((c_custkey * 7 + q * 3) % 200) * INTERVAL '1' DAY AS date_created,
-          CAST(1 AS BIGINT) AS creator, (c_custkey + q) % 11 = 0 AS voided
-        FROM (SELECT c_custkey, {EXPAND 6} AS q FROM {customer})""",
+          CAST(1 + c_custkey % 3 AS BIGINT) AS creator, (c_custkey + q) % 11 = 0 AS voided
+        FROM (SELECT c_custkey, {EXPAND 10} AS q FROM {customer})""",
     "location": f"""
         SELECT CAST(r_regionkey + 1 AS BIGINT) AS location_id, r_name AS name, CASE WHEN r_regionkey = 4 THEN '{UNKNOWN_LOCATION}' ELSE 'loc-r' || r_regionkey END AS uuid,
           CAST(NULL AS BIGINT) AS parent_location FROM {{region}}
@@ -179,6 +179,7 @@ TABLES: dict[str, str] = {
     "report_mapping": "SELECT * FROM (VALUES {CODES}) AS t(concept_id, source, code)",
     "concept_name": "SELECT * FROM (VALUES {NAMES}) AS t(concept_id, name, locale, locale_preferred, concept_name_type, voided)",
     "concept_set": "SELECT * FROM (VALUES {SETS}) AS t(concept_id, concept_set)",
+    "concept_answer": "SELECT * FROM (VALUES {OFFERED}) AS t(concept_id, answer_concept)",
 }
 
 
@@ -196,6 +197,7 @@ class Dictionary:
         sets: list[tuple[str, str]] | None = None,
         state_codes: list[tuple[str, str]] | None = None,
         order_types: tuple[str, str] | None = None,
+        offered: list[tuple[str, str]] | None = None,
     ):
         q = list(dict.fromkeys(questions)) or ["none"]
         self.state_codes = state_codes or []
@@ -210,6 +212,7 @@ class Dictionary:
         self.programs = programs or ["program-1", "program-2"]
         self.states = len(self.state_codes) or states
         self.sets = sets or []
+        self.offered = offered or []
 
     def fill(self) -> dict[str, str]:
         ids = {c: 1000 + i for i, c in enumerate(self.codes)}
@@ -250,6 +253,7 @@ class Dictionary:
             "{CODES}": ", ".join(f"({i}, {quote(c.split(':')[0] if ':' in c else 'LOCAL')}, {quote(c.split(':', 1)[-1])})" for c, i in ids.items()),
             "{NAMES}": ", ".join(names),
             "{SETS}": ", ".join(sets),
+            "{OFFERED}": ", ".join(f"({ids[q]}, {ids[a]})" for q, a in self.offered) or "(1, 2)",
             "{PROGRAMS}": ", ".join(progs),
             "{WORKFLOWS}": ", ".join(flows),
             "{STATES}": ", ".join(states),
@@ -270,6 +274,9 @@ class Dictionary:
         return "WITH " + ",\n".join(f"c_{t} AS ({self.text(t, False)})" for t in tables)
 
 
+_SHARED: dict[tuple[str, str], Published] = {}
+
+
 class DriverSite:
     """Site reader over the driver tables of one folder."""
 
@@ -281,7 +288,11 @@ class DriverSite:
         return table in TABLES
 
     def published(self, name: str, build) -> DataFrame:
-        return Published.get(self.spark, self.folder, name, build)
+        """Shared by all jobs over the folder in a session: the driver's tables never change."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _SHARED:
+            _SHARED[key] = Published(self.spark)
+        return _SHARED[key].get(name, build)
 
     def read(self, table: str) -> DataFrame:
         if table not in self._read:

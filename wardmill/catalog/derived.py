@@ -137,6 +137,19 @@ W: dict[str, str] = {
     "mch_patient": f"SELECT {P} AS emr_id, {SITE} AS site, CASE WHEN max(o_orderkey) % 9 <> 0 THEN date_trunc('MONTH', max(o_orderdate)) END AS latest_encounter_date FROM {{orders}} GROUP BY {P}, {SITE}",
     "mch_visit": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, CAST(o_orderdate AS DATE) AS visit_date, 'kind ' || o_orderkey % 3 AS consultation_type, {SITE} AS site, 'place' || o_orderkey % 5 AS encounter_location, o_orderdate + INTERVAL '1' DAY AS date_entered FROM {{orders}}",
     "covid_visit": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, {SITE} AS site, CASE WHEN o_orderkey % 7 <> 0 THEN 'place' || o_orderkey % 3 END AS location, o_orderdate AS date_entered FROM {{orders}}",
+    "mh_patients": "SELECT o_custkey AS patient_id, CAST(o_orderkey AS INTEGER) AS patient_program_id, CAST(o_orderdate AS DATE) AS program_enrollment_date FROM {orders}",
+    "mh_encounters": "SELECT o_custkey AS patient_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 7) * INTERVAL '1' HOUR AS encounter_datetime FROM {orders}",
+    "covid_disposition": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, CASE o_orderkey % 3 WHEN 0 THEN 'Discharged' WHEN 1 THEN 'Death' END AS disposition FROM {{orders}}",
+    "hiv_tests": f"""
+        SELECT {P} AS emr_id, 'T' || o_orderkey AS hiv_test_id, 'E' || CAST(floor(o_orderkey / 4) AS BIGINT) AS encounter_id, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END AS specimen_collection_date,
+          o_orderdate + INTERVAL '1' DAY AS date_created, 'kind ' || o_orderkey AS test_type FROM {{orders}}""",
+    "mch_status": f"""
+        SELECT {P} AS emr_id, CAST(o_orderkey AS INTEGER) AS patient_state_id, date_trunc('MONTH', o_orderdate) AS program_date_enrolled, CASE WHEN o_orderkey % 6 <> 0 THEN CAST(o_orderdate AS DATE) END AS status_start_date
+        FROM {{orders}}""",
+    "pmtct_pregnancy": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, CASE WHEN o_orderkey % 8 <> 0 THEN CAST(o_orderdate AS DATE) END AS pmtct_enrollment_date FROM {{orders}}",
+    "outpatient_encounters": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 9) * INTERVAL '1' HOUR AS encounter_datetime FROM {{orders}}",
+    "hiv_psychosocial_encounter": f"SELECT {P} AS emr_id, 'E' || o_orderkey AS encounter_id, o_orderdate + (o_orderkey % 5) * INTERVAL '1' HOUR AS encounter_datetime FROM {{orders}}",
+    "hiv_pmtct_visit": "SELECT CAST(o_custkey AS INTEGER) AS hiv_program_id, 'E' || o_orderkey AS encounter_id, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS visit_date FROM {orders}",
     "pathology_encounters": f"SELECT {SITE} AS site, 'place' || o_orderkey % 6 AS encounter_location, o_orderdate AS order_datetime FROM {{orders}}",
     "all_lab_results": f"SELECT {SITE} AS site, 'place' || o_orderkey % 4 AS encounter_location, o_orderdate + INTERVAL '3' DAY AS results_entry_date FROM {{orders}}",
 }
@@ -423,15 +436,18 @@ FROM y
 
 @derived("derive_hiv_patient_summary_status", "D8 R5 R25b R36 R37 R53 R14", HIV_TABLES + " hiv_patient eid_visit", SUMMARY)
 def derive_hiv_patient_summary_status(w):
-    from wardmill.operators.ordered import index_pair
+    from wardmill.operators.asof import time_line
+    from wardmill.operators.ordered import KeyStats, index_pair
 
-    visits = index_pair(w.hiv_visit, ["emr_id"], ["visit_date", "encounter_id"])
-    pmtct = index_pair(w.pmtct_visits, ["emr_id"], ["visit_date", "encounter_id"])
+    dated = ((w.hiv_visit, "visit_date"), (w.pmtct_visits, "visit_date"), (w.eid_visit, "visit_date"), (w.hiv_dispensing, "dispense_date"), (w.hiv_viral_load, "order_date"))
+    sizes = KeyStats.of([time_line(df, ["emr_id"], ts) for df, ts in dated])
+    visits = index_pair(w.hiv_visit, ["emr_id"], ["visit_date", "encounter_id"], sizes=sizes)
+    pmtct = index_pair(w.pmtct_visits, ["emr_id"], ["visit_date", "encounter_id"], sizes=sizes)
     eid = tables.update_index_numbers("eid_visit", w.eid_visit)
     disp = index_pair(
-        w.hiv_dispensing, ["emr_id"], ["dispense_date", "encounter_id"], ("dispense_date_ascending", "dispense_date_descending")
+        w.hiv_dispensing, ["emr_id"], ["dispense_date", "encounter_id"], ("dispense_date_ascending", "dispense_date_descending"), sizes=sizes
     )
-    vl = tables.update_index_numbers("hiv_viral_load", w.hiv_viral_load)
+    vl = tables.update_index_numbers("hiv_viral_load", w.hiv_viral_load, sizes)
     return hiv.hiv_patient_summary_status(
         w.hiv_patient_program, w.hiv_patient, visits, disp, w.hiv_regimens, vl, w.tb_lab_results, pmtct, eid,
         w.hiv_status, w.all_vitals, w.all_diagnosis, AS_OF,
@@ -469,6 +485,9 @@ def _register_ordinals() -> None:
         "hiv_visit": "encounter_id", "hiv_patient_program": "hiv_program_id", "all_vitals": "all_vitals_id", "all_visits": "visit_id",
         "all_encounters": "encounter_id", "consult_encounters": "encounter_id", "covid_visit": "encounter_id", "eid_visit": "encounter_id",
         "hiv_status": "status_id", "pmtct_visits": "encounter_id", "mch_visit": "encounter_id", "chemo_session_encounter": "encounter_id",
+        "mh_patients": "patient_program_id", "mh_encounters": "encounter_id", "covid_disposition": "encounter_id", "hiv_tests": "hiv_test_id",
+        "mch_status": "patient_state_id", "pmtct_pregnancy": "encounter_id", "outpatient_encounters": "encounter_id",
+        "hiv_psychosocial_encounter": "encounter_id", "hiv_pmtct_visit": "encounter_id",
     }
     for table, unique in available.items():
         specs = [s for s in tables.ORDINALS if s.table == table]
@@ -610,7 +629,8 @@ def derive_dispensed_medication_summary(w):
     "all_sites_one_table",
     "S3",
     "all_visits",
-    """SELECT visit_id, visit_date_stopped, 'north' AS site, CAST(1 AS INTEGER) AS partition_num FROM w_all_visits UNION ALL SELECT visit_id, visit_date_stopped, 'south', 2 FROM w_all_visits""",
+    """SELECT visit_id, patient_id, visit_date_started, visit_date_stopped, 'north' AS site, CAST(1 AS INTEGER) AS partition_num FROM w_all_visits
+    UNION ALL SELECT visit_id, patient_id, visit_date_started, visit_date_stopped, 'south', 2 FROM w_all_visits""",
 )
 def all_sites_one_table(w):
     return union_sites([tag_site(w.all_visits, "north", 1), tag_site(w.all_visits, "south", 2)])

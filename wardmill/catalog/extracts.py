@@ -252,7 +252,7 @@ def _forms() -> None:
 
     ids = {
         "adt_encounters": "X1", "all_vitals": "X13", "chemo_session_encounter": "X14", "consult_encounters": "X16",
-        "covid_admission": "X17", "covid_discharge": "X19", "covid_disposition": "X20",
+        "covid_admission": "X17", "covid_discharge": "X19", "covid_disposition": "X20", "covid_visit": "X22",
         "echocardiogram_encounters": "X31", "ed_triage": "X32", "eid_visit": "X34", "hiv_psychosocial_encounter": "X39",
         "mh_encounters": "X57", "oncology_intake": "X64", "outpatient_encounters": "X68", "socioeconomic_encounter": "X78",
     }

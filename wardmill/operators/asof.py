@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardmill.operators.latest import top1
-from wardmill.operators.ordered import Ordered, last_known, running_sum
+from wardmill.operators.ordered import KeyStats, Ordered, last_known, running_sum
 
 
 @dataclass
@@ -38,20 +38,22 @@ def _time(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
-def _sizes(df: DataFrame, columns: list[str], ts: str, types: dict, keys: list[str]) -> DataFrame:
-    return df.select(
-        *[F.col(c).cast(types[k]).alias(f"_wm_g{i}") for i, (c, k) in enumerate(zip(columns, keys))],
-        _time(F.col(ts)).alias("_wm_ts"),
-    )
+def time_line(df: DataFrame, keys: list[str], ts: str, types: list | None = None) -> tuple[DataFrame, list[str], list[str]]:
+    """A source for KeyStats.of whose keys and time meet those of other sources on one time line."""
+    kinds = types or [df.schema[k].dataType for k in keys]
+    names = [f"_wm_g{i}" for i in range(len(keys))]
+    cols = [F.col(k).cast(t).alias(n) for k, t, n in zip(keys, kinds, names)]
+    return df.select(*cols, _time(F.col(ts)).alias("_wm_ts")), names, ["_wm_ts"]
 
 
 def asof_many(
-    left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup], left_sizes: DataFrame | None = None
+    left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup], left_sizes: DataFrame | KeyStats | None = None
 ) -> DataFrame:
     """All lookups of ``left`` at its own ``ts``; a left row without a match keeps nulls.
 
     ``left_sizes`` is a cheaper frame with the columns ``keys`` and ``ts`` on which
-    the rows per key are counted when ``left`` is the end of a long plan.
+    the rows per key are counted when ``left`` is the end of a long plan, or the
+    statistics of all sources of the job, made before from their ``time_line``.
     """
     types = {k: left.schema[k].dataType for k in keys}
     lines = left.select(
@@ -93,10 +95,15 @@ def asof_many(
         lines = lines.unionByName(part, allowMissingColumns=True)
     steps = {f"_wm_s{n}": last_known(F.col(f"_wm_r{n}")) for n in range(len(lookups))}
     knames = [f"_wm_g{i}" for i in range(len(keys))]
-    sizes = _sizes(left if left_sizes is None else left_sizes, keys, ts, types, keys)
-    for members in groups.values():
-        lk = lookups[members[0]]
-        sizes = sizes.unionByName(_sizes(lk.right, lk.keys, lk.ts, types, keys))
+    if isinstance(left_sizes, KeyStats):
+        sizes = left_sizes
+    else:
+        kinds = [types[k] for k in keys]
+        rights = {(id(lookups[m[0]].right), tuple(lookups[m[0]].keys), lookups[m[0]].ts): lookups[m[0]] for m in groups.values()}
+        sizes = KeyStats.of(
+            [time_line(left if left_sizes is None else left_sizes, keys, ts, kinds)]
+            + [time_line(lk.right, lk.keys, lk.ts, kinds) for lk in rights.values()]
+        )
     scanned = Ordered(lines, knames, order, sizes=sizes).scan(**steps).frame()
     outs = [F.col("_wm_left.*")]
     for n, lk in enumerate(lookups):
@@ -115,7 +122,7 @@ def asof_latest(
     strict: bool = False,
     where: Column | None = None,
     right_keys: list[str] | None = None,
-    left_sizes: DataFrame | None = None,
+    left_sizes: DataFrame | KeyStats | None = None,
 ) -> DataFrame:
     """Last right row with ``right_ts <= left_ts`` (``<`` when strict)."""
     lk = Lookup(right, right_keys or keys, right_ts, columns, tie or [], strict, where)
@@ -159,6 +166,7 @@ def latest_between(
     now,
     tie: list[str] | None = None,
     where: Column | None = None,
+    sizes: KeyStats | None = None,
 ) -> DataFrame:
     """Latest right row with ``lo <= ts <= hi``; a null ``hi`` means ``now``.
 
@@ -167,7 +175,7 @@ def latest_between(
     """
     renamed = {f"_wm_{o}": c for o, c in columns.items()}
     left2 = left.withColumn("_wm_hi", F.coalesce(_time(F.col(hi)), _time(F.lit(now))))
-    got = asof_latest(left2, right, keys, "_wm_hi", right_ts, {**renamed, "_wm_rts": right_ts}, tie, where=where)
+    got = asof_latest(left2, right, keys, "_wm_hi", right_ts, {**renamed, "_wm_rts": right_ts}, tie, where=where, left_sizes=sizes)
     ok = _time(F.col("_wm_rts")) >= _time(F.col(lo))
     return got.select(*left.columns, *[F.when(ok, F.col(f"_wm_{o}")).alias(o) for o in columns])
 
@@ -194,12 +202,13 @@ def count_within(
     counts: dict[str, Column],
     now,
     weight: Column | None = None,
+    sizes: KeyStats | None = None,
 ) -> DataFrame:
     """Right rows inside each left row's ``[lo, hi]`` that meet each predicate, or the sum of their ``weight``.
 
     Counts are the difference of two running counts, so the work is one sort of
     left + right rows even when a key has very many of both.  ``ids`` identifies
-    a left row.
+    a left row.  ``sizes``: statistics made before, from the ``time_line`` of ``right`` and twice that of ``left``.
     """
     names = list(counts)
     zero = [F.lit(0).alias(f"_wm_n{i}") for i in range(len(names))]
@@ -217,8 +226,11 @@ def count_within(
     )
     lines = events.unionByName(start, allowMissingColumns=True).unionByName(stop, allowMissingColumns=True)
     knames = [f"_wm_g{i}" for i in range(len(keys))]
+    if sizes is None:
+        kinds = [lines.schema[k].dataType for k in knames]
+        sizes = KeyStats.of([time_line(right, keys, right_ts, kinds), time_line(left, keys, lo, kinds), time_line(left, keys, lo, kinds)])
     scanned = (
-        Ordered(lines, knames, ["_wm_ts", "_wm_side"])
+        Ordered(lines, knames, ["_wm_ts", "_wm_side"], sizes=sizes)
         .scan(**{f"_wm_c{i}": running_sum(F.col(f"_wm_n{i}")) for i in range(len(names))})
         .frame()
         .filter("_wm_side <> 1")

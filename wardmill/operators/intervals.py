@@ -1,8 +1,11 @@
 """Joins on time ranges, always through equal keys.
 
-A range is cut into fixed-width time cells and joined on (key, cell) with the
-exact range test as a residual.  The cell spreads a large key over many tasks
-and keeps the pairs tried inside a key to those that share a cell.
+Time is cut into cells of ``days`` days and these are paired into blocks of 2, 4,
+... up to 2^LEVELS cells.  An interval is covered by the fewest blocks that fit it,
+each cell in one of them; an event lies in one block of each size.  Both meet on
+(key, size, block) with the exact range test as a residual, so each pair that
+matches meets exactly once, pairs tried in vain share at least the end cells, and a large key
+is spread over the blocks of its time.  An open interval ends with the last event.
 """
 
 from __future__ import annotations
@@ -25,8 +28,55 @@ def closed_at(end: Column) -> Column:
     return F.coalesce(end.cast("timestamp_ntz") < F.lit("9000-01-01").cast("timestamp_ntz"), F.lit(False))
 
 
-def _cells(start: Column, end: Column, days: int) -> Column:
-    return F.when(start.cast("date") <= end.cast("date"), F.sequence(cell(start, days), cell(end, days)))
+#: Blocks have up to 2^LEVELS cells.
+LEVELS = 6
+
+
+def _blocks(lo: Column, hi: Column) -> Column:
+    """The blocks (level, place) that cover the cells ``lo`` to ``hi``, each cell once; null if there are none.
+
+    A level has the aligned blocks between ``lo`` and ``hi`` that the next level does not cover: at most its first and
+    its last. The highest level has all of its own.
+    """
+    ends = [(F.shiftright(lo + ((1 << k) - 1), k), F.shiftright(hi + 1, k) - 1) for k in range(LEVELS + 1)]
+
+    def level(k: int) -> Column:
+        first, last = ends[k]
+        if k == LEVELS:
+            places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        else:
+            low, high = (2 * x for x in ends[k + 1])
+            own = lambda x: (x >= first) & (x <= last) & ((low > high) | (x < low) | (x > high + 1))
+            places = F.filter(F.array_distinct(F.array(first, last)), own)
+        return F.transform(places, lambda x: F.struct(F.lit(k).alias("level"), x.alias("place")))
+
+    parts = [level(k) for k in range(LEVELS + 1)]
+    return F.when(lo <= hi, F.concat(*parts))
+
+
+def _meeting(
+    events: DataFrame, intervals: DataFrame, n: int, at: Column, start: str, end: str, last: Column, days: int, strict: bool = False
+) -> DataFrame:
+    """Pairs of an event (``_wm_a0`` ...) and an interval (``_wm_b0`` ...) whose ``start`` to ``end`` holds the event's time.
+
+    Both ends count, or with ``strict`` the end alone; an open interval ends at ``last``.
+    """
+    e = events.withColumn("_wm_at", at.cast("timestamp_ntz")).filter(F.col("_wm_at").isNotNull())
+    level = F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("_wm_lev")
+    e = e.select("*", cell(F.col("_wm_at"), days).alias("_wm_c"), level)
+    e = e.withColumn("_wm_place", F.expr("shiftright(_wm_c, _wm_lev)")).drop("_wm_c")
+    begin, stop = F.col(start).cast("timestamp_ntz"), F.when(closed_at(F.col(end)), F.col(end).cast("timestamp_ntz")).otherwise(last)
+    i = intervals.withColumns({"_wm_s": begin, "_wm_e": stop}).filter("_wm_s IS NOT NULL AND _wm_e IS NOT NULL")
+    i = i.withColumn("_wm_block", F.explode(_blocks(cell(F.col("_wm_s"), days), cell(F.col("_wm_e"), days))))
+    i = i.select("*", F.col("_wm_block.level").alias("_wm_ilev"), F.col("_wm_block.place").alias("_wm_iplace")).drop("_wm_block")
+    inside = (F.col("_wm_at") > F.col("_wm_s") if strict else F.col("_wm_at") >= F.col("_wm_s")) & (F.col("_wm_at") <= F.col("_wm_e"))
+    same = (F.col("_wm_lev") == F.col("_wm_ilev")) & (F.col("_wm_place") == F.col("_wm_iplace"))
+    return e.join(i, _keyed(n) & same & inside)
+
+
+def _last(df: DataFrame, at: Column) -> Column:
+    """The latest time in ``df``, as a subquery of its own."""
+    return df.select(F.max(at.cast("timestamp_ntz"))).scalar()
 
 
 def _keyed(n: int) -> Column:
@@ -52,11 +102,9 @@ def join_containing(
 ) -> DataFrame:
     """Intervals that contain the event, both ends inclusive; a null end, or one from the year 9000 on, is open.
 
-    Closed intervals meet events cell by cell.  Open ones need no cells: they
-    contain every event from their start on.  ``latest_only`` keeps, per event
-    (unique by ``ids``), the interval that starts last, ties by ``tie``; open
-    intervals then contribute one candidate each through an as-of lookup.  A
-    left join also needs ``ids``.
+    ``latest_only`` keeps, per event (unique by ``ids``), the interval that starts
+    last, ties by ``tie``; open intervals then contribute one candidate each
+    through an as-of lookup.  A left join also needs ``ids``.
     """
     tie = tie or []
     started = intervals.filter(F.col(start).isNotNull())
@@ -65,31 +113,22 @@ def join_containing(
     need = list(dict.fromkeys([*keys, *(ids or []), ts])) if (latest_only or how == "left") else events.columns
     ev = events.select(*need)
 
-    closed = started.filter(closed_at(F.col(end))).select(
+    met = started.filter(closed_at(F.col(end))) if latest_only else started
+    met = met.select(
         *[F.col(k).alias(f"_wm_b{i}") for i, k in enumerate(keys)],
-        F.col(start).cast("timestamp_ntz").alias("_wm_s"),
-        F.col(end).cast("timestamp_ntz").alias("_wm_e"),
+        F.col(start).alias("_wm_is"),
+        F.col(end).alias("_wm_ie"),
         *[F.col(c).alias(f"_wm_{o}") for o, c in outs.items()],
     )
-    closed = closed.withColumn("_wm_cell", F.explode(_cells(F.col("_wm_s"), F.col("_wm_e"), days)))
     marked = ev.withColumns({f"_wm_a{i}": F.col(k) for i, k in enumerate(keys)})
-    inside = (cell(F.col(ts), days) == F.col("_wm_cell")) & (at >= F.col("_wm_s")) & (at <= F.col("_wm_e"))
     pick = [F.col(f"_wm_{o}").alias(o) for o in outs]
-    hits = marked.join(closed, _keyed(len(keys)) & inside).select(*need, *pick)
-
-    still = started.filter(~closed_at(F.col(end)))
+    last = F.lit(None).cast("timestamp_ntz") if latest_only else _last(events, at)
+    hits = _meeting(marked, met, len(keys), at, "_wm_is", "_wm_ie", last, days).select(*need, *pick)
     if latest_only:
+        still = started.filter(~closed_at(F.col(end)))
         got = asof_latest(ev, still, keys, ts, start, outs, tie)
         got = got.filter(F.col("_wm_from").isNotNull())
-    else:
-        opened = still.select(
-            *[F.col(k).alias(f"_wm_b{i}") for i, k in enumerate(keys)],
-            F.col(start).cast("timestamp_ntz").alias("_wm_s"),
-            *[F.col(c).alias(f"_wm_{o}") for o, c in outs.items()],
-        )
-        got = marked.join(opened, _keyed(len(keys)) & (at >= F.col("_wm_s"))).select(*need, *pick)
-    hits = hits.unionByName(got)
-    if latest_only:
+        hits = hits.unionByName(got)
         hits = top1(hits, ids, ["-_wm_from", *[f"-_wm_tie{i}" for i in range(len(tie))]])
     hits = hits.drop("_wm_from", *[f"_wm_tie{i}" for i in range(len(tie))])
     if not (latest_only or how == "left"):
@@ -108,35 +147,26 @@ def join_overlap(
 ) -> DataFrame:
     """Pairs of intervals of the same key that share at least one instant.
 
-    Closed intervals meet cell by cell, and a pair that shares several cells is
-    produced only in the cell where the later of the two starts.  Pairs with an
-    open interval are joined on the key alone: the open side reaches everything
-    that ends after its start.
+    Of such a pair the later start lies in the other interval: pairs where the
+    second starts inside the first, and pairs where the first starts inside the
+    second but not with it.  A null end, or one from the year 9000 on, is open.
+    An interval that ends before its start shares nothing.
     """
     (s1, e1), (s2, e2) = a_span, b_span
-    left = a.filter(F.col(s1).isNotNull()).withColumns({f"_wm_a{i}": F.col(k) for i, k in enumerate(keys)})
-    right = b.filter(F.col(s2).isNotNull()).select(
+    n = len(keys)
+    real = lambda s, e: F.col(s).isNotNull() & (F.col(e).isNull() | (F.col(s) <= F.col(e)))
+    left = a.filter(real(s1, e1)).withColumns({f"_wm_a{i}": F.col(k) for i, k in enumerate(keys)})
+    left = left.withColumns({"_wm_ls": F.col(s1), "_wm_le": F.col(e1)})
+    right = b.filter(real(s2, e2)).select(
         *[F.col(k).alias(f"_wm_b{i}") for i, k in enumerate(keys)],
-        F.col(s2).alias("_wm_s"),
-        F.col(e2).alias("_wm_e"),
+        F.col(s2).alias("_wm_rs"),
+        F.col(e2).alias("_wm_re"),
         *[F.col(c).alias(f"_wm_{o}") for o, c in columns.items()],
     )
-    meet = _keyed(len(keys))
-    meet = meet & (F.col("_wm_e").isNull() | (F.col(s1) <= F.col("_wm_e")))
-    meet = meet & (F.col(e1).isNull() | (F.col("_wm_s") <= F.col(e1)))
     outs = [*a.columns, *[F.col(f"_wm_{o}").alias(o) for o in columns]]
-
-    left_shut, left_open = left.filter(closed_at(F.col(e1))), left.filter(~closed_at(F.col(e1)))
-    right_shut, right_open = right.filter(closed_at(F.col("_wm_e"))), right.filter(~closed_at(F.col("_wm_e")))
-    lc = left_shut.withColumn("_wm_c1", F.explode(_cells(F.col(s1), F.col(e1), days)))
-    rc = right_shut.withColumn("_wm_c2", F.explode(_cells(F.col("_wm_s"), F.col("_wm_e"), days)))
-    once = F.col("_wm_c1") == F.greatest(cell(F.col(s1), days), cell(F.col("_wm_s"), days))
-    return (
-        lc.join(rc, (F.col("_wm_c1") == F.col("_wm_c2")) & once & meet)
-        .select(*outs)
-        .unionByName(left_open.join(right, meet).select(*outs))
-        .unionByName(left_shut.join(right_open, meet).select(*outs))
-    )
+    second = _meeting(right, left, n, F.col("_wm_rs"), "_wm_ls", "_wm_le", _last(b, F.col(s2)), days)
+    first = _meeting(left, right, n, F.col("_wm_ls"), "_wm_rs", "_wm_re", _last(a, F.col(s1)), days, strict=True)
+    return second.select(*outs).unionByName(first.select(*outs))
 
 
 def overlap_flag(

@@ -5,13 +5,18 @@ of a key in order.  A plain ``Window.partitionBy(key)`` puts a key in one task,
 so a key that holds a third of the table would stop the job.  ``Ordered`` counts
 the rows per key first (a partial aggregate over the key column alone).  If no
 key is large the plan is the plain window.  Otherwise each large key is cut into
-ranges of the leading order column; the window then runs per (key, range) and
+ranges of its order; the window then runs per (key, range) and
 one small row per range carries the state over to the next range.
 
-Every key above ``min_rows`` rows is cut, at quantiles of its own leading column,
-so ranges hold about equally many rows.  Strings are placed by their first bytes.
-There are at most rows / ``min_rows`` large keys and about as many ranges; both
-are staged or joined by measured size.
+Every key above ``min_rows`` rows is cut, at quantiles of a sample of its own
+order columns, so ranges hold about equally many rows whatever the columns' types
+and however many rows share a leading value.  There are at most rows /
+``min_rows`` large keys and about as many ranges; both are staged or joined by
+measured size.
+
+A job with many scans counts once: ``KeyStats.of`` takes all the job's sources
+together, and is handed to each scan as ``sizes``.  Keys that are small in all
+sources together are small in every scan of some of them, so no scan counts anew.
 """
 
 from __future__ import annotations
@@ -20,7 +25,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wardmill.sources.staging import staged
 
@@ -51,47 +55,58 @@ def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
-def position(df: DataFrame, name: str) -> Column | None:
-    """A double that never decreases along ``name``; None if the type has no such number."""
-    dtype = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(dtype, (T.NumericType, T.BooleanType)):
-        return col.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.datediff(col, F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("SECOND", epoch, col).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_seconds(col).cast("double")
-    if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return None
-
-
-def large_keys(src: DataFrame, keys: list[str], pos: Column) -> DataFrame | None:
-    """Keys above the row limit with cuts of ``pos`` (``_wm_cuts``) between ranges of about equal numbers of rows.
-
-    None if there are none.  Cuts are quantiles of the finite values; a range holds at most about the row limit unless
-    one value of ``pos`` has more rows than that.  There are at most rows / limit such keys.
+def lead_columns(order: list[str]) -> list[str]:
+    """The leading order columns that run in one direction: ranges follow these."""
+    pairs = split_order(order)
+    first = next((i for i, (_, d) in enumerate(pairs) if d != pairs[0][1]), len(pairs))
+    return [n for n, _ in pairs[:first]]
+
+
+#: Sampled rows of a large key per range.
+SAMPLED = 64
+
+
+@dataclass(frozen=True)
+class KeyStats:
+    """Keys above the row limit, with cuts of their order between ranges of about equal numbers of rows.
+
+    ``big``: ``_wm_k0`` ... and ``_wm_cuts``, an array of structs of the order columns, ascending; None if no key is large.
+    A wrong count costs balance, never rows.
     """
-    min_rows = int(src.sparkSession.conf.get(MIN_ROWS_CONF, "2000000"))
-    counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wm_n")).filter(F.col("_wm_n") > min_rows)
-    most = counts.agg(F.max("_wm_n")).first()[0]
-    if most is None:
-        return None
-    big = staged(counts, "large-keys")
-    parts = -(-most // min_rows) + 1
-    named = big.select(*[F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(keys)])
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_wm_k{i}"))
-    finite = F.when(~F.isnan(pos) & (F.abs(pos) < float("inf")), pos)
-    shares = [i / parts for i in range(1, parts)]
-    cuts = F.array_distinct(F.percentile_approx("_wm_pos", shares, 10 * parts)).alias("_wm_cuts")
-    rows = src.select(*keys, finite.alias("_wm_pos")).join(named, cond)
-    return staged(rows.groupBy(*[f"_wm_k{i}" for i in range(len(keys))]).agg(cuts), "cuts")
+
+    big: DataFrame | None
+    width: int = 1
+
+    @staticmethod
+    def of(sources: list[tuple[DataFrame, list[str], list[str]]], more: int = 0) -> KeyStats:
+        """One count over all ``sources``, each (frame, key columns, leading order columns).
+
+        Columns of different sources meet by place and must have one type.  ``more``: further rows that any key may
+        have in a scan, such as one per month.
+        """
+        spark = sources[0][0].sparkSession
+        limit = int(spark.conf.get(MIN_ROWS_CONF, "2000000")) - more
+        width = min(len(order) for _, _, order in sources)
+        rows = None
+        for df, keys, order in sources:
+            names = [F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(keys)]
+            part = df.select(*names, *[F.col(c).alias(f"_wm_l{i}") for i, c in enumerate(order[:width])])
+            rows = part if rows is None else rows.unionByName(part)
+        keys = [f"_wm_k{i}" for i in range(len(sources[0][1]))]
+        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wm_n")).filter(F.col("_wm_n") > limit)
+        if counts.first() is None:
+            return KeyStats(None, width)
+        big = staged(counts, "large-keys")
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"{k}b"))
+        named = big.select(*[F.col(k).alias(f"{k}b") for k in keys], "_wm_n")
+        ranges = F.ceil(F.col("_wm_n") / F.lit(max(1, limit))) + 1
+        lead = F.struct(*[F.col(f"_wm_l{i}") for i in range(width)])
+        sample = rows.join(named, cond).filter(F.rand(7) * F.col("_wm_n") < SAMPLED * ranges)
+        sample = sample.groupBy(*[f"{k}b" for k in keys]).agg(F.array_sort(F.collect_list(lead)).alias("_wm_s"), F.max(ranges).cast("int").alias("_wm_r"))
+        cuts = F.expr("array_distinct(transform(sequence(1, _wm_r - 1), i -> _wm_s[least(cast(i * size(_wm_s) div _wm_r as int), size(_wm_s) - 1)]))")
+        return KeyStats(staged(sample.select(*[F.col(f"{k}b").alias(k) for k in keys], cuts.alias("_wm_cuts")), "cuts"), width)
 
 
 @dataclass(frozen=True)
@@ -143,33 +158,37 @@ class Ordered:
     order: list[str]
     bounded: bool = False
     """True when a key is known to be small (lines of one order): no key count is made."""
-    sizes: DataFrame | None = None
-    """A cheaper frame with the same keys and leading order column to count the keys on.
-
-    A wrong count costs balance, never rows."""
+    sizes: DataFrame | KeyStats | None = None
+    """Statistics made before, or a cheaper frame with the same keys and leading order column to count the keys on."""
     _split: bool | None = field(default=None, repr=False)
 
     def _prepared(self) -> tuple[DataFrame, bool]:
         if self._split is not None:
             return self.df, self._split
-        lead = split_order(self.order)[0][0]
-        src = self.df if self.sizes is None else self.sizes
-        pos = None if self.bounded else position(src, lead)
+        lead = lead_columns(self.order)
         plain = self.df.withColumn(_RANGE, F.lit(None).cast("long"))
-        if pos is None:
+        if self.bounded:
             return plain, False
-        big = large_keys(src, self.keys, pos)
-        if big is None:
+        stats = self.sizes
+        if not isinstance(stats, KeyStats):
+            src = self.df if stats is None else stats
+            there = [c for c in lead if c in src.columns]
+            there = lead[: next((i for i, c in enumerate(lead) if c not in there), len(lead))]
+            stats = KeyStats.of([(src, self.keys, there)])
+        if stats.big is None:
             return plain, False
-        pos = position(self.df, lead)
         cond = F.lit(True)
         for i, k in enumerate(self.keys):
             cond = cond & F.col(k).eqNullSafe(F.col(f"_wm_k{i}"))
-        ranged = self.df.withColumn("_wm_pos", pos).join(big.withColumn("_wm_big", F.lit(True)), cond, "left")
-        # NaN and infinity sort with the largest finite values, nulls have a range of their own
-        bucket = F.expr("size(filter(coalesce(_wm_cuts, array()), c -> c < _wm_pos))")
-        rng = F.when(F.col("_wm_big"), F.when(F.col("_wm_pos").isNull(), -1).otherwise(bucket).cast("long"))
-        ranged = ranged.withColumn(_RANGE, rng).drop("_wm_pos", "_wm_big", "_wm_cuts", *[f"_wm_k{i}" for i in range(len(self.keys))])
+        kinds = stats.big.schema["_wm_cuts"].dataType.elementType.fields
+        used = list(zip(lead, kinds))
+        here = F.struct(*[F.col(c).cast(f.dataType).alias(f.name) for c, f in used])
+        cuts = F.transform("_wm_cuts", lambda c: F.struct(*[c[f.name].alias(f.name) for _, f in used]))
+        big = stats.big.withColumn("_wm_cuts", F.array_distinct(cuts))
+        ranged = self.df.withColumn("_wm_lead", here).join(big, cond, "left")
+        # nulls sort lowest and NaN highest in structs as in the scans
+        rng = F.expr("CASE WHEN _wm_cuts IS NOT NULL THEN cast(size(filter(_wm_cuts, c -> c < _wm_lead)) AS long) END")
+        ranged = ranged.withColumn(_RANGE, rng).drop("_wm_lead", "_wm_cuts", *[f"_wm_k{i}" for i in range(len(self.keys))])
         return ranged, True
 
     def scan(self, **steps: Step) -> "Ordered":
@@ -297,7 +316,7 @@ def index_pair(
     order: list[str],
     names: tuple[str, str] = ("index_asc", "index_desc"),
     bounded: bool = False,
-    sizes: DataFrame | None = None,
+    sizes: DataFrame | KeyStats | None = None,
 ) -> DataFrame:
     """Ordinal from the start and from the end of each key.
 
@@ -309,14 +328,14 @@ def index_pair(
 
 
 def run_index(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str = "run_index", sizes: DataFrame | None = None
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str = "run_index", sizes: DataFrame | KeyStats | None = None
 ) -> DataFrame:
     """Run number per key: grows by one whenever ``value`` differs from the row before."""
     return _runs(df, keys, order, value, name, sizes).frame()
 
 
 def run_pair(
-    df: DataFrame, keys: list[str], order: list[str], value: str, names: tuple[str, str], sizes: DataFrame | None = None
+    df: DataFrame, keys: list[str], order: list[str], value: str, names: tuple[str, str], sizes: DataFrame | KeyStats | None = None
 ) -> DataFrame:
     """Run number from the start and from the end of each key; keys must not be null."""
     up = run_index(df, keys, order, value, names[0], sizes)
@@ -325,7 +344,7 @@ def run_pair(
 
 
 def _runs(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, sizes: DataFrame | None = None
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, sizes: DataFrame | KeyStats | None = None
 ) -> Ordered:
     o = Ordered(df, keys, order, sizes=sizes).scan(
         _wm_prev=previous(F.struct(F.col(value).alias("v"))),
@@ -346,9 +365,10 @@ def run_start(
     ts: str,
     name: str = "run_start",
     index: str = "run_index",
+    sizes: DataFrame | KeyStats | None = None,
 ) -> DataFrame:
     """Run number plus the ``ts`` of the first row of the current run."""
-    o = Ordered(df, keys, order).scan(_wm_prev=previous(F.struct(F.col(value).alias("v"))))
+    o = Ordered(df, keys, order, sizes=sizes).scan(_wm_prev=previous(F.struct(F.col(value).alias("v"))))
     first = F.col("_wm_prev").isNull() | ~F.col("_wm_prev.v").eqNullSafe(F.col(value))
     o = o.scan(
         **{
@@ -365,22 +385,22 @@ def run_start(
 
 
 def episodes(
-    df: DataFrame, keys: list[str], ts: str, order: list[str], end: str = "end_ts"
+    df: DataFrame, keys: list[str], ts: str, order: list[str], end: str = "end_ts", sizes: DataFrame | KeyStats | None = None
 ) -> DataFrame:
     """Each row lasts until the next row of its key; the last one stays open."""
-    return Ordered(df, keys, order).scan(**{end: following(F.col(ts))}).frame()
+    return Ordered(df, keys, order, sizes=sizes).scan(**{end: following(F.col(ts))}).frame()
 
 
 def ever_before(
-    df: DataFrame, keys: list[str], order: list[str], predicate: Column, name: str = "ever_before"
+    df: DataFrame, keys: list[str], order: list[str], predicate: Column, name: str = "ever_before", sizes: DataFrame | KeyStats | None = None
 ) -> DataFrame:
     """1 if an earlier row of the key meets ``predicate``, else 0."""
-    o = Ordered(df, keys, order).scan(_wm_seen=max_before(F.when(predicate, 1).otherwise(0)))
+    o = Ordered(df, keys, order, sizes=sizes).scan(_wm_seen=max_before(F.when(predicate, 1).otherwise(0)))
     return o.frame().withColumn(name, F.coalesce(F.col("_wm_seen"), F.lit(0))).drop("_wm_seen")
 
 
 def lag_attr(
-    df: DataFrame, keys: list[str], order: list[str], **columns: Column
+    df: DataFrame, keys: list[str], order: list[str], sizes: DataFrame | KeyStats | None = None, **columns: Column
 ) -> DataFrame:
     """Values of the row one ordinal earlier, under new names."""
-    return Ordered(df, keys, order).scan(**{n: previous(c) for n, c in columns.items()}).frame()
+    return Ordered(df, keys, order, sizes=sizes).scan(**{n: previous(c) for n, c in columns.items()}).frame()

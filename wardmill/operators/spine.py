@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: More months than any entity is reported on.
+MOST_MONTHS = 1200
+
+
 def month_end_sequence(start: Column, end: Column) -> Column:
     """Month ends from the month of ``start`` to that of ``end``; empty if reversed."""
     lo, hi = F.trunc(start, "MM"), F.trunc(end, "MM")

@@ -70,12 +70,26 @@ def hiv_monthly_reporting(
     """Enrolment x month-end snapshots.
 
     All as-of attributes are found in one scan over the months and their
-    sources; see ``asof_many``.
+    sources; see ``asof_many``.  The rows per patient are counted once, over all
+    sources together, each as often as the scan has its rows.
     """
+    kind = [program.schema["emr_id"].dataType]
+    line = lambda df, ts, key="emr_id": asof.time_line(df, [key], ts, kind)
+    sizes = ordered.KeyStats.of(
+        [
+            line(program, "date_enrolled"), line(visits, "visit_date"), line(visits, "visit_date"), line(dispensing, "dispense_date"),
+            line(dispensing, "dispense_date"), line(viral_loads, "vl_sample_taken_date"), line(viral_loads, "date_entered"),
+            line(regimens, "encounter_datetime"), line(tb_screening, "tb_screening_date"), line(tb_labs, "specimen_collection_date"),
+            line(tb_labs, "specimen_collection_date"), line(pmtct_visits, "visit_date"), line(status, "start_date"),
+            line(vitals, "encounter_datetime"), line(diagnoses, "obs_datetime", "patient_primary_id"),
+        ],
+        more=spine.MOST_MONTHS,
+    )
     nxt = ordered.Ordered(
         program.select("emr_id", "date_enrolled", "date_completed", "hiv_program_id"),
         ["emr_id"],
         ["date_enrolled", "hiv_program_id"],
+        sizes=sizes,
     ).scan(_next=ordered.following(F.col("date_enrolled")))
     kept = nxt.frame().filter(F.coalesce(F.col("_next") != F.col("date_completed"), F.lit(True)))
     months = spine.monthly_spine(
@@ -86,7 +100,7 @@ def hiv_monthly_reporting(
     visit_days = visits.groupBy("emr_id", "visit_date").agg(
         F.max_by("next_visit_date", "encounter_id").alias("next_visit_date")
     )
-    visit_days = ordered.lag_attr(visit_days, ["emr_id"], ["visit_date"], prev=F.col("visit_date"))
+    visit_days = ordered.lag_attr(visit_days, ["emr_id"], ["visit_date"], sizes, prev=F.col("visit_date"))
     disp = dispensing.withColumn("_day", day("dispense_date"))
     vl = viral_loads
     key = ["emr_id"]
@@ -230,7 +244,7 @@ def hiv_monthly_reporting(
             where=F.col("diagnosis_entered").like("%HYPERTENSION"),
         ),
     ]
-    t = asof.asof_many(months, key, "reporting_date", lookups)
+    t = asof.asof_many(months, key, "reporting_date", lookups, sizes)
     t = decode(t, arv_start(dispensing, regimens), "emr_id", "emr_id", {"arv_start_date": "arv_start_date"})
     t = asof.coalesce_by_date(
         t,
@@ -313,7 +327,8 @@ def hiv_appointment_summary(visits: DataFrame) -> DataFrame:
     follow each other in encounter order.
     """
     v = visits.select("emr_id", "encounter_id", "visit_date", "next_visit_date", "visit_location", "encounter_type")
-    nxt = ordered.Ordered(v, ["emr_id"], ["visit_date", "encounter_id"]).scan(
+    sizes = ordered.KeyStats.of([(v, ["emr_id"], ["visit_date"])])
+    nxt = ordered.Ordered(v, ["emr_id"], ["visit_date", "encounter_id"], sizes=sizes).scan(
         _next=ordered.following(F.struct("visit_date", "visit_location", "encounter_type", "encounter_id"))
     )
     out = nxt.frame().filter(F.col("next_visit_date").isNotNull() & F.col("_next").isNotNull())
@@ -326,7 +341,7 @@ def hiv_appointment_summary(visits: DataFrame) -> DataFrame:
         F.col("_next.encounter_type").alias("encounter_type"),
         F.col("_next.encounter_id").alias("encounter_id"),
     )
-    return ordered.index_pair(out, ["emr_id"], ["appointment_date", "appointment_scheduling_encounter_id"])
+    return ordered.index_pair(out, ["emr_id"], ["appointment_date", "appointment_scheduling_encounter_id"], sizes=sizes)
 
 
 def _latest(df: DataFrame, order: list[str], columns: dict[str, str], where=None) -> DataFrame:

@@ -59,12 +59,14 @@ def all_admissions(adt: DataFrame, visits: DataFrame, encounters: DataFrame, exi
         "site",
         "partition_num",
     )
-    stays = ordered.episodes(events, ["emr_id"], "start_datetime", ["start_datetime", "encounter_id"], "end_datetime")
+    known = encounters.filter(F.col("disposition").isNotNull())
+    kind = [events.schema["emr_id"].dataType]
+    sizes = ordered.KeyStats.of([asof.time_line(adt, ["emr_id"], "encounter_datetime", kind), asof.time_line(known, ["emr_id"], "encounter_datetime", kind)])
+    stays = ordered.episodes(events, ["emr_id"], "start_datetime", ["start_datetime", "encounter_id"], "end_datetime", sizes)
     stays = stays.filter(F.col("encounter_type") != exit_type)
     stays = decode(stays, visits, "visit_id", "visit_id", {"_stop": "visit_date_stopped"})
     cut = F.when(F.col("_stop") < F.col("end_datetime"), F.col("_stop")).otherwise(F.col("end_datetime"))
     stays = stays.withColumn("end_datetime", cut)
-    known = encounters.filter(F.col("disposition").isNotNull())
     for prefix, at in (("previous", "start_datetime"), ("ending", "end_datetime")):
         stays = asof.asof_latest(
             stays,
@@ -78,7 +80,7 @@ def all_admissions(adt: DataFrame, visits: DataFrame, encounters: DataFrame, exi
                 f"{prefix}_disposition": "disposition",
             },
             ["encounter_id"],
-            left_sizes=adt.select("emr_id", F.col("encounter_datetime").alias(at)),
+            left_sizes=sizes,
         )
     return stays.withColumn("end_datetime", F.coalesce("end_datetime", "_stop")).drop("_stop")
 

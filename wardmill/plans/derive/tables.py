@@ -90,8 +90,12 @@ get a stable place.
 """
 
 
-def update_index_numbers(table: str, df: DataFrame) -> DataFrame:
-    """``df`` with all ordinal columns its table is declared to have."""
+def update_index_numbers(table: str, df: DataFrame, sizes: ordered.KeyStats | None = None) -> DataFrame:
+    """``df`` with all ordinal columns its table is declared to have.
+
+    ``sizes``: statistics of a job, of the keys and the leading order column. Without, each key is counted once and
+    serves all ordinals over it that lead with the same column.
+    """
     specs = [s for s in ORDINALS if s.table == table]
     if not specs:
         raise KeyError(table)
@@ -100,8 +104,15 @@ def update_index_numbers(table: str, df: DataFrame) -> DataFrame:
     if any("_has_result" in s.order for s in specs):
         df = df.withColumn("_has_result", F.col("vl_coded_results").isNotNull().cast("int"))
     out = df.drop(*[n for s in specs for n in s.names])
+    known: dict[tuple, ordered.KeyStats] = {}
     for s in specs:
-        out = ordered.index_pair(out, list(s.keys), list(s.order), s.names)
+        counted = sizes
+        if counted is None:
+            lead = (s.keys, s.order[0])
+            if lead not in known:
+                known[lead] = ordered.KeyStats.of([(df, list(s.keys), ordered.lead_columns(list(s.order)))])
+            counted = known[lead]
+        out = ordered.index_pair(out, list(s.keys), list(s.order), s.names, sizes=counted)
     return out.drop("_open_last", "_has_result")
 
 

@@ -9,7 +9,7 @@ aggregate over a whole table.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from wardmill.functions import dates as D
 from wardmill.operators import eav, enrich
 from wardmill.operators.eav import Answer
-from wardmill.operators.latest import top1
+from wardmill.operators.latest import top1, top_n
+from wardmill.sources.site import adapted
 
 # Well-known ids of the source system's metadata.
 UNKNOWN_LOCATION = "8d6c993e-c2cc-11de-8d13-0010c6dffd0f"
@@ -25,6 +26,8 @@ IDENTIFIER_TYPES = {
     "emr": "a541af1e-105c-40bf-b345-ba1fd6a59b85",
     "hiv": "139766e8-15f5-102d-96e4-000c29c2a5d7",
     "dossier": "e66645eb-03a8-4991-b4ce-e87318e37566",
+    "hiv_dossier": "3B954DB1-0D41-498E-A3F9-1E20CCC47323",
+    "biometrics": "e26ca279-8f57-44a5-9ed8-8cc16e90e559",
 }
 REGISTRATION = "873f968a-73a8-4f9c-ac78-9f4778b751b6"
 HEALTH_CENTER_ATTRIBUTE = "8d87236c-c2cc-11de-8d13-0010c6dffd0f"
@@ -47,6 +50,8 @@ class Q:
       ``either``: true / false if the only answer given is the first / second of ``answer``
       ``member``: latest answer that belongs to the concept set ``answer``
       ``max_num`` ``max_date`` ``max_coded`` ``max_text``: largest value given
+      ``max_either``: true if the first of ``answer`` was given, else false if the second was
+      ``max_comment``: largest comment on the answer
       ``place``: location whose id is the text of the answer
       ``obs``: id of the latest answer; ``code``: its coded value
     """
@@ -97,6 +102,10 @@ def either(code: str, first: str = "1065", second: str = "1066") -> Q:
     return Q("either", code, (first, second))
 
 
+def max_either(code: str, first: str = "1065", second: str = "1066") -> Q:
+    return Q("max_either", code, (first, second))
+
+
 def member(code: str, concept_set: str) -> Q:
     return Q("member", code, concept_set)
 
@@ -118,8 +127,10 @@ class Clinic:
 
     # ---- metadata -------------------------------------------------------
 
-    def table(self, name: str) -> DataFrame:
-        return self.site.read(name)
+    def table(self, name: str, optional: dict[str, str] | None = None) -> DataFrame:
+        """A source table; ``optional`` columns (name to type) that the site does not have are null."""
+        df = self.site.read(name)
+        return adapted(df, optional) if optional else df
 
     def live(self, name: str) -> DataFrame:
         return enrich.active(self.table(name))
@@ -179,13 +190,9 @@ class Clinic:
     ) -> DataFrame:
         return enrich.decode(df, self.concept_names(locale, short), column, "concept_id", {name: "name"})
 
-    def set_members(self, code: str) -> list[int]:
-        """Direct members of a concept set."""
-        key = ("set", code)
-        if key not in self._ids:
-            rows = self.table("concept_set").filter(F.col("concept_set") == self.code(code)).select("concept_id")
-            self._ids[key] = sorted(r[0] for r in rows.collect())
-        return self._ids[key]
+    def set_members(self, code: str) -> DataFrame:
+        """concept_id of the direct members of a concept set."""
+        return self.table("concept_set").filter(F.col("concept_set") == self.code(code)).select("concept_id").distinct()
 
     def locations(self) -> DataFrame:
         """location_id, location_name and the name of the nearest ancestor where visits take place, built once per site."""
@@ -213,10 +220,16 @@ class Clinic:
             "left_semi",
         )
         date = "date_created" if kind == "dossier" else "-date_created"
-        return top1(ids, ["patient_id"], ["-preferred", date, "identifier"]).select("patient_id", "identifier")
+        return top1(ids, ["patient_id"], ["-preferred", date, "identifier"])
+
+    def identifier_list(self, kind: str, sep: str = ",") -> DataFrame:
+        """patient_id and all live identifiers of a type, joined."""
+        kinds = self.table("patient_identifier_type").filter(F.col("uuid") == IDENTIFIER_TYPES[kind]).select("patient_identifier_type_id")
+        ids = self.live("patient_identifier").join(kinds, F.col("identifier_type") == F.col("patient_identifier_type_id"), "left_semi")
+        return ids.groupBy("patient_id").agg(eav.text_list(F.col("identifier"), sep).alias("identifiers"))
 
     def with_identifier(self, df: DataFrame, name: str = "emr_id", kind: str = "emr", key: str = "patient_id") -> DataFrame:
-        return enrich.decode(df, self.identifiers(kind), key, "patient_id", {name: "identifier"})
+        return enrich.decode(df, self.identifiers(kind).select("patient_id", "identifier"), key, "patient_id", {name: "identifier"})
 
     def names(self, voided_too: bool = False) -> DataFrame:
         n = self.table("person_name") if voided_too else self.live("person_name")
@@ -291,10 +304,12 @@ class Clinic:
     def with_address(self, df: DataFrame, columns: dict[str, str], key: str = "patient_id") -> DataFrame:
         return enrich.decode(df, self.addresses(), key, "person_id", columns)
 
+    def registrations_all(self) -> DataFrame:
+        return self.encounters([REGISTRATION])
+
     def registrations(self) -> DataFrame:
         """Newest registration encounter per patient."""
-        e = self.encounters([REGISTRATION])
-        return top1(e, ["patient_id"], ["-encounter_datetime", "-encounter_id"])
+        return top1(self.registrations_all(), ["patient_id"], ["-encounter_datetime", "-encounter_id"])
 
     def with_registration_place(self, df: DataFrame, name: str = "loc_registered", key: str = "patient_id") -> DataFrame:
         reg = enrich.decode(
@@ -415,18 +430,23 @@ class Clinic:
         o = self.live("obs")
         return o.filter(self.is_code("concept_id", *codes)) if codes else o
 
-    def answers(self, key: list[str], spec: dict[str, Q], obs: DataFrame | None = None) -> DataFrame:
-        """One row per key with a column per entry of ``spec``: one scan, one aggregate."""
+    def _asked(self, o: DataFrame, spec: dict[str, Q]) -> DataFrame:
+        """The observations of the spec's questions with the names and places that its kinds look at."""
         self.codes([YES, NO] + [c for q in spec.values() for c in _codes_of(q)])
-        o = self.live("obs") if obs is None else obs
         o = o.filter(self.is_code("concept_id", *[q.code for q in spec.values()]))
         kinds = {q.kind for q in spec.values()}
         if kinds & {"coded", "list", "max_coded", "member"}:
             o = self.with_concept_name(o, "value_coded", "_name")
+        for s in sorted({q.answer for q in spec.values() if q.kind == "member"}):
+            members = self.set_members(s).select(F.col("concept_id").alias("_wm_m"), F.lit(True).alias("_wm_is"))
+            o = enrich.decode(o, members, "value_coded", "_wm_m", {_member(s): "_wm_is"})
         if "place" in kinds:
             places = self.table("location").select(F.col("location_id").cast("string").alias("_lid"), "name")
             o = enrich.decode(o, places, "value_text", "_lid", {"_place": "name"})
-        out = eav.pivot(o, key, {n: self._answer(q) for n, q in spec.items()})
+        return o
+
+    def _told(self, out: DataFrame, spec: dict[str, Q]) -> DataFrame:
+        """The picked values in the form that each kind promises."""
         for n, q in spec.items():
             if q.kind == "comment":
                 out = out.withColumn(n, F.col(n)["c"])
@@ -437,15 +457,56 @@ class Clinic:
                 out = out.withColumn(n, F.when(yes, True).when(no, False))
         return out
 
+    def answers(self, key: list[str], spec: dict[str, Q], obs: DataFrame | None = None) -> DataFrame:
+        """One row per key with a column per entry of ``spec``: one scan, one aggregate."""
+        o = self._asked(self.live("obs") if obs is None else obs, spec)
+        return self._told(eav.pivot(o, key, {n: self._answer(q) for n, q in spec.items()}), spec)
+
+    def with_numbered_groups(
+        self, df: DataFrame, head: str, spec: dict[str, Q], slots: int, name: str, order: tuple[str, ...] = ("-date_created", "-obs_id"),
+        key: str = "encounter_id", within: DataFrame | None = None,
+    ) -> DataFrame:
+        """``df`` with the answers of the first ``slots`` groups of each key, side by side.
+
+        A group's head is an observation of the question ``head``; ``order`` ranks the heads of a key. ``name`` makes a
+        column's name of the group's number ``{i}`` and the answer ``{n}``. The members of all groups meet in one aggregate; a key
+        with fewer groups has nulls, further groups are left out.
+        """
+        heads = self.obs(head)
+        if within is not None:
+            heads = heads.join(within.select(F.col(key).alias("_wm_within")), F.col(key) == F.col("_wm_within"), "left_semi")
+        heads = top_n(heads, [key], list(order), slots).select(F.col(key).alias("_wm_key"), F.col("obs_id").alias("_wm_group"), "position")
+        grouped = self._asked(self.live("obs").filter("obs_group_id IS NOT NULL"), spec)
+        o = grouped.join(heads, F.col("obs_group_id") == F.col("_wm_group"))
+        wide, told = {}, {}
+        for i in range(1, slots + 1):
+            for n, q in spec.items():
+                a = self._answer(q)
+                column = name.format(i=i, n=n)
+                wide[column] = replace(a, where=(F.col("position") == i) & a.where)
+                told[column] = q
+        out = df.join(self._told(eav.pivot(o, ["_wm_key"], wide), told), F.col(key) == F.col("_wm_key"), "left").drop("_wm_key")
+        for n, q in told.items():
+            if q.kind == "has":
+                out = out.withColumn(n, F.coalesce(F.col(n), F.lit(False)))
+        return out
+
     def yes_no(self, column: str) -> Column:
         """Coded yes / no as a boolean; any other answer is null."""
         return F.when(self.is_code(column, YES), True).when(self.is_code(column, NO), False)
 
     def with_answers(
         self, df: DataFrame, spec: dict[str, Q], key: str = "encounter_id", obs: DataFrame | None = None,
-        obs_key: str | None = None,
+        obs_key: str | None = None, within: DataFrame | None = None,
     ) -> DataFrame:
-        """``df`` with the spec's columns; unanswered questions are null (false for ``has``)."""
+        """``df`` with the spec's columns; unanswered questions are null (false for ``has``).
+
+        ``within``: a short plan with the keys of ``df`` (and maybe more); only their observations are aggregated.
+        """
+        if within is not None:
+            mine = within.select(F.col(key).alias("_wm_within"))
+            obs = self.live("obs") if obs is None else obs
+            obs = obs.join(mine, F.col(obs_key or key) == F.col("_wm_within"), "left_semi")
         a = self.answers([obs_key or key], spec, obs).withColumnRenamed(obs_key or key, "_wm_key")
         out = df.join(a, F.col(key) == F.col("_wm_key"), "left").drop("_wm_key")
         for n, q in spec.items():
@@ -457,9 +518,8 @@ class Clinic:
         asked = self.is_code("concept_id", q.code)
         given = asked
         if q.kind == "member":
-            ids = self.set_members(q.answer)
-            given = asked & (F.col("value_coded").isin(ids) if ids else F.lit(False))
-        elif q.answer is not None and q.kind != "either":
+            given = asked & F.col(_member(q.answer)).isNotNull()
+        elif q.answer is not None and q.kind not in ("either", "max_either"):
             given = asked & self.is_code("value_coded", *_tuple(q.answer))
         v = F.col
         match q.kind:
@@ -492,6 +552,11 @@ class Clinic:
                 return Answer(given, given, "max")
             case "mark":
                 return Answer(given, F.lit(1), "max")
+            case "max_either":
+                first, second = (self.is_code("value_coded", a) for a in q.answer)
+                return Answer(asked, F.when(first, True).when(second, False), "max")
+            case "max_comment":
+                return Answer(given, v("comments"), "max")
             case "max_num":
                 return Answer(given, v("value_numeric"), "max")
             case "max_date":
@@ -507,6 +572,10 @@ def _latest(where: Column, value: Column) -> Answer:
     return Answer(where, value, "latest")
 
 
+def _member(concept_set: str) -> str:
+    return f"_in {concept_set}"
+
+
 def _tuple(x) -> tuple:
     return x if isinstance(x, tuple) else (x,)
 

@@ -186,6 +186,7 @@ def mch_pregnancy(c: Clinic, slots: int = 10) -> DataFrame:
             "pmtct_club": listed("13262"),
             "delivery_location_plan": listed("CIEL:159758"),
         },
+        within=bare,
     )
     g = latest.top_n(c.obs(PREGNANCY_GROUP), ["encounter_id"], ["-date_created", "-obs_id"], slots).select("encounter_id", "obs_id", "position")
     g = _group_answers(c, g, {"birth_order": num("CIEL:163460"), "delivery_type": listed("11663"), "outcome": listed("CIEL:161033")}, "obs_id")
@@ -288,7 +289,24 @@ def vaccinations_anc(c: Clinic, program: str = "MCH", types: tuple[str, ...] = P
     ids = c.metadata_ids("program", "program_id", "name", [program])
     p = c.live("patient_program").filter(F.col("program_id").isin(ids) if ids else F.lit(False)).select("patient_id").distinct()
     p = c.without_test_patients(p)
+    e = c.encounters(list(types), "name").join(p, "patient_id", "left_semi").join(vaccine_doses(c), "encounter_id")
+    e = c.with_registration_place(c.with_identifier(c.with_identifier(e), "dossier_id", "dossier"))
+    e = c.with_provider(c.with_user(c.with_facility(c.with_type_name(e)), "creator", "user_entered", login=True))
+    return e.filter("provider is not null").select(
+        "dossier_id", "emr_id", "loc_registered", c.key("encounter_id"), "encounter_datetime", "encounter_location", "facility", c.key("visit_id"),
+        "visit_location", F.col("encounter_type_name").alias("encounter_type"), "provider", F.col("date_created").alias("date_entered"), "user_entered",
+        *[dose_column(v, d) for v, (_, nums) in VACCINES.items() for d in nums],
+    )
+
+
+def vaccine_doses(c: Clinic, within: DataFrame | None = None, any_dose: tuple[str, ...] = ()) -> DataFrame:
+    """One row per encounter with the date of each vaccine dose as a column.
+
+    ``any_dose``: vaccines whose number in the series does not matter. ``within`` has the encounters that count.
+    """
     o = c.obs(VACCINATIONS, SEQUENCE, VACCINE_DATE).filter("obs_group_id is not null")
+    if within is not None:
+        o = o.join(within.select("encounter_id"), "encounter_id", "left_semi")
     is_vaccine = c.is_code("concept_id", VACCINATIONS)
     doses = o.groupBy("obs_group_id").agg(
         F.max(F.when(is_vaccine, F.col("encounter_id"))).alias("encounter_id"),
@@ -296,21 +314,13 @@ def vaccinations_anc(c: Clinic, program: str = "MCH", types: tuple[str, ...] = P
         F.max(F.when(c.is_code("concept_id", SEQUENCE), F.col("value_numeric"))).alias("dose"),
         F.max(F.when(c.is_code("concept_id", VACCINE_DATE), F.col("value_datetime"))).alias("given"),
     ).filter("encounter_id is not null")
-    wide = doses.groupBy("encounter_id").agg(
+    return doses.groupBy("encounter_id").agg(
         *[
-            F.max(F.when(c.is_code("vaccine", *codes) & (F.col("dose") == d), F.col("given"))).alias(dose_column(v, d))
+            F.max(F.when(c.is_code("vaccine", *codes) & (F.lit(v in any_dose) | (F.col("dose") == d)), F.col("given"))).alias(dose_column(v, d))
             for v, (codes, nums) in VACCINES.items()
             for d in nums
         ]
     )
-    e = c.encounters(list(types), "name").join(p, "patient_id", "left_semi").join(wide, "encounter_id")
-    e = c.with_registration_place(c.with_identifier(c.with_identifier(e), "dossier_id", "dossier"))
-    e = c.with_provider(c.with_user(c.with_facility(c.with_type_name(e)), "creator", "user_entered", login=True))
-    return e.filter("provider is not null").select(
-        "dossier_id", "emr_id", "loc_registered", c.key("encounter_id"), "encounter_datetime", "encounter_location", "facility", c.key("visit_id"),
-        "visit_location", F.col("encounter_type_name").alias("encounter_type"), "provider", F.col("date_created").alias("date_entered"), "user_entered",
-        *[dose_column(v, d) for v, (_, nums) in VACCINES.items() for d in nums],
-    )
 
 
 COVID = ("COVID-19 Admission", "COVID-19 Progress", "COVID-19 Discharge")
@@ -355,7 +365,8 @@ def covid_lab_test(c: Clinic) -> DataFrame:
     s = s.withColumns({n: F.when(F.col(n) == 1, "Yes") for n in COVID_TESTS} | {"specimen_date": F.to_date("_taken")})
     s = s.withColumn("date_for_reporting", F.coalesce("specimen_date", "encounter_date")).drop("_taken")
     lab = run(c, FormJob("lab", ("Laboratory Results",), columns, results, by="name", no_test_patients=True))
-    done = c.answers(["encounter_id"], results).withColumnRenamed("encounter_id", "_e2")
+    in_lab = c.live("obs").join(c.encounters(["Laboratory Results"], "name").select("encounter_id"), "encounter_id", "left_semi")
+    done = c.answers(["encounter_id"], results, in_lab).withColumnRenamed("encounter_id", "_e2")
     lab = lab.join(done, F.col("_enc") == F.col("_e2")).drop("_enc", "_e2")
     lab = lab.withColumns({"specimen_date": F.col("encounter_date"), "date_for_reporting": F.col("encounter_date")})
     cols = [
@@ -391,6 +402,7 @@ def ovc_program_encounters(c: Clinic, types: tuple[str, ...] = ("OVC Intake", "O
         e,
         {"services": listed("Service or program", sep=","), "other_services": text("Service or program non-coded"),
          "hiv_status": coded("CIEL:1169"), "_tested": date("HIV TEST DATE")},
+        within=seen,
     )
     e = c.with_user(e, "creator", "user_entered", login=True).withColumn("encounter_date", F.to_date("encounter_datetime"))
     at = lambda spans, name: join_containing(

@@ -100,7 +100,7 @@ def hiv_status(c: Clinic, transfer: str = "internal transfer") -> DataFrame:
         o.frame(), ["hiv_program_id"], ["start_date", "status_id"], ("index_program_ascending", "index_program_descending"), sizes=rows
     )
     d = latest.top1(c.encounters([HIV_DISPENSING_TYPE]), ["patient_id"], ["-encounter_datetime", "-encounter_id"])
-    d = c.with_answers(d.select("patient_id", "encounter_id"), {"_due": date("5096")})
+    d = c.with_answers(d.select("patient_id", "encounter_id"), {"_due": date("5096")}, within=c.encounters([HIV_DISPENSING_TYPE]))
     rows = enrich.decode(rows, d, "patient_id", "patient_id", {"_due": "_due"})
     never = F.lit("1900-01-01").cast("date")
     late = F.datediff(F.lit(c.as_of).cast("date"), F.coalesce(F.to_date("_due"), never)) >= 29
@@ -178,10 +178,11 @@ def oncology_monthly_summary(c: Clinic) -> DataFrame:
         ([ONCOLOGY_PLAN], "latest_treatment_plan_date", {"latest_stage": coded("10373")}),
     ):
         ids = c.metadata_ids("encounter_type", "encounter_type_id", "uuid", types)
-        mine = all_enc.filter(F.col("encounter_type").isin(ids)).groupBy("patient_id").agg(
+        of_type = all_enc.filter(F.col("encounter_type").isin(ids))
+        mine = of_type.groupBy("patient_id").agg(
             F.to_date(F.max("encounter_datetime")).alias(day), F.max("encounter_id").alias("encounter_id")
         )
-        mine = c.with_answers(mine, answers)
+        mine = c.with_answers(mine, answers, within=of_type)
         p = enrich.decode(p, mine, "patient_id", "patient_id", {day: day, **{a: a for a in answers}})
     for codes, name in ((ONCOLOGY_STATUSES, "latest_oncology_program_status"), (TREATMENT_STATUSES, "latest_oncology_treatment_status")):
         p = p.join(_latest_state(c, ONCOLOGY, codes, name, True), "patient_id", "left")
@@ -237,7 +238,7 @@ def mh_patients(c: Clinic) -> DataFrame:
     p = c.with_health_center(p)
     p = enrich.decode(p, c.addresses(voided_too=False), "patient_id", "person_id", {"_town": "city_village", "_has": "person_address_id"})
     last = latest.top1(c.encounters([MENTAL_HEALTH]), ["patient_id"], ["-encounter_datetime", "-encounter_id"])
-    last = c.with_answers(last.select("patient_id", "encounter_id"), {"interventions": listed("10636"), "referral": listed("10647")})
+    last = c.with_answers(last.select("patient_id", "encounter_id"), {"interventions": listed("10636"), "referral": listed("10647")}, within=c.encounters([MENTAL_HEALTH]))
     p = enrich.decode(p, last, "patient_id", "patient_id", {"interventions": "interventions", "referral": "referral"})
     return p.select(
         c.key("patient_program_id"), c.key("patient_id"), "emr_id", F.concat(F.lit(f"{c.partition}-"), "emr_id").alias("emr_id_deprecated"),
@@ -321,9 +322,9 @@ def hiv_regimens(c: Clinic) -> DataFrame:
     )
     category = waterfall([(c.is_code("order_reason", k), F.lit(v)) for k, v in REGIMEN_REASONS.items()])
     art = o.withColumn("drug_category", category).filter("drug_category = 'ART'").select("patient_id", "order_id", "encounter_id")
-    first = c.with_answers(latest.top1(art, ["patient_id"], ["order_id"]), {"_line": coded("CIEL:166073")}).select("patient_id", "_line")
+    first = c.with_answers(latest.top1(art, ["patient_id"], ["order_id"]), {"_line": coded("CIEL:166073")}, within=art).select("patient_id", "_line")
     last = latest.top1(art, ["patient_id"], ["-order_id"]).select("order_id", F.lit(True).alias("_last"))
-    o = c.with_answers(o.withColumn("drug_category", category), {"art_treatment_line": coded("CIEL:166073")})
+    o = c.with_answers(o.withColumn("drug_category", category), {"art_treatment_line": coded("CIEL:166073")}, within=o)
     o = o.join(first, "patient_id", "left").join(last, "order_id", "left")
     expired = F.col("date_stopped").isNull() & (F.col("order_action") == "NEW") & F.col("auto_expire_date").isNotNull()
     o = o.withColumns({"_expired": expired, "end_date": F.when(expired, F.col("auto_expire_date")).otherwise(F.col("date_stopped"))})
@@ -382,6 +383,7 @@ def hiv_viral_load(c: Clinic) -> DataFrame:
         F.concat(F.lit("s-"), F.col("obs_id")).alias("_id"), F.col("person_id").alias("patient_id"),
         F.col("encounter_id").alias("specimen_encounter_id"),
     )
+    bare = union_rows([ordered_.select("specimen_encounter_id"), alone.select("specimen_encounter_id")])
     v = union_rows([ordered_, alone]).withColumn("_enc", F.coalesce("specimen_encounter_id", "order_encounter_id"))
     v = _visit_columns(
         c, v, {"location_id": "location_id", "date_entered": "date_created", "creator": "creator", "_at": "encounter_datetime"}, "_enc"
@@ -399,6 +401,7 @@ def hiv_viral_load(c: Clinic) -> DataFrame:
         },
         "specimen_encounter_id",
         obs_key="encounter_id",
+        within=bare,
     )
     v = c.with_identifier(c.with_user(c.with_place(v, "visit_location"))).withColumn("_taken", taken)
     today = F.lit(c.as_of).cast("date")
@@ -419,7 +422,7 @@ def hiv_tests(c: Clinic) -> DataFrame:
     o = c.obs("CIEL:163722", "CIEL:1030")
     t = c.with_concept_name(c.with_concept_name(o, "concept_id", "test_type", "en"), "value_coded", "test_result", "en")
     t = t.select("person_id", "encounter_id", "obs_group_id", F.col("obs_datetime").alias("_on"), "test_type", "test_result", "date_created")
-    t = c.with_answers(t, {"_said": date("HIV TEST DATE"), "_r1": date("10783"), "_r2": date("11387")})
+    t = c.with_answers(t, {"_said": date("HIV TEST DATE"), "_r1": date("10783"), "_r2": date("11387")}, within=o)
     g = c.obs("11522").select("person_id", "encounter_id", F.col("obs_id").alias("obs_group_id"), "date_created")
     g = enrich.anti(g, t.filter("obs_group_id is not null"), ["obs_group_id"])
     g = _group_answers(c, g, {"_on": date("1837"), "test_result": listed("2169")}, "obs_group_id")
@@ -575,7 +578,7 @@ def tb_screening(c: Clinic) -> DataFrame:
     e = ordered.index_pair(
         e, ["patient_id"], ["encounter_datetime", "encounter_id"], ("index_ascending", "index_descending"), sizes=c.encounters([HIV_INTAKE_TYPE, HIV_FOLLOWUP_TYPE, PEDS_INTAKE, PEDS_FOLLOWUP])
     )
-    e = c.with_answers(e, {"_said": Q("code", "CIEL:160108")})
+    e = c.with_answers(e, {"_said": Q("code", "CIEL:160108")}, within=c.encounters([HIV_INTAKE_TYPE, HIV_FOLLOWUP_TYPE, PEDS_INTAKE, PEDS_FOLLOWUP]))
     explicit = F.when(c.is_code("_said", "703"), "1").when(c.is_code("_said", "664"), "0")
     answers = [F.col(f"{n}_result") for n in SYMPTOMS]
     result = any_symptom(answers, explicit, F.lit("1"), F.lit("0"))
@@ -607,6 +610,7 @@ def tb_lab_results(c: Clinic) -> DataFrame:
     done = c.with_answers(
         done,
         {"sample_taken_date_estimated": coded("11781"), "_d1": date("DATE OF LABORATORY TEST"), "_d2": date("Date of test results"), "_ppd": coded("PPD qualitative")},
+        within=c.obs(*TB_TESTS.values()),
     )
     skin = F.col("test_type") == "skin test"
     on = F.when(F.col("test_type") == "genxpert", F.coalesce("encounter_datetime", "obs_datetime")).otherwise(F.col("obs_datetime"))
@@ -622,7 +626,7 @@ def tb_lab_results(c: Clinic) -> DataFrame:
     not_done = c.obs("CIEL:165182").join(o, "order_id")
     okind = waterfall([(c.is_code("_ordered", code), F.lit(k)) for k, code in list(TB_TESTS.items())[:3]])
     not_done = c.with_concept_name(not_done.withColumn("test_type", okind), "value_coded", "reason_test_not_perform", "en")
-    not_done = c.with_answers(not_done.join(e, "encounter_id", "left"), {"_d2": date("Date of test results")})
+    not_done = c.with_answers(not_done.join(e, "encounter_id", "left"), {"_d2": date("Date of test results")}, within=c.obs("CIEL:165182"))
     rows2 = not_done.select(
         *base, F.col("obs_id").alias("_id"), F.to_date(on).alias("specimen_collection_date"), F.to_date("_d2").alias("test_result_date"),
         F.lit("not performed").alias("test_status"), "reason_test_not_perform",
@@ -730,7 +734,7 @@ def pmtct_labs(c: Clinic) -> DataFrame:
     o = c.live("obs").join(tests, "concept_id", "left_semi").join(hit, "encounter_id", "left_semi")
     o = ordered.index_pair(o, ["person_id"], ["obs_datetime", "obs_id"], sizes=c.live("obs"))
     o = c.with_concept_name(c.with_concept_name(o, "concept_id", "test_type"), "value_coded", "_coded", "en")
-    o = c.with_answers(o, {"test_result_date": date("3267")})
+    o = c.with_answers(o, {"test_result_date": date("3267")}, within=e)
     o = c.with_identifier(c.with_user(o, "creator", "user_entered", login=True), key="person_id")
     return o.select(
         "emr_id", F.col("obs_datetime").alias("test_date"), "test_result_date", "test_type",
@@ -807,7 +811,7 @@ def pmtct_infant_delivery(c: Clinic) -> DataFrame:
     )
     p = enrich.decode(p, o, "patient_id", "patient_id", {"art_start_date": "_art", "is_active_on_art": "_on"})
     d = latest.top1(c.encounters([HIV_DISPENSING_TYPE]), ["patient_id"], ["-encounter_datetime", "-encounter_id"])
-    d = c.with_answers(d.select("patient_id", "encounter_id"), {"_due": date("5096")})
+    d = c.with_answers(d.select("patient_id", "encounter_id"), {"_due": date("5096")}, within=c.encounters([HIV_DISPENSING_TYPE]))
     p = enrich.decode(p, d, "patient_id", "patient_id", {"_due": "_due"})
     due = F.to_date("_due")
     lost = F.when(F.date_add(due, 28) > F.lit(c.as_of).cast("date"), "0").otherwise("1")
@@ -863,7 +867,8 @@ def eid_patient(c: Clinic, workflow_uuid: str = INFANT_WORKFLOW, mother_types=("
 def mch_birth(c: Clinic) -> DataFrame:
     """One row per birth of a delivery, numbered within it."""
     e = c.encounters([DELIVERY])
-    e = c.with_answers(e, {"delivery_datetime": date("5599")})
+    deliveries = e
+    e = c.with_answers(e, {"delivery_datetime": date("5599")}, within=deliveries)
     b = c.obs("13555").select("encounter_id", F.col("obs_id").alias("_group"))
     # births of one delivery: a handful of rows per key
     b = ordered.index_pair(b, ["encounter_id"], ["_group"], ("birth_number", "_left"), bounded=True)
@@ -884,7 +889,7 @@ def mch_birth(c: Clinic) -> DataFrame:
     }
     b = _group_answers(c, b, spec, "_group")
     loose = c.live("obs").filter("obs_group_id is null")
-    b = c.with_answers(b, {"_type2": listed("11663", sep="|")}, obs=loose)
+    b = c.with_answers(b, {"_type2": listed("11663", sep="|")}, obs=loose, within=deliveries)
     b = c.with_identifier(c.with_facility(c.with_user(b, "creator", "user_entered", login=True)))
     return b.select(
         "emr_id", c.key("encounter_id"), F.to_date("encounter_datetime").alias("encounter_date"), F.col("date_created").alias("date_entered"),
@@ -902,7 +907,7 @@ def mch_patient(c: Clinic) -> DataFrame:
     e = c.with_type_name(c.with_place(e.select(*cols), "_place"))
     last = latest.top1(e, ["patient_id"], ["-encounter_datetime", "-encounter_id"])
     first = latest.top1(e, ["patient_id"], ["encounter_datetime", "encounter_id"])
-    last = c.with_answers(last, {"_anc": mark("Type of HUM visit", "ANC VISIT"), "_edd": date("ESTIMATED DATE OF CONFINEMENT")})
+    last = c.with_answers(last, {"_anc": mark("Type of HUM visit", "ANC VISIT"), "_edd": date("ESTIMATED DATE OF CONFINEMENT")}, within=c.encounters([OBGYN, DELIVERY]))
     p = last.select(
         "patient_id", F.col("_place").alias("current_reporting_health_center"), F.col("encounter_type_name").alias("latest_encounter_type"),
         F.col("encounter_datetime").alias("latest_encounter_date"), (F.col("_anc") == 1).alias("antenatal_visit"), F.to_date("_edd").alias("estimated_delivery_date"),
@@ -1075,6 +1080,7 @@ def _last_entry(c: Clinic, codes: tuple[str, ...], at: str, who: str) -> DataFra
 def pathology_encounters(c: Clinic, order_type: str = PATHOLOGY_ORDER) -> DataFrame:
     kinds = c.metadata_ids("order_type", "order_type_id", "uuid", [order_type])
     o = c.window(c.table("orders").filter(F.col("order_type_id").isin(kinds)), "date_activated")
+    bare = o
     o = c.with_concept_name(o.select("order_id", "encounter_id", "order_number", "patient_id", "order_reason"), "order_reason", "prepath_dx")
     e = c.table("encounter").select("encounter_id", "visit_id", "location_id", "encounter_datetime", "date_created", "creator")
     o = c.with_facility(c.with_user(o.join(e, "encounter_id", "left"), "creator", "order_user_entered"))
@@ -1099,9 +1105,9 @@ def pathology_encounters(c: Clinic, order_type: str = PATHOLOGY_ORDER) -> DataFr
         "immunohistochemistry_sent_date": date("14239"), "process_date": date("10485"), "results_date": date("10783"),
         "_file": Q("obs", "10785"), "_g1": Q("obs", "10782"), "_g2": Q("obs", "14315"), "_g3": Q("obs", "14314"),
     }
-    o = c.with_answers(o, spec)
+    o = c.with_answers(o, spec, within=bare)
     loose = c.live("obs").filter("obs_group_id is null")
-    o = c.with_answers(o, {"specimen_to_boston_date": date("14239")}, obs=loose)
+    o = c.with_answers(o, {"specimen_to_boston_date": date("14239")}, obs=loose, within=bare)
     o = _group_answers(c, o, {"post_op_diagnosis": listed("3064")}, "_g1")
     o = _group_answers(
         c, o, {"specimen_to_pap": yn("7817"), "specimen_to_pap_date": date("14239"), "specimen_returned_pap_date": date("6110")}, "_g2"

@@ -69,7 +69,7 @@ def all_encounters_past_year(c: Clinic) -> DataFrame:
     """As above for the trailing thirteen calendar months, fewer columns."""
     e = trailing_months(_encounters(c), "encounter_datetime", c.as_of)
     e = e.filter(F.to_date("encounter_datetime") <= F.lit(c.as_of).cast("date"))
-    e = c.with_answers(c.with_user(_placed(c, e)), {"next_appt": Q("max_date", "5096")})
+    e = c.with_answers(c.with_user(_placed(c, e)), {"next_appt": Q("max_date", "5096")}, within=e)
     return e.select(
         "emr_id",
         c.key("encounter_id"),
@@ -364,7 +364,7 @@ def _diagnosis_details(c: Clinic, d: DataFrame, sets: dict[str, str]) -> DataFra
     """What group, concept, encounter and patient say about each diagnosis."""
     group = c.live("obs").filter("obs_group_id is not null")
     d = c.with_answers(
-        d, {"dx_order": Q("coded", "7537"), "certainty": Q("coded", "1379")}, "obs_group_id", group, "obs_group_id"
+        d, {"dx_order": Q("coded", "7537"), "certainty": Q("coded", "1379")}, "obs_group_id", group, "obs_group_id", d
     )
     d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_fr", "fr")
     d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_en", "en")
@@ -454,6 +454,7 @@ def all_lab_orders(c: Clinic) -> DataFrame:
         },
         "specimen_encounter_id",
         obs_key="encounter_id",
+        within=spec,
     )
     return o.select(
         c.key("patient_id", True),
@@ -629,7 +630,7 @@ def all_medication_dispensing(c: Clinic) -> DataFrame:
         F.col("person_id").alias("patient_id"), "encounter_id", F.col("obs_id").alias("_group")
     )
     grouped = c.live("obs").filter("obs_group_id is not null")
-    old = c.with_answers(heads, DISPENSED, "_group", grouped, "obs_group_id")
+    old = c.with_answers(heads, DISPENSED, "_group", grouped, "obs_group_id", heads)
     old = enrich.decode(old, _drugs(c, ["obs_group_id"], "1282"), "_group", "obs_group_id", {"drug_id": "drug_id"})
     e = c.table("encounter").select("encounter_id", "encounter_datetime", F.col("date_created").alias("datetime_entered"), "creator", "location_id", "visit_id")
     old = c.with_provider(old.join(e, "encounter_id", "left"), "encounter_provider")
@@ -695,19 +696,20 @@ def all_medication_prescribed(c: Clinic) -> DataFrame:
         "order_duration_units": Q("max_coded", "6412"),
         "order_quantity": Q("max_num", "9071"),
     }
-    a = c.with_answers(heads.join(e, "encounter_id"), spec, "_group", grouped, "obs_group_id")
+    a = c.with_answers(heads.join(e, "encounter_id"), spec, "_group", grouped, "obs_group_id", heads)
     a = enrich.decode(
         a, _drugs(c, ["obs_group_id"], "1282", "10634"), "_group", "obs_group_id", {"drug_id": "drug_id", "drug_concept": "drug_concept"}
     )
     a = a.withColumns({"order_created_date": F.to_date("_created"), "order_date_activated": F.to_date("encounter_datetime")})
     o = c.live("orders").join(c.table("drug_order"), "order_id")
+    bare = o
     o = enrich.decode(o, c.table("order_frequency"), "frequency", "order_frequency_id", {"_fc": "concept_id"})
     for column, name in (
         ("_fc", "order_frequency"), ("dose_units", "order_dose_unit"), ("quantity_units", "order_quantity_units"),
         ("route", "order_route"), ("duration_units", "order_duration_units"), ("order_reason", "_reason"),
     ):
         o = c.with_concept_name(o, column, name)
-    o = c.with_answers(o, {"order_comments": text("Medication comments (text)")})
+    o = c.with_answers(o, {"order_comments": text("Medication comments (text)")}, within=bare)
     b = o.select(
         "encounter_id", "patient_id", "order_id", F.col("concept_id").alias("drug_concept"), F.col("drug_inventory_id").alias("drug_id"),
         F.col("dose").alias("order_dose"), "order_dose_unit", F.col("dosing_instructions").alias("order_dosing_instructions"),
@@ -736,7 +738,7 @@ def chemo_session_regimens(c: Clinic) -> DataFrame:
     e = c.encounters([CHEMO]).select("encounter_id", "encounter_datetime")
     o = c.obs("10506").join(e, "encounter_id")
     o = c.with_identifier(c.with_concept_name(o, "value_coded", "chemo_regimen_name", "en"), key="person_id")
-    o = c.with_answers(o, {"_other": Q("comment", "10506", "5622")})
+    o = c.with_answers(o, {"_other": Q("comment", "10506", "5622")}, within=e)
     return o.select(
         "emr_id", c.key("obs_id"), c.key("encounter_id"), "encounter_datetime", "chemo_regimen_name",
         F.when(F.col("chemo_regimen_name") == "Other", F.col("_other")).alias("other_regimen"),

@@ -27,12 +27,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def adapted(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
+    """``df`` with the ``wanted`` columns (name to type): an absent one is null, one of another type is cast."""
+    have = {c.lower(): c for c in df.columns}
+    return df.withColumns({have.get(c.lower(), c): (F.col(have[c.lower()]) if c.lower() in have else F.lit(None)).cast(t) for c, t in wanted.items()})
+
+
 class Site:
     """What the jobs ask of a site besides its tables."""
 
+    spark: SparkSession
+    _shared: Published | None = None
+
     def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table that all jobs of the site share, built at its first use."""
-        return Published.get(self.spark, f"{type(self).__name__}-{self.name}-{self.partition}-{id(self)}", name, build)
+        """A table that all jobs of this site object share, built at its first use."""
+        if self._shared is None:
+            self._shared = Published(self.spark)
+        return self._shared.get(name, build)
+
+    def refresh(self) -> None:
+        """Forget the shared tables, so that the next job reads the source again."""
+        if self._shared is not None:
+            self._shared.refresh()
+
+    def columns(self, table: str) -> dict[str, T.DataType]:
+        """Names and types of the table's columns."""
+        return {f.name: f.dataType for f in self.read(table).schema.fields}
+
+    def with_columns(self, table: str, wanted: dict[str, str]) -> DataFrame:
+        """The table with the ``wanted`` columns (name to type): one that the site lacks is null, of the same type."""
+        return adapted(self.read(table), wanted)
 
 
 class ParquetSite(Site):

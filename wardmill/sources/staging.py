@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where a session has none."""
+    """spark.checkpoint.dir; in a local session without one a folder of our own, which goes with the process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='wardmill-')}"
+        master = spark.sparkContext.master
+        if not master.startswith("local[") and master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        made = tempfile.mkdtemp(prefix="wardmill-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        folder = f"file://{made}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -25,15 +33,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 class Published:
-    """Tables built once per session and source, and read by all jobs after that."""
+    """Tables that an owner builds once and all its readers share; they go with their owner.
 
-    held: dict[tuple, str] = {}
+    A new owner over the same place builds anew, so a table is never served for other data than its own.
+    """
 
-    @classmethod
-    def get(cls, spark: SparkSession, source: str, name: str, build) -> DataFrame:
-        key = (spark.sparkContext.applicationId, source, name)
-        if key not in cls.held:
-            path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.paths:
+            path = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
             build().write.parquet(path)
-            cls.held[key] = path
-        return spark.read.parquet(cls.held[key])
+            self.paths[name] = path
+        return self.spark.read.parquet(self.paths[name])
+
+    def refresh(self) -> None:
+        """Build anew at the next use."""
+        self.paths.clear()

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardmill.sources.contracts import fitted
+
 PARTITION = "partition_num"
 
 
@@ -23,20 +25,21 @@ def union_sites(parts: list[DataFrame]) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of the contract in order and type; unknown or missing columns are an error."""
-    want, have = [f.name for f in schema.fields], set(df.columns)
-    missing, extra = [c for c in want if c not in have], sorted(have - set(want))
-    if missing or extra:
-        raise ValueError(f"schema contract broken: missing {missing}, unexpected {extra}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Columns of the contract in order and type; unknown or missing columns and lost values are an error."""
+    return fitted(df, schema)
 
 
-def write_site_partition(df: DataFrame, path: str, partition: int | None = None) -> None:
+def write_site_partition(df: DataFrame, path: str, partition: int | None = None, contract: T.StructType | None = None) -> None:
     """Replace a site's partition and leave all others alone.
 
+    With a ``contract`` (without the partition column) the rows are made to fit it first, or nothing is written.
+
     With ``partition`` that one is replaced even if ``df`` is empty, so a site that lost its last rows is emptied;
     without it, the partitions present in ``df``.
     """
+    if contract is not None:
+        with_partition = T.StructType([*contract.fields, T.StructField(PARTITION, df.schema[PARTITION].dataType)])
+        df = fitted(df, with_partition, path)
     if partition is not None:
         other = df.filter(~F.col(PARTITION).eqNullSafe(partition)).limit(1).count()
         if other:
@@ -51,14 +54,16 @@ def write_site_partition(df: DataFrame, path: str, partition: int | None = None)
     )
 
 
-def publish(df: DataFrame, database: str, table: str) -> None:
-    """Build a new version of a table, then point the name at it.
+def publish(df: DataFrame, database: str, table: str, contract: T.StructType | None = None) -> None:
+    """Build a new version of a table, made to fit its ``contract`` if there is one, then point the name at it.
 
     The name is a view, replaced in one step: readers see the old rows or the new ones, never a gap, and a job that dies
     before the step leaves the old version in place. Versions no longer shown are dropped afterwards, those of
     jobs that died too.
     """
     spark = df.sparkSession
+    if contract is not None:
+        df = fitted(df, contract, f"{database}.{table}")
     version = f"{table}_v{uuid.uuid4().hex}"
     df.write.format("parquet").saveAsTable(f"{database}.{version}")
     spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{version}")
