@@ -109,20 +109,23 @@ masked AS (
   SELECT doc_id, t, place, line,
          trim(regexp_replace(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS m
   FROM raw),
-l AS (SELECT *, string_split(m, ' ') AS w FROM masked WHERE len(string_split(m, ' ')) >= 4),
+l AS (SELECT *, string_split(m, ' ') AS w FROM masked WHERE m <> ''),
 p AS (SELECT *, struct_pack(n := len(w), lead := array_to_string(w[1:3], ' ')) AS leaf FROM l),
-near AS (SELECT p.* FROM p JOIN (SELECT leaf FROM p GROUP BY leaf HAVING count(DISTINCT t) >= 10) s ON s.leaf = p.leaf),
-seen AS (SELECT leaf, m, w, count(DISTINCT t) AS docs FROM near GROUP BY leaf, m, w),
-tokens AS (SELECT leaf, m, docs, unnest(w) AS token, unnest(range(1, len(w) + 1)) AS i FROM seen),
-fixed AS (SELECT leaf, i, token FROM tokens GROUP BY leaf, i, token HAVING sum(docs) >= 10),
+seen AS (SELECT leaf, m, w, count(DISTINCT t) AS docs FROM p GROUP BY leaf, m, w),
+exact AS (SELECT leaf, m FROM seen WHERE docs >= 10 AND len(w) <= 3 OR docs >= 3 AND len(w) >= 40),
+tokens AS (SELECT leaf, m, docs, unnest(w) AS token, unnest(range(1, len(w) + 1)) AS i FROM seen WHERE len(w) > 3),
+later AS (SELECT * FROM tokens WHERE i > 3),
+fixed AS (SELECT leaf, i, token FROM later GROUP BY leaf, i, token HAVING sum(docs) >= 10),
 marked AS (
-  SELECT tokens.leaf, m, tokens.i, CASE WHEN fixed.i IS NOT NULL AND tokens.token <> '<*>' THEN tokens.token ELSE '<*>' END AS shown
-  FROM tokens LEFT JOIN fixed ON fixed.leaf = tokens.leaf AND fixed.i = tokens.i AND fixed.token = tokens.token),
+  SELECT later.leaf, m, later.i, later.token, CASE WHEN fixed.i IS NOT NULL AND later.token <> '<*>' THEN later.token ELSE '<*>' END AS shown
+  FROM later LEFT JOIN fixed ON fixed.leaf = later.leaf AND fixed.i = later.i AND fixed.token = later.token),
 templates AS (
-  SELECT leaf, m, list(shown ORDER BY i) AS template FROM marked GROUP BY leaf, m HAVING avg(CASE WHEN shown <> '<*>' THEN 1.0 ELSE 0.0 END) >= 0.6),
-named AS (SELECT near.*, template FROM near JOIN templates ON templates.leaf = near.leaf AND templates.m = near.m),
-recurring AS (SELECT leaf, template FROM named GROUP BY leaf, template HAVING count(DISTINCT t) >= 10),
-gone AS (SELECT DISTINCT doc_id, place FROM named JOIN recurring ON recurring.leaf = named.leaf AND recurring.template = named.template),
+  SELECT leaf, m, list(shown ORDER BY i) AS template FROM marked GROUP BY leaf, m
+  HAVING coalesce(avg(CASE WHEN shown <> '<*>' THEN 1.0 ELSE 0.0 END) FILTER (token <> '<*>'), 1) >= 0.6),
+recurring AS (SELECT p.leaf, template FROM p JOIN templates ON templates.leaf = p.leaf AND templates.m = p.m GROUP BY p.leaf, template HAVING count(DISTINCT t) >= 10),
+lines AS (
+  SELECT templates.leaf, m FROM templates JOIN recurring ON recurring.leaf = templates.leaf AND recurring.template = templates.template UNION SELECT leaf, m FROM exact),
+gone AS (SELECT DISTINCT doc_id, place FROM p JOIN lines ON lines.leaf = p.leaf AND lines.m = p.m),
 kept AS (
   SELECT raw.doc_id, string_agg(line, chr(10) ORDER BY raw.place) FILTER (gone.place IS NULL) AS t, count(gone.place) AS n_dropped, count(*) AS n
   FROM raw LEFT JOIN gone ON gone.doc_id = raw.doc_id AND gone.place = raw.place GROUP BY raw.doc_id)
