@@ -15,20 +15,47 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose ids a worker remembers; the memory is emptied when full.
-REMEMBERED = 450_000
+#: Words whose ids a worker remembers: the last so many, and as many before these.
+REMEMBERED = 250_000
 #: New words are encoded together, with a sign between them that is a token of its own and in no other word.
 TOGETHER, BETWEEN = 256, "\x01"
+#: Bytes of text encoded at once, and bits of a remembered place for the number of ids there.
+SLICE, LENGTH_BITS = 2 << 20, 24
+
+
+class Memory:
+    """Words and where their ids are in one array."""
+
+    def __init__(self):
+        self.places: dict[bytes, int] = {b"": 0}
+        self.ids = np.zeros(1 << 16, "<u4")
+        self.used = 0
+
+    def add(self, words: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        starts = self.used + np.cumsum(lengths) - lengths
+        self.places.update(zip(words, ((starts << LENGTH_BITS) | lengths).tolist(), strict=True))
+        self.used += len(ids)
+
+
+def gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` at ``starts`` with ``lengths``, joined."""
+    ends = np.cumsum(lengths)
+    return ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian bytes.
+    """Token ids of whole texts.
 
     The vocabulary's rules drop white space and never join across it, so a text's ids are those of its words in
-    turn; a word's ids are remembered, over the tasks of a worker.
+    turn. A slice of texts looks up its distinct words only; a word's ids are remembered, over the tasks of a worker, until as
+    many others have come since it was last seen.
     """
 
     held: dict[str, Encoder] = {}
@@ -38,7 +65,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
-        self.words: dict[bytes, bytes] = {}
+        self.memory, self.before = Memory(), Memory()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -49,25 +76,42 @@ class Encoder:
     def learn(self, words: list[bytes]) -> None:
         alone = [w for w in words if BETWEEN.encode() in w or len(self.between) != 1]
         for w in alone:
-            self.words[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        rest = [w for w in words if w not in self.words] if alone else words
+            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4")
+            self.memory.add([w], np.array([len(ids)]), ids)
+        rest = [w for w in words if w not in self.memory.places] if alone else words
         parts = [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
         joined = [f" {BETWEEN} ".join([w.decode() for w in p]) for p in parts]
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.between[0]), len(ids)).tolist()
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(part, ends, strict=True):
-                self.words[w] = raw[4 * at : 4 * end]
-                at = end + 1
-
-    def __call__(self, text: bytes) -> bytes:
-        words = text.split()
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        if missing := set(words).difference(self.words):
-            self.learn(list(missing))
-        return b"".join(map(self.words.__getitem__, words))
+            own = ids != self.between[0]
+            ends = np.append(np.flatnonzero(~own), len(ids))
+            self.memory.add(part, np.diff(ends, prepend=-1) - 1, ids[own])
+
+    def known(self, words: list[bytes]) -> np.ndarray:
+        """The places of the words in the memory, after learning those that are new."""
+        if len(self.memory.places) > REMEMBERED:
+            self.memory, self.before = Memory(), self.memory
+        places = self.memory.places
+        new = [w for w in words if w not in places]
+        again = [w for w in new if w in self.before.places]
+        if again:
+            there = np.fromiter(map(self.before.places.__getitem__, again), np.int64, len(again))
+            lengths = there & ((1 << LENGTH_BITS) - 1)
+            self.memory.add(again, lengths, gathered(self.before.ids, there >> LENGTH_BITS, lengths))
+            new = [w for w in new if w not in places]
+        if new:
+            self.learn(new)
+        return np.fromiter(map(self.memory.places.__getitem__, words), np.int64, len(words))
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts joined, number of ids of each) of an array of binary."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_binary()).fill_null(b"").cast(pa.large_string()))
+        encoded = split.flatten().dictionary_encode()
+        places = self.known(encoded.dictionary.cast(pa.large_binary()).to_pylist())[encoded.indices.to_numpy()]
+        lengths = places & ((1 << LENGTH_BITS) - 1)
+        ids = gathered(self.memory.ids, places >> LENGTH_BITS, lengths)
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        return ids, np.diff(before[split.offsets.to_numpy() - split.offsets[0].as_py()])
 
 
 def cut(total: int, longest: int) -> list[int]:
@@ -90,31 +134,28 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, long
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder.of(path)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
-            row, start, length, total, data, held = [], [], [], [], [], 0
-
-            def out():
-                return pa.record_batch(
-                    [ids.take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary()), pa.array(total, pa.int64())],
+            texts = batch.column(1).cast(pa.binary())
+            ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < batch.num_rows:
+                last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + SLICE, "right")))
+                ids, counts = encode(texts.slice(first, last - first))
+                row, start, length, total, data, at = [], [], [], [], [], 0
+                for i, n in enumerate((counts + 1).tolist()):
+                    tokens, done = ids[at : at + n - 1].tobytes() + end, 0
+                    at += n - 1
+                    for k in cut(n, longest):
+                        row.append(first + i)
+                        start.append(done)
+                        length.append(k)
+                        total.append(n)
+                        data.append(tokens[4 * done : 4 * (done + k)])
+                        done += k
+                yield pa.record_batch(
+                    [batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary()), pa.array(total, pa.int64())],
                     names=["doc_id", "start", "length", "ids", "doc_tokens"],
                 )
-
-            for i in range(batch.num_rows):
-                tokens = encode(texts[i].as_py() or b"") + end
-                n, at = len(tokens) // 4, 0
-                for k in cut(n, longest):
-                    row.append(i)
-                    start.append(at)
-                    length.append(k)
-                    total.append(n)
-                    data.append(tokens[4 * at : 4 * (at + k)])
-                    at += k
-                held += len(tokens)
-                if held > 16 << 20:
-                    yield out()
-                    row, start, length, total, data, held = [], [], [], [], [], 0
-            if row:
-                yield out()
+                first = last
 
     cutted = docs.select("doc_id", "text").mapInArrow(work, "doc_id long, start long, length long, ids binary, doc_tokens long")
     return cutted.select(
