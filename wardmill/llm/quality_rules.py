@@ -1,9 +1,10 @@
 """Quality rules: base counts of a text and the frequency of its lines across documents.
 
-Lines are normalised and hashed, distinct documents are counted per host, lines above the limit are removed, and
-documents that lose more than half of their words are rejected. Copies of one text count as one document, so being
-copied does not make a text's own lines frequent. The host is the column ``source``; a null source is a host of its
-own. DataFrame functions only.
+Lines are normalised and hashed, distinct documents are counted per host and over all hosts, lines above a limit are
+removed, and documents that lose more than half of their words are rejected. Either of three limits suffices: many
+documents of the host, many over all hosts, or a few that are a large share of a small host. Copies of one text count as
+one document, so being copied does not make a text's own lines frequent. The host is the column ``source``; a null
+source is a host of its own. DataFrame functions only.
 
 A null text has no words and fails. Long texts are read whole. Rows with one id are told apart by ``row_id`` (see
 common.with_row_ids) and each gives a row. Other columns are ignored. An empty table gives an empty result.
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import SPACE, with_row_ids, written
+from wardmill.llm.common import SPACE, free_names, with_row_ids, written
 
 WORDLESS = r"[^\x20\x09-\x0D]"
 
@@ -69,10 +70,9 @@ def base_counts(rows: DataFrame) -> DataFrame:
 
 def hashed_lines(rows: DataFrame) -> DataFrame:
     """row_id, host, content, two hashes of the normalised line, and its number of words; lines without words go."""
-    t = F.coalesce("text", F.lit(""))
-    lines = rows.select(
-        "row_id", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("host"), F.xxhash64(t).alias("content"), F.explode(F.split(t, "\n", -1)).alias("line")
-    ).where(F.col("line").rlike(WORDLESS))
+    t = rows.select("row_id", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("host"), F.coalesce("text", F.lit("")).alias("t"))
+    t = t.withColumn("content", F.xxhash64("t"))  # below the explode: above it Spark would hash the text for every line
+    lines = t.select("row_id", "host", "content", F.explode(F.split("t", "\n", -1)).alias("line")).where(F.col("line").rlike(WORDLESS))
     normal = F.lower(F.trim(F.regexp_replace("line", SPACE, " ")))
     lines = lines.select("row_id", "host", "content", normal.alias("line"))
     words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
@@ -81,21 +81,22 @@ def hashed_lines(rows: DataFrame) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, least_docs: int = 20, share: float = 0.002) -> DataFrame:
+def judged(docs: DataFrame, many: int = 50, few: int = 5, share: float = 0.02) -> DataFrame:
     """Base counts, n_lines_removed, n_words_left and kept for every row.
 
-    A line is above the limit if more than ``least_docs`` distinct documents of its host have it and more than
-    ``share`` of the host's.
+    A line is above the limit if more than ``many`` distinct documents of its host or of all hosts have it, or at least
+    ``few`` and more than ``share`` of its host's.
     """
     rows, _ = with_row_ids(docs.select("doc_id", "text", "source"))
     lines = written(hashed_lines(rows), "lines")
     hosts = written(lines.groupBy("host").agg(F.count_distinct("content").alias("host_docs")), "hosts")
+    # a line of few documents over all hosts has few in each
+    everywhere = written(lines.groupBy("h1", "h2").agg(F.count_distinct("content").alias("docs")).where(F.col("docs") >= few), "everywhere")
+    by_host = lines.join(everywhere.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("host", "h1", "h2").agg(F.count_distinct("content").alias("host_has"))
     frequent = (
-        lines.groupBy("host", "h1", "h2")
-        .agg(F.count_distinct("content").alias("docs"))
-        .where(F.col("docs") > least_docs)
+        by_host.join(everywhere, ["h1", "h2"])
         .join(hosts, "host")
-        .where(F.col("docs") > share * F.col("host_docs"))
+        .where((F.col("docs") > many) | (F.col("host_has") >= few) & (F.col("host_has") > share * F.col("host_docs")))
         .select("host", "h1", "h2")
     )
     removed = (
@@ -115,6 +116,7 @@ def judged(docs: DataFrame, least_docs: int = 20, share: float = 0.002) -> DataF
 
 def without_frequent_lines(docs: DataFrame) -> DataFrame:
     """The documents that are kept; columns as before."""
-    rows, _ = with_row_ids(docs)
-    verdict = judged(rows.select(F.col("row_id").alias("doc_id"), "text", "source")).where("kept").select("row_id")
-    return rows.join(written(verdict, "kept"), "row_id", "left_semi").select(*docs.columns)
+    (own,) = free_names(docs, "row_id")
+    rows, _ = with_row_ids(docs, own)
+    verdict = judged(rows.select(F.col(own).alias("doc_id"), "text", "source")).where("kept").select(F.col("row_id").alias(own))
+    return rows.join(written(verdict, "kept"), own, "left_semi").select(*docs.columns)

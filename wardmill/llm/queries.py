@@ -83,9 +83,10 @@ lines AS (
   SELECT doc_id, coalesce('=' || source, '') AS host, t, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line
   FROM (SELECT doc_id, source, t, unnest(ls) AS l FROM w)),
 hosts AS (SELECT host, count(DISTINCT t) AS n FROM lines GROUP BY host),
+everywhere AS (SELECT line, count(DISTINCT t) AS n FROM lines GROUP BY line),
 frequent AS (
   SELECT f.host, f.line FROM (SELECT host, line, count(DISTINCT t) AS n FROM lines GROUP BY host, line) f
-  JOIN hosts ON hosts.host = f.host WHERE f.n > 20 AND f.n > 0.002 * hosts.n),
+  JOIN hosts ON hosts.host = f.host JOIN everywhere ON everywhere.line = f.line WHERE everywhere.n > 50 OR f.n >= 5 AND f.n > 0.02 * hosts.n),
 gone AS (
   SELECT doc_id, count(*) AS n, sum(len(string_split(lines.line, ' '))) AS words
   FROM lines JOIN frequent ON frequent.host = lines.host AND frequent.line = lines.line GROUP BY doc_id)
