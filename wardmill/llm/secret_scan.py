@@ -3,11 +3,11 @@
 Candidates are the values of assignments to secret-like names, strings of known providers' formats, and other runs of
 token characters that hold a digit. Features are the candidate's length and kinds of characters, the likelihood of its
 character transitions in the corpus, the share of it that dictionary words cover, its document's path, and the words
-before and after it. The forest is Spark's own, trained on labelled findings.
+before and after it. The forest is Spark's own, trained on labelled findings: a table of reviewed candidates.
 
-Findings get their labels by rules when no reviewed ones are given: provider formats and quoted assignments of random
-values are secrets; addresses, numbers, dates and runs made of dictionary words are not; the rest is left to the forest.
-The features don't say which rule spoke. Training reads at most ``sample_rows`` labelled findings, chosen by a hash.
+Where no reviewed table is given, rules label the clear cases by what is not among the features: provider formats and assignments
+to secret-like names are secrets, addresses and runs that neither hold a letter nor a digit among letters are not; the rest is left to the forest. Training
+reads at most ``sample_rows`` distinct labelled candidates, half of each label, chosen by a hash, so no string's copies fill it.
 Transitions and dictionary are counted over all documents; the dictionary holds words that a set share of documents have,
 so its size has a bound whatever the number of documents.
 
@@ -142,7 +142,7 @@ def features(text: str, path: str | None, before: list[str], after: list[str], t
     kinds = [sum(map(f, text)) / n for f in (str.isdigit, str.isupper, str.islower)]
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(text, text[1:], strict=False)) / n
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-    out = [n, *kinds, 1 - sum(kinds), changes, entropy, sum(steps) / len(steps), min(steps), covered(text, words), float("@" in text), float(all(c in "0123456789abcdefABCDEF" for c in text))]
+    out = [n, *kinds, 1 - sum(kinds), changes, entropy, sum(steps) / len(steps), min(steps), covered(text, words), float(all(c in "0123456789abcdefABCDEF" for c in text))]
     out += [float(bucket(path or "", PATH_BUCKETS) == k) for k in range(PATH_BUCKETS)]
     for near in (before, after):
         seen = {bucket(w, NEIGHBOUR_BUCKETS) for w in near}
@@ -150,12 +150,11 @@ def features(text: str, path: str | None, before: list[str], after: list[str], t
     return out
 
 
-def rule_label(kind: str, text: str, words: frozenset[str]) -> int | None:
+def rule_label(kind: str, text: str) -> int | None:
     """1 secret, 0 no secret, None for the forest to say."""
-    digits, letters = any(map(str.isdigit, text)), any(map(str.isalpha, text))
-    if kind == "provider" or kind == "assigned" and digits and letters and len(text) >= 12:
+    if kind == "provider" or kind == "assigned" and re.search("[0-9]", text) and re.search("[A-Za-z]", text):
         return 1
-    if "@" in text or not letters or covered(text, words) > 0.7 or re.fullmatch(r"[A-Za-z]+[.,:;-]?[0-9]{1,4}[.,:;-]?", text):
+    if "@" in text or not re.search("[A-Za-z]", text) or re.fullmatch(r"[A-Za-z]+[.,:;-]?[0-9]{1,4}[.,:;-]?", text):
         return 0
     return None
 
@@ -167,7 +166,7 @@ def featured(found: DataFrame, table: np.ndarray, words: frozenset[str]) -> Data
         for b in batches:
             rows = list(zip(*(b.column(k).to_pylist() for k in ("kind", "candidate", "path", "before", "after")), strict=True))
             made = [features(c, p, x, y, table, words) for _, c, p, x, y in rows]
-            labels = [rule_label(k, c, words) for k, c, _, _, _ in rows]
+            labels = [rule_label(k, c) for k, c, _, _, _ in rows]
             kept = [b.column(k) for k in ("doc_id", "start", "end", "kind", "candidate")]
             yield pa.record_batch([*kept, pa.array(made, pa.list_(pa.float64())), pa.array(labels, pa.int32())], names=["doc_id", "start", "end", "kind", "candidate", "features", "label"])
 
@@ -175,9 +174,13 @@ def featured(found: DataFrame, table: np.ndarray, words: frozenset[str]) -> Data
 
 
 def forest(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 20, depth: int = 6):
-    """A fitted model of ``labelled`` (features, label, candidate), or the share of secrets if there is one kind only."""
-    shown = labelled.where("label IS NOT NULL").select("candidate", "features", "label")
-    sample = written(shown.orderBy(F.xxhash64("candidate"), "candidate", "label").limit(sample_rows), "labelled")
+    """A fitted model of ``labelled`` (findings with features and label), or the share of secrets if there is one kind only.
+
+    Copies of a candidate count once per label, with the features of the first.
+    """
+    shown = labelled.where("label IS NOT NULL").groupBy("candidate", "label").agg(F.min(F.struct("doc_id", "start", "features"))["features"].alias("features"))
+    part = lambda k: shown.where(F.col("label") == k).orderBy(F.xxhash64("candidate"), "candidate").limit(sample_rows // 2)
+    sample = written(part(0).unionByName(part(1)), "labelled")
     totals = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(totals) < 2:
         return float(next(iter(totals), 0))
@@ -186,9 +189,16 @@ def forest(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 20,
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=5, weightCol="weight").fit(rows)
 
 
-def scan(docs: DataFrame, path: str = "source", least: float = 0.5) -> DataFrame:
-    """doc_id, start, end, kind, candidate, label (of the rules), probability, is_secret for every candidate."""
+def scan(docs: DataFrame, path: str = "source", least: float = 0.5, reviewed: DataFrame | None = None) -> DataFrame:
+    """doc_id, start, end, kind, candidate, label, probability, is_secret for every candidate.
+
+    ``reviewed``: labelled findings (candidate, label 0 or 1); of several labels of one candidate the higher counts, null
+    ones don't. Without them ``label`` is that of the rules.
+    """
     rows = written(featured(findings(docs, path), transitions(docs), dictionary(docs)), "findings")
+    if reviewed is not None:
+        told = reviewed.where("candidate IS NOT NULL AND label IS NOT NULL").groupBy("candidate").agg(F.max((F.col("label") != 0).cast("int")).alias("label"))
+        rows = written(rows.drop("label").join(told, "candidate", "left"), "reviewed")
     model = forest(rows)
     if isinstance(model, float):
         told = rows.withColumn("probability", F.lit(model))
