@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,14 +19,30 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where a session has none."""
+    """The folder all executors share: spark.checkpoint.dir; in a local session without one a folder of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='wardmill-')}"
+        master = spark.sparkContext.master
+        if not master.startswith("local[") and master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        made = tempfile.mkdtemp(prefix="wardmill-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        folder = f"file://{made}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until ``df`` has no column of that name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here and Spark knows the size."""
     spark = df.sparkSession

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import SPACE, with_row_ids, written
+from wardmill.llm.common import SPACE, free_names, with_row_ids, written
 
 #: Bits of a quotient inside its block; the bits before them name the block, the bits after are the remainder.
 QUOTIENT_BITS = 16
@@ -148,11 +148,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that equal an earlier one; columns as before."""
-    rows, _ = with_row_ids(docs)
-    gone = written(exact_groups_of(rows).where(~F.col("kept")).select("row_id"), "copies")
-    return rows.join(gone, "row_id", "left_anti").select(*docs.columns)
-
-
-def exact_groups_of(rows: DataFrame) -> DataFrame:
-    """exact_groups of rows that carry unique row_ids already."""
-    return exact_groups(rows.select(F.col("row_id").alias("doc_id"), "text"))
+    (own,) = free_names(docs, "row_id")
+    rows, _ = with_row_ids(docs, own)
+    found = exact_groups(rows.select(F.col(own).alias("doc_id"), "text"))
+    gone = written(found.where(~F.col("kept")).select(F.col("row_id").alias(own)), "copies")
+    return rows.join(gone, own, "left_anti").select(*docs.columns)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import SPACE, with_row_ids, written
+from wardmill.llm.common import SPACE, free_names, numbered, with_row_ids, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -33,6 +33,19 @@ def word_count(text: Column) -> Column:
     return (words - F.coalesce(text, F.lit("")).rlike(r"^[\x20\x09-\x0D]").cast("int") - F.coalesce(text, F.lit("")).rlike(r"[\x20\x09-\x0D]\z|^\z").cast("int")).cast("long")
 
 
+def in_order(rows: DataFrame, order: list[Column], name: str, sums: dict[str, Column], before: bool) -> DataFrame:
+    """The rows numbered in ``order``, with sums over the rows before (or up to) each; parts of RUN rows are summed first."""
+    placed = numbered(rows, order, name).withColumns({f"_v{i}": v for i, v in enumerate(sums.values())})
+    placed = placed.withColumn("_part", F.floor(F.col(name) / RUN))
+    parts = placed.groupBy("_part").agg(*[F.sum(f"_v{i}").alias(f"_s{i}") for i in range(len(sums))])
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for RUN sources
+    parts = parts.select("_part", *[F.coalesce(F.sum(f"_s{i}").over(earlier), F.lit(0)).alias(f"_b{i}") for i in range(len(sums))])
+    within = Window.partitionBy("_part").orderBy(name).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+    out = placed.join(parts, "_part")
+    out = out.withColumns({n: F.col(f"_b{i}") + F.coalesce(F.sum(f"_v{i}").over(within), F.lit(0)) for i, n in enumerate(sums)})
+    return out.drop("_part", *[f"_{k}{i}" for k in "vb" for i in range(len(sums))])
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """sid, source, source_size, target: one row per source.
 
@@ -41,21 +54,18 @@ def targets(sizes: DataFrame) -> DataFrame:
     the level at which the rest are served.
     """
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = Window.orderBy(F.col("source").asc_nulls_last())
+    named = numbered(totals, [F.col("source").asc_nulls_last()], "sid")
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), ((F.col("sid") - 1) % len(WEIGHTS) + 1).cast("int"))
-    named = totals.withColumn("sid", F.row_number().over(place)).withColumn("w", weight)
+    named = named.withColumn("w", weight)
     cap = MOST_PASSES * F.col("source_size")
-    before = Window.orderBy(F.col("source_size") / F.col("w"), "sid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    level = named.select(
-        "*",
-        (F.sum("source_size").over(whole) * SHARE - F.coalesce(F.sum(cap).over(before), F.lit(0))).alias("left_words"),
-        (F.sum("w").over(whole) - F.coalesce(F.sum("w").over(before), F.lit(0))).alias("left_weight"),
-    ).withColumn("level", F.col("left_words") / F.col("left_weight"))
-    served = F.min(F.when(F.col("level") * F.col("w") <= cap, F.struct(F.col("source_size") / F.col("w"), "sid", "level"))).over(whole)["level"]
-    return level.withColumn("served", served).select(
-        "sid", "source", "source_size", F.least(F.coalesce(F.col("served") * F.col("w"), cap), cap).cast("double").alias("target")
-    )
+    order = [F.col("source_size") / F.col("w"), F.col("sid")]
+    level = written(in_order(named, order, "at", {"caps": cap, "served_weight": F.col("w")}, True), "levels")
+    whole = level.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    left_words = F.lit(whole["size"] or 0) * SHARE - F.col("caps")
+    level = level.withColumn("level", left_words / (F.lit(whole["w"] or 1) - F.col("served_weight")))
+    first = level.agg(F.min(F.when(F.col("level") * F.col("w") <= cap, F.struct("at", "level"))).alias("first")).first()["first"]
+    served = F.lit(None).cast("double") if first is None else F.lit(float(first["level"]))
+    return level.select("sid", "source", "source_size", F.least(F.coalesce(served * F.col("w"), cap), cap).cast("double").alias("target"))
 
 
 def running(rows: DataFrame, keys: list[str], part: str, order: list[str], value: str, name: str) -> DataFrame:
@@ -96,9 +106,8 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     stream = written(stream.withColumn("row", F.monotonically_increasing_id()), "stream")
 
     total = goals.agg(F.sum("slots").alias("n")).first()["n"] or 0
-    edge = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
-    ends = goals.where("slots > 0").select("sid", "slots", "blocks", (F.sum("slots").over(edge) / float(max(total, 1))).alias("high"))
-    ends = ends.withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("sid")), F.lit(0.0)))
+    ends = in_order(goals.where("slots > 0").select("sid", "slots", "blocks"), [F.col("sid")], "at", {"upto": F.col("slots")}, False)
+    ends = ends.select("sid", "slots", "blocks", (F.col("upto") / float(max(total, 1))).alias("high"), ((F.col("upto") - F.col("slots")) / float(max(total, 1))).alias("low"))
     cells = ends.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * CELLS), F.floor(F.least(F.col("high"), F.lit(1.0)) * CELLS))))
     points = spark.range(total).select(F.col("id").alias("slot"), van_der_corput(F.col("id")).alias("point"))
     points = points.withColumns({"cell": F.floor(F.col("point") * CELLS), "run": F.floor(F.col("slot") / RUN), "one": F.lit(1).cast("long")})
@@ -132,14 +141,15 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     Columns as before; the cut text has single spaces, and n_chars, where there is one, follows it.
     """
-    rows, _ = with_row_ids(docs)
-    taken = taken_words(rows.select(F.col("row_id").alias("doc_id"), "text", "source")).where("taken > 0")
-    taken = taken.select(F.col("doc_id").alias("row_id"), F.floor(F.col("taken") / F.col("size")).alias("_whole"), (F.col("taken") % F.col("size")).alias("_first"))
-    copies = F.concat(F.array_repeat(F.lit(0), F.col("_whole").cast("int")), F.when(F.col("_first") > 0, F.array("_first")).otherwise(F.array().cast("array<long>")))
-    each = rows.join(written(taken, "taken"), "row_id").withColumn("_cut", F.explode(copies))
+    own, whole, first, cut = free_names(docs, "row_id", "_whole", "_first", "_cut")
+    rows, _ = with_row_ids(docs, own)
+    taken = taken_words(rows.select(F.col(own).alias("doc_id"), "text", "source")).where("taken > 0")
+    taken = taken.select(F.col("doc_id").alias(own), F.floor(F.col("taken") / F.col("size")).alias(whole), (F.col("taken") % F.col("size")).alias(first))
+    copies = F.concat(F.array_repeat(F.lit(0), F.col(whole).cast("int")), F.when(F.col(first) > 0, F.array(first)).otherwise(F.array().cast("array<long>")))
+    each = rows.join(written(taken, "taken"), own).withColumn(cut, F.explode(copies))
     words = F.array_remove(F.split("text", SPACE), "")
-    text = F.when(F.col("_cut") == 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("_cut").cast("int")), " "))
+    text = F.when(F.col(cut) == 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.col(cut).cast("int")), " "))
     each = each.withColumn("text", text)
     if "n_chars" in docs.columns:
-        each = each.withColumn("n_chars", F.when(F.col("_cut") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        each = each.withColumn("n_chars", F.when(F.col(cut) == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return each.select(*docs.columns)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import with_row_ids, written
+from wardmill.llm.common import free_names, with_row_ids, written
 from wardmill.llm.components import components
 
 WORDS = 5
@@ -357,7 +357,8 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component, the first; columns as before."""
-    rows, _ = with_row_ids(docs)
-    found = near_components(rows.select(F.col("row_id").alias("doc_id"), "text"))
-    gone = written(found.where("row_id <> component_row").select("row_id"), "near-copies")
-    return rows.join(gone, "row_id", "left_anti").select(*docs.columns)
+    (own,) = free_names(docs, "row_id")
+    rows, _ = with_row_ids(docs, own)
+    found = near_components(rows.select(F.col(own).alias("doc_id"), "text"))
+    gone = written(found.where("row_id <> component_row").select(F.col("row_id").alias(own)), "near-copies")
+    return rows.join(gone, own, "left_anti").select(*docs.columns)

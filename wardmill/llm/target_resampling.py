@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import numbered, with_row_ids, written
+from wardmill.llm.common import free_names, numbered, with_row_ids, written
 
 BUCKETS, LONGEST, LEAST_WORDS, SHARE, SEED = 10_000, 1, 20, 10, "2024"
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -154,9 +154,7 @@ def ranked(rows: DataFrame, target: DataFrame, longest: int = LONGEST, buckets:
 
 def drawn(docs: DataFrame, target: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are drawn, with their columns as they are."""
-    own = "_wm_row"
-    while own in docs.columns:
-        own += "_"
+    (own,) = free_names(docs, "_wm_row")
     rows, _ = with_row_ids(docs, own)
     chosen = ranked(rows.select(own, "doc_id", "text"), target, **options).where("rank IS NOT NULL").select(own)
     return rows.join(written(chosen, "drawn").hint("merge"), own, "left_semi").select(*docs.columns)
