@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wardmill.catalog import twins as T
 from wardmill.catalog.clinic_tables import Dictionary
 from wardmill.catalog.extracts import NAMES_FR, tup
 from wardmill.catalog.programs import GRP, TESTP, _list
@@ -63,7 +64,24 @@ HP = Dictionary(
     [*HV_Q, "HIV TEST DATE", "5596", "14990", "5599", "13265", "FIRST NAME", "LAST NAME", "TELEPHONE NUMBER OF CONTACT", "11563"],
     [*HV_A, *SYMPTOMS.values()], [HIV_INTAKE_TYPE, HIV_FOLLOWUP_TYPE, PMTCT_INITIAL, PMTCT_FOLLOWUP], programs=[HIV, "p-2"],
 )
-extract("hiv_pmtct_visit", "X38 R24b R41 R63", HP, None, M.hiv_pmtct_visit, "patient_program program")
+SYMPTOM = ", ".join("{" + c + "}" for c in SYMPTOMS.values())
+extract(
+    "hiv_pmtct_visit",
+    "X38 R24b R41 R63",
+    HP,
+    f""", oa AS (SELECT o.encounter_id, {HV_ANS}, CAST({_last("o.value_datetime", "HIV TEST DATE")} AS DATE) AS hiv_test_date, CAST({_last("o.value_datetime", "5596")} AS DATE) AS expected_delivery_date, {_yn(_last("o.value_coded", "14990"))} AS delivery, {_last("o.value_datetime", "5599")} AS delivery_datetime,
+      max(o.obs_datetime) FILTER (o.value_coded IN ({SYMPTOM})) AS son, max(1) FILTER (o.value_coded IN ({SYMPTOM}) AND o.concept_id = {{11563}}) AS pres, max(1) FILTER (o.concept_id IN ({{13265}}, {{FIRST NAME}}, {{LAST NAME}}, {{TELEPHONE NUMBER OF CONTACT}})) AS con {NM} GROUP BY 1),
+    {HV_GRP}, {_ph("pi", "ISONIAZID")}, hv AS (SELECT patient_id, identifier FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY preferred DESC, date_created DESC, identifier) AS r FROM c_patient_identifier WHERE NOT voided AND identifier_type = 2) WHERE r = 1)
+    SELECT {K}e.encounter_id AS encounter_id, {K}e.visit_id AS visit_id, {K}(SELECT p.patient_program_id FROM c_patient_program p WHERE NOT p.voided AND p.program_id = 1 AND p.patient_id = e.patient_id AND CAST(p.date_enrolled AS DATE) <= CAST(e.encounter_datetime AS DATE) AND (CAST(p.date_completed AS DATE) >= CAST(e.encounter_datetime AS DATE) OR p.date_completed IS NULL)
+        ORDER BY CAST(p.date_enrolled AS DATE) DESC, p.patient_program_id DESC LIMIT 1) AS hiv_program_id, emr.identifier AS emr_id, hv.identifier AS hivemr_v1, et.name AS encounter_type, e.date_created AS date_entered, cu.username AS user_entered, {", ".join("oa." + k for k in KEEP)},
+      a.rt AS referral_transfer_in, a.ki AS internal_external_in, CASE WHEN a.kic = {{8855}} THEN a.place WHEN a.kic IS NOT NULL THEN a.nam END AS referral_transfer_location_in, b.rt AS referral_transfer_out, b.ko AS internal_external_out, CASE WHEN b.koc = {{8855}} THEN b.place WHEN b.koc IS NOT NULL THEN b.nam END AS referral_transfer_location_out,
+      b.pep AS referral_transfer_pepfar_partner_out, pi.line AS inh_line, pi.st AS inh_start_date, pi.en AS inh_end_date, CAST(e.encounter_datetime AS DATE) AS visit_date, vl.name AS visit_location, {FAC} AS facility, oa.hiv_test_date, oa.expected_delivery_date, CASE WHEN oa.pres = 1 THEN CAST(oa.son AS DATE) END AS tb_screening_date,
+      CASE WHEN oa.con = 1 THEN TRUE END AS has_provided_contact, oa.delivery, oa.delivery_datetime, {NI} AS index_asc, {NI} AS index_desc, {NI} AS index_program_asc, {NI} AS index_program_desc
+    FROM c_encounter e {V} {ET} {EMR} {U} LEFT JOIN hv ON hv.patient_id = e.patient_id LEFT JOIN oa ON oa.encounter_id = e.encounter_id LEFT JOIN g a ON a.obs_group_id = oa.gi LEFT JOIN g b ON b.obs_group_id = oa.go LEFT JOIN pi ON pi.encounter_id = e.encounter_id
+    WHERE NOT e.voided AND e.encounter_type IN (1, 2, 3, 4) AND {TESTP}""",
+    M.hiv_pmtct_visit,
+    "patient_program program",
+)
 PG = Dictionary(
     ["Type of HUM visit", "GRAVIDITY", "PARITY", "NUMBER OF ABORTIONS", "CIEL:1825", "DATE OF LAST MENSTRUAL PERIOD", "ESTIMATED DATE OF CONFINEMENT", "13262", "CIEL:159758", M.PREGNANCY_GROUP, "CIEL:163460", "11663", "CIEL:161033"],
     ["ANC VISIT", "a1"], [OBGYN, "t-2"], programs=[MATERNAL, "p-2"],
@@ -128,11 +146,11 @@ extract(
     M.covid_lab_test,
 )
 VA = Dictionary([M.VACCINATIONS, M.SEQUENCE, M.VACCINE_DATE], [c for cs, _ in M.VACCINES.values() for c in cs], list(M.PRIMARY_CARE_NAMES), "name", programs=["MCH", "p-2"])
-extract("vaccinations_anc", "X85 R2 R30", VA, None, M.vaccinations_anc, "patient_program program")
+extract("vaccinations_anc", "X85 R2 R30", VA, T.VACCINES, M.vaccinations_anc, "patient_program program")
 OV = Dictionary(["Service or program", "Service or program non-coded", "CIEL:1169", "HIV TEST DATE"], ["a1", "a2"], ["OVC Intake", "OVC Follow-up", "t-3"], "name", programs=[M.OVC, "p-2"])
-extract("ovc_program_encounters", "X69 R11 R18 R22", OV, None, M.ovc_program_encounters, "patient_program program patient_state")
+extract("ovc_program_encounters", "X69 R11 R18 R22", OV, T.OVC, M.ovc_program_encounters, "patient_program program patient_state program_workflow_state")
 J9Q = ["11665", "11117", "13242", "13737", "5596", "5599", "8879", "Type of referring service", "CIEL:160535", "13126", "11663", "12899", "10140", "11673", "CIEL:1054", "10154", "mothers group"]
 J9A = [*M.MATERNAL_HISTORY.values(), *M.MATERNAL_VISITS.values(), "OTHER"]
 J9 = Dictionary(J9Q, J9A, [OBGYN, DELIVERY, "t-3"], programs=[MATERNAL, "p-2"])
-extract("mch_j9_data", "X51 R7 R28", J9, None, lambda c: M.mch_j9_data(c, "flow-1"), "patient_program program patient_state")
-extract("mch_j9_case_registration", "X50 R5 R62 F16", J9, None, lambda c: M.mch_j9_case_registration(c, "flow-1"), "patient_program program patient_state relationship")
+extract("mch_j9_data", "X51 R7 R28", J9, T.J9_DATA, lambda c: M.mch_j9_data(c, "flow-1"), "patient_program program patient_state program_workflow_state")
+extract("mch_j9_case_registration", "X50 R5 R62 F16", J9, T.J9_CASES, lambda c: M.mch_j9_case_registration(c, "flow-1"), "patient_program program patient_state program_workflow_state relationship")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wardmill.catalog import twins as T
 from wardmill.catalog.clinic_tables import Dictionary
 from wardmill.catalog.extracts import AS_OF, attribute, identifier, years
 from wardmill.catalog.records import EMR, ET, FAC, HC, PR, U, V, K, _last, extract
@@ -339,11 +340,11 @@ extract(
 PP = Dictionary(
     ["CIEL:159599", "CIEL:159758", "REFERRAL OR TRANSFER", "11525", "13955", "CIEL:5497"], ["11197", "TRANSFER", "CIEL:1065"], [X.PMTCT_INITIAL, X.PMTCT_FOLLOWUP], programs=[X.HIV, "p-2"], state_codes=STATES
 )
-extract("pmtct_pregnancy", "X76 R35 R59", PP, None, X.pmtct_pregnancy, "patient_program program patient_state orders")
+extract("pmtct_pregnancy", "X76 R35 R59", PP, T.PMTCT_PREGNANCY, X.pmtct_pregnancy, "patient_program program patient_state program_workflow_state orders")
 PI = Dictionary(["13135", "1040", "1030", "13964", "CIEL:164851", "CIEL:163529", "CIEL:1151", "5096"], ["11197", "a1"], [HIV_DISPENSING_TYPE], programs=[X.INFANTS, "p-2"])
-extract("pmtct_infant_delivery", "X74 R59 R61 F14", PI, None, X.pmtct_infant_delivery, "patient_program program orders")
+extract("pmtct_infant_delivery", "X74 R59 R61 F14", PI, T.INFANT, X.pmtct_infant_delivery, "patient_program program orders")
 EI = Dictionary(["1040", "1030", "1042"], ["CIEL:138405", "a1"], ["t-1"], programs=[X.INFANTS, "p-2"], state_codes=STATES)
-extract("eid_patient", "X33 R62 F16", EI, None, lambda c: X.eid_patient(c, "flow-1"), "patient_program program patient_state orders relationship")
+extract("eid_patient", "X33 R62 F16", EI, T.EID, lambda c: X.eid_patient(c, "flow-1"), "patient_program program patient_state program_workflow_state orders relationship")
 BQ = ["5599", "13555", "CIEL:161033", "CIEL:5916", "CIEL:1504", "CIEL:162131", "CIEL:135437", "11663", "13571", "13572", "13573"]
 MB = Dictionary(BQ, ["5622", "a1", "a2"], [X.DELIVERY, "t-2"])
 
@@ -365,11 +366,11 @@ extract(
     X.mch_birth,
 )
 MP = Dictionary(["Type of HUM visit", "ESTIMATED DATE OF CONFINEMENT", "CIVIL STATUS"], ["ANC VISIT", "a1"], [X.OBGYN, X.DELIVERY, "t-3"], programs=[X.MATERNAL, "p-2"])
-extract("mch_patient", "X52 R22 R29 R59", MP, None, X.mch_patient, "patient patient_program program")
+extract("mch_patient", "X52 R22 R29 R59", MP, T.MCH_PATIENT, X.mch_patient, "patient patient_program program")
 NQ = ["10529", "3064", "3139", "11926"]
 NA = sorted({*X.NCD_CATEGORIES.values(), *[c for r in (X.DM_TYPES, X.HEART_CATEGORIES, X.NYHA, X.CARDIOMYOPATHIES) for cs, _ in r for c in cs]})
 ND = Dictionary(NQ, [*NA, "11501", "11499"], [X.NCD_INITIAL, X.NCD_FOLLOWUP], programs=[X.NCD, "p-2"], sets=[("11501", c) for cs, _ in X.DM_TYPES for c in cs] + [("11499", c) for cs, _ in X.HEART_CATEGORIES for c in cs])
-extract("ncd_patient_table_staging", "X61 R24 R26", ND, None, X.ncd_patient_table_staging, "patient_program program patient_state")
+extract("ncd_patient_table_staging", "X61 R24 R26", ND, T.NCD, X.ncd_patient_table_staging, "patient_program program patient_state program_workflow_state concept_set")
 NH = Dictionary(["q1", "q2"], [*X.HF_FLAGS.values(), "a1", "a2", "a3", "a4"], ["NCD Initial Consult", "NCD Followup Consult"], "name", programs=["NCD", "p-2"])
 HFC = ", ".join(f"bool_or(o.value_coded = {{{c}}}) AS {n}" for n, c in X.HF_FLAGS.items())
 extract(
@@ -388,7 +389,7 @@ PQ = [
     "14313", "14239", "10485", "10783", "10785", "10782", "14315", "14314", "3064", "7817", "6110", "10770", "10772",
 ]
 PA = Dictionary(PQ, ["a1", "a2"], ["t-1", "t-2"], order_types=(X.PATHOLOGY_ORDER, "other"))
-extract("pathology_encounters", "X70 R5 F7 F9 F12", PA, None, X.pathology_encounters, "orders encounter_role")
+extract("pathology_encounters", "X70 R5 F7 F9 F12", PA, T.PATHOLOGY, X.pathology_encounters, "orders encounter_role")
 extract(
     "pathology_procedures",
     "X71 R56",

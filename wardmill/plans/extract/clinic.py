@@ -491,6 +491,35 @@ class Clinic:
                 out = out.withColumn(n, F.coalesce(F.col(n), F.lit(False)))
         return out
 
+    def visit_answers(self, spec: dict[str, tuple[Q, int]], within: DataFrame | None = None) -> DataFrame:
+        """visit_id with a column per entry of ``spec``: the answer to a question at an offset, counted from 0 by time.
+
+        All encounters of a visit count together; ties go by the observation's id, and a visit with fewer answers has null. Kinds are
+        ``num``, ``text``, ``date`` and ``coded``. One ranking over the questions asked and one aggregate per visit, whatever
+        the number of entries. ``within`` has the visits that count.
+        """
+        questions = {n: q for n, (q, _) in spec.items()}
+        e = self.live("encounter").filter("visit_id IS NOT NULL").select("encounter_id", "visit_id")
+        if within is not None:
+            e = e.join(within.select("visit_id"), "visit_id", "left_semi")
+        o = self.obs(*dict.fromkeys(q.code for q in questions.values())).join(e, "encounter_id")
+        far = max(offset for _, offset in spec.values()) + 1
+        o = self._asked(top_n(o, ["visit_id", "concept_id"], ["obs_datetime", "obs_id"], far), questions)
+        value = {"num": "value_numeric", "text": "value_text", "date": "value_datetime", "coded": "_name"}
+        found = {
+            n: Answer(self.is_code("concept_id", q.code) & (F.col("position") == offset + 1), F.col(value[q.kind]), "max")
+            for n, (q, offset) in spec.items()
+        }
+        return eav.pivot(o, ["visit_id"], found)
+
+    def obs_values(self, df: DataFrame, key: str, spec: dict[str, str]) -> DataFrame:
+        """``df`` with values of the observation whose id is in ``key``: column name to ``num``, ``text``, ``date``, ``coded`` or ``comment``."""
+        o = self.live("obs").join(df.select(F.col(key).alias("_wm_id")), F.col("obs_id") == F.col("_wm_id"), "left_semi")
+        if "coded" in spec.values():
+            o = self.with_concept_name(o, "value_coded", "_name")
+        value = {"num": "value_numeric", "text": "value_text", "date": "value_datetime", "coded": "_name", "comment": "comments"}
+        return enrich.decode(df, o, key, "obs_id", {n: value[kind] for n, kind in spec.items()})
+
     def yes_no(self, column: str) -> Column:
         """Coded yes / no as a boolean; any other answer is null."""
         return F.when(self.is_code(column, YES), True).when(self.is_code(column, NO), False)
