@@ -222,6 +222,33 @@ class Clinic:
         date = "date_created" if kind == "dossier" else "-date_created"
         return top1(ids, ["patient_id"], ["-preferred", date, "identifier"])
 
+    def with_identifiers(self, df: DataFrame, columns: dict[str, str], key: str = "patient_id") -> DataFrame:
+        """``df`` with an identifier of each type (column name to kind): one read and one aggregate for all of them."""
+        kinds = {IDENTIFIER_TYPES[k] for k in columns.values()}
+        types = self.table("patient_identifier_type").filter(F.col("uuid").isin(sorted(kinds))).select("patient_identifier_type_id", F.col("uuid").alias("_type"))
+        ids = self.live("patient_identifier").join(types, F.col("identifier_type") == F.col("patient_identifier_type_id"))
+        preferred = F.coalesce((~F.col("preferred")).cast("int"), F.lit(2))
+        old, new = (F.lit(t).cast("timestamp_ntz") for t in ("0001-01-01 00:00:00", "9999-12-31 00:00:00"))
+        since = F.coalesce(F.timestamp_diff("MICROSECOND", old, F.col("date_created")), F.lit(-1))
+        until = F.coalesce(F.timestamp_diff("MICROSECOND", F.col("date_created"), new), F.lit(1 << 62))
+        # the least of (not preferred, age, identifier): newest first, for dossiers oldest first
+        rank = {n: F.struct(preferred, since if k == "dossier" else until, F.col("identifier").alias("id")) for n, k in columns.items()}
+        best = [F.min(F.when(F.col("_type") == IDENTIFIER_TYPES[k], rank[n]))["id"].alias(f"_wm_{n}") for n, k in columns.items()]
+        return enrich.decode(df, ids.groupBy("patient_id").agg(*best), key, "patient_id", {n: f"_wm_{n}" for n in columns})
+
+    def attribute_values(self, columns: dict[str, tuple[str, str]], **more: Column) -> DataFrame:
+        """person_id and the newest value of each attribute (column name to (column of the type table, value)): one read.
+
+        ``more``: aggregates over all attributes read.
+        """
+        wanted = F.lit(False)
+        for column, value in columns.values():
+            wanted = wanted | (F.col(column) == value)
+        types = self.table("person_attribute_type").filter(wanted).select("person_attribute_type_id", "name", "uuid")
+        a = self.live("person_attribute").join(types, "person_attribute_type_id")
+        newest = [F.max(F.when(F.col(c) == v, F.struct("date_created", "value")))["value"].alias(n) for n, (c, v) in columns.items()]
+        return a.groupBy("person_id").agg(*newest, *[c.alias(n) for n, c in more.items()])
+
     def identifier_list(self, kind: str, sep: str = ",") -> DataFrame:
         """patient_id and all live identifiers of a type, joined."""
         kinds = self.table("patient_identifier_type").filter(F.col("uuid") == IDENTIFIER_TYPES[kind]).select("patient_identifier_type_id")

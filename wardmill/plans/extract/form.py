@@ -49,12 +49,10 @@ def base(c: Clinic, e: DataFrame, need: set[str]) -> DataFrame:
     """Encounters with the lookups named in ``need``."""
     if need & {"encounter_type"}:
         e = c.with_type_name(e, "_type_name")
-    if need & {"emr_id", "index_asc", "index_desc"}:
-        e = c.with_identifier(e, "emr_id", "emr")
-    if "dossier_id" in need:
-        e = c.with_identifier(e, "dossier_id", "dossier")
-    if "hiv_emr_id" in need:
-        e = c.with_identifier(e, "hiv_emr_id", "hiv")
+    kinds = {"dossier_id": "dossier", "hiv_emr_id": "hiv"}
+    ids = ({"emr_id": "emr"} if need & {"emr_id", "index_asc", "index_desc"} else {}) | {n: k for n, k in kinds.items() if n in need}
+    if ids:
+        e = c.with_identifiers(e, ids)
     if need & {"visit_location", "facility"}:
         e = c.with_facility(e)
     elif "encounter_location" in need:

@@ -290,7 +290,7 @@ def vaccinations_anc(c: Clinic, program: str = "MCH", types: tuple[str, ...] = P
     p = c.live("patient_program").filter(F.col("program_id").isin(ids) if ids else F.lit(False)).select("patient_id").distinct()
     p = c.without_test_patients(p)
     e = c.encounters(list(types), "name").join(p, "patient_id", "left_semi").join(vaccine_doses(c), "encounter_id")
-    e = c.with_registration_place(c.with_identifier(c.with_identifier(e), "dossier_id", "dossier"))
+    e = c.with_registration_place(c.with_identifiers(e, {"emr_id": "emr", "dossier_id": "dossier"}))
     e = c.with_provider(c.with_user(c.with_facility(c.with_type_name(e)), "creator", "user_entered", login=True))
     return e.filter("provider is not null").select(
         "dossier_id", "emr_id", "loc_registered", c.key("encounter_id"), "encounter_datetime", "encounter_location", "facility", c.key("visit_id"),
@@ -553,7 +553,7 @@ def mch_j9_case_registration(
     p = enrich.decode(p, newest("5596"), "patient_id", "person_id", {"_edd": "value_datetime"})
     p = enrich.decode(p, newest("5599"), "patient_id", "person_id", {"_add": "value_datetime"})
     p = c.with_attribute(p, "telephone", TELEPHONE, "uuid")
-    p = c.with_identifier(c.with_identifier(p), "dossier_id", "dossier")
+    p = c.with_identifiers(p, {"emr_id": "emr", "dossier_id": "dossier"})
     p = enrich.decode(p, c.names(), "patient_id", "person_id", {"given_name": "given_name", "family_name": "family_name"})
     p = enrich.decode(
         p, c.addresses(voided_too=False), "patient_id", "person_id",

@@ -583,7 +583,7 @@ def tb_screening(c: Clinic) -> DataFrame:
     answers = [F.col(f"{n}_result") for n in SYMPTOMS]
     result = any_symptom(answers, explicit, F.lit("1"), F.lit("0"))
     e = top_place(c, c.with_user(e, "creator", "user_entered", login=True), "screening_location")
-    e = c.with_identifier(c.with_identifier(e), "dossier_id", "dossier")
+    e = c.with_identifiers(e, {"emr_id": "emr", "dossier_id": "dossier"})
     return e.select(
         "emr_id", "dossier_id", c.key("encounter_id"), "screening_location", *[f"{n}_result" for n in SYMPTOMS],
         F.coalesce(result, F.lit("0")).alias("tb_screening_result"), F.col("encounter_datetime").alias("tb_screening_date"), "index_ascending", "index_descending",
@@ -637,7 +637,7 @@ def tb_lab_results(c: Clinic) -> DataFrame:
         sizes=c.obs(*TB_TESTS.values(), "CIEL:165182"),
     )
     t = top_place(c, c.with_user(t, "creator", "user_entered", login=True), "test_location")
-    t = c.with_identifier(c.with_identifier(t, key="person_id"), "dossier_id", "dossier", "person_id")
+    t = c.with_identifiers(t, {"emr_id": "emr", "dossier_id": "dossier"}, "person_id")
     return t.select(
         c.key("_id").alias("tb_lab_results_id"), "emr_id", "dossier_id", c.key("encounter_id"), "test_location", "specimen_collection_date",
         "sample_taken_date_estimated", "test_result_date", F.lit("tb").alias("test_related_to"), "test_type", "test_status",
@@ -826,8 +826,7 @@ def pmtct_infant_delivery(c: Clinic) -> DataFrame:
 def eid_patient(c: Clinic, workflow_uuid: str = INFANT_WORKFLOW, mother_types=("Parent",)) -> DataFrame:
     """Infants enrolled, with programme, latest HIV test and mother."""
     p = c.without_test_patients(c.enrolments(INFANTS).select("patient_id").distinct())
-    for name, kind in (("emr_id", "emr"), ("hivemr_v1_id", "hiv"), ("hiv_dossier_id", "dossier")):
-        p = c.with_identifier(p, name, kind)
+    p = c.with_identifiers(p, {"emr_id": "emr", "hivemr_v1_id": "hiv", "hiv_dossier_id": "dossier"})
     p = enrich.decode(p, c.names(), "patient_id", "person_id", {"given_name": "given_name", "family_name": "family_name"})
     p = c.with_person(p, {"gender": "gender", "birthdate": "birthdate"})
     p = c.with_health_center(c.with_attribute(p, "telephone_number", TELEPHONE, "uuid"))
@@ -925,7 +924,7 @@ def mch_patient(c: Clinic) -> DataFrame:
     reg = c.with_concept_name(latest.top1(reg, ["person_id"], ["-date_created", "-obs_id"]), "value_coded", "_ms")
     p = enrich.decode(p, reg, "patient_id", "person_id", {"marital_status": "_ms"})
     p = c.with_address(p, {"locality": "address1"})
-    p = c.with_health_center(c.with_identifier(c.with_identifier(p), "dossier_id", "dossier"))
+    p = c.with_health_center(c.with_identifiers(p, {"emr_id": "emr", "dossier_id": "dossier"}))
     age = complete_years(F.col("dob"), F.lit(c.as_of))
     edges = [10, 15, 20, 25, 30, 35, 40, 45, 50]
     group = F.coalesce(bands(age, edges, [f"Group {i}" for i in range(1, 11)]), F.lit("Group 10"))

@@ -9,7 +9,7 @@ from wardmill.functions.dates import complete_years, entered_later_same_clock, m
 from wardmill.operators import eav, enrich, latest, tree
 from wardmill.operators.merge import union_rows
 from wardmill.operators.rules import code_flags, waterfall
-from wardmill.plans.extract.clinic import Clinic, Q, text
+from wardmill.plans.extract.clinic import HEALTH_CENTER_ATTRIBUTE, Clinic, Q, text
 from wardmill.plans.extract.forms import CHEMO
 from wardmill.sources.site import date_window, trailing_months
 from wardmill.streaming.incremental import delta_extract
@@ -154,19 +154,15 @@ def all_patients(c: Clinic, host_url: str | None = None) -> DataFrame:
             "_m_address": "_changed",
         },
     )
-    for name, kind in (("emr_id", "emr"), ("hiv_emr_id", "hiv"), ("dossier_id", "dossier")):
-        p = c.with_identifier(p, name, kind)
-    p = c.with_attribute(p, "telephone_number", "Telephone Number")
-    p = c.with_attribute(p, "mothers_first_name", "First Name of Mother")
-    p = c.with_health_center(p)
-    kinds = c.table("person_attribute_type").filter(F.col("name").isin("Telephone Number", "First Name of Mother"))
-    attr = (
-        c.live("person_attribute")
-        .join(kinds.select("person_attribute_type_id"), "person_attribute_type_id", "left_semi")
-        .groupBy("person_id")
-        .agg(F.max(changed).alias("_m_attr"))
+    p = c.with_identifiers(p, {"emr_id": "emr", "hiv_emr_id": "hiv", "dossier_id": "dossier"})
+    own = F.col("name").isin("Telephone Number", "First Name of Mother")
+    attr = c.attribute_values(
+        {"telephone_number": ("name", "Telephone Number"), "mothers_first_name": ("name", "First Name of Mother"), "_hc": ("uuid", HEALTH_CENTER_ATTRIBUTE)},
+        _m_attr=F.max(F.when(own, changed)),
     )
-    p = enrich.decode(p, attr, "patient_id", "person_id", {"_m_attr": "_m_attr"})
+    places = c.table("location").select(F.col("location_id").cast("string").alias("_lid"), "name")
+    attr = enrich.decode(attr, places, "_hc", "_lid", {"health_center": "name"})
+    p = enrich.decode(p, attr, "patient_id", "person_id", {n: n for n in ("telephone_number", "mothers_first_name", "health_center", "_m_attr")})
     reg = c.with_user(c.with_place(c.registrations(), "reg_location"))
     o = c.live("obs").join(reg.select("encounter_id"), "encounter_id", "left_semi")
     last_obs = o.groupBy("encounter_id").agg(F.max("date_created").alias("_m_obs"))
@@ -382,7 +378,7 @@ def _diagnosis_details(c: Clinic, d: DataFrame, sets: dict[str, str]) -> DataFra
     d = d.join(e, "encounter_id", "left")
     d = c.with_facility(c.with_user(c.with_type_name(d), "_creator", "entered_by"))
     d = c.with_unknown_flag(c.with_registration_place(c.with_provider(d)))
-    d = c.with_identifier(c.with_identifier(d, "patient_primary_id"), "dossierid", "dossier")
+    d = c.with_identifiers(d, {"patient_primary_id": "emr", "dossierid": "dossier"})
     d = c.with_person(d, {"gender": "gender", "birthdate": "birthdate", "birthdate_estimated": "birthdate_estimated"})
     d = c.with_address(
         d,
@@ -904,6 +900,11 @@ HIV_FOLLOWUP_TYPE = "c31d3312-40c4-11e7-a919-92ebcb67fe33"
 INFANT_FOLLOWUP_TYPE = "0f070640-279e-4ec0-9e6c-6ef1f6567030"
 
 
+# The programmes whose encounters need an enrolment.
+HIV_PROGRAM = "b1cb1fc1-5190-4f7a-af08-48870975dafc"
+INFANT_PROGRAM = "7e06bf82-9f1a-4218-b68f-823082ef519b"
+
+
 def data_warnings(c: Clinic, site: str = "site", drug_order_type: int = 2) -> DataFrame:
     """One row per warning of ten kinds."""
     row = lambda df, kind, details: df.select(
@@ -918,9 +919,7 @@ def data_warnings(c: Clinic, site: str = "site", drug_order_type: int = 2) -> Da
     named = pat.filter(F.col("_unknown").isNotNull()).join(names, F.col("patient_id") == F.col("person_id"))
     dead = c.table("patient").select("patient_id").join(person.filter("not _pv"), F.col("patient_id") == F.col("person_id"))
     dead = c.with_unknown_flag(dead.filter(F.col("death_date") < F.col("birthdate").cast("timestamp_ntz")), "_unknown")
-    program = "7e06bf82-9f1a-4218-b68f-823082ef519b"
-    hiv = "b1cb1fc1-5190-4f7a-af08-48870975dafc"
-    enrolled = c.live("patient_program").filter(c.program_ids(hiv) | c.program_ids(program)).select("patient_id")
+    enrolled = c.live("patient_program").filter(c.program_ids(HIV_PROGRAM) | c.program_ids(INFANT_PROGRAM)).select("patient_id")
     parts = [
         row(pat.filter("emr_id is null"), "blank emr_id", text("patient_id: ", F.col("patient_id"), f" on site: {site}")),
         row(

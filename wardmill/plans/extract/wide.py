@@ -9,7 +9,7 @@ from wardmill.functions.dates import age_tenths, complete_days, complete_months,
 from wardmill.operators import enrich, latest, rules, tree
 from wardmill.operators.eav import Answer, pivot, text_list
 from wardmill.operators.merge import union_rows
-from wardmill.plans.extract.clinic import Clinic, Q, coded, comment, date, listed, mark, max_either, num, text, yn
+from wardmill.plans.extract.clinic import HEALTH_CENTER_ATTRIBUTE, Clinic, Q, coded, comment, date, listed, mark, max_either, num, text, yn
 from wardmill.plans.extract.forms import ECHO
 from wardmill.plans.extract.maternal import VACCINES, dose_column, vaccine_doses
 from wardmill.plans.extract.programs import DELIVERY, HIV, MATERNAL, OBGYN, _group_answers
@@ -129,7 +129,7 @@ def mch_delivery(c: Clinic) -> DataFrame:
     d = _with_diagnoses(c, d, e)
     d = c.enrolment_at(d, MATERNAL, ["encounter_id"], "mch_program_id", events=e)
     d = c.with_provider(c.with_facility(c.with_type_name(c.with_registration_place(d))))
-    d = c.with_identifier(c.with_identifier(d), "dossierId", "dossier")
+    d = c.with_identifiers(d, {"emr_id": "emr", "dossierId": "dossier"})
     whole = ["number_prenatal_visits", *[f"Birth_{i}_{n}" for i in range(1, BIRTHS + 1) for n in BIRTH_ANSWERS if n.startswith("APGAR")]]
     d = d.withColumns({n: F.rint(n).cast("int") for n in whole})
     d = d.withColumns({"date_entered": F.col("date_created"), "encounter_type": F.col("encounter_type_name")})
@@ -502,9 +502,12 @@ def hiv_patient(c: Clinic) -> DataFrame:
     reg = latest.top1(c.registrations_all(), ["patient_id"], ["encounter_datetime", "encounter_id"])
     reg = c.with_user(reg).withColumn("_day", F.to_date("encounter_datetime"))
     p = enrich.decode(p, reg, "patient_id", "patient_id", {"patient_registration_date": "_day", "user_entered": "user_entered"})
-    p = c.with_attribute(p, "mothers_first_name", "First Name of Mother")
-    p = c.with_attribute(p, "telephone_number", "Telephone Number")
-    p = c.with_health_center(p)
+    told = c.attribute_values(
+        {"mothers_first_name": ("name", "First Name of Mother"), "telephone_number": ("name", "Telephone Number"), "_hc": ("uuid", HEALTH_CENTER_ATTRIBUTE)}
+    )
+    places = c.table("location").select(F.col("location_id").cast("string").alias("_lid"), "name")
+    told = enrich.decode(told, places, "_hc", "_lid", {"health_center": "name"})
+    p = enrich.decode(p, told, "patient_id", "person_id", {n: n for n in ("mothers_first_name", "telephone_number", "health_center")})
 
     intakes = c.encounters([INTAKE], "name").select("encounter_id", "patient_id", "encounter_datetime")
     groups = c.obs(*KEY_POPULATIONS.values()).join(intakes.select("encounter_id", F.to_date("encounter_datetime").alias("_day")), "encounter_id")
