@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wardmill.catalog.base import Tables, query
 from wardmill.functions.dates import days_crossed
 from wardmill.operators import asof, intervals, latest, ordered, spine
+from wardmill.operators.ordered import KeyStats
 
 
 @query(
@@ -422,9 +423,11 @@ def shipments_inside_order_windows(t: Tables):
         "o_orderdate",
         F.when(F.col("o_orderstatus") != "O", F.expr("o_orderdate + INTERVAL 45 DAY")).alias("until"),
     )
+    # an order has a handful of lines, so the days with shipments need no count of their own
+    line = asof.time_line(o, ["o_custkey"], "o_orderdate")
     counted = asof.count_within(
         span, ["o_orderkey"], daily, ["o_custkey"], "o_orderdate", "until", "l_shipdate",
-        {"shipments": F.lit(True)}, "9999-12-31 00:00:00", F.col("n"),
+        {"shipments": F.lit(True)}, "9999-12-31 00:00:00", F.col("n"), KeyStats.of([(*line, 9)]),
     )
     return counted.filter("shipments > 0").select("o_orderkey", "shipments")
 

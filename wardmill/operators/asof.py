@@ -228,7 +228,7 @@ def count_within(
     knames = [f"_wm_g{i}" for i in range(len(keys))]
     if sizes is None:
         kinds = [lines.schema[k].dataType for k in knames]
-        sizes = KeyStats.of([time_line(right, keys, right_ts, kinds), time_line(left, keys, lo, kinds), time_line(left, keys, lo, kinds)])
+        sizes = KeyStats.of([time_line(right, keys, right_ts, kinds), (*time_line(left, keys, lo, kinds), 2)])
     scanned = (
         Ordered(lines, knames, ["_wm_ts", "_wm_side"], sizes=sizes)
         .scan(**{f"_wm_c{i}": running_sum(F.col(f"_wm_n{i}")) for i in range(len(names))})

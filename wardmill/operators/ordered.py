@@ -78,22 +78,22 @@ class KeyStats:
     width: int = 1
 
     @staticmethod
-    def of(sources: list[tuple[DataFrame, list[str], list[str]]], more: int = 0) -> KeyStats:
-        """One count over all ``sources``, each (frame, key columns, leading order columns).
+    def of(sources: list[tuple], more: int = 0) -> KeyStats:
+        """One count over all ``sources``, each (frame, key columns, leading order columns) and maybe how often its rows count.
 
         Columns of different sources meet by place and must have one type.  ``more``: further rows that any key may
         have in a scan, such as one per month.
         """
         spark = sources[0][0].sparkSession
         limit = int(spark.conf.get(MIN_ROWS_CONF, "2000000")) - more
-        width = min(len(order) for _, _, order in sources)
+        width = min(len(s[2]) for s in sources)
         rows = None
-        for df, keys, order in sources:
+        for df, keys, order, *times in sources:
             names = [F.col(k).alias(f"_wm_k{i}") for i, k in enumerate(keys)]
-            part = df.select(*names, *[F.col(c).alias(f"_wm_l{i}") for i, c in enumerate(order[:width])])
+            part = df.select(*names, *[F.col(c).alias(f"_wm_l{i}") for i, c in enumerate(order[:width])], F.lit(times[0] if times else 1).alias("_wm_w"))
             rows = part if rows is None else rows.unionByName(part)
         keys = [f"_wm_k{i}" for i in range(len(sources[0][1]))]
-        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wm_n")).filter(F.col("_wm_n") > limit)
+        counts = rows.groupBy(*keys).agg(F.sum("_wm_w").alias("_wm_n")).filter(F.col("_wm_n") > limit)
         if counts.first() is None:
             return KeyStats(None, width)
         big = staged(counts, "large-keys")
@@ -103,7 +103,7 @@ class KeyStats:
         named = big.select(*[F.col(k).alias(f"{k}b") for k in keys], "_wm_n")
         ranges = F.ceil(F.col("_wm_n") / F.lit(max(1, limit))) + 1
         lead = F.struct(*[F.col(f"_wm_l{i}") for i in range(width)])
-        sample = rows.join(named, cond).filter(F.rand(7) * F.col("_wm_n") < SAMPLED * ranges)
+        sample = rows.join(named, cond).filter(F.rand(7) * F.col("_wm_n") < SAMPLED * ranges * F.col("_wm_w"))
         sample = sample.groupBy(*[f"{k}b" for k in keys]).agg(F.array_sort(F.collect_list(lead)).alias("_wm_s"), F.max(ranges).cast("int").alias("_wm_r"))
         cuts = F.expr("array_distinct(transform(sequence(1, _wm_r - 1), i -> _wm_s[least(cast(i * size(_wm_s) div _wm_r as int), size(_wm_s) - 1)]))")
         return KeyStats(staged(sample.select(*[F.col(f"{k}b").alias(k) for k in keys], cuts.alias("_wm_cuts")), "cuts"), width)

@@ -74,14 +74,13 @@ def hiv_monthly_reporting(
     sources together, each as often as the scan has its rows.
     """
     kind = [program.schema["emr_id"].dataType]
-    line = lambda df, ts, key="emr_id": asof.time_line(df, [key], ts, kind)
+    line = lambda df, ts, key="emr_id", times=1: (*asof.time_line(df, [key], ts, kind), times)
     sizes = ordered.KeyStats.of(
         [
-            line(program, "date_enrolled"), line(visits, "visit_date"), line(visits, "visit_date"), line(dispensing, "dispense_date"),
-            line(dispensing, "dispense_date"), line(viral_loads, "vl_sample_taken_date"), line(viral_loads, "date_entered"),
+            line(program, "date_enrolled"), line(visits, "visit_date", times=3), line(dispensing, "dispense_date"), line(viral_loads, "date_entered", times=2),
             line(regimens, "encounter_datetime"), line(tb_screening, "tb_screening_date"), line(tb_labs, "specimen_collection_date"),
-            line(tb_labs, "specimen_collection_date"), line(pmtct_visits, "visit_date"), line(status, "start_date"),
-            line(vitals, "encounter_datetime"), line(diagnoses, "obs_datetime", "patient_primary_id"),
+            line(pmtct_visits, "visit_date"), line(status, "start_date"), line(vitals, "encounter_datetime"),
+            line(diagnoses, "obs_datetime", "patient_primary_id"),
         ],
         more=spine.MOST_MONTHS,
     )
