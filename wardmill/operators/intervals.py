@@ -55,20 +55,21 @@ def _blocks(lo: Column, hi: Column) -> Column:
 
 
 def _meeting(
-    events: DataFrame, intervals: DataFrame, n: int, at: Column, start: str, end: str, last: Column, days: int, strict: bool = False
+    events: DataFrame, intervals: DataFrame, n: int, at: Column, start: str, end: str, last: Column, days: int, strict: bool = False, few: bool = True
 ) -> DataFrame:
     """Pairs of an event (``_wm_a0`` ...) and an interval (``_wm_b0`` ...) whose ``start`` to ``end`` holds the event's time.
 
-    Both ends count, or with ``strict`` the end alone; an open interval ends at ``last``.
+    Both ends count, or with ``strict`` the end alone; an open interval ends at ``last``.  With ``few`` intervals beside
+    the events their block sizes are looked up first, and an event gets a row only for sizes that occur.
     """
-    e = events.withColumn("_wm_at", at.cast("timestamp_ntz")).filter(F.col("_wm_at").isNotNull())
-    level = F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("_wm_lev")
-    e = e.select("*", cell(F.col("_wm_at"), days).alias("_wm_c"), level)
-    e = e.withColumn("_wm_place", F.expr("shiftright(_wm_c, _wm_lev)")).drop("_wm_c")
     begin, stop = F.col(start).cast("timestamp_ntz"), F.when(closed_at(F.col(end)), F.col(end).cast("timestamp_ntz")).otherwise(last)
     i = intervals.withColumns({"_wm_s": begin, "_wm_e": stop}).filter("_wm_s IS NOT NULL AND _wm_e IS NOT NULL")
     i = i.withColumn("_wm_block", F.explode(_blocks(cell(F.col("_wm_s"), days), cell(F.col("_wm_e"), days))))
     i = i.select("*", F.col("_wm_block.level").alias("_wm_ilev"), F.col("_wm_block.place").alias("_wm_iplace")).drop("_wm_block")
+    levels = i.select(F.array_sort(F.collect_set("_wm_ilev"))).scalar() if few else F.sequence(F.lit(0), F.lit(LEVELS))
+    e = events.withColumn("_wm_at", at.cast("timestamp_ntz")).filter(F.col("_wm_at").isNotNull())
+    e = e.select("*", cell(F.col("_wm_at"), days).alias("_wm_c"), F.explode(levels).alias("_wm_lev"))
+    e = e.withColumn("_wm_place", F.expr("shiftright(_wm_c, _wm_lev)")).drop("_wm_c")
     inside = (F.col("_wm_at") > F.col("_wm_s") if strict else F.col("_wm_at") >= F.col("_wm_s")) & (F.col("_wm_at") <= F.col("_wm_e"))
     same = (F.col("_wm_lev") == F.col("_wm_ilev")) & (F.col("_wm_place") == F.col("_wm_iplace"))
     return e.join(i, _keyed(n) & same & inside)
@@ -164,8 +165,8 @@ def join_overlap(
         *[F.col(c).alias(f"_wm_{o}") for o, c in columns.items()],
     )
     outs = [*a.columns, *[F.col(f"_wm_{o}").alias(o) for o in columns]]
-    second = _meeting(right, left, n, F.col("_wm_rs"), "_wm_ls", "_wm_le", _last(b, F.col(s2)), days)
-    first = _meeting(left, right, n, F.col("_wm_ls"), "_wm_rs", "_wm_re", _last(a, F.col(s1)), days, strict=True)
+    second = _meeting(right, left, n, F.col("_wm_rs"), "_wm_ls", "_wm_le", _last(b, F.col(s2)), days, few=False)
+    first = _meeting(left, right, n, F.col("_wm_ls"), "_wm_rs", "_wm_re", _last(a, F.col(s1)), days, strict=True, few=False)
     return second.select(*outs).unionByName(first.select(*outs))
 
 
