@@ -39,18 +39,16 @@ def _blocks(lo: Column, hi: Column) -> Column:
     its last. The highest level has all of its own.
     """
     ends = [(F.shiftright(lo + ((1 << k) - 1), k), F.shiftright(hi + 1, k) - 1) for k in range(LEVELS + 1)]
-
-    def level(k: int) -> Column:
-        first, last = ends[k]
-        if k == LEVELS:
-            places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-        else:
-            low, high = (2 * x for x in ends[k + 1])
-            own = lambda x: (x >= first) & (x <= last) & ((low > high) | (x < low) | (x > high + 1))
-            places = F.filter(F.array_distinct(F.array(first, last)), own)
-        return F.transform(places, lambda x: F.struct(F.lit(k).alias("level"), x.alias("place")))
-
-    parts = [level(k) for k in range(LEVELS + 1)]
+    block = lambda k, place: F.struct(F.lit(k).alias("level"), place.alias("place"))
+    some = []
+    for k in range(LEVELS):
+        (first, last), (low, high) = ends[k], (2 * x for x in ends[k + 1])
+        alone = low > high  # nothing on the next level
+        some.append(F.when((first <= last) & (alone | (first < low)), block(k, first)))
+        some.append(F.when((first < last) & (alone | (last > high + 1)), block(k, last)))
+    first, last = ends[LEVELS]
+    top = F.when(first <= last, F.transform(F.sequence(first, last), lambda x: block(LEVELS, x)))
+    parts = [F.array_compact(F.array(*some)), F.coalesce(top, F.array().cast("array<struct<level:int,place:int>>"))]
     return F.when(lo <= hi, F.concat(*parts))
 
 
@@ -64,7 +62,9 @@ def _meeting(
     """
     begin, stop = F.col(start).cast("timestamp_ntz"), F.when(closed_at(F.col(end)), F.col(end).cast("timestamp_ntz")).otherwise(last)
     i = intervals.withColumns({"_wm_s": begin, "_wm_e": stop}).filter("_wm_s IS NOT NULL AND _wm_e IS NOT NULL")
-    i = i.withColumn("_wm_block", F.explode(_blocks(cell(F.col("_wm_s"), days), cell(F.col("_wm_e"), days))))
+    # the cells as columns of their own, so that each is worked out once
+    i = i.withColumns({"_wm_lo": cell(F.col("_wm_s"), days), "_wm_hi": cell(F.col("_wm_e"), days)})
+    i = i.withColumn("_wm_block", F.explode(_blocks(F.col("_wm_lo"), F.col("_wm_hi")))).drop("_wm_lo", "_wm_hi")
     i = i.select("*", F.col("_wm_block.level").alias("_wm_ilev"), F.col("_wm_block.place").alias("_wm_iplace")).drop("_wm_block")
     levels = i.select(F.array_sort(F.collect_set("_wm_ilev"))).scalar() if few else F.sequence(F.lit(0), F.lit(LEVELS))
     e = events.withColumn("_wm_at", at.cast("timestamp_ntz")).filter(F.col("_wm_at").isNotNull())
