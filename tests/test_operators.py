@@ -173,3 +173,13 @@ def test_monthly_spine_empty_when_reversed(spark):
     df = spark.createDataFrame([(1, dt.date(2020, 3, 1), dt.date(2020, 1, 1)), (2, dt.date(2020, 1, 31), dt.date(2020, 2, 1))], "id int, s date, e date")
     got = spine.monthly_spine(df, "s", "e", "2020-12-31")
     assert rows(got, "id", "reporting_date") == [(2, dt.date(2020, 1, 31)), (2, dt.date(2020, 2, 29))]
+
+
+def test_range_joins_broadcast_no_multiplied_side(spark):
+    ev = spark.createDataFrame([("a", 1, ts("2020-01-05"))], "k string, id int, t timestamp_ntz")
+    iv = spark.createDataFrame([("a", 7, ts("2020-01-01"), ts("2020-01-09"))], "k string, v int, s timestamp_ntz, e timestamp_ntz")
+    pairs = intervals.join_overlap(iv, iv, ["k"], ("s", "e"), ("s", "e"), {"other": "v"})
+    within = intervals.join_containing(ev, iv, ["k"], "t", "s", "e", {"v": "v"})
+    for df in (pairs, within):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(pairs, "v", "other") == [(7, 7)] and rows(within, "id", "v") == [(1, 7)]

@@ -6,6 +6,10 @@ each cell in one of them; an event lies in one block of each size.  Both meet on
 (key, size, block) with the exact range test as a residual, so each pair that
 matches meets exactly once, pairs tried in vain share at least the end cells, and a large key
 is spread over the blocks of its time.  An open interval ends with the last event.
+
+Both sides hold several rows for each of their source, which Spark's size estimates do
+not count, so the pairs meet in a sort-merge join: a broadcast chosen by such an estimate
+would hold a whole multiplied side in the driver.
 """
 
 from __future__ import annotations
@@ -72,7 +76,7 @@ def _meeting(
     e = e.withColumn("_wm_place", F.expr("shiftright(_wm_c, _wm_lev)")).drop("_wm_c")
     inside = (F.col("_wm_at") > F.col("_wm_s") if strict else F.col("_wm_at") >= F.col("_wm_s")) & (F.col("_wm_at") <= F.col("_wm_e"))
     same = (F.col("_wm_lev") == F.col("_wm_ilev")) & (F.col("_wm_place") == F.col("_wm_iplace"))
-    return e.join(i, _keyed(n) & same & inside)
+    return e.join(i.hint("merge"), _keyed(n) & same & inside)
 
 
 def _last(df: DataFrame, at: Column) -> Column:
