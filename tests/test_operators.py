@@ -183,3 +183,27 @@ def test_range_joins_broadcast_no_multiplied_side(spark):
     for df in (pairs, within):
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
     assert rows(pairs, "v", "other") == [(7, 7)] and rows(within, "id", "v") == [(1, 7)]
+
+
+def test_rows_without_a_key_spread_over_tasks(spark):
+    """A left join on a key that most rows lack leaves no task with all of them, and matches the same rows."""
+    df = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))
+    dim = spark.range(0, 4000, 20).select(F.col("id").alias("d"), F.lit("x").alias("v"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = enrich.decode(df, dim, "k", "d", {"v": "v"}, ["id"])
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 1500 and sum(sizes) == 4000
+        assert got.filter("v IS NOT NULL").count() == 200 and got.columns == ["id", "k", "v"]
+        assert got.exceptAll(enrich.decode(df, dim, "k", "d", {"v": "v"})).isEmpty()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_rows_without_a_text_key_spread_too(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "7")], "id int, k string")
+    dim = spark.createDataFrame([("a", 1), ("7", 2), (None, 3)], "d string, v int")
+    assert rows(enrich.decode(df, dim, "k", "d", {"v": "v"}, ["id"]), "id", "v") == [(1, 1), (2, None), (3, None), (4, 2)]

@@ -58,12 +58,34 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     return out.filter(keep).select(*df.columns)
 
 
-def decode(df: DataFrame, dim: DataFrame, key: str, dim_key: str, columns: dict[str, str]) -> DataFrame:
-    """Left join of a dimension with a unique key; unmatched rows get nulls."""
+#: Lots that rows without a key are dealt to.
+LOTS = 30011
+
+
+def decode(
+    df: DataFrame, dim: DataFrame, key: str, dim_key: str, columns: dict[str, str], dealt_by: list[str] | None = None
+) -> DataFrame:
+    """Left join of a dimension with a unique key; unmatched rows get nulls.
+
+    ``dealt_by``: columns that tell rows apart, for a key that is null in many of them.
+    """
     d = dim.select(F.col(dim_key).alias("_wm_k"), *[F.col(c).alias(o) for o, c in columns.items()])
+    if dealt_by:
+        return sparse_left(df, d, key, "_wm_k", dealt_by).drop("_wm_k")
     return df.join(d, F.col(key) == F.col("_wm_k"), "left").drop("_wm_k")
 
 
+def sparse_left(df: DataFrame, right: DataFrame, key: str, right_key: str, dealt_by: list[str]) -> DataFrame:
+    """Left join on a key, a number or a text, that is null in many rows.
+
+    A shuffle takes all null keys to one task. A second key, which repeats the first, is a hash of ``dealt_by`` in
+    those rows, so they spread over all tasks; they still match nothing.
+    """
+    lot = F.coalesce(F.col(key), F.pmod(F.xxhash64(*dealt_by), F.lit(LOTS)).cast(df.schema[key].dataType))
+    on = (F.col(key) == F.col(right_key)) & (F.col("_wm_lot") == F.col(right_key))
+    return df.withColumn("_wm_lot", lot).join(right, on, "left").drop("_wm_lot")
+
+
 def enrich(
     df: DataFrame, src: DataFrame, on: list[str], values: dict[str, str], order: list[str]
 ) -> DataFrame:
@@ -90,15 +112,16 @@ def resolve_facility(
     visit: str = "visit_id",
     location: str = "location_id",
     unknown: str = "Unknown Location",
+    dealt_by: list[str] | None = None,
 ) -> DataFrame:
     """Visit location, encounter location and the facility they resolve to.
 
     ``names`` has location_id and location_name; ``facilities`` also has facility,
-    the nearest ancestor tagged as a visit location.
+    the nearest ancestor tagged as a visit location.  ``dealt_by`` as in ``decode``,
+    for rows without a visit.
     """
-    v = visits.select(F.col("visit_id").alias("_wm_v"), F.col("location_id").alias("_wm_vl"))
-    out = df.join(v, F.col(visit) == F.col("_wm_v"), "left").drop("_wm_v")
-    out = decode(out, names, "_wm_vl", "location_id", {"visit_location": "location_name"})
+    out = decode(df, visits, visit, "visit_id", {"_wm_vl": "location_id"}, dealt_by)
+    out = decode(out, names, "_wm_vl", "location_id", {"visit_location": "location_name"}, dealt_by)
     out = decode(
         out, facilities, location, "location_id", {"encounter_location": "location_name", "_wm_fac": "facility"}
     )

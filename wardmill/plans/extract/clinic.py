@@ -365,7 +365,7 @@ class Clinic:
     def with_facility(self, df: DataFrame, location: str = "location_id", visit: str = "visit_id") -> DataFrame:
         names = self.table("location").select("location_id", F.col("name").alias("location_name"))
         return enrich.resolve_facility(
-            df, self.table("visit"), names, self.locations(), visit, location, self.unknown_location()
+            df, self.table("visit"), names, self.locations(), visit, location, self.unknown_location(), row_ids(df)
         )
 
     def with_place(self, df: DataFrame, name: str = "encounter_location", key: str = "location_id") -> DataFrame:
@@ -545,7 +545,7 @@ class Clinic:
         if "coded" in spec.values():
             o = self.with_concept_name(o, "value_coded", "_name")
         value = {"num": "value_numeric", "text": "value_text", "date": "value_datetime", "coded": "_name", "comment": "comments"}
-        return enrich.decode(df, o, key, "obs_id", {n: value[kind] for n, kind in spec.items()})
+        return enrich.decode(df, o, key, "obs_id", {n: value[kind] for n, kind in spec.items()}, row_ids(df, key))
 
     def yes_no(self, column: str) -> Column:
         """Coded yes / no as a boolean; any other answer is null."""
@@ -553,10 +553,11 @@ class Clinic:
 
     def with_answers(
         self, df: DataFrame, spec: dict[str, Q], key: str = "encounter_id", obs: DataFrame | None = None,
-        obs_key: str | None = None, within: DataFrame | None = None,
+        obs_key: str | None = None, within: DataFrame | None = None, sparse: bool = False,
     ) -> DataFrame:
         """``df`` with the spec's columns; unanswered questions are null (false for ``has``).
 
+        ``sparse``: the key is a group that many rows do not have.
         ``within``: a short plan with the keys of ``df`` (and maybe more); only their observations are aggregated.
         """
         if within is not None:
@@ -564,7 +565,10 @@ class Clinic:
             obs = self.live("obs") if obs is None else obs
             obs = obs.join(mine, F.col(obs_key or key) == F.col("_wm_within"), "left_semi")
         a = self.answers([obs_key or key], spec, obs).withColumnRenamed(obs_key or key, "_wm_key")
-        out = df.join(a, F.col(key) == F.col("_wm_key"), "left").drop("_wm_key")
+        if sparse:
+            out = enrich.sparse_left(df, a, key, "_wm_key", row_ids(df, key)).drop("_wm_key")
+        else:
+            out = df.join(a, F.col(key) == F.col("_wm_key"), "left").drop("_wm_key")
         for n, q in spec.items():
             if q.kind == "has":
                 out = out.withColumn(n, F.coalesce(F.col(n), F.lit(False)))
@@ -624,6 +628,15 @@ class Clinic:
         raise ValueError(q.kind)
 
 
+#: Ids that tell the rows of an extract apart and are seldom null.
+ROW_IDS = ("encounter_id", "obs_id", "order_id", "patient_id")
+
+
+def row_ids(df: DataFrame, key: str | None = None) -> list[str]:
+    """The row ids, other than ``key``, among the columns of ``df``."""
+    return [i for i in ROW_IDS if i in df.columns and i != key]
+
+
 def _latest(where: Column, value: Column) -> Answer:
     return Answer(where, value, "latest")
 

@@ -13,8 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.operators import enrich
 from wardmill.operators.ordered import index_pair
-from wardmill.plans.extract.clinic import Clinic, Q
+from wardmill.plans.extract.clinic import Clinic, Q, row_ids
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ def base(c: Clinic, e: DataFrame, need: set[str]) -> DataFrame:
         v = c.live("visit").select(
             "visit_id", F.to_date("date_started").alias("visit_date"), F.col("date_started").alias("visit_start")
         )
-        e = e.join(v, "visit_id", "left")
+        e = enrich.decode(e, v, "visit_id", "visit_id", {n: n for n in ("visit_date", "visit_start")}, row_ids(e))
     address = {
         "department": "state_province",
         "commune": "city_village",

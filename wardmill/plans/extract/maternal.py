@@ -102,7 +102,7 @@ def _visit_finish(c: Clinic, e: DataFrame) -> DataFrame:
         }
         if side == "out":
             spec["referral_transfer_pepfar_partner_out"] = yn("13168")
-        e = _group_answers(c, e, spec, f"_{side}")
+        e = _group_answers(c, e, spec, f"_{side}", sparse=True)
         inside = c.is_code("_kind", INTERNAL)
         where = F.when(inside, F.col("_place")).when(F.col("_kind").isNotNull(), F.col("_named"))
         e = e.withColumn(f"referral_transfer_location_{side}", where).drop("_kind", "_place", "_named")
@@ -512,7 +512,7 @@ def mch_j9_data(c: Clinic, workflow: str = MATERNAL_WORKFLOW) -> DataFrame:
     top = ordered.Ordered(line, ["patient_id"], ["_ts", "_side"]).scan(_top=ordered.max_before(F.col("_b"))).frame()
     top = top.filter("_side = 1").select("patient_program_id", F.col("_top.obs_group_id").alias("_group"))
     t = t.join(top, "patient_program_id", "left")
-    t = _group_answers(c, t, {"prior_birth_delivery_type": coded("11663"), "prior_birth_neonatal_status": listed("12899")}, "_group")
+    t = _group_answers(c, t, {"prior_birth_delivery_type": coded("11663"), "prior_birth_neonatal_status": listed("12899")}, "_group", sparse=True)
     ever = {n: mark("10140", k) for n, k in MATERNAL_HISTORY.items()}
     t = c.with_answers(t, ever, "patient_id", o.withColumnRenamed("patient_id", "person_id"), "person_id")
     risk = o.filter(c.is_code("concept_id", "11673") & c.is_code("value_coded", "903")).groupBy("patient_id").agg(F.max("obs_datetime").alias("_risk"))

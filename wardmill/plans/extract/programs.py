@@ -44,8 +44,8 @@ def _grouped(c: Clinic) -> DataFrame:
     return c.live("obs").filter("obs_group_id is not null")
 
 
-def _group_answers(c: Clinic, df: DataFrame, spec: dict[str, Q], key: str) -> DataFrame:
-    return c.with_answers(df, spec, key, _grouped(c), "obs_group_id")
+def _group_answers(c: Clinic, df: DataFrame, spec: dict[str, Q], key: str, sparse: bool = False) -> DataFrame:
+    return c.with_answers(df, spec, key, _grouped(c), "obs_group_id", sparse=sparse)
 
 
 def _visit_columns(c: Clinic, df: DataFrame, columns: dict[str, str], key: str = "encounter_id") -> DataFrame:
@@ -222,7 +222,7 @@ def oncology_diagnosis(c: Clinic) -> DataFrame:
     e = c.encounters([ONCOLOGY_INTAKE, ONCOLOGY_PLAN])
     o = c.obs("3064").select("encounter_id", "obs_id", "obs_group_id", "value_coded")
     o = o.join(e, "encounter_id")
-    o = _group_answers(c, o, {"diagnosis_order": coded("7537")}, "obs_group_id")
+    o = _group_answers(c, o, {"diagnosis_order": coded("7537")}, "obs_group_id", sparse=True)
     o = c.with_concept_name(o, "value_coded", "diagnosis", "en")
     o = c.with_provider(c.with_user(c.with_facility(c.with_type_name(c.with_identifier(o)))), "encounter_provider")
     return o.select(
@@ -1107,11 +1107,11 @@ def pathology_encounters(c: Clinic, order_type: str = PATHOLOGY_ORDER) -> DataFr
     o = c.with_answers(o, spec, within=bare)
     loose = c.live("obs").filter("obs_group_id is null")
     o = c.with_answers(o, {"specimen_to_boston_date": date("14239")}, obs=loose, within=bare)
-    o = _group_answers(c, o, {"post_op_diagnosis": listed("3064")}, "_g1")
+    o = _group_answers(c, o, {"post_op_diagnosis": listed("3064")}, "_g1", sparse=True)
     o = _group_answers(
-        c, o, {"specimen_to_pap": yn("7817"), "specimen_to_pap_date": date("14239"), "specimen_returned_pap_date": date("6110")}, "_g2"
+        c, o, {"specimen_to_pap": yn("7817"), "specimen_to_pap_date": date("14239"), "specimen_returned_pap_date": date("6110")}, "_g2", sparse=True
     )
-    o = _group_answers(c, o, {"post_result_diagnosis": listed("3064")}, "_g3")
+    o = _group_answers(c, o, {"post_result_diagnosis": listed("3064")}, "_g3", sparse=True)
     o = o.join(_last_entry(c, PROCESSING, "process_date_entered", "process_user_entered"), "encounter_id", "left")
     o = o.join(_last_entry(c, RESULTS, "result_date_entered", "result_user_entered"), "encounter_id", "left")
     o = c.with_identifier(c.with_person(o, {"gender": "gender", "_birth": "birthdate"}))

@@ -9,7 +9,7 @@ from wardmill.functions.dates import complete_years, entered_later_same_clock, m
 from wardmill.operators import eav, enrich, latest, tree
 from wardmill.operators.merge import union_rows
 from wardmill.operators.rules import code_flags, waterfall
-from wardmill.plans.extract.clinic import HEALTH_CENTER_ATTRIBUTE, Clinic, Q, text
+from wardmill.plans.extract.clinic import HEALTH_CENTER_ATTRIBUTE, Clinic, Q, row_ids, text
 from wardmill.plans.extract.forms import CHEMO
 from wardmill.sources.site import date_window, trailing_months
 from wardmill.streaming.incremental import delta_extract
@@ -360,7 +360,7 @@ def _diagnosis_details(c: Clinic, d: DataFrame, sets: dict[str, str]) -> DataFra
     """What group, concept, encounter and patient say about each diagnosis."""
     group = c.live("obs").filter("obs_group_id is not null")
     d = c.with_answers(
-        d, {"dx_order": Q("coded", "7537"), "certainty": Q("coded", "1379")}, "obs_group_id", group, "obs_group_id", d
+        d, {"dx_order": Q("coded", "7537"), "certainty": Q("coded", "1379")}, "obs_group_id", group, "obs_group_id", d, sparse=True
     )
     d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_fr", "fr")
     d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_en", "en")
@@ -505,7 +505,7 @@ def all_lab_results(c: Clinic, lab_set: str = "lab tests", not_performed: str =
     r = c.with_user(c.with_facility(c.with_type_name(r.join(e, "encounter_id", "left"))))
     r = enrich.decode(
         r, c.table("orders"), "order_id", "order_id",
-        {"order_number": "order_number", "_orderable": "concept_id", "lab_id": "accession_number"},
+        {"order_number": "order_number", "_orderable": "concept_id", "lab_id": "accession_number"}, row_ids(r, "order_id"),
     )
     for column, name in (("_orderable", "orderable"), ("_test", "test"), ("value_coded", "_coded"), ("_why", "reason_not_performed")):
         r = c.with_concept_name(r, column, name)

@@ -9,7 +9,7 @@ from wardmill.functions.dates import age_tenths, complete_days, complete_months,
 from wardmill.operators import enrich, latest, rules, tree
 from wardmill.operators.eav import Answer, pivot, text_list
 from wardmill.operators.merge import union_rows
-from wardmill.plans.extract.clinic import HEALTH_CENTER_ATTRIBUTE, Clinic, Q, coded, comment, date, listed, mark, max_either, num, text, yn
+from wardmill.plans.extract.clinic import HEALTH_CENTER_ATTRIBUTE, Clinic, Q, coded, comment, date, listed, mark, max_either, num, row_ids, text, yn
 from wardmill.plans.extract.forms import ECHO
 from wardmill.plans.extract.maternal import VACCINES, dose_column, vaccine_doses
 from wardmill.plans.extract.programs import DELIVERY, HIV, MATERNAL, OBGYN, _group_answers
@@ -357,7 +357,7 @@ def mch_visit(c: Clinic) -> DataFrame:
     v = v.join(sti.groupBy("encounter_id").agg(text_list(F.col("_name")).alias("other_sti")), "encounter_id", "left")
     planned = mine.filter(c.is_code("concept_id", FAMILY_PLANNING) & F.col("obs_group_id").isNotNull())
     method = c.answers(["obs_group_id"], {"family_planning_method": coded(FAMILY_PLANNING)}, planned)
-    v = v.join(method, F.col("_planning") == F.col("obs_group_id"), "left").drop("obs_group_id")
+    v = enrich.decode(v, method, "_planning", "obs_group_id", {"family_planning_method": "family_planning_method"}, row_ids(v))
     ordered = c.with_concept_name(c.live("orders").join(e.select("encounter_id"), "encounter_id", "left_semi"), "concept_id", "_name", "en")
     v = v.join(ordered.groupBy("encounter_id", "patient_id").agg(text_list(F.col("_name")).alias("medication_order")), ["encounter_id", "patient_id"], "left")
     v = c.enrolment_at(v, MATERNAL, ["encounter_id"], "mch_program_id", events=e)
