@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from wardmill.catalog import registry
+from wardmill.catalog.base import SCHEMAS
 from wardmill.catalog.clinic_tables import Dictionary, DriverSite
 
 
@@ -21,3 +23,43 @@ def test_estimates_count_the_rows_of_an_expansion(spark, tmp_path):
     assert estimate(states) >= 3 * estimate(ids)
     assert site.read("obs").count() == 50 * 17
     assert estimate(site.read("obs").select("obs_id")) >= 17 * estimate(ids)
+
+
+def driver_tables(spark, folder, n=40):
+    """Small driver tables of a clinic's patients, visits and staff."""
+    at = lambda i: dt.datetime(2000, 1, 1) + dt.timedelta(days=i % 90)
+    rows = {
+        "region": [(i, f"R{i}") for i in range(5)],
+        "nation": [(i, f"N{i}", i % 5) for i in range(25)],
+        "customer": [(i, f"C{i}", i % 25, 1.0, "s") for i in range(n)],
+        "supplier": [(i, f"S{i}", i % 25, 1.0) for i in range(10)],
+        "orders": [(i, i % n, "O", 1.0, at(i), "1-URGENT") for i in range(5 * n)],
+        "events": [(i, at(i), i % 10, "view", 1.0, "{}") for i in range(n)],
+    }
+    for t, r in rows.items():
+        spark.createDataFrame(r, SCHEMAS[t]).write.parquet(f"{folder}/{t}.parquet")
+    return str(folder)
+
+
+def sorts_of_a_stage(plan):
+    """The most sorts that run in one stage of a physical plan with shuffled joins."""
+    name = plan.getClass().getSimpleName()
+    below = [sorts_of_a_stage(plan.children().apply(i)) for i in range(plan.children().size())]
+    done, open_ = max([b[0] for b in below], default=0), sum(b[1] for b in below) + (name == "SortExec")
+    if name in ("ShuffleExchangeExec", "BroadcastExchangeExec"):
+        return max(done, open_), 0
+    return max(done, open_), open_
+
+
+def test_few_sorts_of_the_patients_share_a_stage(spark, tmp_path):
+    """Each sort holds a page of memory until its stage ends."""
+    folder = driver_tables(spark, tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = registry()["extract_hiv_patient"].build(spark, folder)
+        assert sorts_of_a_stage(df._jdf.queryExecution().executedPlan())[0] <= 12
+        assert df.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

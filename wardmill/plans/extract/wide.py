@@ -13,6 +13,7 @@ from wardmill.plans.extract.clinic import HEALTH_CENTER_ATTRIBUTE, Clinic, Q, co
 from wardmill.plans.extract.forms import ECHO
 from wardmill.plans.extract.maternal import VACCINES, dose_column, vaccine_doses
 from wardmill.plans.extract.programs import DELIVERY, HIV, MATERNAL, OBGYN, _group_answers
+from wardmill.sources.staging import staged
 
 # Questions and answers of the delivery note.
 DIAGNOSIS, PROCEDURE = "3064", "CIEL:1651"
@@ -475,7 +476,8 @@ def art_orders(c: Clinic) -> DataFrame:
 def hiv_patient(c: Clinic) -> DataFrame:
     """One row per live patient: person, addresses, key populations, household, last measures, visits, treatment and partner.
 
-    Each source is cut to one row per patient before it joins the patients.
+    Each source is cut to one row per patient before it joins the patients. The patients are written after every few
+    joins: all joins are on the patient and would run in one stage, where each sort holds memory until the stage ends.
     """
     now = F.lit(c.as_of).cast("timestamp_ntz")
     none = F.lit(None).cast("string")
@@ -483,6 +485,7 @@ def hiv_patient(c: Clinic) -> DataFrame:
     p = c.with_identifier(p)
     for name, kind in (("hivemr_v1_id", "hiv"), ("hiv_dossier_id", "hiv_dossier")):
         p = enrich.decode(p, c.identifier_list(kind), "patient_id", "patient_id", {name: "identifiers"})
+    p = staged(p, "hiv-patient")
     person = enrich.active(c.table("person", {"cause_of_death_non_coded": "string"}))
     p = enrich.decode(
         p, person, "patient_id", "person_id",
@@ -495,10 +498,12 @@ def hiv_patient(c: Clinic) -> DataFrame:
         {"address": "address2", "street_landmark": "address2", "department": "state_province", "commune": "city_village",
          "section_communal": "address3", "locality": "address1"},
     )
+    p = staged(p, "hiv-patient")
     for name, e in (("initial_enrollment_location", c.first_enrolment(HIV)), ("latest_enrollment_location", c.last_enrolment(HIV))):
         p = enrich.decode(p, c.with_place(e, "_place"), "patient_id", "patient_id", {name: "_place"})
     told = {n: text(q) for n, q in BIRTHPLACE.items()} | {"marital_status": coded("CIVIL STATUS"), "occupation": coded("Occupation")}
     p = c.with_answers(p, told, "patient_id", c.live("obs"), "person_id")
+    p = staged(p, "hiv-patient")
     reg = latest.top1(c.registrations_all(), ["patient_id"], ["encounter_datetime", "encounter_id"])
     reg = c.with_user(reg).withColumn("_day", F.to_date("encounter_datetime"))
     p = enrich.decode(p, reg, "patient_id", "patient_id", {"patient_registration_date": "_day", "user_entered": "user_entered"})
@@ -508,6 +513,7 @@ def hiv_patient(c: Clinic) -> DataFrame:
     places = c.table("location").select(F.col("location_id").cast("string").alias("_lid"), "name")
     told = enrich.decode(told, places, "_hc", "_lid", {"health_center": "name"})
     p = enrich.decode(p, told, "patient_id", "person_id", {n: n for n in ("mothers_first_name", "telephone_number", "health_center")})
+    p = staged(p, "hiv-patient")
 
     intakes = c.encounters([INTAKE], "name").select("encounter_id", "patient_id", "encounter_datetime")
     groups = c.obs(*KEY_POPULATIONS.values()).join(intakes.select("encounter_id", F.to_date("encounter_datetime").alias("_day")), "encounter_id")
@@ -520,17 +526,20 @@ def hiv_patient(c: Clinic) -> DataFrame:
     spec = {"parent_firstname": text("FIRST NAME"), "parent_lastname": text("LAST NAME"), "parent_relationship": coded("RELATIONSHIP OF RELATIVE TO PATIENT")}
     contact = _group_answers(c, contact, spec, "_contact").drop("_contact").withColumnRenamed("person_id", "patient_id")
     p = p.join(contact, "patient_id", "left").join(partner_status(c), "patient_id", "left")
+    p = staged(p, "hiv-patient")
 
     for kind, spec in ((SOCIAL, HOUSEHOLD), (INTAKE, HABITS)):
         e = c.encounters([kind], "name").select("encounter_id", "patient_id")
         last = e.groupBy("patient_id").agg(F.max("encounter_id").alias("encounter_id"))
         p = p.join(c.with_answers(last, spec, within=e).drop("encounter_id"), "patient_id", "left")
+    p = staged(p, "hiv-patient")
     at = c.live("encounter").select("encounter_id", F.to_date("encounter_datetime").alias("_at"))
     for name, question in MEASURES.items():
         o = c.obs(question)
         last = latest.top1(o, ["person_id"], ["-encounter_id", "-date_created", "-obs_id"])
         last = last.select("person_id", "encounter_id", F.col("value_numeric").alias("_value")).join(at, "encounter_id", "left")
         p = enrich.decode(p, last, "patient_id", "person_id", {f"last_{name}": "_value", f"last_{name}_date": "_at"})
+    p = staged(p, "hiv-patient")
 
     care = c.encounters([INTAKE, FOLLOWUP], "name").select("encounter_id", "patient_id", "encounter_datetime")
     seen = care.groupBy("patient_id").agg(F.max("encounter_datetime").alias("_seen"))
@@ -539,6 +548,7 @@ def hiv_patient(c: Clinic) -> DataFrame:
     p = p.join(seen, "patient_id", "left")
     for df in (due, found):
         p = p.join(df.withColumnRenamed("person_id", "patient_id"), "patient_id", "left")
+    p = staged(p, "hiv-patient")
 
     pickups = c.encounters([PICKUP], "name").select("encounter_id", "patient_id", "encounter_datetime")
     real = pickups.join(c.obs(DISPENSED).select("encounter_id"), "encounter_id", "left_semi").select("patient_id").distinct()
@@ -549,6 +559,7 @@ def hiv_patient(c: Clinic) -> DataFrame:
         within=pickups,
     ).select("patient_id", F.to_date("encounter_datetime").alias("last_pickup_date"), F.to_date("_next").alias("next_pickup_date"), "last_pickup_months_dispensed", "last_pickup_treatment_line", "agent")
     p = p.join(last, "patient_id", "left").join(art_dispensing(c, pickups), "patient_id", "left").join(art_orders(c), "patient_id", "left")
+    p = staged(p, "hiv-patient")
 
     prints = c.with_user(c.identifiers("biometrics")).select(
         "patient_id", F.col("identifier").alias("latest_biometrics_reference_code"), F.col("date_created").alias("latest_biometrics_collection_date"),
