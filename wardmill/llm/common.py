@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,3 +86,24 @@ def with_row_ids(docs: DataFrame, name: str = "row_id") -> tuple[DataFrame, bool
     order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first(), *(F.col(c).asc_nulls_first() for c in rest)]
     # a range exchange numbers its partitions in order, so the generated ids follow the sort
     return written(docs.orderBy(*order).withColumn(name, F.monotonically_increasing_id()), "numbered"), True
+
+
+def give_back() -> None:
+    """Freed memory of this process goes to the system, where the allocators let it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidied(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for mapInArrow, after which the worker holds no freed memory: workers live on, and their executor's limit counts them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run

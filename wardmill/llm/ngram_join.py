@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import free_names, with_row_ids, written
+from wardmill.llm.common import free_names, tidied, with_row_ids, written
 from wardmill.llm.components import components
 
 WORDS = 5
@@ -167,7 +167,7 @@ def classes(rows: DataFrame) -> DataFrame:
             d1, d2 = digests(values, sizes)
             yield pa.record_batch([b.column(0), b.column(1), pa.array(sizes), signed(d1), signed(d2)], names=["row_id", "doc_id", "n", "d1", "d2"])
 
-    return rows.select("row_id", "doc_id", "text").mapInArrow(work, "row_id long, doc_id long, n long, d1 long, d2 long")
+    return rows.select("row_id", "doc_id", "text").mapInArrow(tidied(work), "row_id long, doc_id long, n long, d1 long, d2 long")
 
 
 def leading_grams(rows: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def leading_grams(rows: DataFrame) -> DataFrame:
             chosen = within < np.repeat(take, sizes)
             yield pa.record_batch([signed(values[chosen]), signed(np.repeat(d1, take))], names=["gram", "d1"])
 
-    return rows.select("text").mapInArrow(work, "gram long, d1 long")
+    return rows.select("text").mapInArrow(tidied(work), "gram long, d1 long")
 
 
 def shared_grams(rows: DataFrame, reps: DataFrame) -> DataFrame:
@@ -227,7 +227,7 @@ def segments(rows: DataFrame, members: DataFrame) -> DataFrame:
             )
 
     texts = rows.select(F.col("row_id").alias("rep"), "text").join(members, "rep", "left_semi")
-    return texts.mapInArrow(work, "rep long, fragment long, n long, grams binary")
+    return texts.mapInArrow(tidied(work), "rep long, fragment long, n long, grams binary")
 
 
 def linked(a: str, b: str, overlap: str) -> str:
@@ -246,7 +246,7 @@ def verified_pairs(pairs: DataFrame, cut: DataFrame) -> DataFrame:
     left = cut.select(F.col("rep").alias("a"), "fragment", F.col("n").alias("na"), "grams")
     right = cut.select(F.col("rep").alias("b"), "fragment", F.col("n").alias("nb"), F.col("grams").alias("other"))
     both = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", "grams", "other")
-    parts = both.mapInArrow(work, "a long, b long, na long, nb long, part long")
+    parts = both.mapInArrow(tidied(work), "a long, b long, na long, nb long, part long")
     return parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("overlap")).where(linked("na", "nb", "overlap")).select("a", "b")
 
 
@@ -326,7 +326,7 @@ def cross_links(members: DataFrame, cut: DataFrame) -> DataFrame:
         holds = 100 * overlap >= PERCENT * (total[first] - overlap)
         return pa.table({"a": pa.array(a[first][holds], pa.int64()), "b": pa.array(b[first][holds], pa.int64())})
 
-    parts = both.mapInArrow(count, "p long, q long, a array<long>, b array<long>, total array<long>, part array<long>")
+    parts = both.mapInArrow(tidied(count), "p long, q long, a array<long>, b array<long>, total array<long>, part array<long>")
     return parts.groupBy("p", "q").applyInArrow(add, "a long, b long").distinct()
 
 

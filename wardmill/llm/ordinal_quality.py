@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.llm.common import tidied
+
 BUCKETS = 1 << 17
 GRADES = 3
 SAMPLE_ROWS = 20_000
@@ -169,8 +171,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         model = fit([seen[k] for k in sorted(seen)])
         yield pa.record_batch([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.thresholds.tolist()], pa.list_(pa.float64())), pa.array([model.fitted])], names=["weights", "thresholds", "fitted"])
 
-    features = rows.mapInArrow(featured, "doc_id long, grade int, words array<int>, shape array<int>")
-    row = features.repartition(1).mapInArrow(fitted, "weights binary, thresholds array<double>, fitted boolean").first()
+    features = rows.mapInArrow(tidied(featured), "doc_id long, grade int, words array<int>, shape array<int>")
+    row = features.repartition(1).mapInArrow(tidied(fitted), "weights binary, thresholds array<double>, fitted boolean").first()
     if row is None:
         return fit([])
     return Model(np.frombuffer(row["weights"], np.float32), np.array(row["thresholds"]), row["fitted"])
@@ -188,7 +190,7 @@ def scored(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
                 names=["doc_id", "expected_grade", "p_good", "p_clean", "kept"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, expected_grade double, p_good double, p_clean double, kept boolean")
+    return docs.select("doc_id", "text").mapInArrow(tidied(work), "doc_id long, expected_grade double, p_good double, p_clean double, kept boolean")
 
 
 def selected(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
@@ -201,4 +203,4 @@ def selected(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
             tails = model.tails(np.array([model.score(*make(t.as_py() or "")) for t in b.column(place)], float).reshape(-1))
             yield b.filter(pa.array(model.keeps(tails, least)))
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.mapInArrow(tidied(work), docs.schema)

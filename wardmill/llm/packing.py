@@ -20,12 +20,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.llm.common import give_back, tidied
+
 #: Units whose ids a worker remembers: the last so many, and as many before these.
 REMEMBERED = 300_000
 #: New units are encoded together, with a sign between them that is a token of its own and in no other unit.
 TOGETHER, BETWEEN = 512, "\x01"
 #: Bytes of text encoded at once, and bits of a remembered place for the number of ids there.
-SLICE, LENGTH_BITS = 2 << 20, 24
+SLICE, LENGTH_BITS = 1 << 20, 24
 # How the public word vocabulary cuts a text, and how it marks the last piece of a part.
 PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 PART_END = "</w>"
@@ -229,8 +231,9 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, long
                     names=["doc_id", "start", "length", "ids", "doc_tokens"],
                 )
                 first = last
+            give_back()
 
-    cutted = docs.select("doc_id", "text").mapInArrow(work, "doc_id long, start long, length long, ids binary, doc_tokens long")
+    cutted = docs.select("doc_id", "text").mapInArrow(tidied(work), "doc_id long, start long, length long, ids binary, doc_tokens long")
     return cutted.select(
         "*",
         F.monotonically_increasing_id().alias("sequence_id"),
