@@ -57,9 +57,14 @@ def text_list(value: Column, sep: str = " | ") -> Column:
     return F.nullif(joined, F.lit(""))
 
 
-def pivot(obs: DataFrame, keys: list[str], answers: dict[str, Answer], only: Column | None = None) -> DataFrame:
-    """One row per key with one column per answer, in a single aggregate."""
+def pivot(obs: DataFrame, keys: list[str], answers: dict[str, Answer], only: Column | None = None, dealt: bool = False) -> DataFrame:
+    """One row per key with one column per answer, in a single aggregate.
+
+    ``dealt``: the rows are dealt by key before they are aggregated. Spark sorts what it aggregates to texts and structs, so
+    else each scanning task sorts all that it reads. For narrow rows of keys that have few rows each.
+    """
     src = obs if only is None else obs.filter(only)
+    src = src.repartition(*keys) if dealt else src
     return src.groupBy(*keys).agg(*[answer_column(a).alias(n) for n, a in answers.items()])
 
 

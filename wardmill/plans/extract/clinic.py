@@ -457,10 +457,40 @@ class Clinic:
         o = self.live("obs")
         return o.filter(self.is_code("concept_id", *codes)) if codes else o
 
-    def _asked(self, o: DataFrame, spec: dict[str, Q]) -> DataFrame:
-        """The observations of the spec's questions with the names and places that its kinds look at."""
+    def _telling(self, o: DataFrame, spec: dict[str, Q]) -> DataFrame:
+        """The observations that give a column of the spec a value, with only the values that their questions are asked for.
+
+        What is left out here does not pass through the shuffles of joins and aggregates. A key may lose all its rows.
+        """
         self.codes([YES, NO] + [c for q in spec.values() for c in _codes_of(q)])
-        o = o.filter(self.is_code("concept_id", *[q.code for q in spec.values()]))
+        telling, uses = F.lit(False), {}
+        limits: dict[tuple[str | None, bool], list[Q]] = {}
+        for q in spec.values():
+            value = VALUE_OF[q.kind]
+            if value is not None:
+                uses.setdefault(value, []).append(q.code)
+            limited = q.answer is not None and q.kind not in ("either", "max_either", "member")
+            if limited:
+                uses.setdefault("value_coded", []).append(q.code)
+            # the newest comment may be none, and a mark without an answer stands for any
+            bare = q.kind in ("comment", "obs") or value is None or (q.kind in ("has", "mark") and not limited)
+            limits.setdefault((None if bare else value, limited), []).append(q)
+        for (value, limited), qs in limits.items():
+            rows = self.is_code("concept_id", *dict.fromkeys(q.code for q in qs))
+            if value is not None:
+                rows = rows & F.col(value).isNotNull()
+            if limited:
+                rows = rows & self.is_code("value_coded", *dict.fromkeys(a for q in qs for a in _tuple(q.answer)))
+            telling = telling | rows
+        values = [v for v in ("value_coded", "value_numeric", "value_text", "value_datetime", "comments") if v in o.columns]
+        asked = {v: F.when(self.is_code("concept_id", *dict.fromkeys(uses[v])), F.col(v)) for v in values if v in uses}
+        return o.filter(telling).withColumns(asked)
+
+    def _asked(self, o: DataFrame, spec: dict[str, Q], filtered: bool = False) -> DataFrame:
+        """The observations of the spec's questions with the names and places that its kinds look at."""
+        if not filtered:
+            self.codes([YES, NO] + [c for q in spec.values() for c in _codes_of(q)])
+            o = o.filter(self.is_code("concept_id", *[q.code for q in spec.values()]))
         kinds = {q.kind for q in spec.values()}
         if kinds & {"coded", "list", "max_coded", "member"}:
             o = self.with_concept_name(o, "value_coded", "_name")
@@ -503,8 +533,8 @@ class Clinic:
         if within is not None:
             heads = heads.join(within.select(F.col(key).alias("_wm_within")), F.col(key) == F.col("_wm_within"), "left_semi")
         heads = top_n(heads, [key], list(order), slots).select(F.col(key).alias("_wm_key"), F.col("obs_id").alias("_wm_group"), "position")
-        grouped = self._asked(self.live("obs").filter("obs_group_id IS NOT NULL"), spec)
-        o = grouped.join(heads, F.col("obs_group_id") == F.col("_wm_group"))
+        grouped = self._telling(self.live("obs").filter("obs_group_id IS NOT NULL"), spec)
+        o = self._asked(grouped.join(heads, F.col("obs_group_id") == F.col("_wm_group")), spec, True)
         wide, told = {}, {}
         for i in range(1, slots + 1):
             for n, q in spec.items():
@@ -512,7 +542,7 @@ class Clinic:
                 column = name.format(i=i, n=n)
                 wide[column] = replace(a, where=(F.col("position") == i) & a.where)
                 told[column] = q
-        out = df.join(self._told(eav.pivot(o, ["_wm_key"], wide), told), F.col(key) == F.col("_wm_key"), "left").drop("_wm_key")
+        out = df.join(self._told(eav.pivot(o, ["_wm_key"], wide, dealt=True), told), F.col(key) == F.col("_wm_key"), "left").drop("_wm_key")
         for n, q in told.items():
             if q.kind == "has":
                 out = out.withColumn(n, F.coalesce(F.col(n), F.lit(False)))
@@ -553,18 +583,22 @@ class Clinic:
 
     def with_answers(
         self, df: DataFrame, spec: dict[str, Q], key: str = "encounter_id", obs: DataFrame | None = None,
-        obs_key: str | None = None, within: DataFrame | None = None, sparse: bool = False,
+        obs_key: str | None = None, within: DataFrame | None = None, sparse: bool = False, within_key: str | None = None,
     ) -> DataFrame:
         """``df`` with the spec's columns; unanswered questions are null (false for ``has``).
 
         ``sparse``: the key is a group that many rows do not have.
         ``within``: a short plan with the keys of ``df`` (and maybe more); only their observations are aggregated.
+        ``within_key``: the column that ``within`` and the observations have in common, if not the key.
         """
+        own = obs_key or key
+        # a row without answers and a row whose answers say nothing look the same in the left join
+        o = self._telling(self.live("obs") if obs is None else obs, spec).filter(F.col(own).isNotNull())
         if within is not None:
-            mine = within.select(F.col(key).alias("_wm_within"))
-            obs = self.live("obs") if obs is None else obs
-            obs = obs.join(mine, F.col(obs_key or key) == F.col("_wm_within"), "left_semi")
-        a = self.answers([obs_key or key], spec, obs).withColumnRenamed(obs_key or key, "_wm_key")
+            mine = within.select(F.col(within_key or key).alias("_wm_within"))
+            o = o.join(mine, F.col(within_key or own) == F.col("_wm_within"), "left_semi")
+        picked = {n: self._answer(q) for n, q in spec.items()}
+        a = self._told(eav.pivot(self._asked(o, spec, True), [own], picked, dealt=True), spec).withColumnRenamed(own, "_wm_key")
         if sparse:
             out = enrich.sparse_left(df, a, key, "_wm_key", row_ids(df, key)).drop("_wm_key")
         else:
@@ -628,6 +662,12 @@ class Clinic:
         raise ValueError(q.kind)
 
 
+#: The column of an observation that a kind takes its value from.
+VALUE_OF = dict.fromkeys(("coded", "list", "yn", "has", "mark", "either", "member", "max_coded", "max_either", "code"), "value_coded") | {
+    "num": "value_numeric", "max_num": "value_numeric", "text": "value_text", "max_text": "value_text", "place": "value_text",
+    "date": "value_datetime", "max_date": "value_datetime", "comment": "comments", "max_comment": "comments", "obs": None,
+}
+
 #: Ids that tell the rows of an extract apart and are seldom null.
 ROW_IDS = ("encounter_id", "obs_id", "order_id", "patient_id")
 

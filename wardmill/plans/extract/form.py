@@ -94,10 +94,8 @@ def run(c: Clinic, job: FormJob) -> DataFrame:
     e = c.encounters(list(job.types) or None, job.by)
     if job.windowed:
         e = c.window(e, "encounter_datetime")
-    mine = c.live("obs")
-    if job.types or job.windowed:
-        # only the form's own observations reach the pivots
-        mine = mine.join(e.select("encounter_id"), "encounter_id", "left_semi")
+    # only the form's own observations reach the pivots
+    mine = e.select("encounter_id") if job.types or job.windowed else None
     if job.no_test_patients:
         e = c.without_test_patients(e)
     e = e.select(
@@ -109,9 +107,9 @@ def run(c: Clinic, job: FormJob) -> DataFrame:
         e = index_pair(e, ["patient_id"], list(job.index_order))
     e = base(c, e, need)
     if job.answers:
-        e = c.with_answers(e, job.answers, obs=mine)
+        e = c.with_answers(e, job.answers, within=mine)
     if job.patient_answers:
-        e = c.with_answers(e, job.patient_answers, "patient_id", mine, "person_id")
+        e = c.with_answers(e, job.patient_answers, "patient_id", None, "person_id", mine, within_key="encounter_id")
     if not job.index_order:
         e = e.withColumns({i: F.lit(None).cast("int") for i in ("index_asc", "index_desc") if i in need})
     e = e.withColumns(
