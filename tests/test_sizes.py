@@ -73,7 +73,7 @@ def scans_sorted_for_aggregates(plan, above=None):
         above = None
     elif name in ("SortAggregateExec", "ObjectHashAggregateExec"):
         above = name
-    found = [above] if above and name.startswith("FileSourceScan") and "orders.parquet" in plan.toString() else []
+    found = [above] if above and name.startswith("FileSourceScan") and "o_orderkey" in plan.toString() else []
     return found + [x for i in range(plan.children().size()) for x in scans_sorted_for_aggregates(plan.children().apply(i), above)]
 
 
@@ -88,6 +88,10 @@ def test_answers_are_dealt_before_they_are_sorted(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+#: Columns of all such shuffles together; 254, 131 and 203 with a shuffle of the rows for every lookup.
+LIMITS = {"all_lab_results": 200, "all_procedures": 60, "all_medication_prescribed": 120}
+
+
 class TinySite:
     def __init__(self, **tables):
         self.tables = tables
@@ -127,3 +131,27 @@ def test_rows_that_tell_nothing_are_left_out(spark):
     one = {"yes": spec["yes"], "text": spec["text"]}
     left = {r["obs_id"]: r["value_text"] for r in c._telling(c.live("obs"), one).collect()}
     assert left == {1: "a", 2: None, 3: "b", 6: "z"}
+
+
+def shuffles_of(plan, *columns):
+    """Sizes of rows, in columns, of the shuffles that carry the named columns."""
+    out = plan.output()
+    names = {out.apply(i).name() for i in range(out.size())}
+    mine = [out.size()] if plan.getClass().getSimpleName() == "ShuffleExchangeExec" and set(columns) <= names else []
+    return mine + [x for i in range(plan.children().size()) for x in shuffles_of(plan.children().apply(i), *columns)]
+
+
+def test_results_are_not_shuffled_for_lookups_of_their_encounters(spark, tmp_path):
+    """Each lookup of an encounter passes over the encounters; with every join a shuffled one, the many rows move less often."""
+    folder = driver_tables(spark, tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = {}
+        for name, columns in {"all_lab_results": ("obs_id", "patient_id"), "all_procedures": ("obs_id", "patient_id"), "all_medication_prescribed": ("drug_concept", "encounter_id")}.items():
+            plan = registry()[f"extract_{name}"].build(spark, folder)._jdf.queryExecution().executedPlan()
+            found[name] = sum(shuffles_of(plan, *columns))
+        assert all(found[n] < most for n, most in LIMITS.items()), found
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

@@ -12,6 +12,7 @@ from wardmill.operators.rules import code_flags, waterfall
 from wardmill.plans.extract.clinic import HEALTH_CENTER_ATTRIBUTE, Clinic, Q, row_ids, text
 from wardmill.plans.extract.forms import CHEMO
 from wardmill.sources.site import date_window, trailing_months
+from wardmill.sources.staging import staged
 from wardmill.streaming.incremental import delta_extract
 
 SPECIMEN_COLLECTION = "39C09928-0CAB-4DBA-8E48-39C631FA4286"
@@ -479,6 +480,12 @@ def all_lab_orders(c: Clinic) -> DataFrame:
     )
 
 
+def _at_encounters(c: Clinic, rows: DataFrame, encounters: DataFrame) -> DataFrame:
+    """Rows with what was looked up for their encounters, last and in one join: the lookups pass over the fewer encounters, and rows travel narrow."""
+    out = rows.join(encounters, "encounter_id", "left")
+    return out.withColumn("facility", F.coalesce("facility", F.lit(c.unknown_location())))
+
+
 def all_lab_results(c: Clinic, lab_set: str = "lab tests", not_performed: str = "not performed reason") -> DataFrame:
     """Results of all tests in the lab set (four levels deep) and reasons for tests not done."""
     root = c.table("report_mapping").filter(F.col("concept_id") == c.code(lab_set)).select("concept_id").distinct()
@@ -487,12 +494,15 @@ def all_lab_results(c: Clinic, lab_set: str = "lab tests", not_performed: str =
     )
     value = F.coalesce(F.col("value_coded").cast("string"), F.col("value_numeric").cast("string"), F.col("value_text"))
     o = c.window(c.live("obs"), "obs_datetime")
-    done = o.join(tests.distinct(), "concept_id", "left_semi").filter(value.isNotNull())
+    # staged, its size is known; else all observations are shuffled by concept to meet a few tests
+    done = o.join(staged(tests.distinct(), "lab-tests"), "concept_id", "left_semi").filter(value.isNotNull())
+    # a coded result is told by its name alone
+    plain = lambda v: F.when(F.col("value_coded").isNull(), F.col(v)).alias(v)
     cols = ["obs_id", F.col("person_id").alias("patient_id"), "encounter_id", "order_id"]
     null = lambda t: F.lit(None).cast(t)
     r = union_rows(
         [
-            done.select(*cols, F.col("concept_id").alias("_test"), "value_coded", "value_numeric", "value_text", null("bigint").alias("_why")),
+            done.select(*cols, F.col("concept_id").alias("_test"), "value_coded", plain("value_numeric"), plain("value_text"), null("bigint").alias("_why")),
             o.filter(c.is_code("concept_id", not_performed)).select(
                 *cols, null("bigint").alias("_test"), null("bigint").alias("value_coded"),
                 null("double").alias("value_numeric"), null("string").alias("value_text"), F.col("value_coded").alias("_why"),
@@ -502,11 +512,18 @@ def all_lab_results(c: Clinic, lab_set: str = "lab tests", not_performed: str =
     e = c.table("encounter").select(
         "encounter_id", "location_id", "encounter_type", "encounter_datetime", "date_created", "creator", "visit_id"
     )
-    r = c.with_user(c.with_facility(c.with_type_name(r.join(e, "encounter_id", "left"))))
+    e = c.with_user(c.with_facility(c.with_type_name(e)))
     r = enrich.decode(
         r, c.table("orders"), "order_id", "order_id",
         {"order_number": "order_number", "_orderable": "concept_id", "lab_id": "accession_number"}, row_ids(r, "order_id"),
     )
+    r = c.with_identifier(c.with_registration_place(c.with_unknown_flag(r)))
+    r = c.with_person(r, {"gender": "gender", "_birth": "birthdate"})
+    r = _at_encounters(c, r, e)
+    dates = latest.top1(c.obs("10783"), ["encounter_id"], ["-date_created", "-obs_id"])
+    r = enrich.decode(
+        r, dates, "encounter_id", "encounter_id", {"_result": "value_datetime", "results_entry_date": "date_created"}
+    )
     for column, name in (("_orderable", "orderable"), ("_test", "test"), ("value_coded", "_coded"), ("_why", "reason_not_performed")):
         r = c.with_concept_name(r, column, name)
     loinc = c.table("report_mapping").filter("source = 'LOINC'").groupBy("concept_id").agg(
@@ -515,12 +532,6 @@ def all_lab_results(c: Clinic, lab_set: str = "lab tests", not_performed: str =
     r = enrich.decode(r, loinc, "_test", "concept_id", {"LOINC": "LOINC"})
     units = c.table("concept_numeric").select("concept_id", "units")
     r = enrich.decode(r, units, "_test", "concept_id", {"units": "units"})
-    dates = latest.top1(c.obs("10783"), ["encounter_id"], ["-date_created", "-obs_id"])
-    r = enrich.decode(
-        r, dates, "encounter_id", "encounter_id", {"_result": "value_datetime", "results_entry_date": "date_created"}
-    )
-    r = c.with_identifier(c.with_registration_place(c.with_unknown_flag(r)))
-    r = c.with_person(r, {"gender": "gender", "_birth": "birthdate"})
     return r.select(
         c.key("obs_id", True),
         c.key("patient_id", True),
@@ -586,13 +597,14 @@ FREE_PROCEDURE = "12923"
 def all_procedures(c: Clinic) -> DataFrame:
     o = c.obs(*CODED_PROCEDURES, FREE_PROCEDURE).select(
         F.col("person_id").alias("patient_id"), "encounter_id", "obs_id", "obs_datetime", "concept_id", "value_coded",
-        "value_text", "date_created", "creator",
+        F.when(c.is_code("concept_id", FREE_PROCEDURE), F.col("value_text")).alias("value_text"), "date_created", "creator",
     )
     coded = c.is_code("concept_id", *CODED_PROCEDURES)
     e = c.encounters().select("encounter_id", "visit_id", "location_id", "encounter_type", "encounter_datetime")
-    o = c.with_facility(c.with_type_name(o.join(e, "encounter_id", "left")))
-    o = c.with_provider(c.with_user(o, "creator", "entered_by"))
-    o = c.with_identifier(c.with_concept_name(o, "value_coded", "_name", "en"))
+    e = c.with_facility(c.with_type_name(e))
+    o = c.with_identifier(c.with_user(o, "creator", "entered_by"))
+    o = c.with_provider(_at_encounters(c, o, e))
+    o = c.with_concept_name(o, "value_coded", "_name", "en")
     flags = {n: [i for i in c.codes(cs).values() if i is not None] for n, cs in PROCEDURE_FLAGS.items()}
     o = code_flags(o, "value_coded", flags)
     return o.select(
@@ -692,11 +704,10 @@ def all_medication_prescribed(c: Clinic) -> DataFrame:
         "order_duration_units": Q("max_coded", "6412"),
         "order_quantity": Q("max_num", "9071"),
     }
-    a = c.with_answers(heads.join(e, "encounter_id"), spec, "_group", grouped, "obs_group_id", heads)
+    a = c.with_answers(heads, spec, "_group", grouped, "obs_group_id", heads)
     a = enrich.decode(
         a, _drugs(c, ["obs_group_id"], "1282", "10634"), "_group", "obs_group_id", {"drug_id": "drug_id", "drug_concept": "drug_concept"}
     )
-    a = a.withColumns({"order_created_date": F.to_date("_created"), "order_date_activated": F.to_date("encounter_datetime")})
     o = c.live("orders").join(c.table("drug_order"), "order_id")
     bare = o
     o = enrich.decode(o, c.table("order_frequency"), "frequency", "order_frequency_id", {"_fc": "concept_id"})
@@ -713,9 +724,17 @@ def all_medication_prescribed(c: Clinic) -> DataFrame:
         F.col("duration").cast("double").alias("order_duration"), "order_duration_units", F.col("_reason").alias("order_reason"),
         F.col("drug_non_coded").alias("order_formulation_non_coded"), F.col("num_refills").alias("order_quantity_num_refills"),
         "order_comments", F.to_date("date_created").alias("order_created_date"), F.to_date("date_activated").alias("order_date_activated"),
-    ).join(e.drop("encounter_datetime", "_created"), "encounter_id", "left")
-    m = union_rows([a.drop("encounter_datetime", "_created", "_group"), b])
-    m = c.with_identifier(c.with_facility(c.with_user(c.with_type_name(m))))
+    )
+    m = c.with_identifier(union_rows([a.drop("_group").withColumn("_form", F.lit(True)), b]))
+    e = c.with_facility(c.with_user(c.with_type_name(e))).withColumn("_live", F.lit(True))
+    # a group counts if its encounter does, an order always
+    m = _at_encounters(c, m, e).filter("_form IS NULL OR _live")
+    m = m.withColumns(
+        {
+            "order_created_date": F.coalesce("order_created_date", F.when(F.col("_form"), F.to_date("_created"))),
+            "order_date_activated": F.coalesce("order_date_activated", F.when(F.col("_form"), F.to_date("encounter_datetime"))),
+        }
+    )
     m = c.with_concept_name(c.with_provider(m, "prescriber"), "drug_concept", "order_drug")
     m = enrich.decode(m, c.table("drug"), "drug_id", "drug_id", {"order_formulation": "name"})
     m = enrich.decode(m, drug_codes(c), "drug_id", "drug_id", {"product_code": "code"})
