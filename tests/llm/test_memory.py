@@ -3,7 +3,7 @@
 import pyarrow as pa
 import pytest
 
-from wardmill.llm import packing
+from wardmill.llm import common, packing
 
 
 def resident_mb():
@@ -41,3 +41,14 @@ def test_packing_leaves_no_freed_memory(rows):
 
     list(taken["work"](batches()))
     assert resident_mb() - before < 60
+
+
+def test_workers_take_texts_in_slices():
+    """The n-gram join's workers never hold the n-grams of a whole batch of long texts; no row is lost or changed."""
+    texts = ["a", None, "b" * 3_000_000, "c" * 3_000_000, "", "d" * 9_000_000, None, "e"]
+    batch = pa.record_batch([pa.array(range(8), pa.int64()), pa.array(texts)], names=["row_id", "text"])
+    empty = batch.slice(0, 0)
+    cut = list(common.in_slices(iter([batch, empty, batch.slice(1, 2)]), 1))
+    assert [b.num_rows for b in cut] == [3, 2, 1, 2, 2]
+    assert [x for b in cut for x in b.column(0).to_pylist()] == [*range(8), 1, 2]
+    assert [x for b in cut for x in b.column(1).to_pylist()] == texts + texts[1:3]

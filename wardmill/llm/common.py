@@ -9,7 +9,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +90,21 @@ def with_row_ids(docs: DataFrame, name: str = "row_id") -> tuple[DataFrame, bool
     return written(docs.orderBy(*order).withColumn(name, F.monotonically_increasing_id()), "numbered"), True
 
 
+#: Bytes of text that a worker takes at once.
+SLICE = 4 << 20
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of a column have SLICE bytes at most, or are one text: a batch has 10,000 rows, however long."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+        ends, first = np.cumsum(sizes.astype(np.int64)), 0
+        while first < b.num_rows:
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + SLICE, "right")))
+            yield b.slice(first, last - first)
+            first = last
+
+
 def give_back() -> None:
     """Freed memory of this process goes to the system, where the allocators let it."""
     pa.default_memory_pool().release_unused()

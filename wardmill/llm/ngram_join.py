@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import free_names, tidied, with_row_ids, written
+from wardmill.llm.common import free_names, in_slices, tidied, with_row_ids, written
 from wardmill.llm.components import components
 
 WORDS = 5
@@ -162,7 +162,7 @@ def classes(rows: DataFrame) -> DataFrame:
     """row_id, doc_id, n (set size), d1, d2 (digests of the set)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches, 2):
             values, sizes = gram_sets(b.column(2))
             d1, d2 = digests(values, sizes)
             yield pa.record_batch([b.column(0), b.column(1), pa.array(sizes), signed(d1), signed(d2)], names=["row_id", "doc_id", "n", "d1", "d2"])
@@ -175,7 +175,7 @@ def leading_grams(rows: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for b in batches:
+        for b in in_slices(batches, 0):
             values, sizes = gram_sets(b.column(0))
             d1, _ = digests(values, sizes)
             new = np.zeros(len(sizes), bool)
@@ -212,7 +212,7 @@ def segments(rows: DataFrame, members: DataFrame) -> DataFrame:
     """rep, fragment, n, grams (binary, sorted 64-bit): the sets of the members cut by the global order."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches, 1):
             values, sizes = gram_sets(b.column(1))
             ends = np.concatenate([[0], np.cumsum(sizes)])
             cuts = np.array([(k << 64) // FRAGMENTS for k in range(1, FRAGMENTS)], np.uint64)
