@@ -602,7 +602,9 @@ def all_procedures(c: Clinic) -> DataFrame:
     coded = c.is_code("concept_id", *CODED_PROCEDURES)
     e = c.encounters().select("encounter_id", "visit_id", "location_id", "encounter_type", "encounter_datetime")
     e = c.with_facility(c.with_type_name(e))
-    o = c.with_identifier(c.with_user(o, "creator", "entered_by"))
+    # staged, the names' size is known, and if they are few the observations are not shuffled by user
+    o = enrich.decode(o, staged(c.user_names(), "user-names"), "creator", "user_id", {"entered_by": "person_name"})
+    o = c.with_identifier(o)
     o = c.with_provider(_at_encounters(c, o, e))
     o = c.with_concept_name(o, "value_coded", "_name", "en")
     flags = {n: [i for i in c.codes(cs).values() if i is not None] for n, cs in PROCEDURE_FLAGS.items()}
