@@ -7,6 +7,7 @@ shuffle and sort, and the row count never exceeds left + sources.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -46,6 +47,33 @@ def time_line(df: DataFrame, keys: list[str], ts: str, types: list | None = None
     return df.select(*cols, _time(F.col(ts)).alias("_wm_ts")), names, ["_wm_ts"]
 
 
+def _row(lk: Lookup) -> Column:
+    return F.struct(*[F.col(c).alias(o) for o, c in lk.columns.items()])
+
+
+def _where(lk: Lookup, value: Column) -> Column:
+    return value if lk.where is None else F.when(lk.where, value)
+
+
+def _shared(lookups: list[Lookup]) -> list[tuple[list[int], DataFrame]]:
+    """The lookups, by number, that share one row per row of a source at the same time column, and that source's rows of use."""
+    groups: dict[tuple, list[int]] = {}
+    for n, lk in enumerate(lookups):
+        groups.setdefault((id(lk.right), tuple(lk.keys), lk.ts, tuple(lk.tie), lk.strict), []).append(n)
+    out = []
+    for members in groups.values():
+        lk = lookups[members[0]]
+        src = lk.right.filter(F.col(lk.ts).isNotNull())
+        wheres = [lookups[n].where for n in members]
+        if all(w is not None for w in wheres):
+            any_of = wheres[0]
+            for w in wheres[1:]:
+                any_of = any_of | w
+            src = src.filter(any_of)
+        out.append((members, src))
+    return out
+
+
 def asof_many(
     left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup], left_sizes: DataFrame | KeyStats | None = None
 ) -> DataFrame:
@@ -63,28 +91,15 @@ def asof_many(
         F.struct(*left.columns).alias("_wm_left"),
     )
     order = ["_wm_ts", "_wm_side"]
-    # lookups into the same source at the same time column share one row per source row
-    groups: dict[tuple, list[int]] = {}
-    for n, lk in enumerate(lookups):
-        groups.setdefault((id(lk.right), tuple(lk.keys), lk.ts, tuple(lk.tie), lk.strict), []).append(n)
-    for g, members in enumerate(groups.values()):
+    groups = _shared(lookups)
+    for g, (members, src) in enumerate(groups):
         lk = lookups[members[0]]
         ties = []
         for j, t in enumerate(lk.tie):
             name = f"_wm_t{g}_{j}"
             ties.append(F.col(t.lstrip("-")).alias(name))
             order.append(f"-{name}" if t.startswith("-") else name)
-        src = lk.right.filter(F.col(lk.ts).isNotNull())
-        wheres = [lookups[n].where for n in members]
-        if all(w is not None for w in wheres):
-            any_of = wheres[0]
-            for w in wheres[1:]:
-                any_of = any_of | w
-            src = src.filter(any_of)
-        payloads = []
-        for n, w in zip(members, wheres):
-            row = F.struct(*[F.col(c).alias(o) for o, c in lookups[n].columns.items()])
-            payloads.append((row if w is None else F.when(w, row)).alias(f"_wm_r{n}"))
+        payloads = [_where(lookups[n], _row(lookups[n])).alias(f"_wm_r{n}") for n in members]
         part = src.select(
             *[F.col(c).cast(types[k]).alias(f"_wm_g{i}") for i, (c, k) in enumerate(zip(lk.keys, keys))],
             _time(F.col(lk.ts)).alias("_wm_ts"),
@@ -99,7 +114,7 @@ def asof_many(
         sizes = left_sizes
     else:
         kinds = [types[k] for k in keys]
-        rights = {(id(lookups[m[0]].right), tuple(lookups[m[0]].keys), lookups[m[0]].ts): lookups[m[0]] for m in groups.values()}
+        rights = {(id(lookups[m[0]].right), tuple(lookups[m[0]].keys), lookups[m[0]].ts): lookups[m[0]] for m, _ in groups}
         sizes = KeyStats.of(
             [time_line(left if left_sizes is None else left_sizes, keys, ts, kinds)]
             + [time_line(lk.right, lk.keys, lk.ts, kinds) for lk in rights.values()]
@@ -111,6 +126,39 @@ def asof_many(
     return scanned.filter("_wm_side = 1").select(*outs)
 
 
+def asof_periods(
+    left: DataFrame, keys: list[str], ts: str, lookups: list[Lookup], period: Callable[[Column], Column], sizes: KeyStats
+) -> DataFrame:
+    """``asof_many`` for left rows whose times are few for a key, such as month ends.
+
+    ``period`` gives the first of these times at or after a source's time, null if there is none.  Only the last row of a
+    source in a period can be an answer, so the sources meet in one aggregate per key and period, in one row for all lookups.
+    These rows carry on what was known before, and the left rows look up them alone.  Ties run upwards and no lookup is strict;
+    what ties hide (columns of rows equal in time and ties) is the greatest.
+    """
+    if any(lk.strict or t.startswith("-") for lk in lookups for t in (lk.tie or [""])):
+        raise ValueError("lookups by period are neither strict nor have descending ties")
+    knames = [f"_wm_g{i}" for i in range(len(keys))]
+    types = [left.schema[k].dataType for k in keys]
+    rows = None
+    for members, src in _shared(lookups):
+        lk = lookups[members[0]]
+        known = [_time(F.col(lk.ts)).alias("ts"), *[F.col(t).alias(f"t{j}") for j, t in enumerate(lk.tie)]]
+        part = src.select(
+            *[F.col(c).cast(t).alias(k) for c, t, k in zip(lk.keys, types, knames)],
+            period(_time(F.col(lk.ts))).alias("_wm_ts"),
+            *[_where(lookups[n], F.struct(*known, _row(lookups[n]).alias("row"))).alias(f"_wm_r{n}") for n in members],
+        ).filter(F.col("_wm_ts").isNotNull())
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    # dealt before they are sorted for the aggregate, unless a key is so large that scanning tasks had better cut it first
+    rows = rows.repartition(*knames, "_wm_ts") if sizes.big is None else rows
+    last = rows.groupBy(*knames, "_wm_ts").agg(*[F.max(f"_wm_r{n}")["row"].alias(f"_wm_r{n}") for n in range(len(lookups))])
+    steps = {f"_wm_s{n}": last_known(F.col(f"_wm_r{n}")) for n in range(len(lookups))}
+    carried = Ordered(last, knames, ["_wm_ts"], bounded=True).scan(**steps).frame()
+    outs = {o: f"_wm_s{n}.{o}" for n, lk in enumerate(lookups) for o in lk.columns}
+    return asof_many(left, keys, ts, [Lookup(carried, knames, "_wm_ts", outs)], sizes)
+
+
 def asof_latest(
     left: DataFrame,
     right: DataFrame,

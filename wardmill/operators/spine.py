@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardmill.operators.ordered import KeyStats, Ordered, ordinal
 
 #: More months than any entity is reported on.
 MOST_MONTHS = 1200
+#: Spans that share a row of a month.
+SHARED = 64
 
 
 def month_end_sequence(start: Column, end: Column) -> Column:
@@ -34,6 +37,32 @@ def monthly_spine(
     return out if after is None else out.filter(F.col(name) > F.lit(after).cast("date"))
 
 
+def monthly_shared(
+    df: DataFrame, keys: list[str], start: str, end: str, as_of, spans: str, name: str = "reporting_date", after=None, sizes: KeyStats | None = None
+) -> DataFrame:
+    """``monthly_spine`` with one row per key and month end for up to ``SHARED`` of its spans.
+
+    ``spans`` is an array of (start, end) of those that have the month; inlined, the rows are those of ``monthly_spine``
+    for distinct spans, so what is looked up by key and month is looked up once for all of them.
+    """
+    d = Ordered(df.select(*keys, start, end).distinct(), keys, [start, end], sizes=sizes).scan(_wm_n=ordinal()).frame()
+    lot = F.floor((F.col("_wm_n") - 1) / SHARED).alias("_wm_lot")
+    last = F.when(F.count(end) == F.count(F.lit(1)), F.max(end))
+    d = d.groupBy(*keys, lot).agg(F.min(start).alias("_wm_from"), last.alias("_wm_to"), F.collect_list(F.struct(start, end)).alias(spans))
+    d = monthly_spine(d, "_wm_from", "_wm_to", as_of, name, after).drop("_wm_from", "_wm_to", "_wm_lot")
+    open_ = lambda s: (F.last_day(s[start]) <= F.col(name)) & (s[end].isNull() | (F.last_day(s[end]) >= F.col(name)))
+    return d.withColumn(spans, F.filter(spans, open_)).filter(F.size(spans) > 0)
+
+
+def month_end_from(at: Column, as_of, after=None) -> Column:
+    """The first month end of ``monthly_spine`` that is not before the moment ``at``; null if that is after ``as_of``."""
+    day = at.cast("date")
+    end = F.last_day(F.when(at > day.cast("timestamp_ntz"), F.date_add(day, 1)).otherwise(day))
+    if after is not None:
+        end = F.greatest(end, F.last_day(F.date_add(F.lit(after).cast("date"), 1)))
+    return F.when(end <= F.lit(as_of).cast("date"), end)
+
+
 def skeleton(df: DataFrame, **dimensions: list | Column) -> DataFrame:
     """Every combination of the rows of ``df`` with literal lists (or array columns)."""
     out = df

@@ -69,9 +69,10 @@ def hiv_monthly_reporting(
 ) -> DataFrame:
     """Enrolment x month-end snapshots.
 
-    All as-of attributes are found in one scan over the months and their
-    sources; see ``asof_many``.  The rows per patient are counted once, over all
-    sources together, each as often as the scan has its rows.
+    All as-of attributes are found together; see ``asof_periods``.  The rows per
+    patient are counted once, over all sources together, each as often as the scan
+    has its rows.  Enrolments share the rows of their patient's months until all is
+    found.
     """
     kind = [program.schema["emr_id"].dataType]
     line = lambda df, ts, key="emr_id", times=1: (*asof.time_line(df, [key], ts, kind), times)
@@ -91,9 +92,8 @@ def hiv_monthly_reporting(
         sizes=sizes,
     ).scan(_next=ordered.following(F.col("date_enrolled")))
     kept = nxt.frame().filter(F.coalesce(F.col("_next") != F.col("date_completed"), F.lit(True)))
-    months = spine.monthly_spine(
-        kept.select("emr_id", "date_enrolled", "date_completed"), "date_enrolled", "date_completed", as_of, after=since
-    ).distinct()
+    months = spine.monthly_shared(kept, ["emr_id"], "date_enrolled", "date_completed", as_of, "_enrolments", after=since, sizes=sizes)
+    months = decode(months, arv_start(dispensing, regimens), "emr_id", "emr_id", {"arv_start_date": "arv_start_date"})
 
     day = F.to_date
     visit_days = visits.groupBy("emr_id", "visit_date").agg(
@@ -243,8 +243,8 @@ def hiv_monthly_reporting(
             where=F.col("diagnosis_entered").like("%HYPERTENSION"),
         ),
     ]
-    t = asof.asof_many(months, key, "reporting_date", lookups, sizes)
-    t = decode(t, arv_start(dispensing, regimens), "emr_id", "emr_id", {"arv_start_date": "arv_start_date"})
+    t = asof.asof_periods(months, key, "reporting_date", lookups, lambda at: spine.month_end_from(at, as_of, since), sizes)
+    t = t.select("*", F.inline("_enrolments"))
     t = asof.coalesce_by_date(
         t,
         ("_b1", ["_b1s", "_b1d"]),
