@@ -92,3 +92,28 @@ def test_months_are_not_sorted_among_their_sources(spark, tmp_path):
     plan = registry()["derive_hiv_monthly_reporting"].build(spark, folder)._jdf.queryExecution().executedPlan().toString()
     sorts = [len(re.findall(r" (?:ASC|DESC) NULLS ", line)) for line in plan.splitlines() if re.search(r"\bSort \[", line)]
     assert sorts and max(sorts) <= 4
+
+
+def test_latest_between_of_several_lookups(spark):
+    """One scan gives what a scan for each lookup gave; an open end is the moment of the report."""
+    _, _, lookups = looked_up(spark)
+    left = spark.createDataFrame(
+        [(i, (None, "a", "b", "c")[i % 4], moment(i), None if i % 3 else moment(i + 2)) for i in range(40)], "n int, k string, lo timestamp_ntz, hi timestamp_ntz"
+    )
+    got = asof.latest_between_many(left, ["k"], "lo", "hi", lookups, AS_OF)
+    assert got.columns == ["n", "k", "lo", "hi", "a_at", "a_id", "a_v", "w_id", "b_id"]
+    for lk in lookups:
+        one = asof.latest_between(left, lk.right, ["k"], "lo", "hi", lk.ts, lk.columns, AS_OF, lk.tie, where=lk.where)
+        assert sorted(map(str, got.select(one.columns).collect())) == sorted(map(str, one.collect()))
+        assert one.filter(F.col(one.columns[-1]).isNotNull()).count() > 0
+
+
+def test_maternal_enrolments_are_counted_and_scanned_once(spark, tmp_path, monkeypatch):
+    """Each of seven lookups counted its keys and joined the observations with the encounters again."""
+    folder = driver_tables(spark, tmp_path)
+    counted = []
+    of = KeyStats.of
+    monkeypatch.setattr(KeyStats, "of", staticmethod(lambda *a, **k: counted.append(1) or of(*a, **k)))
+    plan = registry()["extract_mch_j9_data"].build(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(counted) == 1
+    assert plan.count("last(_wm_v") <= 5

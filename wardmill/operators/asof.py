@@ -8,7 +8,7 @@ shuffle and sort, and the row count never exceeds left + sources.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -221,11 +221,19 @@ def latest_between(
     The last row up to ``hi`` is the answer if it is not before ``lo``; if it
     is, no row lies in the range.
     """
-    renamed = {f"_wm_{o}": c for o, c in columns.items()}
+    lk = Lookup(right, keys, right_ts, columns, tie or [], where=where)
+    return latest_between_many(left, keys, lo, hi, [lk], now, sizes)
+
+
+def latest_between_many(
+    left: DataFrame, keys: list[str], lo: str, hi: str, lookups: list[Lookup], now, sizes: KeyStats | None = None
+) -> DataFrame:
+    """``latest_between`` for all lookups in one scan."""
     left2 = left.withColumn("_wm_hi", F.coalesce(_time(F.col(hi)), _time(F.lit(now))))
-    got = asof_latest(left2, right, keys, "_wm_hi", right_ts, {**renamed, "_wm_rts": right_ts}, tie, where=where, left_sizes=sizes)
-    ok = _time(F.col("_wm_rts")) >= _time(F.col(lo))
-    return got.select(*left.columns, *[F.when(ok, F.col(f"_wm_{o}")).alias(o) for o in columns])
+    found = [replace(lk, columns={**{f"_wm_{o}": c for o, c in lk.columns.items()}, f"_wm_rts{n}": lk.ts}) for n, lk in enumerate(lookups)]
+    got = asof_many(left2, keys, "_wm_hi", found, sizes)
+    ok = [_time(F.col(f"_wm_rts{n}")) >= _time(F.col(lo)) for n in range(len(lookups))]
+    return got.select(*left.columns, *[F.when(ok[n], F.col(f"_wm_{o}")).alias(o) for n, lk in enumerate(lookups) for o in lk.columns])
 
 
 def coalesce_by_date(

@@ -17,6 +17,7 @@ from wardmill.plans.extract.programs import (
     DELIVERY, HIV, MATERNAL, OBGYN, PMTCT_FOLLOWUP, PMTCT_INITIAL, PRESENT, SYMPTOMS, _group_answers,
 )
 from wardmill.plans.extract.records import HIV_FOLLOWUP_TYPE, HIV_INTAKE_TYPE, NON_CODED, icd10
+from wardmill.sources.staging import staged
 
 # A concept, a workflow and an attribute type.
 RISK = "11046"
@@ -449,6 +450,15 @@ MATERNAL_HISTORY = {
 MATERNAL_VISITS = {
     "number_anc_visit": "6259", "number_obgyn_visits": "13254", "number_postpartum_visits": "6261", "number_family_planning_visits": "5483",
 }
+# Latest answer inside an enrolment: question and column of the value.
+MATERNAL_LATEST = {
+    "mothers_group": ("11665", "value_text"), "number_living_children": ("11117", "value_numeric"), "traditional_healer": ("13242", "_name"),
+    "prenatal_teas": ("13737", "_name"), "expected_delivery_date": ("5596", "value_datetime"),
+}
+REFERRALS = ("Type of referring service", "CIEL:160535")
+MATERNAL_OBS = (
+    "obs_id", "obs_group_id", "concept_id", "obs_datetime", "date_created", "value_coded", "value_numeric", "value_text", "value_datetime", "comments",
+)
 
 
 def _current_state(c: Clinic, enrolments: DataFrame, workflow: str, name: str) -> DataFrame:
@@ -465,28 +475,32 @@ def mch_j9_data(c: Clinic, workflow: str = MATERNAL_WORKFLOW) -> DataFrame:
     """Maternal enrolments with the answers, counts and lists that fall inside each enrolment."""
     pp = c.enrolments(MATERNAL).select("patient_id", "patient_program_id", "date_enrolled", "date_completed")
     e = c.encounters([OBGYN]).select("encounter_id")
-    o = c.live("obs").join(e, "encounter_id", "left_semi").withColumnRenamed("person_id", "patient_id")
+    # all that is asked of the visits' observations, written once: each use would join them with the encounters again
+    o = c.obs(*[code for code, _ in MATERNAL_LATEST.values()], "8879", *REFERRALS, "13126", "10140", "11673")
+    o = o.join(e, "encounter_id", "left_semi").select(F.col("person_id").alias("patient_id"), *MATERNAL_OBS)
+    o = staged(o, "maternal-obs")
     named = c.with_concept_name(o, "value_coded", "_name")
+    kind = [pp.schema["patient_id"].dataType]
+    sizes = ordered.KeyStats.of(
+        [asof.time_line(o, ["patient_id"], "obs_datetime", kind), (*asof.time_line(pp, ["patient_id"], "date_enrolled", kind), 2)]
+    )
     t = pp.join(_current_state(c, pp, workflow, "program_state"), "patient_program_id", "left")
-    for name, code, value in (
-        ("mothers_group", "11665", "value_text"),
-        ("number_living_children", "11117", "value_numeric"),
-        ("traditional_healer", "13242", "_name"),
-        ("prenatal_teas", "13737", "_name"),
-        ("expected_delivery_date", "5596", "value_datetime"),
-    ):
-        src = named.filter(c.is_code("concept_id", code)).select("patient_id", "obs_datetime", "obs_id", F.col(value).alias("_v"))
-        got = asof.latest_between(
-            pp, src, ["patient_id"], "date_enrolled", "date_completed", "obs_datetime", {name: "_v"}, c.as_of, ["obs_id"]
-        ).select("patient_program_id", name)
-        t = t.join(got, "patient_program_id", "left")
+    found = [
+        asof.Lookup(named, ["patient_id"], "obs_datetime", {name: value}, ["obs_id"], where=c.is_code("concept_id", code))
+        for name, (code, value) in MATERNAL_LATEST.items()
+    ]
+    got = asof.latest_between_many(pp, ["patient_id"], "date_enrolled", "date_completed", found, c.as_of, sizes)
+    # where an id repeats, each column is joined for itself
+    repeats = pp.groupBy("patient_program_id").count().filter("patient_program_id IS NOT NULL AND count > 1").first() is not None
+    for names in [[n] for n in MATERNAL_LATEST] if repeats else [list(MATERNAL_LATEST)]:
+        t = t.join(got.select("patient_program_id", *names), "patient_program_id", "left")
     visits = o.filter(c.is_code("concept_id", "8879")).select("patient_id", "obs_datetime", "value_coded")
     counts = asof.count_within(
         pp, ["patient_program_id"], visits, ["patient_id"], "date_enrolled", "date_completed", "obs_datetime",
-        {n: c.is_code("value_coded", k) for n, k in MATERNAL_VISITS.items()}, c.as_of,
+        {n: c.is_code("value_coded", k) for n, k in MATERNAL_VISITS.items()}, c.as_of, sizes=sizes,
     ).select("patient_program_id", *MATERNAL_VISITS)
     t = t.join(counts, "patient_program_id", "left")
-    ref = named.filter(c.is_code("concept_id", "Type of referring service", "CIEL:160535"))
+    ref = named.filter(c.is_code("concept_id", *REFERRALS))
     places = c.table("location").select(F.col("location_id").cast("string").alias("_lid"), F.col("name").alias("_lname"))
     ref = enrich.decode(ref, places, "value_text", "_lid", {"_lname": "_lname"})
     kind = c.is_code("concept_id", "Type of referring service")
@@ -509,7 +523,7 @@ def mch_j9_data(c: Clinic, workflow: str = MATERNAL_WORKFLOW) -> DataFrame:
             until.select("patient_id", F.col("_until").alias("_ts"), F.lit(1).alias("_side"), "patient_program_id"),
         ]
     )
-    top = ordered.Ordered(line, ["patient_id"], ["_ts", "_side"]).scan(_top=ordered.max_before(F.col("_b"))).frame()
+    top = ordered.Ordered(line, ["patient_id"], ["_ts", "_side"], sizes=sizes).scan(_top=ordered.max_before(F.col("_b"))).frame()
     top = top.filter("_side = 1").select("patient_program_id", F.col("_top.obs_group_id").alias("_group"))
     t = t.join(top, "patient_program_id", "left")
     t = _group_answers(c, t, {"prior_birth_delivery_type": coded("11663"), "prior_birth_neonatal_status": listed("12899")}, "_group", sparse=True)
