@@ -14,7 +14,7 @@ from wardmill.operators.rules import code_flags
 from wardmill.plans.extract.clinic import Clinic, Q, coded, date, listed, mark, num, text, yn
 from wardmill.plans.extract.form import FormJob, run
 from wardmill.plans.extract.programs import (
-    DELIVERY, HIV, MATERNAL, OBGYN, PMTCT_FOLLOWUP, PMTCT_INITIAL, PRESENT, SYMPTOMS, _group_answers,
+    DELIVERY, HIV, MATERNAL, OBGYN, PMTCT_FOLLOWUP, PMTCT_INITIAL, PRESENT, SYMPTOMS, _group_answers, _grouped,
 )
 from wardmill.plans.extract.records import HIV_FOLLOWUP_TYPE, HIV_INTAKE_TYPE, NON_CODED, icd10
 from wardmill.sources.staging import staged
@@ -524,9 +524,12 @@ def mch_j9_data(c: Clinic, workflow: str = MATERNAL_WORKFLOW) -> DataFrame:
         ]
     )
     top = ordered.Ordered(line, ["patient_id"], ["_ts", "_side"], sizes=sizes).scan(_top=ordered.max_before(F.col("_b"))).frame()
-    top = top.filter("_side = 1").select("patient_program_id", F.col("_top.obs_group_id").alias("_group"))
+    top = staged(top.filter("_side = 1").select("patient_program_id", F.col("_top.obs_group_id").alias("_group")), "birth-groups")
     t = t.join(top, "patient_program_id", "left")
-    t = _group_answers(c, t, {"prior_birth_delivery_type": coded("11663"), "prior_birth_neonatal_status": listed("12899")}, "_group", sparse=True)
+    t = c.with_answers(
+        t, {"prior_birth_delivery_type": coded("11663"), "prior_birth_neonatal_status": listed("12899")}, "_group", _grouped(c), "obs_group_id",
+        within=top.filter("_group IS NOT NULL"), sparse=True,
+    )
     ever = {n: mark("10140", k) for n, k in MATERNAL_HISTORY.items()}
     t = c.with_answers(t, ever, "patient_id", o.withColumnRenamed("patient_id", "person_id"), "person_id")
     risk = o.filter(c.is_code("concept_id", "11673") & c.is_code("value_coded", "903")).groupBy("patient_id").agg(F.max("obs_datetime").alias("_risk"))
