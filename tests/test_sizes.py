@@ -2,9 +2,13 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from wardmill.catalog import registry
 from wardmill.catalog.base import SCHEMAS
 from wardmill.catalog.clinic_tables import Dictionary, DriverSite
+from wardmill.operators import enrich
 from wardmill.plans.extract.clinic import Clinic, Q
 
 
@@ -155,3 +159,43 @@ def test_results_are_not_shuffled_for_lookups_of_their_encounters(spark, tmp_pat
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_rows_gather_lookups_of_several_columns(spark):
+    """Null keys, lots that are real keys, values that repeat, are missing or have only nulls: as joins give them."""
+    rows = [(i, p, e) for i, (p, e) in enumerate([(1, 10), (1, 11), (2, 10), (2, None), (None, 10), (None, 12), (None, None), (0, 12), (3, 13), (1, 10)] * 3)]
+    rows += [(100 + i, 7, 14) for i in range(6000)]
+    r = spark.createDataFrame(rows, "id long, p long, e long")
+    people = spark.createDataFrame([(1, "a"), (2, "b"), (2, "bb"), (0, None), (7, "h"), (9, "x")], "k long, name string")
+    visits = spark.createDataFrame([(10, "v", 1.0), (10, "w", None), (12, None, None), (14, "z", 2.0), (None, "n", 3.0)], "k long, place string, size double")
+    want = enrich.decode(enrich.decode(r, people, "p", "k", {"name": "name"}), visits, "e", "k", {"place": "place", "size": "size"})
+    of_e = lambda x: x.join(visits, F.col("e") == F.col("k"), "left").drop("k")
+    of_p = lambda x: x.join(people, F.col("p") == F.col("k")).drop("k")
+    plain = lambda df: sorted(map(repr, (tuple(t) for t in df.select("id", "p", "e", "name", "place", "size").collect())))
+    for by in (None, ["id"], ["e", "id"]):
+        for key in ("p", "e"):
+            assert plain(enrich.gathered(r, key, {"e": of_e, "p": of_p}, by)) == plain(want)
+    first = F.min("id").over(Window.partitionBy(enrich.AT, "p", "e"))
+    got = enrich.gathered(r, "p", {"e": lambda x: x.withColumn("twice", F.col("e") * 2)}, None, lambda d: d.withColumn("first", first)).collect()
+    least = {}
+    for i, p, e in rows:
+        least.setdefault((p, e), i)
+    assert len(got) == len(rows) and all(t["first"] == least[t["p"], t["e"]] and t["twice"] == (t["e"] and t["e"] * 2) for t in got)
+
+
+def moved(spark, folder, names):
+    """Shuffles that carry an observation's id and time, per extract, with every join a shuffled one."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plans = {n: registry()[f"extract_{n}"].build(spark, folder)._jdf.queryExecution().executedPlan() for n in names}
+        return {n: len([x for x in shuffles_of(p, "obs_id", "obs_datetime") if x > 3]) for n, p in plans.items()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_diagnoses_move_once_for_all_lookups_but_those_of_concepts(spark, tmp_path):
+    found = moved(spark, driver_tables(spark, tmp_path), ("all_diagnosis", "diagnoses"))
+    # the names, codes and sets of a dictionary this small would be broadcast
+    assert found == {"all_diagnosis": 2, "diagnoses": 2}

@@ -288,8 +288,11 @@ class Clinic:
             "user_id", "username", "person_name"
         )
 
-    def with_user(self, df: DataFrame, key: str = "creator", name: str = "user_entered", login: bool = False) -> DataFrame:
-        return enrich.decode(df, self.user_names(), key, "user_id", {name: "username" if login else "person_name"})
+    def with_user(
+        self, df: DataFrame, key: str = "creator", name: str = "user_entered", login: bool = False, users: DataFrame | None = None
+    ) -> DataFrame:
+        """``users``: the table ``user_names``, if it was staged."""
+        return enrich.decode(df, self.user_names() if users is None else users, key, "user_id", {name: "username" if login else "person_name"})
 
     def attributes(self, name: str, column: str = "name") -> DataFrame:
         """Newest value of one person attribute."""

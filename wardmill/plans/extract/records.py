@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardmill.functions.dates import complete_years, entered_later_same_clock, minutes_between
@@ -288,11 +288,11 @@ def icd10(c: Clinic) -> DataFrame:
 
 def all_diagnosis(c: Clinic, since=None) -> DataFrame:
     """Coded and free-text diagnoses; ``since`` keeps the trailing months up to that day."""
-    d = _diagnosis_rows(c, since)
-    first = d.filter("coded").groupBy("patient_id", "diagnosis_concept").agg(
-        F.min(F.to_date("obs_datetime")).alias("_first")
-    )
-    d = _diagnosis_details(c, d.join(first, ["patient_id", "diagnosis_concept"], "left"), DIAGNOSIS_SETS)
+    # a patient's diagnoses meet in one task, where the first of each needs no shuffle of its own
+    same = Window.partitionBy(enrich.AT, "patient_id", "diagnosis_concept")
+    known = F.col("patient_id").isNotNull() & F.col("diagnosis_concept").isNotNull()
+    first = F.when(known, F.min(F.when(F.col("coded"), F.to_date("obs_datetime"))).over(same))
+    d = _diagnosis_details(c, _diagnosis_rows(c, since), DIAGNOSIS_SETS, lambda d: d.withColumn("_first", first))
     return d.select(
         c.key("patient_id"),
         "dossierid",
@@ -357,16 +357,9 @@ def diagnoses(c: Clinic, start=None, end=None) -> DataFrame:
     )
 
 
-def _diagnosis_details(c: Clinic, d: DataFrame, sets: dict[str, str]) -> DataFrame:
-    """What group, concept, encounter and patient say about each diagnosis."""
+def _diagnosis_details(c: Clinic, d: DataFrame, sets: dict[str, str], scan=None) -> DataFrame:
+    """What group, concept, encounter and patient say about each diagnosis; ``scan`` as in ``enrich.gathered``."""
     group = c.live("obs").filter("obs_group_id is not null")
-    d = c.with_answers(
-        d, {"dx_order": Q("coded", "7537"), "certainty": Q("coded", "1379")}, "obs_group_id", group, "obs_group_id", d, sparse=True
-    )
-    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_fr", "fr")
-    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_en", "en")
-    d = enrich.decode(d, icd10(c), "diagnosis_concept", "concept_id", {"icd10_code": "code"})
-    d = set_flags(c, d, "diagnosis_concept", sets)
     e = c.table("encounter").select(
         "encounter_id",
         F.col("creator").alias("_creator"),
@@ -376,22 +369,37 @@ def _diagnosis_details(c: Clinic, d: DataFrame, sets: dict[str, str]) -> DataFra
         F.col("date_created").alias("date_created"),
         "encounter_datetime",
     )
-    d = d.join(e, "encounter_id", "left")
-    d = c.with_facility(c.with_user(c.with_type_name(d), "_creator", "entered_by"))
-    d = c.with_unknown_flag(c.with_registration_place(c.with_provider(d)))
-    d = c.with_identifiers(d, {"patient_primary_id": "emr", "dossierid": "dossier"})
-    d = c.with_person(d, {"gender": "gender", "birthdate": "birthdate", "birthdate_estimated": "birthdate_estimated"})
-    d = c.with_address(
-        d,
-        {
-            "department": "state_province",
-            "commune": "city_village",
-            "section": "address3",
-            "locality": "address1",
-            "street_landmark": "address2",
-        },
-    )
-    return enrich.decode(d, c.section_codes(), "patient_id", "person_id", {"section_communale_cdc_id": "code"})
+    # staged, the names' size is known, and if they are few the encounters are not shuffled by user
+    e = c.with_user(c.with_facility(c.with_type_name(e)), "_creator", "entered_by", users=staged(c.user_names(), "user-names"))
+
+    def of_groups(g: DataFrame) -> DataFrame:
+        asked = {"dx_order": Q("coded", "7537"), "certainty": Q("coded", "1379")}
+        g = c.with_answers(g, asked, "obs_group_id", group, "obs_group_id", g)
+        return g.filter(F.coalesce(*asked).isNotNull())
+
+    def of_patients(p: DataFrame) -> DataFrame:
+        p = c.with_unknown_flag(c.with_registration_place(p))
+        p = c.with_identifiers(p, {"patient_primary_id": "emr", "dossierid": "dossier"})
+        p = c.with_person(p, {"gender": "gender", "birthdate": "birthdate", "birthdate_estimated": "birthdate_estimated"})
+        p = c.with_address(
+            p,
+            {
+                "department": "state_province",
+                "commune": "city_village",
+                "section": "address3",
+                "locality": "address1",
+                "street_landmark": "address2",
+            },
+        )
+        return enrich.decode(p, c.section_codes(), "patient_id", "person_id", {"section_communale_cdc_id": "code"})
+
+    found = {"obs_group_id": of_groups, "encounter_id": lambda x: c.with_provider(x.join(e, "encounter_id", "left")), "patient_id": of_patients}
+    d = enrich.gathered(d, "patient_id", found, ["encounter_id", "obs_id"], scan)
+    d = d.withColumn("facility", F.coalesce("facility", F.lit(c.unknown_location())))
+    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_fr", "fr")
+    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_en", "en")
+    d = enrich.decode(d, icd10(c), "diagnosis_concept", "concept_id", {"icd10_code": "code"})
+    return set_flags(c, d, "diagnosis_concept", sets)
 
 
 def all_diagnosis_past_year(c: Clinic) -> DataFrame:
