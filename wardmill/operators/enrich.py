@@ -102,29 +102,35 @@ def gathered(
     """``rows`` with all that is looked up for several of their columns, in one shuffle of the rows.
 
     Rows are dealt by ``key``, a number or a text; those without it by a hash of ``dealt_by``, else to one task. Each of ``lookups`` names a
-    column; its function gets the distinct values of that column, dealt by it, each with every place (``AT``) that has rows of it, and returns
-    them with more columns, as left or inner joins do. A value that it returns twice doubles its rows, a missing one and a null
+    column; its function gets the distinct values of that column, dealt by it, each with every place (``AT``) that has rows of it if it is not
+    the key, and returns them with more columns, as left or inner joins do. A value that it returns twice doubles its rows, a missing one and a null
     get nulls. What was found goes to the places in the shuffle of the rows and meets them in a window, so a place with very many rows and values
     costs a sort and no pairs. ``scan`` adds columns before that, with windows over ``AT`` and more; the rows of what was found, null in
     all else, run along. The column ``AT`` stays, for windows that follow.
     """
     lot = F.pmod(F.xxhash64(*dealt_by), F.lit(LOTS)) if dealt_by else F.lit(0)
     source = rows.withColumn(AT, F.coalesce(F.col(key), lot.cast(rows.schema[key].dataType)))
-    out = source.withColumn("_wm_kind", F.lit(-1))
+    # what neighbouring rows have in common side by side, so that it is compressed in one piece
+    common = list(dict.fromkeys([AT, *lookups]))
+    out = source.select(F.lit(-1).alias("_wm_kind"), *common, *[c for c in rows.columns if c not in common])
     added: dict[str, list[str]] = {}
     for i, (column, lookup) in enumerate(lookups.items()):
-        own = list(dict.fromkeys([AT, column]))
-        found = lookup(source.select(*own).filter(F.col(column).isNotNull()).repartition(column).distinct())
-        added[column] = [c for c in found.columns if c not in own]
-        found = found.select(*own, F.lit(i).alias("_wm_kind"), F.struct(*added[column]).alias(f"_wm_f{i}"))
+        if column == key:
+            found = lookup(rows.select(key).filter(F.col(key).isNotNull()).distinct()).withColumn(AT, F.col(key))
+        else:
+            found = lookup(source.select(AT, column).filter(F.col(column).isNotNull()).repartition(column).distinct())
+        added[column] = [c for c in found.columns if c not in (AT, column)]
+        found = found.select(F.lit(i).alias("_wm_kind"), *dict.fromkeys([AT, column]), F.struct(*added[column]).alias(f"_wm_f{i}"))
         out = out.unionByName(found, allowMissingColumns=True)
     out = out.repartition(AT)
     if scan is not None:
         out = scan(out)
     names = [c for c in out.columns if not c.startswith("_wm_f") and c != "_wm_kind"]
-    for i, column in enumerate(lookups):
-        same = Window.partitionBy(*dict.fromkeys([AT, column]))
-        out = out.withColumn(f"_wm_f{i}", F.collect_list(f"_wm_f{i}").over(same)).filter(F.col("_wm_kind") != i)
+    # the key's own values last: they are found by place alone, which needs no further sort
+    for i, column in sorted(enumerate(lookups), key=lambda x: x[1] == key):
+        met = F.collect_list(f"_wm_f{i}").over(Window.partitionBy(*([AT] if column == key else [AT, column])))
+        met = F.when(F.col(key).isNotNull(), met) if column == key else met
+        out = out.withColumn(f"_wm_f{i}", met).filter(F.col("_wm_kind") != i)
     for i, column in enumerate(lookups):
         names += added[column]
         rest = [f"_wm_f{j}" for j in range(i + 1, len(lookups))]

@@ -396,10 +396,19 @@ def _diagnosis_details(c: Clinic, d: DataFrame, sets: dict[str, str], scan=None)
     found = {"obs_group_id": of_groups, "encounter_id": lambda x: c.with_provider(x.join(e, "encounter_id", "left")), "patient_id": of_patients}
     d = enrich.gathered(d, "patient_id", found, ["encounter_id", "obs_id"], scan)
     d = d.withColumn("facility", F.coalesce("facility", F.lit(c.unknown_location())))
-    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_fr", "fr")
-    d = c.with_concept_name(d, "diagnosis_concept", "diagnosis_coded_en", "en")
-    d = enrich.decode(d, icd10(c), "diagnosis_concept", "concept_id", {"icd10_code": "code"})
-    return set_flags(c, d, "diagnosis_concept", sets)
+    said = ("diagnosis_coded_fr", "diagnosis_coded_en", "icd10_code", *sets)
+    d = enrich.decode(d, _diagnosis_concepts(c, sets), "diagnosis_concept", "concept_id", {n: n for n in said})
+    return d.withColumns({n: F.when(F.col("diagnosis_concept").isNotNull(), F.coalesce(n, F.lit(False))) for n in sets})
+
+
+def _diagnosis_concepts(c: Clinic, sets: dict[str, str]) -> DataFrame:
+    """Names, ICD-10 code and sets of each concept that has any, staged: one table of known size, so diagnoses are not shuffled by concept."""
+    tables = (c.live("concept_name"), c.table("report_mapping"), c.table("concept_set"))
+    d = union_rows([t.select("concept_id") for t in tables]).filter("concept_id IS NOT NULL").distinct()
+    d = c.with_concept_name(d, "concept_id", "diagnosis_coded_fr", "fr")
+    d = c.with_concept_name(d, "concept_id", "diagnosis_coded_en", "en")
+    d = enrich.decode(d, icd10(c), "concept_id", "concept_id", {"icd10_code": "code"})
+    return staged(set_flags(c, d, "concept_id", sets), "diagnosis-concepts")
 
 
 def all_diagnosis_past_year(c: Clinic) -> DataFrame:
