@@ -613,16 +613,18 @@ FREE_PROCEDURE = "12923"
 
 def all_procedures(c: Clinic) -> DataFrame:
     o = c.obs(*CODED_PROCEDURES, FREE_PROCEDURE).select(
-        F.col("person_id").alias("patient_id"), "encounter_id", "obs_id", "obs_datetime", "concept_id", "value_coded",
-        F.when(c.is_code("concept_id", FREE_PROCEDURE), F.col("value_text")).alias("value_text"), "date_created", "creator",
+        F.col("person_id").alias("patient_id"), "encounter_id", "creator", "obs_id", "obs_datetime", "concept_id", "value_coded",
+        F.when(c.is_code("concept_id", FREE_PROCEDURE), F.col("value_text")).alias("value_text"), "date_created",
     )
     coded = c.is_code("concept_id", *CODED_PROCEDURES)
     e = c.encounters().select("encounter_id", "visit_id", "location_id", "encounter_type", "encounter_datetime")
     e = c.with_facility(c.with_type_name(e))
+    o = enrich.gathered(
+        o, "encounter_id", {"patient_id": c.with_identifier, "encounter_id": lambda x: c.with_provider(_at_encounters(c, x, e))}, ["obs_id"]
+    )
+    o = o.withColumn("facility", F.coalesce("facility", F.lit(c.unknown_location())))
     # staged, the names' size is known, and if they are few the observations are not shuffled by user
     o = enrich.decode(o, staged(c.user_names(), "user-names"), "creator", "user_id", {"entered_by": "person_name"})
-    o = c.with_identifier(o)
-    o = c.with_provider(_at_encounters(c, o, e))
     o = c.with_concept_name(o, "value_coded", "_name", "en")
     flags = {n: [i for i in c.codes(cs).values() if i is not None] for n, cs in PROCEDURE_FLAGS.items()}
     o = code_flags(o, "value_coded", flags)
