@@ -183,13 +183,13 @@ def test_rows_gather_lookups_of_several_columns(spark):
     assert len(got) == len(rows) and all(t["first"] == least[t["p"], t["e"]] and t["twice"] == (t["e"] and t["e"] * 2) for t in got)
 
 
-def moved(spark, folder, names):
+def moved(spark, folder, names, key="obs_id"):
     """Shuffles that carry an observation's id and time, per extract, with every join a shuffled one."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plans = {n: registry()[f"extract_{n}"].build(spark, folder)._jdf.queryExecution().executedPlan() for n in names}
-        return {n: len([x for x in shuffles_of(p, "obs_id", "obs_datetime") if x > 3]) for n, p in plans.items()}
+        return {n: len([x for x in shuffles_of(p, key, "obs_datetime") if x > 3]) for n, p in plans.items()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -199,3 +199,25 @@ def test_diagnoses_move_once_for_all_lookups_but_those_of_concepts(spark, tmp_pa
     found = moved(spark, driver_tables(spark, tmp_path), ("all_diagnosis", "diagnoses"))
     # the names, codes and sets of a dictionary this small would be broadcast
     assert found == {"all_diagnosis": 2, "diagnoses": 2}
+
+
+def test_procedures_move_once_for_encounters_and_patients(spark, tmp_path):
+    # once more for users and for names, which are broadcast if they are few
+    assert moved(spark, driver_tables(spark, tmp_path), ["all_procedures"]) == {"all_procedures": 3}
+
+
+def test_tests_of_tuberculosis_are_numbered_where_they_gather(spark, tmp_path, force_skew):
+    folder = driver_tables(spark, tmp_path)
+    name = "extract_tb_lab_results"
+    by_range = sorted(map(repr, registry()[name].build(spark, folder).collect()))
+    spark.conf.unset("wardmill.skew.minRows")
+    assert sorted(map(repr, registry()[name].build(spark, folder).collect())) == by_range and len(by_range) > 100
+    # those not done move to their orders before; the lookups of users and names follow
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = registry()[name].build(spark, folder)._jdf.queryExecution().executedPlan()
+        assert len(shuffles_of(plan, "obs_datetime")) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

@@ -13,6 +13,7 @@ from wardmill.operators.rules import active_at, bands, least_strict, waterfall
 from wardmill.plans.extract.clinic import UNKNOWN_LOCATION, Clinic, Q, coded, comment, date, listed, mark, num, text, yn
 from wardmill.plans.extract.forms import MENTAL_HEALTH, ONCOLOGY_INTAKE
 from wardmill.plans.extract.records import HIV_DISPENSING_TYPE, HIV_FOLLOWUP_TYPE, HIV_INTAKE_TYPE, _order_status
+from wardmill.sources.staging import staged
 
 # Programmes, encounter types and states of the source system.
 HIV = "b1cb1fc1-5190-4f7a-af08-48870975dafc"
@@ -602,42 +603,46 @@ TB_TESTS = {
 
 def tb_lab_results(c: Clinic) -> DataFrame:
     """TB tests done, of four kinds, and tests not done, of three."""
-    kind = waterfall([(c.is_code("concept_id", code), F.lit(k)) for k, code in TB_TESTS.items()])
-    done = c.obs(*TB_TESTS.values()).withColumn("test_type", kind)
-    done = c.with_concept_name(done, "value_coded", "_name", "en")
-    e = c.encounters().select("encounter_id", "encounter_datetime", "location_id")
-    done = done.join(e, "encounter_id", "left")
-    done = c.with_answers(
-        done,
-        {"sample_taken_date_estimated": coded("11781"), "_d1": date("DATE OF LABORATORY TEST"), "_d2": date("Date of test results"), "_ppd": coded("PPD qualitative")},
-        within=c.obs(*TB_TESTS.values()),
-    )
-    skin = F.col("test_type") == "skin test"
-    on = F.when(F.col("test_type") == "genxpert", F.coalesce("encounter_datetime", "obs_datetime")).otherwise(F.col("obs_datetime"))
-    base = ["person_id", "encounter_id", "location_id", "date_created", "creator", "test_type"]
-    rows = done.select(
-        *base, F.col("obs_id").alias("_id"), F.to_date(on).alias("specimen_collection_date"), "sample_taken_date_estimated",
-        F.to_date(F.coalesce("_d2", "_d1")).alias("test_result_date"), F.lit("performed").alias("test_status"),
-        F.when(skin, F.col("_ppd")).otherwise(F.col("_name")).alias("test_result_text"),
-        F.when(skin, F.col("value_numeric")).alias("test_result_numeric"),
-    )
+    kinds = list(TB_TESTS)
+    # kinds go by number and status by a flag; their names come after the shuffle
+    kind = lambda column, n: waterfall([(c.is_code(column, code), F.lit(i)) for i, code in enumerate(list(TB_TESTS.values())[:n])])
+    base = ["person_id", "encounter_id", "creator", F.col("obs_id").alias("_id"), "obs_datetime", "date_created", "value_coded"]
+    done = c.obs(*TB_TESTS.values()).withColumn("_kind", kind("concept_id", 4))
+    numeric = F.when(F.col("_kind") == kinds.index("skin test"), F.col("value_numeric"))
+    done = done.select(*base, "_kind", F.lit(True).alias("_done"), numeric.alias("value_numeric"))
     o = c.live("orders").filter(F.col("fulfiller_status").contains("EXCEPTION"))
     o = o.select("order_id", F.col("concept_id").alias("_ordered")).filter(c.is_code("_ordered", *list(TB_TESTS.values())[:3]))
     not_done = c.obs("CIEL:165182").join(o, "order_id")
-    okind = waterfall([(c.is_code("_ordered", code), F.lit(k)) for k, code in list(TB_TESTS.items())[:3]])
-    not_done = c.with_concept_name(not_done.withColumn("test_type", okind), "value_coded", "reason_test_not_perform", "en")
-    not_done = c.with_answers(not_done.join(e, "encounter_id", "left"), {"_d2": date("Date of test results")}, within=c.obs("CIEL:165182"))
-    rows2 = not_done.select(
-        *base, F.col("obs_id").alias("_id"), F.to_date(on).alias("specimen_collection_date"), F.to_date("_d2").alias("test_result_date"),
-        F.lit("not performed").alias("test_status"), "reason_test_not_perform",
-    )
-    t = union_rows([rows, rows2])
-    t = ordered.index_pair(
-        t, ["person_id"], ["encounter_id", "specimen_collection_date", "date_created", "test_type", "_id"],
-        sizes=c.obs(*TB_TESTS.values(), "CIEL:165182"),
-    )
-    t = top_place(c, c.with_user(t, "creator", "user_entered", login=True), "test_location")
-    t = c.with_identifiers(t, {"emr_id": "emr", "dossier_id": "dossier"}, "person_id")
+    not_done = not_done.select(*base, kind("_ordered", 3).alias("_kind"), F.lit(False).alias("_done"))
+    e = c.encounters().select("encounter_id", "encounter_datetime", "location_id")
+    asked = {"_estimated": coded("11781"), "_d1": date("DATE OF LABORATORY TEST"), "_d2": date("Date of test results"), "_ppd": coded("PPD qualitative")}
+    # a person's tests meet in one task, where they are numbered; those of a person with very many are numbered in ranges
+    sizes = ordered.KeyStats.of([(c.obs(*TB_TESTS.values(), "CIEL:165182"), ["person_id"], ["encounter_id"])])
+    place, keys, dealt_by = ("person_id", [enrich.AT, "person_id"], None) if sizes.big is None else ("encounter_id", ["person_id"], ["_id"])
+    found = {
+        "encounter_id": lambda x: c.with_answers(x.join(e, "encounter_id", "left"), asked, within=x),
+        "person_id": lambda p: c.with_identifiers(p, {"emr_id": "emr", "dossier_id": "dossier"}, "person_id"),
+    }
+    t = enrich.gathered(union_rows([done, not_done]), place, found, dealt_by)
+    t = t.withColumn("test_type", waterfall([(F.col("_kind") == i, F.lit(k)) for i, k in enumerate(kinds)]))
+    on = F.when(F.col("test_type") == "genxpert", F.coalesce("encounter_datetime", "obs_datetime")).otherwise(F.col("obs_datetime"))
+    t = t.withColumn("specimen_collection_date", F.to_date(on))
+    t = ordered.index_pair(t, keys, ["encounter_id", "specimen_collection_date", "date_created", "test_type", "_id"], sizes=sizes)
+    # staged, the names' sizes are known, and if they are few the tests are not shuffled by user or place
+    places = staged(top_place(c, c.table("location").select("location_id").distinct(), "test_location"), "top-places")
+    t = enrich.decode(t, places, "location_id", "location_id", {"test_location": "test_location"})
+    t = c.with_user(t, "creator", "user_entered", login=True, users=staged(c.user_names(), "user-names"))
+    t = c.with_concept_name(t, "value_coded", "_name", "en")
+    performed, skin = F.col("_done"), F.col("test_type") == "skin test"
+    told = {
+        "test_status": F.when(performed, "performed").otherwise("not performed"),
+        "sample_taken_date_estimated": F.when(performed, F.col("_estimated")),
+        "test_result_date": F.to_date(F.when(performed, F.coalesce("_d2", "_d1")).otherwise(F.col("_d2"))),
+        "reason_test_not_perform": F.when(~performed, F.col("_name")),
+        "test_result_text": F.when(performed, F.when(skin, F.col("_ppd")).otherwise(F.col("_name"))),
+        "test_result_numeric": F.col("value_numeric"),
+    }
+    t = t.withColumns(told)
     return t.select(
         c.key("_id").alias("tb_lab_results_id"), "emr_id", "dossier_id", c.key("encounter_id"), "test_location", "specimen_collection_date",
         "sample_taken_date_estimated", "test_result_date", F.lit("tb").alias("test_related_to"), "test_type", "test_status",
